@@ -37,7 +37,9 @@ ORACLE_TOKEN_PATTERN = (
 def tokens(text: Column) -> Column:
     """array<string> of lower-cased tokens, in text order."""
     parts = F.split(F.lower(text), TOKEN_DELIMITER, -1)
-    return F.filter(parts, lambda t: t != F.lit(""))
+    # array_remove, not a lambda filter: lambda variables defeat plan canonicalisation,
+    # and with them the exchange reuse between the count and cut branches.
+    return F.array_remove(parts, "")
 
 
 def ngram_pairs(toks: Column, first: str = "word1", second: str = "word2") -> Column:

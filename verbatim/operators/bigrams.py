@@ -3,8 +3,8 @@
 tokenise → adjacent pairs (before stop-word removal) → drop pairs with a stop word
 on either side → count per (question, word1, word2).
 
-Plan: Scan → Project(tokens) → Generate(inline) → 2 × BroadcastHashJoin LeftAnti
-→ partial HashAggregate, all in one stage; one Exchange on (question, word1, word2)
+Plan: Scan → Project(tokens) → Generate(inline) → Filter(NOT word IN stop set) → partial
+HashAggregate, all in one stage; one Exchange on (question, word1, word2)
 → final HashAggregate.  Map-side partial aggregation bounds what a hot bigram or a hot
 question sends to a single reducer by the number of map tasks.
 """
@@ -21,19 +21,20 @@ from verbatim.operators.broadcast import bounded_broadcast
 from verbatim.sources.stopwords import ENGLISH_STOP_WORDS, MAX_BROADCAST_WORDS, stop_words
 
 
-def _stop_side(spark, stop: DataFrame | Sequence[str] | None) -> DataFrame:
-    sw = stop_words(spark, stop)
-    if stop is None or not isinstance(stop, DataFrame):
-        size = len(set(ENGLISH_STOP_WORDS if stop is None else stop))
-        if size <= MAX_BROADCAST_WORDS:
-            return F.broadcast(sw)
-        return sw
-    return bounded_broadcast(sw, MAX_BROADCAST_WORDS)
-
-
 def remove_stop_pairs(pairs: DataFrame, stop: DataFrame | Sequence[str] | None = None) -> DataFrame:
-    """Drop a pair when either word is a stop word; words are never NULL."""
-    sw = _stop_side(pairs.sparkSession, stop)
+    """Drop a pair when either word is a stop word; words are never NULL.
+
+    A fixed word list becomes a hashed ``NOT IN`` predicate (``InSet``) inside the
+    generated code of the scan stage; a stop-word *table* is joined with two
+    broadcast left-anti joins behind a row-count check.
+    """
+    if stop is None or not isinstance(stop, DataFrame):
+        words = sorted({w.lower() for w in (ENGLISH_STOP_WORDS if stop is None else stop)})
+        if len(words) <= MAX_BROADCAST_WORDS:
+            out = pairs.where(~F.col("word1").isin(words) & ~F.col("word2").isin(words))
+            return out.where(F.col("word1").isNotNull() & F.col("word2").isNotNull())
+        stop = stop_words(pairs.sparkSession, words)
+    sw = bounded_broadcast(stop_words(pairs.sparkSession, stop), MAX_BROADCAST_WORDS)
     s1 = sw.select(F.col("word").alias("__sw1"))
     s2 = sw.select(F.col("word").alias("__sw2"))
     out = pairs.join(s1, F.col("word1") == F.col("__sw1"), "left_anti")
@@ -50,8 +51,12 @@ def bigram_occurrences(responses: DataFrame, question_col: str = "question",
     tokens yield nothing.  Pairs never span two responses.
     """
     src = responses.where(F.col(response_col) != "")
-    pairs = src.select(*[F.col(k) for k in keep], F.col(question_col).alias("question"),
-                       F.inline(ngram_pairs(tokens(F.col(response_col)))))
+    # Tokens are projected once and referenced by name: pairing reads the array four
+    # times (two slices, two sizes), and the tokenizer must not run four times.
+    toks = src.select(*[F.col(k) for k in keep], F.col(question_col).alias("question"),
+                      tokens(F.col(response_col)).alias("__tokens"))
+    pairs = toks.select(*[F.col(k) for k in keep], "question",
+                        F.inline(ngram_pairs(F.col("__tokens"))))
     return remove_stop_pairs(pairs, stop)
 
 

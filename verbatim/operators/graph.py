@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbatim.operators.bigrams import bigram_occurrences, count_bigrams
+from verbatim.session import cut_lineage
 from verbatim.operators.thresholds import DEFAULT_RULE, PercentileRule, percentile_cuts, top_by_percentile
 
 
@@ -34,16 +35,24 @@ def bigram_network(responses: DataFrame, question_col: str = "question",
                    response_col: str = "response",
                    stop: DataFrame | Sequence[str] | None = None,
                    rule: PercentileRule = DEFAULT_RULE,
-                   questions: Sequence[str] | None = None) -> BigramNetwork:
+                   questions: Sequence[str] | None = None,
+                   materialize: bool = True) -> BigramNetwork:
     """V2 for all questions at once (or only ``questions``).
 
     ``questions`` (a known, bounded list) both prunes the input — the predicate reaches
     the scan — and lets the cut table be broadcast.
+
+    The counts feed two branches (the per-question cut and the edge filter).  With AQE
+    on, Spark does not reuse the shared exchange between such branches, so the text
+    would be tokenised and counted twice; ``materialize`` writes the counts once as a
+    reliable checkpoint in the shared checkpoint folder and both branches read it.
     """
     src = responses
     if questions is not None:
         src = src.where(F.col(question_col).isin(list(questions)))
     counts = count_bigrams(bigram_occurrences(src, question_col, response_col, stop=stop))
+    if materialize:
+        counts = cut_lineage(counts)
     cuts = percentile_cuts(counts, rule)
     edges = edge_table(top_by_percentile(counts, cuts, broadcast_cuts=questions is not None))
     return BigramNetwork(counts, cuts, edges, vertex_table(edges))

@@ -151,6 +151,15 @@ ORACLE_SQL = {
         FROM events
         WINDOW w AS (PARTITION BY user_id ORDER BY ts ASC NULLS LAST, event_id
                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "event_fill_forward_skewed": """
+        WITH e AS (SELECT event_id, CASE WHEN event_type = 'view' THEN -1 ELSE user_id END AS user_id,
+                          ts, event_type, value FROM events)
+        SELECT event_id, user_id, event_type,
+               last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER w AS last_purchase,
+               last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER w AS last_signup_event
+        FROM e
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts ASC NULLS LAST, event_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "unpivot_codes": """
         SELECT doc_id, 'quality' AS question, CAST(quality AS VARCHAR) AS response FROM labels
         WHERE quality IS NOT NULL

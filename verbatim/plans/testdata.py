@@ -121,6 +121,21 @@ def event_fill_forward(spark, d):
     return out.select("event_id", "user_id", "event_type", "last_purchase", "last_signup_event")
 
 
+def event_fill_forward_skewed(spark, d):
+    """Same fill, but every page view is booked to one catch-all user (id -1), so a
+    single key holds about a fifth of all rows: exercises the hot-key split."""
+    ev = table(spark, d, "events").select(
+        "event_id",
+        F.when(F.col("event_type") == "view", F.lit(-1).cast("bigint"))
+         .otherwise(F.col("user_id")).alias("user_id"),
+        "ts", "event_type",
+        F.when(F.col("event_type") == "purchase", F.col("value")).alias("last_purchase"),
+        F.when(F.col("event_type") == "signup", F.col("event_id")).alias("last_signup_event"))
+    out = fill_forward(ev, "user_id", "ts", ["last_purchase", "last_signup_event"],
+                       tiebreak="event_id")
+    return out.select("event_id", "user_id", "event_type", "last_purchase", "last_signup_event")
+
+
 # ---------------------------------------------------------------- reshape
 def unpivot_codes(spark, d):
     return unpivot_responses(table(spark, d, "labels"), ["doc_id"], ["quality", "toxic"])
@@ -280,6 +295,7 @@ QUERIES = {
     "panel_fill_forward": panel_fill_forward,
     "panel_response_table": panel_response_table,
     "event_fill_forward": event_fill_forward,
+    "event_fill_forward_skewed": event_fill_forward_skewed,
     "unpivot_codes": unpivot_codes,
     "unpivot_text": unpivot_text,
     "wave_full_join": wave_full_join,
