@@ -1,0 +1,27 @@
+"""A wave file landing in the folder rebuilds the panel outputs."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from verbatim.plans.panels import CC
+from verbatim.streaming.refresh import panel_refresh, watch_waves
+
+
+def test_landing_refresh(spark, tmpdir_fresh):
+    landing = os.path.join(tmpdir_fresh, "landing")
+    flags = ", ".join(f"`CC.DEMO.013_{k}` int" for k in range(1, 14))
+    schema = (f"ProviderID string, Week int, UserLanguage string, `CC.DEMO.001` string, {flags}, "
+              "`CC.OPEN.007` int, `FPL.2019.150` int, RaceGroup int, `CC.OPEN.001` string")
+    row = ("p1", 3, "EN", "97403", *([1] + [None] * 12), 1, 1, 1, "staff shortage staff shortage")
+    spark.createDataFrame([row], schema).write.parquet(os.path.join(landing, "cc_2021"))
+    out = os.path.join(tmpdir_fresh, "out")
+    q = watch_waves(spark, landing, schema,
+                    panel_refresh(CC, os.path.join(tmpdir_fresh, "waves"), out), "cc_refresh_test")
+    q.awaitTermination(120)
+    assert q.exception() is None
+    resp = spark.read.parquet(os.path.join(out, "responses"))
+    got = resp.where(F.col("question_num") == 1).select("ProviderID", "provider_type", "response")
+    assert [tuple(r) for r in got.collect()] == [("p1", "Center teacher", "staff shortage staff shortage")]
+    edges = spark.read.parquet(os.path.join(out, "edges"))
+    assert edges.where(F.col("question_num") == 1).count() >= 1

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from verbatim.functions.text import ngram_pairs, tokens
 from verbatim.operators.broadcast import bounded_broadcast
+from verbatim.operators.parallelism import spread_small_input
 from verbatim.sources.stopwords import ENGLISH_STOP_WORDS, MAX_BROADCAST_WORDS, stop_words
 
 
@@ -50,7 +51,7 @@ def bigram_occurrences(responses: DataFrame, question_col: str = "question",
     Responses that are NULL or ``""`` are skipped; responses with fewer than two
     tokens yield nothing.  Pairs never span two responses.
     """
-    src = responses.where(F.col(response_col) != "")
+    src = spread_small_input(responses.where(F.col(response_col) != ""))
     # Tokens are projected once and referenced by name: pairing reads the array four
     # times (two slices, two sizes), and the tokenizer must not run four times.
     toks = src.select(*[F.col(k) for k in keep], F.col(question_col).alias("question"),

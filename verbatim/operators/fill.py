@@ -61,16 +61,19 @@ def hot_keys(df: DataFrame, by: Sequence[str], num_partitions: int,
              min_rows: int = 0) -> DataFrame | None:
     """Keys with more rows than half a balanced partition (and ``min_rows``).
 
-    Counting is a partial/final aggregation, so the count itself is skew-safe.  At most
-    ``MAX_HOT_KEYS`` (the largest) are returned, as a small local DataFrame.
+    One job in the common case: per-key counts (partial/final aggregation, skew-safe)
+    reduced to (total, largest).  Only when the largest key is over the threshold does
+    a second job collect the hot keys — at most ``MAX_HOT_KEYS`` of them, largest first.
     """
     counts = df.groupBy(*[_c(b) for b in by]).count()
-    total = df.count()
-    threshold = max(min_rows, total // (2 * max(num_partitions, 1)))
+    stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("largest")).first()
+    if not stats or stats["total"] is None:
+        return None
+    threshold = max(min_rows, stats["total"] // (2 * max(num_partitions, 1)))
+    if stats["largest"] <= threshold:
+        return None
     rows = (counts.where(F.col("count") > threshold)
             .orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect())
-    if not rows:
-        return None
     schema = df.select(*[_c(b) for b in by]).schema
     return df.sparkSession.createDataFrame([tuple(r[b] for b in by) for r in rows], schema)
 

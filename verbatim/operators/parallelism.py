@@ -1,0 +1,21 @@
+"""Input parallelism guard for CPU-heavy narrow work (tokenising)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_input(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Round-robin ``df`` over ``factor ×`` the default parallelism when its scan has
+    fewer partitions than that.
+
+    A large input already has far more splits than cores and is returned unchanged (no
+    shuffle of the raw text).  A small input — e.g. one Parquet row group — would
+    otherwise be tokenised by a single task while the other cores idle; shuffling it is
+    cheap precisely because it is small.  Round-robin repartitioning sorts rows first,
+    so a retried task gets the same rows.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

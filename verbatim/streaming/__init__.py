@@ -1,0 +1,5 @@
+"""Refresh driven by newly landed wave files (the reference has no streaming operator)."""
+
+from verbatim.streaming.refresh import panel_refresh, watch_waves
+
+__all__ = ["panel_refresh", "watch_waves"]

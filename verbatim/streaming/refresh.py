@@ -1,0 +1,61 @@
+"""Landing-folder refresh.
+
+The reference refreshes by copying a new wave file next to the others and re-running
+everything.  Here a file-source stream watches the landing folder; each micro-batch
+holds the rows of newly landed wave files.  ``foreachBatch`` appends them to the wave
+table and re-runs the batch flow over all waves, writing the partitioned outputs.
+``trigger(availableNow=True)`` processes whatever has landed and stops, which fits a
+scheduled job; the stream's progress lives under the shared checkpoint folder so a
+restarted job does not re-read files it has already handled.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from verbatim.functions.names import rename_dotted
+from verbatim.operators.graph import bigram_network
+from verbatim.plans.panels import PanelConfig
+from verbatim.plans.reports import panel_questions
+from verbatim.plans.response_table import build_response_table
+from verbatim.plans.sinks import write_network, write_responses
+from verbatim.session import checkpoint_dir
+
+
+def watch_waves(spark: SparkSession, landing_dir: str, schema: str,
+                on_batch: Callable[[DataFrame, int], None], name: str,
+                fmt: str = "parquet", available_now: bool = True) -> StreamingQuery:
+    """Run ``on_batch(new_rows, batch_id)`` for wave files landing in ``landing_dir``."""
+    progress = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    stream = (spark.readStream.schema(schema).format(fmt)
+              .option("recursiveFileLookup", "true")   # a wave may land as a folder
+              .load(landing_dir))
+    writer = (stream.writeStream.queryName(name)
+              .option("checkpointLocation", progress)
+              .foreachBatch(on_batch))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime="10 minutes")
+    return writer.start()
+
+
+def panel_refresh(cfg: PanelConfig, waves_dir: str, out_dir: str,
+                  gazetteer: DataFrame | None = None, value_labels=None,
+                  parity: bool = False) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: append the new rows, rebuild every output of the panel."""
+
+    def run(new_rows: DataFrame, batch_id: int) -> None:
+        spark = new_rows.sparkSession
+        if new_rows.isEmpty():
+            return
+        rename_dotted(new_rows).write.mode("append").parquet(waves_dir)
+        master = spark.read.parquet(waves_dir)
+        long = build_response_table(master, cfg, gazetteer, value_labels, parity=parity)
+        questions = panel_questions(spark, cfg)
+        write_responses(long, questions, out_dir)
+        write_network(bigram_network(long, questions=list(cfg.question_codes)),
+                      questions, out_dir)
+
+    return run
