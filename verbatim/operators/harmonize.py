@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verbatim.session import cut_lineage
+
 
 def common_columns(left: DataFrame, right: DataFrame) -> list[str]:
     rset = set(right.columns)
@@ -25,15 +27,11 @@ def _q(alias: str, name: str):
     return F.col(f"{alias}.`{name}`")
 
 
-def natural_full_join(left: DataFrame, right: DataFrame,
-                      keys: Sequence[str] | None = None) -> DataFrame:
-    """Full outer join on all common columns (or ``keys``), NULL matching NULL.
+MAX_HOT_KEYS = 10_000
+MAX_SALT = 1_024
 
-    Output columns: ``left``'s in order, then ``right``-only columns.  With an explicit
-    ``keys`` list, common non-key columns come out as ``<name>_x`` / ``<name>_y``.
-    """
-    common = common_columns(left, right)
-    keys = list(common if keys is None else keys)
+
+def _check_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
     if not keys:
         raise ValueError("natural_full_join: no common columns (would be a cross join)")
     for k in keys:
@@ -41,23 +39,137 @@ def natural_full_join(left: DataFrame, right: DataFrame,
         if lt != rt:
             raise TypeError(f"natural_full_join: key {k!r} is {lt.simpleString()} on the "
                             f"left and {rt.simpleString()} on the right; cast one side first")
-    l, r = left.alias("__l"), right.alias("__r")
-    cond = reduce(lambda a, b: a & b, [_q("__l", k).eqNullSafe(_q("__r", k)) for k in keys])
-    joined = l.join(r, cond, "full")
+
+
+def _output_columns(lcols, rcols, keys, common, lref, rref):
+    """Column list of the joined result: left's columns, then right-only ones."""
     key_set, common_set = set(keys), set(common)
     cols = []
-    for c in left.columns:
+    for c in lcols:
         if c in key_set:
-            cols.append(F.coalesce(_q("__l", c), _q("__r", c)).alias(c))
-        elif c in common_set:
-            cols.append(_q("__l", c).alias(f"{c}_x"))
+            cols.append(F.coalesce(lref(c), rref(c)).alias(c))
         else:
-            cols.append(_q("__l", c).alias(c))
-    for c in right.columns:
-        if c in key_set:
-            continue
-        cols.append(_q("__r", c).alias(f"{c}_y" if c in common_set else c))
-    return joined.select(cols)
+            cols.append(lref(c).alias(f"{c}_x" if c in common_set else c))
+    for c in rcols:
+        if c not in key_set:
+            cols.append(rref(c).alias(f"{c}_y" if c in common_set else c))
+    return cols
+
+
+def _plain_full_join(left, right, keys, common, lcols, rcols) -> DataFrame:
+    l, r = left.alias("__l"), right.alias("__r")
+    cond = reduce(lambda a, b: a & b, [_q("__l", k).eqNullSafe(_q("__r", k)) for k in keys])
+    joined = l.join(r, cond, "full")
+    return joined.select(_output_columns(lcols, rcols, keys, common,
+                                         lambda c: _q("__l", c), lambda c: _q("__r", c)))
+
+
+def hot_join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                  num_partitions: int, min_rows: int = 0) -> DataFrame | None:
+    """Key tuples with more rows (on either side) than half a balanced partition.
+
+    Per-key counts of both sides come from one partial/final aggregation; the result
+    is ``keys..., __a, __b`` (rows on the left, on the right), at most ``MAX_HOT_KEYS``.
+    """
+    kc = [F.col(f"`{k}`") for k in keys]
+    lc = left.groupBy(*kc).agg(F.count(F.lit(1)).alias("__a")).withColumn("__b", F.lit(0).cast("bigint"))
+    rc = right.groupBy(*kc).agg(F.count(F.lit(1)).alias("__b")).withColumn("__a", F.lit(0).cast("bigint"))
+    both = lc.unionByName(rc).groupBy(*kc).agg(F.sum("__a").alias("__a"), F.sum("__b").alias("__b"))
+    big = F.greatest("__a", "__b")
+    stats = both.agg(F.sum(F.col("__a") + F.col("__b")).alias("total"), F.max(big).alias("largest")).first()
+    if not stats or stats["total"] is None:
+        return None
+    threshold = max(min_rows, stats["total"] // (2 * max(num_partitions, 1)))
+    if stats["largest"] <= threshold:
+        return None
+    rows = both.where(big > threshold).orderBy(big.desc()).limit(MAX_HOT_KEYS).collect()
+    schema = both.schema
+    return left.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+
+
+def _hot_full_join(left, right, hot, keys, common, lcols, rcols, rows_per_task) -> DataFrame:
+    """Exact natural full join for hot key tuples (stats in ``hot``: ``__a``, ``__b``).
+
+    A key on one side only passes through.  A key on both sides matches all-with-all,
+    i.e. an inner join: exact duplicates are collapsed to (row, multiplicity) by a
+    partial/final aggregation, the side with more rows is salted by a content hash into
+    ``S`` buckets and the other side is replicated ``S`` times, then multiplicities are
+    expanded again.  No task holds more than ~1/S of a hot key's rows.
+    """
+    hk = [f"__h{i}" for i in range(len(keys))]
+    stats = F.broadcast(hot.select(*[F.col(f"`{k}`").alias(h) for k, h in zip(keys, hk)],
+                                   "__a", "__b"))  # ≤ MAX_HOT_KEYS rows
+
+    def tag(df: DataFrame) -> DataFrame:
+        cond = reduce(lambda a, b: a & b,
+                      [F.col(f"`{k}`").eqNullSafe(F.col(h)) for k, h in zip(keys, hk)])
+        return df.join(stats, cond, "inner").drop(*hk)
+
+    def col(c):
+        return F.col(f"`{c}`")
+
+    lh, rh = tag(left), tag(right)
+    lonly = lh.where(F.col("__b") == 0).select(_output_columns(
+        lcols, rcols, keys, common, col, lambda c: F.lit(None).cast(right.schema[c].dataType)))
+    ronly = rh.where(F.col("__a") == 0).select(_output_columns(
+        lcols, rcols, keys, common, lambda c: F.lit(None).cast(left.schema[c].dataType), col))
+
+    matched = (F.col("__a") > 0) & (F.col("__b") > 0)
+    n_salts = F.least(F.lit(MAX_SALT), F.greatest(F.lit(1), F.ceil(
+        F.greatest("__a", "__b") / F.lit(max(rows_per_task, 1))))).cast("int")
+    every_salt = F.sequence(F.lit(0), F.col("__s") - 1)
+    left_big = F.col("__a") >= F.col("__b")
+    lm = (lh.where(matched).groupBy(*[col(c) for c in lcols], "__a", "__b")
+          .agg(F.count(F.lit(1)).alias("__ml")).withColumn("__s", n_salts))
+    rm = (rh.where(matched).groupBy(*[col(c) for c in rcols], "__a", "__b")
+          .agg(F.count(F.lit(1)).alias("__mr")).withColumn("__s", n_salts))
+    lsalt = F.pmod(F.xxhash64(*[col(c) for c in lcols]), F.col("__s")).cast("int")
+    rsalt = F.pmod(F.xxhash64(*[col(c) for c in rcols]), F.col("__s")).cast("int")
+    lm = lm.withColumn("__k", F.explode(F.when(left_big, F.array(lsalt)).otherwise(every_salt)))
+    rm = rm.withColumn("__k", F.explode(F.when(left_big, every_salt).otherwise(F.array(rsalt))))
+    l, r = lm.alias("__l"), rm.alias("__r")
+    cond = reduce(lambda a, b: a & b, [_q("__l", k).eqNullSafe(_q("__r", k)) for k in keys]
+                  + [_q("__l", "__k") == _q("__r", "__k")])
+    pairs = l.join(r, cond, "inner").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1), _q("__l", "__ml") * _q("__r", "__mr"))))
+    both = pairs.select(_output_columns(lcols, rcols, keys, common,
+                                        lambda c: _q("__l", c), lambda c: _q("__r", c)))
+    return lonly.unionByName(ronly).unionByName(both)
+
+
+def natural_full_join(left: DataFrame, right: DataFrame,
+                      keys: Sequence[str] | None = None, split_hot_keys: bool = True,
+                      num_partitions: int | None = None, hot_min_rows: int = 0) -> DataFrame:
+    """Full outer join on all common columns (or ``keys``), NULL matching NULL.
+
+    Output columns: ``left``'s in order, then ``right``-only columns.  With an explicit
+    ``keys`` list, common non-key columns come out as ``<name>_x`` / ``<name>_y``.
+
+    Ordinary key tuples go through one sort-merge full outer join on the null-safe keys.
+    AQE cannot split skew in a full outer join, so with ``split_hot_keys`` key tuples
+    holding more than half a balanced partition are found first (one aggregation) and
+    joined by ``_hot_full_join`` instead.
+    """
+    common = common_columns(left, right)
+    keys = list(common if keys is None else keys)
+    _check_keys(left, right, keys)
+    lcols, rcols = list(left.columns), list(right.columns)
+    if not split_hot_keys:
+        return _plain_full_join(left, right, keys, common, lcols, rcols)
+    n = num_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_join_keys(left, right, keys, n, hot_min_rows)
+    if hot is None:
+        return _plain_full_join(left, right, keys, common, lcols, rcols)
+    hk = F.broadcast(hot.select(*[F.col(f"`{k}`").alias(f"__h{i}") for i, k in enumerate(keys)]))
+    cond = lambda: reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"__h{i}"))
+                                               for i, k in enumerate(keys)])
+    lnorm = left.join(hk, cond(), "left_anti")
+    rnorm = right.join(hk, cond(), "left_anti")
+    total = hot.agg(F.sum(F.col("__a") + F.col("__b"))).first()[0] or 0
+    rows_per_task = max(1, int(total // max(n, 1)))
+    plain = _plain_full_join(lnorm, rnorm, keys, common, lcols, rcols)
+    return plain.unionByName(_hot_full_join(left, right, hot, keys, common, lcols, rcols,
+                                            rows_per_task))
 
 
 def stack_waves(waves: Sequence[DataFrame]) -> DataFrame:
@@ -81,11 +193,14 @@ def waves_disjoint(waves: Sequence[DataFrame], column: str) -> bool:
 
 
 def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
-               disjoint_on: str | None = None) -> DataFrame:
+               disjoint_on: str | None = None, split_hot_keys: bool = True) -> DataFrame:
     """``natural_full_join`` folded left to right over the waves.
 
     ``disjoint_on`` names a shared column whose values never repeat across waves; when
-    the check confirms it, the fold is computed as a stack instead (same rows).
+    the check confirms it, the fold is computed as a stack instead (same rows, no
+    shuffle).  On the join path each intermediate fold is materialised by a reliable
+    checkpoint, so the next step's hot-key count and join read it instead of
+    recomputing every earlier join (linear, not quadratic, in the number of waves).
     """
     waves = list(waves)
     if len(waves) == 1:
@@ -93,7 +208,12 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
     if disjoint_on is not None and keys is None and waves_disjoint(waves, disjoint_on):
         _check_types(waves)
         return stack_waves(waves)
-    return reduce(lambda a, b: natural_full_join(a, b, keys), waves)
+    acc = waves[0]
+    for i, wave in enumerate(waves[1:], start=1):
+        acc = natural_full_join(acc, wave, keys, split_hot_keys=split_hot_keys)
+        if split_hot_keys and i < len(waves) - 1:
+            acc = cut_lineage(acc)
+    return acc
 
 
 def _check_types(waves: Sequence[DataFrame]) -> None:
