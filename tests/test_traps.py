@@ -189,3 +189,35 @@ def test_counts_sum_equals_occurrences(spark):
     occ = bigram_occurrences(df)
     counts = count_bigrams(occ)
     assert counts.agg(F.sum("n")).first()[0] == occ.count() == 4
+
+
+def test_stop_words_keyed_by_language(spark):
+    from pyspark.ml.feature import StopWordsRemover
+    stop = spark.createDataFrame(
+        [("en", w) for w in StopWordsRemover.loadDefaultStopWords("english")]
+        + [("fr", w) for w in StopWordsRemover.loadDefaultStopWords("french")], "lang string, word string")
+    df = spark.createDataFrame([("q", "en", "the cat sat"), ("q", "fr", "le chat the dog")],
+                               "question string, lang string, response string")
+    occ = bigram_occurrences(df, keep=["lang"], stop=stop, stop_by=["lang"])
+    got = sorted((r.lang, r.word1, r.word2) for r in occ.collect())
+    # English list on English rows, French list on French rows ("the" is not French)
+    assert got == [("en", "cat", "sat"), ("fr", "chat", "the"), ("fr", "the", "dog")]
+
+
+def test_language_filter_option(spark):
+    from verbatim.plans.panels import EC
+    from verbatim.plans.response_table import build_response_table
+    schema = ("CaregiverID string, Week int, UserLanguage string, DEMO_001 string, "
+              "DEMO_004_a_2 int, OPEN_006 int, FPL_2019_150 int, RaceGroup int, "
+              "CaregiverAge int, OPEN_001 string")
+    df = spark.createDataFrame([("c1", 1, "EN", None, 1, 1, 1, 1, 1, "hello"),
+                                ("c2", 1, "SPA", None, 1, 1, 1, 1, 1, "hola")], schema)
+    assert build_response_table(df, EC).count() == 2
+    only = build_response_table(df, EC, languages=("EN",)).collect()
+    assert [r.CaregiverID for r in only] == ["c1"]
+
+
+def test_split_pair(spark):
+    from verbatim.functions.text import split_pair
+    df = spark.createDataFrame([("big cat",), ("solo",)], "b string")
+    assert [tuple(r) for r in df.select(*split_pair(F.col("b"))).collect()] == [("big", "cat"), ("solo", None)]

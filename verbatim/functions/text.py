@@ -62,3 +62,9 @@ def ngrams(toks: Column, n: int) -> Column:
     return F.when(k > 0, F.transform(
         starts, lambda i: F.array_join(F.slice(toks, i, n), " "))).otherwise(
         F.array().cast("array<string>"))
+
+
+def split_pair(bigram: Column) -> tuple[Column, Column]:
+    """R3 standalone form: ``"word1 word2"`` → (word1, word2) on the first space."""
+    parts = F.split(bigram, " ", 2)
+    return parts[0].alias("word1"), F.get(parts, 1).alias("word2")

@@ -22,13 +22,17 @@ from verbatim.operators.parallelism import spread_small_input
 from verbatim.sources.stopwords import ENGLISH_STOP_WORDS, MAX_BROADCAST_WORDS, stop_words
 
 
-def remove_stop_pairs(pairs: DataFrame, stop: DataFrame | Sequence[str] | None = None) -> DataFrame:
+def remove_stop_pairs(pairs: DataFrame, stop: DataFrame | Sequence[str] | None = None,
+                      by: Sequence[str] = ()) -> DataFrame:
     """Drop a pair when either word is a stop word; words are never NULL.
 
     A fixed word list becomes a hashed ``NOT IN`` predicate (``InSet``) inside the
     generated code of the scan stage; a stop-word *table* is joined with two
-    broadcast left-anti joins behind a row-count check.
+    broadcast left-anti joins behind a row-count check.  ``by`` keys the table, e.g.
+    ``["lang"]`` with a ``(lang, word)`` table applies each language's own list.
     """
+    if by:
+        return _remove_keyed(pairs, stop, list(by))
     if stop is None or not isinstance(stop, DataFrame):
         words = sorted({w.lower() for w in (ENGLISH_STOP_WORDS if stop is None else stop)})
         if len(words) <= MAX_BROADCAST_WORDS:
@@ -43,9 +47,24 @@ def remove_stop_pairs(pairs: DataFrame, stop: DataFrame | Sequence[str] | None =
     return out.where(F.col("word1").isNotNull() & F.col("word2").isNotNull())
 
 
+def _remove_keyed(pairs: DataFrame, stop: DataFrame, by: list[str]) -> DataFrame:
+    sw = stop.select(*[F.col(b) for b in by], F.lower(F.col("word")).alias("word")).dropna(
+        subset=["word"]).distinct()
+    sw = bounded_broadcast(sw, MAX_BROADCAST_WORDS)
+    out = pairs
+    for i, w in enumerate(("word1", "word2")):
+        side = sw.select(*[F.col(b).alias(f"__sk{i}_{b}") for b in by], F.col("word").alias(f"__sw{i}"))
+        cond = (F.col(w) == F.col(f"__sw{i}"))
+        for b in by:
+            cond = cond & F.col(b).eqNullSafe(F.col(f"__sk{i}_{b}"))
+        out = out.join(side, cond, "left_anti")
+    return out.where(F.col("word1").isNotNull() & F.col("word2").isNotNull())
+
+
 def bigram_occurrences(responses: DataFrame, question_col: str = "question",
                        response_col: str = "response", keep: Sequence[str] = (),
-                       stop: DataFrame | Sequence[str] | None = None) -> DataFrame:
+                       stop: DataFrame | Sequence[str] | None = None,
+                       stop_by: Sequence[str] = ()) -> DataFrame:
     """One row per adjacent word pair occurrence: ``keep..., question, word1, word2``.
 
     Responses that are NULL or ``""`` are skipped; responses with fewer than two
@@ -58,7 +77,7 @@ def bigram_occurrences(responses: DataFrame, question_col: str = "question",
                       tokens(F.col(response_col)).alias("__tokens"))
     pairs = toks.select(*[F.col(k) for k in keep], "question",
                         F.inline(ngram_pairs(F.col("__tokens"))))
-    return remove_stop_pairs(pairs, stop)
+    return remove_stop_pairs(pairs, stop, by=stop_by)
 
 
 def count_bigrams(occurrences: DataFrame) -> DataFrame:

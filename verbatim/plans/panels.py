@@ -29,6 +29,7 @@ class PanelConfig:
     provider_rules: tuple = ()                          # (label, flag suffixes), first wins
     extra_cols: tuple[str, ...] = ()                    # other demographics kept as is
     tiebreak: str | None = None                         # order inside a week
+    languages: tuple[str, ...] | None = None            # optional language filter (F2)
 
     @property
     def question_columns(self) -> dict[str, str]:

@@ -67,8 +67,16 @@ def build_response_table(master: DataFrame, cfg: PanelConfig,
                          gazetteer: DataFrame | None = None,
                          value_labels: Mapping | DataFrame | None = None,
                          parity: bool = False, relookup: bool = False,
-                         split_hot_keys: bool = True) -> DataFrame:
-    """Long table ``id, week, demographics..., question, response``."""
+                         split_hot_keys: bool = True,
+                         languages: tuple[str, ...] | None = None) -> DataFrame:
+    """Long table ``id, week, demographics..., question, response``.
+
+    ``languages`` (F2, used by earlier versions) keeps only rows whose language code is
+    listed; by default every language is kept.
+    """
+    langs = languages if languages is not None else cfg.languages
+    if langs:
+        master = master.where(F.col(f"`{cfg.language_col}`").isin(list(langs)))
     df = derive_demographics(master, cfg, None if relookup else gazetteer, parity)
     if relookup:
         df = df.withColumn("State", F.lit(None).cast("string"))
