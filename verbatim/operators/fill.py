@@ -14,7 +14,7 @@ segmented scan:
 
 1. ``repartitionByRange(by, order, tiebreak)`` cuts each hot key into contiguous
    chunks of the global order; the chunk id (``spark_partition_id``) is materialised
-   by a reliable checkpoint in the shared checkpoint folder, so every later branch —
+   as a table written to the shared checkpoint folder, so every later branch —
    and any recomputation after an executor loss — sees the same chunks.
 2. Local fill per (chunk, key) with the same window; groups are chunk-sized.
 3. Each chunk's last row (key + local fills) by ``max_by`` — one row per chunk.
@@ -81,7 +81,7 @@ def hot_keys(df: DataFrame, by: Sequence[str], num_partitions: int,
 def _segmented_fill(df: DataFrame, by, order, tie, within, columns, n: int) -> DataFrame:
     global_order = [_c(b).asc_nulls_first() for b in by] + within
     ranged = df.repartitionByRange(n, *global_order).withColumn("__p", F.spark_partition_id())
-    ranged = cut_lineage(ranged)
+    ranged = cut_lineage(ranged, "fill-chunks")
     local = _window_fill(ranged, by, within, columns, extra_partition=["__p"])
 
     # Order key of the global sort with NULL placement explicit: (flag, value) pairs.

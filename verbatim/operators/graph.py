@@ -45,14 +45,14 @@ def bigram_network(responses: DataFrame, question_col: str = "question",
     The counts feed two branches (the per-question cut and the edge filter).  With AQE
     on, Spark does not reuse the shared exchange between such branches, so the text
     would be tokenised and counted twice; ``materialize`` writes the counts once as a
-    reliable checkpoint in the shared checkpoint folder and both branches read it.
+    Parquet table in the shared checkpoint folder and both branches read it.
     """
     src = responses
     if questions is not None:
         src = src.where(F.col(question_col).isin(list(questions)))
     counts = count_bigrams(bigram_occurrences(src, question_col, response_col, stop=stop))
     if materialize:
-        counts = cut_lineage(counts)
+        counts = cut_lineage(counts, "bigram-counts")
     cuts = percentile_cuts(counts, rule)
     edges = edge_table(top_by_percentile(counts, cuts, broadcast_cuts=questions is not None))
     return BigramNetwork(counts, cuts, edges, vertex_table(edges))

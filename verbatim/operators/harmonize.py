@@ -198,8 +198,8 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
 
     ``disjoint_on`` names a shared column whose values never repeat across waves; when
     the check confirms it, the fold is computed as a stack instead (same rows, no
-    shuffle).  On the join path each intermediate fold is materialised by a reliable
-    checkpoint, so the next step's hot-key count and join read it instead of
+    shuffle).  On the join path each intermediate fold is written as a table in the
+    shared checkpoint folder, so the next step's hot-key count and join read it instead of
     recomputing every earlier join (linear, not quadratic, in the number of waves).
     """
     waves = list(waves)
@@ -212,7 +212,7 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
     for i, wave in enumerate(waves[1:], start=1):
         acc = natural_full_join(acc, wave, keys, split_hot_keys=split_hot_keys)
         if split_hot_keys and i < len(waves) - 1:
-            acc = cut_lineage(acc)
+            acc = cut_lineage(acc, "wave-fold")
     return acc
 
 

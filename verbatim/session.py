@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,10 +53,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder; read it back.
+
+    One job computes ``df``; unlike checkpoint files (serialised rows) the result is
+    columnar, so later reads prune columns and carry size statistics for AQE; a lost
+    executor costs a re-read, not a recomputation.  Never a local checkpoint.
+    """
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/verbatim-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def default_parallelism_hint(spark: SparkSession) -> int:
