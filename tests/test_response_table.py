@@ -60,3 +60,21 @@ def test_provider_flow(spark):
     long = build_response_table(df, CC, _gaz(spark), None)
     got = sorted((r.Week, r.provider_type, r.Language, r.State) for r in long.collect())
     assert got == [(3, "FFN", "English", "OR"), (4, "FFN", "Spanish", "OR")]
+
+
+def test_first_driver_config(spark):
+    from verbatim.plans.panels import first_household_config
+    original = ["CaregiverID", "Week", "UserLanguage", "DEMO.001", "DEMO.004.a.2", "OPEN.006",
+                "FPL.2019.UM.150", "RaceGroup", "CaregiverAge", "OPEN.001", "OPEN.002", "MH.013"]
+    cfg = first_household_config(original)
+    assert cfg.question_codes[:3] == ("OPEN.001", "OPEN.002", "COVID.007")
+    assert "OPEN.006" not in cfg.question_codes and "MH.013" in cfg.question_codes
+    schema = ("CaregiverID string, Week int, UserLanguage string, DEMO_001 string, "
+              "DEMO_004_a_2 int, OPEN_006 int, FPL_2019_UM_150 int, RaceGroup int, "
+              "CaregiverAge int, OPEN_001 string, OPEN_002 string, MH_013 string")
+    df = spark.createDataFrame([("c1", 1, "EN", "97403", 0, 1, 1, 1, 1, "a b", "", "c d"),
+                                ("c2", 1, "SPA", "97403", 0, 1, 1, 1, 1, "e f", "g", "h")], schema)
+    long = build_response_table(df, cfg, _gaz(spark))
+    assert "Language" not in long.columns
+    assert sorted((r.CaregiverID, r.question, r.State) for r in long.collect()) == [
+        ("c1", "MH.013", "OR"), ("c1", "OPEN.001", "OR")]

@@ -6,7 +6,7 @@ original spelling and are what the long table's ``question`` column holds.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from verbatim.functions.names import dotted_to_snake
 
@@ -97,3 +97,66 @@ CC = PanelConfig(
     language_labels=LANGUAGE_LABELS, flag_prefix="CC_DEMO_013_",
     provider_rules=PROVIDER_RULES, extra_cols=("RaceGroup",),
 )
+
+
+def codes_from_columns(columns, prefixes=(), explicit=(), exclude=()) -> tuple[str, ...]:
+    """Question codes picked from a wave file's (original, dotted) column names.
+
+    Columns starting with any of ``prefixes`` (case-insensitive) in file order, then the
+    ``explicit`` codes in the given order, without repeats and without ``exclude`` —
+    how the earlier drivers chose their questions.
+    """
+    low = [p.lower() for p in prefixes]
+    picked = [c for c in columns if any(c.lower().startswith(p) for p in low)]
+    picked += [c for c in explicit if c not in picked]
+    drop = set(exclude)
+    return tuple(c for c in picked if c not in drop)
+
+
+# Explicit (non-prefix) question codes of the first household driver.
+FIRST_EC_EXPLICIT = (
+    "COVID.007", "COVID.008", "CTAX.008", "DEBT.005", "DEBT.006", "FamCon.016", "FamCon.017",
+    "FamCon.018", "HEALTH.024", "HEALTH.030", "JOB.030", "MH.013", "POLICY.030", "PREG.028",
+    "PREG.029", "PREG.038", "PREG.040", "STIM.001.d", "STIM.002.d", "STIM.003.d", "STIM.004.d",
+    "WKFORCE.011",
+)
+
+# Explicit (non-prefix) question codes of the archived household driver.
+ARCHIVED_EC_EXPLICIT = (
+    "COVID.007", "COVID.008", "CTAX.008", "CTAX.016", "DEBT.005", "DEBT.006", "FamCon.016",
+    "FamCon.017", "FamCon.018", "GRAND.016", "HEALTH.024", "HEALTH.030", "JOB.030", "MH.013",
+    "MH.014", "POLICY.030", "PREG.028", "PREG.029", "PREG.038", "PREG.040", "PREG.044",
+    "STIM.001.d", "STIM.002.d", "STIM.003.d", "STIM.004.d", "STIM.005.d", "WKFORCE.011",
+)
+
+# Explicit (non-prefix) question codes of the archived provider driver.
+ARCHIVED_CC_EXPLICIT = (
+    "CC.CCS.004", "CC.CCS.005", "CC.CTAX.008", "CC.CTAX.016", "CC.DEBT.005", "CC.DEBT.006",
+    "CC.FamCon.016", "CC.FamCon.017", "CC.FamCon.018", "CC.MH.013", "CC.SF.010",
+    "CC.Staff.009", "CC.STIM.001.d", "CC.STIM.002.d", "CC.STIM.003.d", "CC.STIM.004.d",
+    "CC.STIM.005.d", "CC.WellB.002", "CC.VACC.003", "CC.VACC.003.1",
+)
+
+
+def first_household_config(columns) -> PanelConfig:
+    """The first driver: one household panel, English only, no Language column."""
+    return replace(
+        EC, poverty_col="FPL_2019_UM_150", languages=("EN",),
+        question_codes=codes_from_columns(columns, ("OPEN",), FIRST_EC_EXPLICIT, ("OPEN.006",)),
+        carried=("State", "below_1_5x_fpl", "RaceGroup", "CaregiverAge", "child_0_3", "zip"),
+        demographics=("State", "below_1_5x_fpl", "zip", "RaceGroup", "CaregiverAge", "child_0_3"))
+
+
+def archived_household_config(columns) -> PanelConfig:
+    return replace(
+        first_household_config(columns), poverty_col="FPL_Curr_150",
+        question_codes=codes_from_columns(columns, ("OPEN",), ARCHIVED_EC_EXPLICIT, ("OPEN.006",)))
+
+
+def archived_provider_config(columns) -> PanelConfig:
+    return replace(
+        CC, poverty_col="FPL_CURR_150", languages=("EN",),
+        question_codes=codes_from_columns(columns, ("CC.OPEN",), ARCHIVED_CC_EXPLICIT,
+                                          ("CC.OPEN.007",)),
+        carried=("State", "below_1_5x_fpl", "zip", "RaceGroup", "provider_type"),
+        demographics=("State", "below_1_5x_fpl", "zip", "RaceGroup", "provider_type"))
