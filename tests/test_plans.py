@@ -40,3 +40,12 @@ def test_gate_pushed_to_scan(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     p = _plan(docs.where(F.col("lang") == "en").select("doc_id"))
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in p
+
+
+def test_spread_only_small_unshuffled_inputs(spark):
+    from verbatim.operators.parallelism import spread_small_input
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    spread = spread_small_input(docs)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
+    shuffled = docs.groupBy("source").count()
+    assert spread_small_input(shuffled) is shuffled

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
+_SHUFFLE = re.compile(r"(?<!Broadcast)Exchange ")
+
 
 def spread_small_input(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Round-robin ``df`` over ``factor ×`` the default parallelism when its scan has
-    fewer partitions than that.
+    """Round-robin ``df`` over ``factor ×`` the default parallelism when it is a plain
+    scan with fewer partitions than that.
 
     A large input already has far more splits than cores and is returned unchanged (no
-    shuffle of the raw text).  A small input — e.g. one Parquet row group — would
-    otherwise be tokenised by a single task while the other cores idle; shuffling it is
-    cheap precisely because it is small.  Round-robin repartitioning sorts rows first,
-    so a retried task gets the same rows.
+    shuffle of the raw text); so is an input that already went through a shuffle — it
+    is spread over the shuffle partitions, and asking an adaptive plan for its RDD would
+    run those upstream stages just to count partitions.  A small scan — e.g. one Parquet
+    row group — would otherwise be tokenised by a single task while the other cores idle;
+    shuffling it is cheap precisely because it is small.  Round-robin repartitioning
+    sorts rows first, so a retried task gets the same rows.
     """
+    if _SHUFFLE.search(df._jdf.queryExecution().executedPlan().toString()):
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism * factor
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
