@@ -40,3 +40,23 @@ def test_hot_question_counts(spark):
     counts = {(r.question, r.word1, r.word2): r.n
               for r in count_bigrams(bigram_occurrences(df)).collect()}
     assert counts[("q1", "red", "fox")] == 500 and counts[("q2", "blue", "fox")] == 1
+
+
+def test_fill_fallback_for_string_order(spark):
+    from verbatim.operators.fill import fill_forward
+    rows = [("a", f"w{i:04d}", i, ("v%d" % i) if i % 13 == 0 else None) for i in range(300)]
+    rows += [("b", "w0001", 900, "b"), ("b", None, 901, None)]
+    df = spark.createDataFrame(rows, "id string, wk string, tb int, v string")
+    split = fill_forward(df, "id", "wk", ["v"], tiebreak="tb", num_partitions=8)
+    plain = fill_forward(df, "id", "wk", ["v"], tiebreak="tb", split_hot_keys=False)
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_fill_chunked_with_null_orders_and_keys(spark):
+    from verbatim.operators.fill import fill_forward
+    rows = [(None if i % 50 == 0 else "h", None if i % 7 == 0 else i // 4, i,
+             ("x%d" % i) if i % 11 == 0 else None) for i in range(600)]
+    df = spark.createDataFrame(rows, "id string, week int, tb int, v string")
+    split = fill_forward(df, "id", "week", ["v"], tiebreak="tb", num_partitions=8)
+    plain = fill_forward(df, "id", "week", ["v"], tiebreak="tb", split_hot_keys=False)
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
