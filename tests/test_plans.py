@@ -49,3 +49,11 @@ def test_spread_only_small_unshuffled_inputs(spark):
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
     shuffled = docs.groupBy("source").count()
     assert spread_small_input(shuffled) is shuffled
+
+
+def test_stop_word_table_uses_broadcast_anti_joins(spark):
+    from verbatim.sources.stopwords import ENGLISH_STOP_WORDS, stop_words
+    occ = bigram_occurrences(responses(spark, SF_SMALL),
+                             stop=stop_words(spark, ENGLISH_STOP_WORDS))
+    p = _plan(occ)
+    assert p.count("BroadcastHashJoin LeftAnti") == 2

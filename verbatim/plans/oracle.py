@@ -142,6 +142,28 @@ ORACLE_SQL = {
     "bigram_counts": f"WITH {_BIGRAMS} SELECT * FROM counts",
     "bigram_thresholds": f"WITH {_BIGRAMS} SELECT * FROM cuts",
     "bigram_tokens": f"WITH {_BIGRAMS} SELECT doc_id, question, word1, word2 FROM clean",
+    "bigram_counts_stop_table": f"WITH {_BIGRAMS} SELECT * FROM counts",
+    "panel_language_filter": f"""
+        WITH sv AS (
+          SELECT d.doc_id % 100 AS respondent_id, d.doc_id // 100 AS wave, d.doc_id,
+                 d.source AS question,
+                 {_case('l.quality', SV_LABELS['quality'])} AS quality,
+                 {_case('l.toxic', SV_LABELS['toxic'])} AS toxic,
+                 CASE WHEN l.toxic = 1 THEN 0 ELSE 1 END AS consent
+          FROM documents d LEFT JOIN labels l USING (doc_id) WHERE d.lang IN ('en'))
+        SELECT respondent_id, wave, doc_id, question,
+               last_value(quality IGNORE NULLS) OVER w AS quality,
+               last_value(toxic IGNORE NULLS) OVER w AS toxic
+        FROM sv WHERE consent = 1
+        WINDOW w AS (PARTITION BY respondent_id ORDER BY wave ASC NULLS LAST, doc_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "responses_by_question": f"""
+        WITH q(code, question_num) AS (VALUES {", ".join(f"({_lit(c)}, {i + 1})" for i, c in enumerate(SV_QUESTIONS))})
+        SELECT d.doc_id, d.source AS question, 'docs' AS panel, CAST(q.question_num AS INTEGER) AS question_num
+        FROM documents d JOIN q ON d.source = q.code""",
+    "question_code_numbers": """
+        SELECT question, TRY_CAST(regexp_extract(question, '(\d+)', 1) AS INTEGER) AS code_num
+        FROM (SELECT DISTINCT source AS question FROM documents)""",
     "panel_fill_forward": f"WITH {_SV} {_FILL_SV}",
     "panel_response_table": f"WITH {_SV}, filled AS ({_FILL_SV}) {_UNPIVOT_SV}",
     "event_fill_forward": """

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verbatim.functions.keys import code_number
 from verbatim.functions.recode import child_flag, first_true, recode_map
 from verbatim.functions.zipcodes import normalize_zip
 from verbatim.operators.audit import catalog_audit, number_questions, question_index
@@ -29,7 +30,10 @@ from verbatim.operators.harmonize import fold_waves, natural_full_join
 from verbatim.operators.lookup import gazetteer_states, lookup_left, lookup_state
 from verbatim.operators.reshape import select_prefix, unpivot_responses
 from verbatim.operators.views import questions_matching, response_view
+from verbatim.operators.audit import question_dimension
 from verbatim.plans.panels import PROVIDER_RULES
+from verbatim.plans.reports import attach_questions
+from verbatim.sources.stopwords import ENGLISH_STOP_WORDS, stop_words
 
 # Fixed values of the stand-in panel configuration.
 SV_QUESTIONS = tuple(f"src{i}" for i in range(20))
@@ -66,6 +70,12 @@ def bigram_thresholds(spark, d):
     return bigram_network(responses(spark, d)).cuts
 
 
+def bigram_counts_stop_table(spark, d):
+    """Stop words given as a table: two broadcast left-anti joins instead of ``InSet``."""
+    table_words = stop_words(spark, ENGLISH_STOP_WORDS)
+    return bigram_network(responses(spark, d), stop=table_words).counts
+
+
 def bigram_tokens(spark, d):
     return bigram_occurrences(responses(spark, d), keep=["doc_id"])
 
@@ -94,6 +104,19 @@ def panel_fill_forward(spark, d):
                       "language", "quality", "toxic")
 
 
+def panel_language_filter(spark, d):
+    """keep English-coded rows before the gate and the fill (earlier drivers)."""
+    docs = table(spark, d, "documents").where(F.col("lang").isin("en"))
+    labels = table(spark, d, "labels")
+    sv = docs.join(labels, "doc_id", "left").select(
+        (F.col("doc_id") % 100).alias("respondent_id"), F.expr("doc_id div 100").alias("wave"),
+        "doc_id", F.col("source").alias("question"), F.col("text").alias("response"),
+        "quality", "toxic", F.when(F.col("toxic") == 1, 0).otherwise(1).alias("consent"))
+    sv = decode_values(sv.where(F.col("consent") == 1), SV_LABELS, exclude=["respondent_id"])
+    out = fill_forward(sv, "respondent_id", "wave", ["quality", "toxic"], tiebreak="doc_id")
+    return out.select("respondent_id", "wave", "doc_id", "question", "quality", "toxic")
+
+
 def sv_wide(spark, d) -> DataFrame:
     """One row per (respondent, wave) with one text column per question."""
     sv = sv_panel(spark, d)
@@ -267,6 +290,19 @@ def question_index_docs(spark, d):
     return question_index(q)
 
 
+def responses_by_question(spark, d):
+    """Responses keyed by the configured question list (page number by code)."""
+    q = question_dimension(spark, "docs", list(SV_QUESTIONS))
+    return attach_questions(responses(spark, d), q).select(
+        "doc_id", "question", "panel", "question_num")
+
+
+def question_code_numbers(spark, d):
+    """The number inside each question code."""
+    codes = table(spark, d, "documents").select(F.col("source").alias("question")).distinct()
+    return codes.select("question", code_number(F.col("question")).alias("code_num"))
+
+
 def derived_menu(questions: DataFrame) -> DataFrame:
     """A menu built from the question list with one drift of each kind."""
     m = questions.select("panel", "num", "code",
@@ -292,8 +328,10 @@ QUERIES = {
     "bigram_counts": bigram_counts,
     "bigram_thresholds": bigram_thresholds,
     "bigram_tokens": bigram_tokens,
+    "bigram_counts_stop_table": bigram_counts_stop_table,
     "panel_fill_forward": panel_fill_forward,
     "panel_response_table": panel_response_table,
+    "panel_language_filter": panel_language_filter,
     "event_fill_forward": event_fill_forward,
     "event_fill_forward_skewed": event_fill_forward_skewed,
     "unpivot_codes": unpivot_codes,
@@ -313,4 +351,6 @@ QUERIES = {
     "response_view": response_view_page,
     "question_index": question_index_docs,
     "catalog_audit": catalog_audit_docs,
+    "responses_by_question": responses_by_question,
+    "question_code_numbers": question_code_numbers,
 }
