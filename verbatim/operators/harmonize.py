@@ -5,6 +5,10 @@ a key and missing matches missing.  We keep that meaning exactly (null-safe ``<=
 keys, coalesced key columns) and add a no-shuffle fast path: when the waves are
 provably disjoint on a column they all share (e.g. the survey week), no row can match
 across waves and the fold equals ``unionByName(allowMissingColumns=True)``.
+
+Skew: AQE splits skewed partitions of inner and one-sided outer joins but not of a full
+outer join, so key tuples holding more rows than a balanced partition are found first
+(one partial/final count) and joined by an exact salted plan of their own.
 """
 
 from __future__ import annotations
@@ -66,7 +70,7 @@ def _plain_full_join(left, right, keys, common, lcols, rcols) -> DataFrame:
 
 def hot_join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
                   num_partitions: int, min_rows: int = 0) -> DataFrame | None:
-    """Key tuples with more rows (on either side) than half a balanced partition.
+    """Key tuples with more rows (on either side) than a balanced partition.
 
     Per-key counts of both sides come from one partial/final aggregation; the result
     is ``keys..., __a, __b`` (rows on the left, on the right), at most ``MAX_HOT_KEYS``.
@@ -79,7 +83,7 @@ def hot_join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     stats = both.agg(F.sum(F.col("__a") + F.col("__b")).alias("total"), F.max(big).alias("largest")).first()
     if not stats or stats["total"] is None:
         return None
-    threshold = max(min_rows, stats["total"] // (2 * max(num_partitions, 1)))
+    threshold = max(min_rows, stats["total"] // max(num_partitions, 1))
     if stats["largest"] <= threshold:
         return None
     rows = both.where(big > threshold).orderBy(big.desc()).limit(MAX_HOT_KEYS).collect()
@@ -147,7 +151,7 @@ def natural_full_join(left: DataFrame, right: DataFrame,
 
     Ordinary key tuples go through one sort-merge full outer join on the null-safe keys.
     AQE cannot split skew in a full outer join, so with ``split_hot_keys`` key tuples
-    holding more than half a balanced partition are found first (one aggregation) and
+    holding more rows than a balanced partition are found first (one aggregation) and
     joined by ``_hot_full_join`` instead.
     """
     common = common_columns(left, right)
