@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from verbatim.operators.bigrams import bigram_occurrences, count_bigrams
 from verbatim.session import cut_lineage
-from verbatim.operators.thresholds import DEFAULT_RULE, PercentileRule, percentile_cuts, top_by_percentile
+from verbatim.operators.thresholds import (DEFAULT_RULE, PercentileRule, percentile_cuts,
+                                           settle_cuts, top_by_percentile)
 
 
 class BigramNetwork(NamedTuple):
@@ -54,5 +55,8 @@ def bigram_network(responses: DataFrame, question_col: str = "question",
     if materialize:
         counts = cut_lineage(counts, "bigram-counts")
     cuts = percentile_cuts(counts, rule)
-    edges = edge_table(top_by_percentile(counts, cuts, broadcast_cuts=questions is not None))
+    bounded = questions is not None
+    if materialize and not bounded:
+        cuts, bounded = settle_cuts(cuts)
+    edges = edge_table(top_by_percentile(counts, cuts, broadcast_cuts=bounded))
     return BigramNetwork(counts, cuts, edges, vertex_table(edges))

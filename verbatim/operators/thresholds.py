@@ -44,13 +44,28 @@ def percentile_cuts(counts: DataFrame, rule: PercentileRule = DEFAULT_RULE,
             .select(group_col, rule.choose(F.col(group_col), F.col("__cuts")).alias("cut")))
 
 
+MAX_QUESTIONS = 100_000
+
+
+def settle_cuts(cuts: DataFrame, max_rows: int = MAX_QUESTIONS) -> tuple[DataFrame, bool]:
+    """Compute the cut table once; if it has at most ``max_rows`` rows (one per
+    question), return it as a small local table that is safe to broadcast.
+
+    Without this, the edge filter would start as a sort-merge join and shuffle the
+    whole counts table by question before AQE could switch to a broadcast.
+    """
+    rows = cuts.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return cuts, False
+    return cuts.sparkSession.createDataFrame(rows, cuts.schema), True
+
+
 def top_by_percentile(counts: DataFrame, cuts: DataFrame, value_col: str = "n",
                       group_col: str = "question", broadcast_cuts: bool = False) -> DataFrame:
     """F8: keep rows with ``value >= cut`` (inclusive; a cut of 1.0 keeps everything).
 
-    ``cuts`` has one row per question.  With ``broadcast_cuts`` (callers that know the
-    question list is bounded) it is broadcast; otherwise AQE decides from the runtime
-    size of the aggregated side.
+    ``cuts`` has one row per question; ``broadcast_cuts`` only when its size is known
+    to be bounded (a configured question list, or ``settle_cuts``).
     """
     side = F.broadcast(cuts) if broadcast_cuts else cuts
     return (counts.join(side, group_col)
