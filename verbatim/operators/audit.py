@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verbatim.functions.keys import index_line, page_key, page_title
+from verbatim.operators.broadcast import bounded_broadcast
+
+MAX_VARIABLES = 200_000
 
 VIEWS = ("bigram", "responses")
 
@@ -29,8 +32,8 @@ def question_dimension(spark: SparkSession, panel: str, codes: Sequence[str],
     if isinstance(texts, DataFrame):
         t = (texts.where(F.col("panel") == panel)
              .select(F.col("variable").alias("code"), F.col("label").alias("text")))
-        return q.join(F.broadcast(t.dropDuplicates(["code"])), "code", "left").select(
-            "panel", "num", "code", "text")
+        t = bounded_broadcast(t.dropDuplicates(["code"]), MAX_VARIABLES)
+        return q.join(t, "code", "left").select("panel", "num", "code", "text")
     return q.withColumn("text", F.create_map(*[x for k, v in texts.items()
                                                for x in (F.lit(k), F.lit(v))])[F.col("code")])
 
