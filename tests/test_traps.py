@@ -221,3 +221,14 @@ def test_split_pair(spark):
     from verbatim.functions.text import split_pair
     df = spark.createDataFrame([("big cat",), ("solo",)], "b string")
     assert [tuple(r) for r in df.select(*split_pair(F.col("b"))).collect()] == [("big", "cat"), ("solo", None)]
+
+
+def test_response_view_smart_search_and_page(spark):
+    from verbatim.operators.views import response_view
+    df = spark.createDataFrame(
+        [(i, "q", "en" if i % 2 else "es", f"Rent and FOOD {i}" if i % 3 else f"food only {i}")
+         for i in range(1, 31)], "id int, question string, lang string, response string")
+    page = response_view(df, question="q", filters={"lang": ("in", ["en"])},
+                         search="food  rent", order_by=[("id", False)], page=1, page_size=3)
+    assert [r.id for r in page.collect()] == [19, 17, 13]
+    assert page.columns == ["id", "lang", "response"]

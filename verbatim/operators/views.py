@@ -42,7 +42,8 @@ def response_view(df: DataFrame, question: str | None = None, question_col: str
                   page: int = 0, page_size: int | None = 10) -> DataFrame:
     """V1: one question's responses, filtered, globally searched, sorted, one page.
 
-    ``search`` is a case-insensitive substring over all shown columns.  The page is the
+    ``search`` works like the table widget's search box: split into words, every word
+    must occur (case-insensitive substring, any order) somewhere in the shown columns.  The page is the
     feature here (a table page), so ``limit`` is intended; ordered ``limit`` plans as a
     per-partition top-k, not a full sort.  ``order_by`` defaults to every shown column
     so pages are deterministic.
@@ -53,9 +54,11 @@ def response_view(df: DataFrame, question: str | None = None, question_col: str
     for name, spec in (filters or {}).items():
         out = out.where(_column_filter(name, spec))
     shown = out.columns
-    if search:
+    words = (search or "").lower().split()
+    if words:
         hay = F.lower(F.concat_ws(" ", *[F.col(f"`{c}`").cast("string") for c in shown]))
-        out = out.where(hay.contains(search.lower()))
+        for w in words:
+            out = out.where(hay.contains(w))
     keys = order_by or [(c, True) for c in shown]
     out = out.orderBy(*[F.col(f"`{c}`").asc_nulls_first() if asc else F.col(f"`{c}`").desc_nulls_last()
                         for c, asc in keys])
