@@ -42,12 +42,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for lineage cuts, taken from ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is ``fallback`` — or a fresh
-    scratch folder — installed.  On a cluster the setting must name shared storage.
+    Only a local session without one (tests, bench) gets ``fallback`` or a fresh
+    scratch folder.  On a cluster the setting must name shared storage: executors
+    cannot read a folder on the driver's disk, so an unset value is an error there.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS/object store) "
+                           "for lineage cuts on a cluster")
     path = fallback or tempfile.mkdtemp(prefix="verbatim-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
