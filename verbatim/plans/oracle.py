@@ -161,7 +161,7 @@ ORACLE_SQL = {
         WITH q(code, question_num) AS (VALUES {", ".join(f"({_lit(c)}, {i + 1})" for i, c in enumerate(SV_QUESTIONS))})
         SELECT d.doc_id, d.source AS question, 'docs' AS panel, CAST(q.question_num AS INTEGER) AS question_num
         FROM documents d JOIN q ON d.source = q.code""",
-    "question_code_numbers": """
+    "question_code_numbers": r"""
         SELECT question, TRY_CAST(regexp_extract(question, '(\d+)', 1) AS INTEGER) AS code_num
         FROM (SELECT DISTINCT source AS question FROM documents)""",
     "panel_fill_forward": f"WITH {_SV} {_FILL_SV}",
