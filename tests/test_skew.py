@@ -60,3 +60,14 @@ def test_fill_chunked_with_null_orders_and_keys(spark):
     split = fill_forward(df, "id", "week", ["v"], tiebreak="tb", num_partitions=8)
     plain = fill_forward(df, "id", "week", ["v"], tiebreak="tb", split_hot_keys=False)
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_fill_unique_order_without_tiebreak(spark):
+    from verbatim.operators.fill import fill_forward
+    rows = [("h" if i % 3 else f"k{i}", i, ("v%d" % i) if i % 5 == 0 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, week int, v string")
+    for split in (True, False):
+        a = fill_forward(df, "id", "week", ["v"], tiebreak=(), split_hot_keys=split, num_partitions=8)
+        b = fill_forward(df, "id", "week", ["v"], split_hot_keys=False)
+        assert a.columns == b.columns == ["id", "week", "v"]
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))

@@ -196,10 +196,11 @@ def fill_forward(df: DataFrame, by: str | Sequence[str], order: str | Sequence[s
     by, order, columns = _names(by), _names(order), list(columns)
     tie = _names(tiebreak)
     added = False
-    if not tie:
+    if tiebreak is None:
         # No input order survives a distributed read: break ties by content, which is
         # deterministic across recomputation (rows equal in every column are
-        # interchangeable for the result).
+        # interchangeable for the result).  ``tiebreak=()`` says (by, order) is unique
+        # and skips this hash over every column.
         df = df.withColumn("__tb", F.xxhash64(*[_c(c) for c in df.columns]))
         tie, added = ["__tb"], True
     within = [_c(o).asc_nulls_last() for o in order] + [_c(t).asc_nulls_last() for t in tie]

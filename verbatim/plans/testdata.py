@@ -128,7 +128,9 @@ def panel_response_table(spark, d):
     """Entry 1 on the wide stand-in: gate → decode → fill → unpivot → non-empty."""
     wide = sv_wide(spark, d).where(F.col("consent") == 1)
     wide = decode_values(wide, SV_LABELS, exclude=["respondent_id"])
-    wide = fill_forward(wide, "respondent_id", "wave", ["language", "quality", "toxic"])
+    # (respondent_id, wave) is unique here (a bijection of doc_id): no tie-break needed
+    wide = fill_forward(wide, "respondent_id", "wave", ["language", "quality", "toxic"],
+                        tiebreak=())
     return unpivot_responses(wide.drop("consent"),
                              ["respondent_id", "wave", "language", "quality", "toxic"],
                              list(SV_QUESTIONS))
