@@ -26,6 +26,7 @@ HEADLINE = [
     "bigram_network_vertices",
     "bigram_thresholds",
     "panel_response_table",
+    "panel_bigram_edges",
     "panel_fill_forward",
     "event_fill_forward",
     "event_fill_forward_skewed",

@@ -32,11 +32,12 @@ def _zip(expr: str) -> str:
 
 _STOP = ", ".join(f"({_lit(w)})" for w in sorted(set(ENGLISH_STOP_WORDS)))
 
-_BIGRAMS = f"""
+def _bigrams(source: str = "documents") -> str:
+    return f"""
 sw(word) AS (VALUES {_STOP}),
 tok AS (
   SELECT doc_id, source AS question, regexp_extract_all(lower(text), {_lit(ORACLE_TOKEN_PATTERN)}) AS t
-  FROM documents WHERE text <> ''),
+  FROM {source} WHERE text <> ''),
 bg AS (
   SELECT doc_id, question, t[i] AS word1, t[i + 1] AS word2
   FROM (SELECT doc_id, question, t, unnest(range(1, len(t))) AS i FROM tok)),
@@ -55,6 +56,11 @@ edges AS (
   WHERE c.n >= cuts.cut)
 """
 
+
+_BIGRAMS = _bigrams()
+_CONSENTED = ("(SELECT d.* FROM documents d LEFT JOIN labels l USING (doc_id) "
+              "WHERE CASE WHEN l.toxic = 1 THEN 0 ELSE 1 END = 1) AS consented")
+
 _SV = f"""
 sv AS (
   SELECT d.doc_id % 100 AS respondent_id, d.doc_id // 100 AS wave, d.doc_id,
@@ -140,6 +146,7 @@ ORACLE_SQL = {
     "bigram_network_vertices": f"""WITH {_BIGRAMS}
         SELECT question, word1 AS name FROM edges UNION SELECT question, word2 AS name FROM edges""",
     "bigram_counts": f"WITH {_BIGRAMS} SELECT * FROM counts",
+    "panel_bigram_edges": f"WITH {_bigrams(_CONSENTED)} SELECT * FROM edges",
     "bigram_thresholds": f"WITH {_BIGRAMS} SELECT * FROM cuts",
     "bigram_tokens": f"WITH {_BIGRAMS} SELECT doc_id, question, word1, word2 FROM clean",
     "bigram_counts_stop_table": f"WITH {_BIGRAMS} SELECT * FROM counts",

@@ -136,6 +136,12 @@ def panel_response_table(spark, d):
                              list(SV_QUESTIONS))
 
 
+def panel_bigram_edges(spark, d):
+    """Entry 1 then Entry 2: the bigram network of every question of the long table."""
+    long = panel_response_table(spark, d)
+    return bigram_network(long, questions=list(SV_QUESTIONS)).edges
+
+
 def event_fill_forward(spark, d):
     ev = table(spark, d, "events").select(
         "event_id", "user_id", "ts", "event_type",
@@ -334,6 +340,7 @@ QUERIES = {
     "panel_fill_forward": panel_fill_forward,
     "panel_response_table": panel_response_table,
     "panel_language_filter": panel_language_filter,
+    "panel_bigram_edges": panel_bigram_edges,
     "event_fill_forward": event_fill_forward,
     "event_fill_forward_skewed": event_fill_forward_skewed,
     "unpivot_codes": unpivot_codes,
