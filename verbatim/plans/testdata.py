@@ -28,6 +28,7 @@ from verbatim.operators.fill import fill_forward
 from verbatim.operators.graph import bigram_network
 from verbatim.operators.harmonize import fold_waves, natural_full_join
 from verbatim.operators.lookup import gazetteer_states, lookup_left, lookup_state
+from verbatim.operators.parallelism import spread_small_input
 from verbatim.operators.reshape import select_prefix, unpivot_responses
 from verbatim.operators.views import questions_matching, response_view
 from verbatim.operators.audit import question_dimension
@@ -45,7 +46,9 @@ QUESTION_PATTERN = "^src1[0-9]?$"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # the text table may arrive as one row group: spread it unless it has enough splits
+    return spread_small_input(df) if name == "documents" else df
 
 
 def responses(spark, d) -> DataFrame:

@@ -13,12 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from verbatim.functions.names import rename_dotted
+from verbatim.operators.parallelism import spread_small_input
 
 
 def read_waves(spark: SparkSession, paths: Mapping[str, str] | Sequence[str],
                fmt: str = "parquet", schema: StructType | None = None,
                options: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
-    """One DataFrame per wave file, keyed by wave name (file stem when a list is given)."""
+    """One DataFrame per wave file, keyed by wave name (file stem when a list is given).
+
+    Files with fewer splits than twice the default parallelism are round-robined so
+    later stages do not run in a single task; large files are left as scanned.
+    """
     if not isinstance(paths, Mapping):
         paths = {p.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]: p for p in paths}
     out = {}
@@ -26,5 +31,6 @@ def read_waves(spark: SparkSession, paths: Mapping[str, str] | Sequence[str],
         reader = spark.read.format(fmt).options(**(options or {}))
         if schema is not None:
             reader = reader.schema(schema)
-        out[name] = rename_dotted(reader.load(path))
+        # a converted wave file is often a single row group: spread it if under-split
+        out[name] = spread_small_input(rename_dotted(reader.load(path)))
     return out
