@@ -25,3 +25,24 @@ def test_landing_refresh(spark, tmpdir_fresh):
     assert [tuple(r) for r in got.collect()] == [("p1", "Center teacher", "staff shortage staff shortage")]
     edges = spark.read.parquet(os.path.join(out, "edges"))
     assert edges.where(F.col("question_num") == 1).count() >= 1
+
+
+def test_second_landing_rebuilds_over_all_waves(spark, tmpdir_fresh):
+    landing = os.path.join(tmpdir_fresh, "landing")
+    flags = ", ".join(f"`CC.DEMO.013_{k}` int" for k in range(1, 14))
+    schema = (f"ProviderID string, Week int, UserLanguage string, `CC.DEMO.001` string, {flags}, "
+              "`CC.OPEN.007` int, `FPL.2019.150` int, RaceGroup int, `CC.OPEN.001` string")
+    first = ("p1", 3, "EN", "97403", *([None] * 4 + [1] + [None] * 8), 1, 1, 1, "short staff")
+    second = ("p1", 40, "SPA", None, *([None] * 13), 1, None, None, "more staff")
+    waves, out = os.path.join(tmpdir_fresh, "waves"), os.path.join(tmpdir_fresh, "out")
+    refresh = panel_refresh(CC, waves, out)
+    for i, row in enumerate([first, second]):
+        spark.createDataFrame([row], schema).write.parquet(os.path.join(landing, f"cc_{i}"))
+        q = watch_waves(spark, landing, schema, refresh, "cc_refresh_twice")
+        q.awaitTermination(120)
+        assert q.exception() is None
+    got = sorted((r.Week, r.provider_type, r.Language, r.response)
+                 for r in spark.read.parquet(os.path.join(out, "responses")).collect())
+    # week 40 carries the provider type forward from week 3
+    assert got == [(3, "FFN", "English", "short staff"), (40, "FFN", "Spanish", "more staff")]
+    assert spark.read.parquet(waves).count() == 2  # each landed row appended exactly once
