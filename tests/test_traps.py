@@ -232,3 +232,22 @@ def test_response_view_smart_search_and_page(spark):
                          search="food  rent", order_by=[("id", False)], page=1, page_size=3)
     assert [r.id for r in page.collect()] == [19, 17, 13]
     assert page.columns == ["id", "lang", "response"]
+
+
+def test_wave_type_drift_is_an_error(spark):
+    import pytest
+    a = spark.createDataFrame([("c1", 1, "97403")], "id string, week int, zip string")
+    b = spark.createDataFrame([("c1", 2, 97403.0)], "id string, week int, zip double")
+    with pytest.raises(TypeError):
+        natural_full_join(a, b, split_hot_keys=False)
+
+
+def test_null_weeks_are_not_disjoint(spark):
+    from verbatim.operators.harmonize import fold_waves, waves_disjoint
+    a = spark.createDataFrame([("c1", None, "x")], "id string, week int, s string")
+    b = spark.createDataFrame([("c1", None, "x"), ("c2", 5, "y")], "id string, week int, s string")
+    assert not waves_disjoint([a, b], "week")
+    # the identical NULL-week row merges (NULL matches NULL), so 2 rows, not 3
+    assert fold_waves([a, b], disjoint_on="week").count() == 2
+    c = spark.createDataFrame([("c3", 7, "z")], "id string, week int, s string")
+    assert waves_disjoint([b, c], "week") and fold_waves([b, c], disjoint_on="week").count() == 3
