@@ -15,14 +15,14 @@ def test_cli_provider_refresh(spark, tmpdir_fresh):
               "`CC.OPEN.007` int, `FPL.2019.150` int, RaceGroup int, `CC.OPEN.001` string, "
               "`CC.MH.013` string")
     f = [None] * 13
-    w1 = spark.createDataFrame([("p1", 1, "EN", 97403.0, *([None, 1] + [None] * 11), 1, 1, 2,
+    w1 = spark.createDataFrame([("p1", 1, "EN", 30301.0, *([None, 1] + [None] * 11), 1, 1, 2,
                                  "staff feel tired", "sleep more")], schema)
     w2 = spark.createDataFrame([("p1", 30, "SPA", None, *f, 1, None, None, "staff feel tired", "")],
                                schema)
     w1.write.parquet(os.path.join(d, "cc_2021.parquet"))
     w2.write.parquet(os.path.join(d, "cc_2022.parquet"))
     with open(os.path.join(d, "US.txt"), "w") as fh:
-        fh.write("US\t97403\tEugene\tOregon\tOR\tLane\t039\t\t\t44.0\t-123.0\t4\n")
+        fh.write("US\t30301\tAtlanta\tGeorgia\tGA\tFulton\t121\t\t\t33.7\t-84.4\t4\n")
     spark.createDataFrame([("cc", "FPL.2019.150", 1, "Yes"), ("cc", "RaceGroup", 2, "Black")],
                           "panel string, variable string, code int, label string") \
         .write.parquet(os.path.join(d, "vl.parquet"))
@@ -39,9 +39,9 @@ def test_cli_provider_refresh(spark, tmpdir_fresh):
     rows = sorted((r.Week, r.question, r.State, r.below_1_5x_fpl, r.RaceGroup, r.provider_type,
                    r.Language) for r in resp.collect())
     # week 30 carries State, poverty flag, race and provider type forward from week 1
-    assert rows == [(1, "CC.MH.013", "OR", "Yes", "Black", "Center director", "English"),
-                    (1, "CC.OPEN.001", "OR", "Yes", "Black", "Center director", "English"),
-                    (30, "CC.OPEN.001", "OR", "Yes", "Black", "Center director", "Spanish")]
+    assert rows == [(1, "CC.MH.013", "GA", "Yes", "Black", "Center director", "English"),
+                    (1, "CC.OPEN.001", "GA", "Yes", "Black", "Center director", "English"),
+                    (30, "CC.OPEN.001", "GA", "Yes", "Black", "Center director", "Spanish")]
     edges = spark.read.parquet(os.path.join(out, "edges")).where(F.col("question_num") == 1)
     assert {(r.word1, r.word2, r.n) for r in edges.collect()} == {("staff", "feel", 2),
                                                                    ("feel", "tired", 2)}

@@ -12,7 +12,7 @@ EC_SCHEMA = ("CaregiverID string, Week int, UserLanguage string, DEMO_001 double
 
 def _gaz(spark):
     return spark.createDataFrame([("US", "1234", "X", "A", "MA", "", "", "", "", 0.0, 0.0, 1),
-                                  ("US", "97403", "Y", "B", "OR", "", "", "", "", 0.0, 0.0, 1)],
+                                  ("US", "30301", "Y", "B", "GA", "", "", "", "", 0.0, 0.0, 1)],
                                  "CountryCode string, zip string, PlaceName string, AdminName1 string, "
                                  "State string, AdminName2 string, AdminCode2 string, AdminName3 string, "
                                  "AdminCode3 string, latitude double, longitude double, accuracy int")
@@ -20,7 +20,7 @@ def _gaz(spark):
 
 def test_household_flow(spark):
     w20 = spark.createDataFrame([
-        ("c1", 1, "EN", 97403.0, 2, 1, 1, 1, 3, "worried about rent money", ""),
+        ("c1", 1, "EN", 30301.0, 2, 1, 1, 1, 3, "worried about rent money", ""),
         ("c2", 1, "SPA", 1234.0, 0, 0, 0, 2, 2, "secret", None),
     ], EC_SCHEMA)
     w21 = spark.createDataFrame([
@@ -38,7 +38,7 @@ def test_household_flow(spark):
     # c1 week 60: language FR → NULL then carried; unlabelled poverty code 9 → NULL → carried
     c1 = rows[("c1", 60, "OPEN.001")]
     assert (c1.Language, c1.below_1_5x_fpl, c1.State, c1.zip, c1.child_0_3) == \
-        ("English", "Yes", "OR", "97403", "Yes")
+        ("English", "Yes", "GA", "30301", "Yes")
     assert ("c1", 1, "MH.014") not in rows  # empty response dropped
     assert long.columns == ["CaregiverID", "Week", "State", "below_1_5x_fpl", "zip", "Language",
                             "RaceGroup", "CaregiverAge", "child_0_3", "question", "response"]
@@ -55,11 +55,11 @@ def test_provider_flow(spark):
               "CC_OPEN_007 int, FPL_2019_150 int, RaceGroup int, CC_OPEN_001 string")
     f = [None] * 13
     f1 = list(f); f1[4] = 1   # _5 → FFN
-    df = spark.createDataFrame([("p1", 3, "EN", "97403", *f1, 1, 1, 1, "hello there friend"),
+    df = spark.createDataFrame([("p1", 3, "EN", "30301", *f1, 1, 1, 1, "hello there friend"),
                                 ("p1", 4, "SPA", None, *f, 1, None, None, "more words here")], schema)
     long = build_response_table(df, CC, _gaz(spark), None)
     got = sorted((r.Week, r.provider_type, r.Language, r.State) for r in long.collect())
-    assert got == [(3, "FFN", "English", "OR"), (4, "FFN", "Spanish", "OR")]
+    assert got == [(3, "FFN", "English", "GA"), (4, "FFN", "Spanish", "GA")]
 
 
 def test_first_driver_config(spark):
@@ -72,9 +72,9 @@ def test_first_driver_config(spark):
     schema = ("CaregiverID string, Week int, UserLanguage string, DEMO_001 string, "
               "DEMO_004_a_2 int, OPEN_006 int, FPL_2019_UM_150 int, RaceGroup int, "
               "CaregiverAge int, OPEN_001 string, OPEN_002 string, MH_013 string")
-    df = spark.createDataFrame([("c1", 1, "EN", "97403", 0, 1, 1, 1, 1, "a b", "", "c d"),
-                                ("c2", 1, "SPA", "97403", 0, 1, 1, 1, 1, "e f", "g", "h")], schema)
+    df = spark.createDataFrame([("c1", 1, "EN", "30301", 0, 1, 1, 1, 1, "a b", "", "c d"),
+                                ("c2", 1, "SPA", "30301", 0, 1, 1, 1, 1, "e f", "g", "h")], schema)
     long = build_response_table(df, cfg, _gaz(spark))
     assert "Language" not in long.columns
     assert sorted((r.CaregiverID, r.question, r.State) for r in long.collect()) == [
-        ("c1", "MH.013", "OR"), ("c1", "OPEN.001", "OR")]
+        ("c1", "MH.013", "GA"), ("c1", "OPEN.001", "GA")]

@@ -13,7 +13,7 @@ def test_landing_refresh(spark, tmpdir_fresh):
     flags = ", ".join(f"`CC.DEMO.013_{k}` int" for k in range(1, 14))
     schema = (f"ProviderID string, Week int, UserLanguage string, `CC.DEMO.001` string, {flags}, "
               "`CC.OPEN.007` int, `FPL.2019.150` int, RaceGroup int, `CC.OPEN.001` string")
-    row = ("p1", 3, "EN", "97403", *([1] + [None] * 12), 1, 1, 1, "staff shortage staff shortage")
+    row = ("p1", 3, "EN", "30301", *([1] + [None] * 12), 1, 1, 1, "staff shortage staff shortage")
     spark.createDataFrame([row], schema).write.parquet(os.path.join(landing, "cc_2021"))
     out = os.path.join(tmpdir_fresh, "out")
     q = watch_waves(spark, landing, schema,
@@ -32,7 +32,7 @@ def test_second_landing_rebuilds_over_all_waves(spark, tmpdir_fresh):
     flags = ", ".join(f"`CC.DEMO.013_{k}` int" for k in range(1, 14))
     schema = (f"ProviderID string, Week int, UserLanguage string, `CC.DEMO.001` string, {flags}, "
               "`CC.OPEN.007` int, `FPL.2019.150` int, RaceGroup int, `CC.OPEN.001` string")
-    first = ("p1", 3, "EN", "97403", *([None] * 4 + [1] + [None] * 8), 1, 1, 1, "short staff")
+    first = ("p1", 3, "EN", "30301", *([None] * 4 + [1] + [None] * 8), 1, 1, 1, "short staff")
     second = ("p1", 40, "SPA", None, *([None] * 13), 1, None, None, "more staff")
     waves, out = os.path.join(tmpdir_fresh, "waves"), os.path.join(tmpdir_fresh, "out")
     refresh = panel_refresh(CC, waves, out)

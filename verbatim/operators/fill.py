@@ -1,4 +1,4 @@
-"""W1 — last observation carried forward within each respondent (``na.locf0``).
+"""W1 — last observation carried forward within each respondent.
 
 Semantics: within ``by``, in ``order`` (NULLs last) then ``tiebreak``, every NULL in a
 filled column takes the latest earlier non-NULL value; leading NULLs stay NULL.
