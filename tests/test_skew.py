@@ -71,3 +71,16 @@ def test_fill_unique_order_without_tiebreak(spark):
         b = fill_forward(df, "id", "week", ["v"], split_hot_keys=False)
         assert a.columns == b.columns == ["id", "week", "v"]
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_fold_with_hot_tuple_equals_plain(spark):
+    from verbatim.operators.harmonize import fold_waves
+    w1 = spark.createDataFrame([("h", 1, "a")] * 200 + [("x", 1, "b")], "id string, week int, s1 string")
+    w2 = spark.createDataFrame([("h", 1, "c")] * 3 + [("y", 2, "d")], "id string, week int, s2 string")
+    w3 = spark.createDataFrame([("h", 1, "a", "c")] * 2 + [("z", 3, "e", "f")],
+                               "id string, week int, s1 string, s2 string")
+    a = fold_waves([w1, w2, w3], num_partitions=4)
+    b = fold_waves([w1, w2, w3], split_hot_keys=False)
+    assert a.columns == b.columns
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert a.where("id = 'h'").count() == 200 * 3 * 2

@@ -196,15 +196,35 @@ def waves_disjoint(waves: Sequence[DataFrame], column: str) -> bool:
     return shared.limit(1).count() == 0
 
 
+def _any_hot_tuple(waves: Sequence[DataFrame], shared: Sequence[str], num_partitions: int) -> bool:
+    """One job: does any tuple of the shared columns hold more rows, over all waves,
+    than a balanced partition?"""
+    cols = [F.col(f"`{c}`") for c in shared]
+    stacked = reduce(DataFrame.unionByName, [w.select(*cols) for w in waves])
+    counts = stacked.groupBy(*cols).count()
+    stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("largest")).first()
+    if not stats or stats["total"] is None:
+        return False
+    return stats["largest"] > stats["total"] // max(num_partitions, 1)
+
+
 def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
-               disjoint_on: str | None = None, split_hot_keys: bool = True) -> DataFrame:
+               disjoint_on: str | None = None, split_hot_keys: bool = True,
+               num_partitions: int | None = None) -> DataFrame:
     """``natural_full_join`` folded left to right over the waves.
 
     ``disjoint_on`` names a shared column whose values never repeat across waves; when
     the check confirms it, the fold is computed as a stack instead (same rows, no
-    shuffle).  On the join path each intermediate fold is written as a table in the
-    shared checkpoint folder, so the next step's hot-key count and join read it instead of
-    recomputing every earlier join (linear, not quadratic, in the number of waves).
+    shuffle).
+
+    Skew: every step's key set contains the columns shared by all waves, and a finer
+    key can only hold fewer rows, so one up-front count on the shared columns (over all
+    waves) shows whether any step can meet a hot key.  If none can, the steps are plain
+    chained joins.  Otherwise each step finds and splits its own hot keys, and each
+    intermediate fold is written as a table in the shared checkpoint folder so the next
+    step's count and join read it instead of recomputing every earlier join.  (Rows
+    multiplied by exact duplicates matched across waves are only seen by the per-step
+    count.)
     """
     waves = list(waves)
     if len(waves) == 1:
@@ -212,9 +232,15 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
     if disjoint_on is not None and keys is None and waves_disjoint(waves, disjoint_on):
         _check_types(waves)
         return stack_waves(waves)
+    n = num_partitions or int(waves[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if split_hot_keys:
+        shared = list(keys) if keys is not None else [
+            c for c in waves[0].columns if all(c in w.columns for w in waves[1:])]
+        if shared and not _any_hot_tuple(waves, shared, n):
+            split_hot_keys = False
     acc = waves[0]
     for i, wave in enumerate(waves[1:], start=1):
-        acc = natural_full_join(acc, wave, keys, split_hot_keys=split_hot_keys)
+        acc = natural_full_join(acc, wave, keys, split_hot_keys=split_hot_keys, num_partitions=n)
         if split_hot_keys and i < len(waves) - 1:
             acc = cut_lineage(acc, "wave-fold")
     return acc
