@@ -84,3 +84,16 @@ def test_fold_with_hot_tuple_equals_plain(spark):
     assert a.columns == b.columns
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     assert a.where("id = 'h'").count() == 200 * 3 * 2
+
+
+def test_fold_fan_out_bound_triggers_per_step_path(spark):
+    from verbatim.operators.harmonize import _any_hot_tuple, fold_waves
+    filler = [(f"u{i}", i, "p") for i in range(400)]
+    w1 = spark.createDataFrame([("h", 1, "a")] * 12 + filler, "id string, week int, s1 string")
+    w2 = spark.createDataFrame([("h", 1, "a")] * 12, "id string, week int, s1 string")
+    # no tuple holds 106 rows, but 12 × 12 duplicates can become 144 rows after the fold
+    assert _any_hot_tuple([w1, w2], ["id", "week", "s1"], 4)
+    a = fold_waves([w1, w2], num_partitions=4)
+    b = fold_waves([w1, w2], split_hot_keys=False)
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert a.where("id = 'h'").count() == 144

@@ -197,15 +197,23 @@ def waves_disjoint(waves: Sequence[DataFrame], column: str) -> bool:
 
 
 def _any_hot_tuple(waves: Sequence[DataFrame], shared: Sequence[str], num_partitions: int) -> bool:
-    """One job: does any tuple of the shared columns hold more rows, over all waves,
-    than a balanced partition?"""
+    """Could any step of the fold meet a key with more rows than a balanced partition?
+
+    Per shared tuple the fold holds at most the product of its per-wave row counts
+    (every duplicate matching every duplicate), so the largest product — not just the
+    largest count — is compared with the threshold.  Partial/final aggregations only.
+    """
     cols = [F.col(f"`{c}`") for c in shared]
-    stacked = reduce(DataFrame.unionByName, [w.select(*cols) for w in waves])
-    counts = stacked.groupBy(*cols).count()
-    stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("largest")).first()
+    tagged = reduce(DataFrame.unionByName,
+                    [w.select(*cols, F.lit(i).alias("__w")) for i, w in enumerate(waves)])
+    per_wave = tagged.groupBy(*cols, "__w").agg(F.count(F.lit(1)).alias("__n"))
+    per_tuple = per_wave.groupBy(*cols).agg(
+        F.sum("__n").alias("__rows"), F.exp(F.sum(F.log("__n"))).alias("__bound"))
+    stats = per_tuple.agg(F.sum("__rows").alias("total"),
+                          F.max("__bound").alias("largest")).first()
     if not stats or stats["total"] is None:
         return False
-    return stats["largest"] > stats["total"] // max(num_partitions, 1)
+    return stats["largest"] > stats["total"] // max(num_partitions, 1) + 0.5
 
 
 def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
@@ -222,9 +230,9 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
     waves) shows whether any step can meet a hot key.  If none can, the steps are plain
     chained joins.  Otherwise each step finds and splits its own hot keys, and each
     intermediate fold is written as a table in the shared checkpoint folder so the next
-    step's count and join read it instead of recomputing every earlier join.  (Rows
-    multiplied by exact duplicates matched across waves are only seen by the per-step
-    count.)
+    step's count and join read it instead of recomputing every earlier join.  The
+    up-front count bounds duplicate fan-out too: a tuple's rows after the fold are at
+    most the product of its per-wave counts.
     """
     waves = list(waves)
     if len(waves) == 1:
