@@ -251,3 +251,13 @@ def test_null_weeks_are_not_disjoint(spark):
     assert fold_waves([a, b], disjoint_on="week").count() == 2
     c = spark.createDataFrame([("c3", 7, "z")], "id string, week int, s string")
     assert waves_disjoint([b, c], "week") and fold_waves([b, c], disjoint_on="week").count() == 3
+
+
+def test_general_ngrams(spark):
+    from verbatim.functions.text import ngrams
+    df = spark.createDataFrame([("a b c d",), ("a b",), ("",)], "s string")
+    t = tokens(F.col("s"))
+    got = [tuple(r) for r in df.select(ngrams(t, 3), ngrams(t, 1), ngrams(t, 2)).collect()]
+    assert got == [(["a b c", "b c d"], ["a", "b", "c", "d"], ["a b", "b c", "c d"]),
+                   ([], ["a", "b"], ["a b"]),
+                   ([], [], [])]
