@@ -261,3 +261,25 @@ def test_general_ngrams(spark):
     assert got == [(["a b c", "b c d"], ["a", "b", "c", "d"], ["a b", "b c", "c d"]),
                    ([], ["a", "b"], ["a b"]),
                    ([], [], [])]
+
+
+def test_question_texts_from_codebook_table(spark):
+    from verbatim.operators.audit import question_dimension, question_index
+    labels = spark.createDataFrame(
+        [("ec", "OPEN.001", 1, "What helps?"), ("ec", "OPEN.002", 2, "What worries you?"),
+         ("cc", "OPEN.001", 1, "provider text")],
+        "panel string, variable string, position int, label string")
+    q = question_dimension(spark, "ec", ["OPEN.002", "OPEN.001", "MH.014"], labels)
+    got = {r.code: (r.num, r.text) for r in q.collect()}
+    assert got == {"OPEN.002": (1, "What worries you?"), "OPEN.001": (2, "What helps?"),
+                   "MH.014": (3, None)}
+    idx = {r.code: (r.index_line, r.bigram_page) for r in question_index(q).collect()}
+    assert idx["OPEN.001"] == ("2: What helps?", "ec_bigram_2")
+    assert idx["MH.014"] == ("3: MH.014", "ec_bigram_3")
+
+
+def test_sorted_counts(spark):
+    from verbatim.operators.bigrams import sort_counts
+    c = spark.createDataFrame([("q", "a", "b", 1), ("q", "c", "d", 3), ("q", "a", "a", 3)],
+                              "question string, word1 string, word2 string, n long")
+    assert [(r.word1, r.word2) for r in sort_counts(c).collect()] == [("a", "a"), ("c", "d"), ("a", "b")]
