@@ -58,3 +58,26 @@ def test_stop_word_table_uses_broadcast_anti_joins(spark):
     p = _plan(occ)
     import re
     assert len(re.findall(r"BroadcastHashJoin \[[^\]]*\], \[[^\]]*\], LeftAnti", p)) == 2
+
+
+def test_bounded_broadcast_falls_back_past_the_bound(spark):
+    from verbatim.operators.broadcast import bounded_broadcast
+    dim = spark.range(50).withColumnRenamed("id", "k")
+    assert bounded_broadcast(dim, 100) is not dim          # hinted copy
+    assert bounded_broadcast(dim, 10) is dim               # unchanged: no hint
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(1000).withColumnRenamed("id", "k")
+        p = _plan(fact.join(bounded_broadcast(dim, 10), "k"))
+        assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
+        p = _plan(fact.join(bounded_broadcast(dim, 100), "k"))
+        assert "BroadcastHashJoin" in p
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_select_prefix_case(spark):
+    from verbatim.operators.reshape import select_prefix
+    df = spark.createDataFrame([(1, "a", "b", "c")], "id int, OPEN_001 string, open_x string, MH_1 string")
+    assert select_prefix(df, "OPEN", keep=["id"]).columns == ["id", "OPEN_001", "open_x"]
+    assert select_prefix(df, "OPEN", ignore_case=False).columns == ["OPEN_001"]
