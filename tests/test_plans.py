@@ -81,3 +81,12 @@ def test_select_prefix_case(spark):
     df = spark.createDataFrame([(1, "a", "b", "c")], "id int, OPEN_001 string, open_x string, MH_1 string")
     assert select_prefix(df, "OPEN", keep=["id"]).columns == ["id", "OPEN_001", "open_x"]
     assert select_prefix(df, "OPEN", ignore_case=False).columns == ["OPEN_001"]
+
+
+def test_sink_uses_rebalance_exchange(spark):
+    df = spark.createDataFrame([("ec", 1, "x")], "panel string, question_num int, v string")
+    p = _plan(df.hint("rebalance", "panel", "question_num"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in p
+    import inspect
+    from verbatim.plans import sinks
+    assert 'hint("rebalance", "panel", "question_num")' in inspect.getsource(sinks.write_partitioned)
