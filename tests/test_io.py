@@ -59,3 +59,16 @@ def test_network_sink_partitioned(spark, tmpdir_fresh):
     # counts red→fox 2, fox→red 1; the 95th percentile is 1.95, so only red→fox stays
     assert [(r.word1, r.word2, r.n) for r in one.collect()] == [("red", "fox", 2)]
     assert os.path.isdir(os.path.join(tmpdir_fresh, "edges", "panel=ec", "question_num=1"))
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from verbatim.session import checkpoint_dir
+    fake = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: default),
+        sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(fake)
+    fake.conf = SimpleNamespace(get=lambda key, default=None: "hdfs://shared/ckpt")
+    assert checkpoint_dir(fake) == "hdfs://shared/ckpt"
