@@ -19,7 +19,7 @@ from verbatim.plans.testdata import QUERIES, responses  # noqa: E402
 from verbatim.session import checkpoint_dir, get_spark  # noqa: E402
 
 SHOW = ["bigram_counting_job", "bigram_network_edges", "panel_response_table", "panel_bigram_edges", "event_fill_forward",
-        "event_fill_forward_skewed", "wave_full_join", "wave_stack", "zip_lookup",
+        "event_fill_forward_skewed", "wave_full_join", "wave_fold", "wave_stack", "zip_lookup",
         "response_view", "catalog_audit"]
 
 
