@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from verbatim.llm.mixing import op5_mix_sources
+from verbatim.llm.simhash import op3_simhash
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op5_mix_sources": op5_mix_sources,
 }
 
