@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from verbatim.llm.langid import op10_language_id
 from verbatim.llm.mixing import op5_mix_sources
 from verbatim.llm.simhash import op3_simhash
 
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op5_mix_sources": op5_mix_sources,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
