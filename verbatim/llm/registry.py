@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from verbatim.llm.bpe import op2_bpe
 from verbatim.llm.langid import op10_language_id
 from verbatim.llm.mixing import op5_mix_sources
 from verbatim.llm.simhash import op3_simhash
 
 QUERIES = {
+    "op2_bpe": op2_bpe,
     "op3_simhash": op3_simhash,
     "op5_mix_sources": op5_mix_sources,
     "op10_language_id": op10_language_id,
