@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from verbatim.llm.bpe import op2_bpe
+from verbatim.llm.cws import op8_fingerprints
 from verbatim.llm.langid import op10_language_id
 from verbatim.llm.mixing import op5_mix_sources
 from verbatim.llm.simhash import op3_simhash
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_simhash": op3_simhash,
     "op5_mix_sources": op5_mix_sources,
+    "op8_fingerprints": op8_fingerprints,
     "op10_language_id": op10_language_id,
 }
 
