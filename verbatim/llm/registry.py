@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from verbatim.llm.ann import op7_nearest
 from verbatim.llm.bpe import op2_bpe
 from verbatim.llm.cws import op8_fingerprints
 from verbatim.llm.langid import op10_language_id
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_simhash": op3_simhash,
     "op5_mix_sources": op5_mix_sources,
+    "op7_nearest": op7_nearest,
     "op8_fingerprints": op8_fingerprints,
     "op10_language_id": op10_language_id,
 }
