@@ -7,12 +7,14 @@ from verbatim.llm.bpe import op2_bpe
 from verbatim.llm.cws import op8_fingerprints
 from verbatim.llm.langid import op10_language_id
 from verbatim.llm.mixing import op5_mix_sources
+from verbatim.llm.secrets import op4_secrets
 from verbatim.llm.shards import op6_token_shards
 from verbatim.llm.simhash import op3_simhash
 
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_simhash": op3_simhash,
+    "op4_secrets": op4_secrets,
     "op5_mix_sources": op5_mix_sources,
     "op6_token_shards": op6_token_shards,
     "op7_nearest": op7_nearest,
