@@ -6,6 +6,8 @@ from verbatim.llm.ann import op7_nearest
 from verbatim.llm.bpe import op2_bpe
 from verbatim.llm.cws import op8_fingerprints
 from verbatim.llm.langid import op10_language_id
+from verbatim.llm.lines import ORACLE as LINES_SQL
+from verbatim.llm.lines import op9_line_dedup
 from verbatim.llm.mixing import op5_mix_sources
 from verbatim.llm.secrets import op4_secrets
 from verbatim.llm.shards import op6_token_shards
@@ -19,7 +21,10 @@ QUERIES = {
     "op6_token_shards": op6_token_shards,
     "op7_nearest": op7_nearest,
     "op8_fingerprints": op8_fingerprints,
+    "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op9_line_dedup": LINES_SQL,
+}
