@@ -8,12 +8,14 @@ from verbatim.llm.cws import op8_fingerprints
 from verbatim.llm.langid import op10_language_id
 from verbatim.llm.lines import ORACLE as LINES_SQL
 from verbatim.llm.lines import op9_line_dedup
+from verbatim.llm.lm import op1_lm_score
 from verbatim.llm.mixing import op5_mix_sources
 from verbatim.llm.secrets import op4_secrets
 from verbatim.llm.shards import op6_token_shards
 from verbatim.llm.simhash import op3_simhash
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_bpe": op2_bpe,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
