@@ -171,7 +171,9 @@ def public_vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 
 def encode(docs: DataFrame, vocabulary: str, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of each row and the ids of its ``text``."""
+    """The columns ``keep`` of each row and the ids of its ``text``; a column ``ids`` of the
+    documents gives way."""
+    keep = [c for c in keep if c != "ids"]
     spec = docs.sparkSession.sparkContext.broadcast(vocabulary)  # a file of fixed size
     rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"))
 

@@ -161,7 +161,7 @@ def train(labelled: DataFrame) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of each row with lang_pred and score; needs a column ``text``.
+    """Each row's columns ``keep`` as a struct ``kept``, lang_pred and score.
 
     The model, DIMS x languages numbers, goes to the tasks with the function."""
     kept = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")
@@ -179,8 +179,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(names[best], pa.string()), pa.array(score)], ["kept", "lang_pred", "score"])
 
     schema = rows.select("kept").schema.add("lang_pred", "string").add("score", "double")
-    out = rows.mapInArrow(run, schema)
-    return out.select("kept.*", "lang_pred", "score")
+    return rows.mapInArrow(run, schema)
 
 
 def split(docs: DataFrame) -> DataFrame:
@@ -190,12 +189,12 @@ def split(docs: DataFrame) -> DataFrame:
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = split(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    return predict(docs, train(docs.where("NOT held_out")), ["doc_id", "held_out"])
+    known = predict(docs, train(docs.where("NOT held_out")), ["doc_id", "held_out"])
+    return known.select("kept.*", "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """Documents with a language that the model gives at least the probability ``least``."""
     model = train(split(docs).where("NOT held_out"))
     known = predict(docs, model, docs.columns)
-    at = len(docs.columns)
-    return known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col(f"`{c}`") for c in known.columns[:at]])
+    return known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("kept.*")

@@ -30,6 +30,8 @@ from verbatim.llm.common import Tables, table
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: kind, pattern, group that is the secret, its least length
 RULES = (("assign", ASSIGN, 2, 12), ("access", r"(AKIA[A-Z0-9]+)", 1, 18), ("hex", r"([0-9a-f]+)", 1, 16))
+#: The same with the least length written into the pattern: what isn't ordinary text.
+LONG = (ASSIGN[:-2] + "{12,})", r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}")
 TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])([A-Za-z0-9+/_=-]{20,})"
 ANY_TOKEN = r"[A-Za-z0-9+/_.=-]{8,}"
 KINDS = tuple(r[0] for r in RULES) + ("model",)
@@ -80,7 +82,7 @@ def labelled(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     secrets = some.select(F.explode(F.concat(*[
         F.filter(F.regexp_extract_all("text", F.lit(p), F.lit(g)), lambda s, n=n: F.char_length(s) >= n) for _, p, g, n in RULES])).alias("text"))
     rest = F.col("text")
-    for _, p, _, _ in RULES:
+    for p in LONG:
         rest = F.regexp_replace(rest, p, " ")
     ordinary = some.select(F.explode(F.regexp_extract_all(rest, F.lit(ANY_TOKEN), F.lit(0))).alias("text"))
     digest = F.sha2(F.col("id").cast("string"), 256)
