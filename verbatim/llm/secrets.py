@@ -6,8 +6,8 @@ letters and digits, that a first-order Markov model of characters of random stri
 better than one of ordinary identifiers: the log-likelihood ratio exceeds ``LEAST_RATIO``.
 A candidate that overlaps a base match is left to it.
 
-The models are trained from labelled samples (text, label 1 random or 0 ordinary), additively
-smoothed.  ``labelled`` makes them from documents: of at most ``SAMPLE`` documents, the
+The models are trained from labelled samples (text, label 1 random or 0 ordinary), smoothed
+by the characters' own frequencies.  ``labelled`` makes them from documents: of at most ``SAMPLE`` documents, the
 smallest by a hash of their id, the base rules' secrets are random and all other tokens
 ordinary; ``RANDOM`` digests of numbers, in hexadecimal and base 64, are random too, so that
 a corpus without matches still has a model.
@@ -38,6 +38,7 @@ KINDS = tuple(r[0] for r in RULES) + ("model",)
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-"
 BEGIN = len(ALPHABET) + 1  # 0: any other character
 SMOOTHING = 0.5
+BACKOFF = 5.0  # weight of a character's own frequency in its context's counts
 LEAST_RATIO = 7.0
 SAMPLE = 2_000
 RANDOM = 2_000
@@ -98,8 +99,12 @@ def train(samples: DataFrame) -> DataFrame:
     codes = F.explode(F.sequence(F.lit(0), F.lit(BEGIN)))
     grid = samples.sparkSession.range(1).select(codes.alias("prev")).select("prev", codes.alias("cur")).where(F.col("cur") < BEGIN)
     grid = grid.join(F.broadcast(pairs), ["prev", "cur"], "left").fillna(0, ["random", "ordinary"])
-    total = Window.partitionBy("prev")
-    share = lambda c: F.log((F.col(c) + SMOOTHING) / (F.sum(c).over(total) + SMOOTHING * BEGIN))
+    after, same, every = Window.partitionBy("prev"), Window.partitionBy("cur"), Window.partitionBy()
+
+    def share(c: str) -> Column:  # a rare context falls back on the character's own frequency
+        alone = (F.sum(c).over(same) + SMOOTHING) / (F.sum(c).over(every) + SMOOTHING * BEGIN)
+        return F.log((F.col(c) + BACKOFF * alone) / (F.sum(c).over(after) + BACKOFF))
+
     return grid.select("prev", "cur", (share("random") - share("ordinary")).alias("weight"))
 
 
