@@ -8,8 +8,8 @@ A candidate that overlaps a base match is left to it.
 
 The models are trained from labelled samples (text, label 1 random or 0 ordinary), smoothed
 by the characters' own frequencies.  ``labelled`` makes them from documents: of at most ``SAMPLE`` documents, the
-smallest by a hash of their id, the base rules' secrets are random and all other tokens
-ordinary; ``RANDOM`` digests of numbers, in hexadecimal and base 64, are random too, so that
+smallest by a hash of their id, the base rules' secrets are random and all tokens that are
+neither secrets nor candidates are ordinary; ``RANDOM`` digests of numbers, in hexadecimal and base 64, are random too, so that
 a corpus without matches still has a model.
 
 Offsets are code points.  Where the pattern splits a text, gaps and matches alternate, so a
@@ -83,7 +83,7 @@ def labelled(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     secrets = some.select(F.explode(F.concat(*[
         F.filter(F.regexp_extract_all("text", F.lit(p), F.lit(g)), lambda s, n=n: F.char_length(s) >= n) for _, p, g, n in RULES])).alias("text"))
     rest = F.col("text")
-    for p in LONG:
+    for p in (*LONG, TOKEN):  # what is to be judged has no label
         rest = F.regexp_replace(rest, p, " ")
     ordinary = some.select(F.explode(F.regexp_extract_all(rest, F.lit(ANY_TOKEN), F.lit(0))).alias("text"))
     digest = F.sha2(F.col("id").cast("string"), 256)
