@@ -37,7 +37,7 @@ from verbatim.operators.broadcast import bounded_broadcast
 WEIGHTS = (1, 2, 3)
 CAP = 3.0
 BINS = 1024
-LAST_ROWS = 20_000  # a bin of at most so many rows is filled by one task
+LAST_ROWS = 2_000  # a bin of at most so many rows is filled by one task
 MAX_SOURCES = 100_000  # a broadcast of one row a source up to here, a shuffle join beyond
 
 
