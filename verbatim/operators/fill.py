@@ -5,28 +5,23 @@ filled column takes the latest earlier non-NULL value; leading NULLs stay NULL.
 
 Plan
 ----
-Rows of ordinary keys take one ``Window.partitionBy(by)`` — one shuffle, one sort.
-
-A key holding more rows than a balanced partition ("hot", found by a partial/final
-count per key, capped at ``MAX_HOT_KEYS`` keys and broadcast with that bound) would make
-one task process all of its rows.  Rows of hot keys instead take a chunked scan:
-
-1. Chunks: per hot key, approximate quantiles of the first ordering column (one
-   partial/final ``percentile_approx`` aggregation; at most ~2 × #partitions boundaries
-   in total reach the driver) cut the key into contiguous ranges of the order.  The
-   chunk id is a pure function of the row and these literal boundaries, so every
-   branch and every retry computes the same chunks — nothing is materialised.
+One ``Window.partitionBy(by, chunk)`` over all rows — one shuffle, one sort.  ``chunk`` is 0
+for ordinary keys.  A key holding more rows than a balanced partition and than ``HOT_FLOOR``
+("hot", found by a partial/final count per key; there are fewer than partitions of them)
+would make one task process all of its rows, so it is cut into contiguous ranges of its full
+order, tie-break included (a coarse week alone could not be cut):
+
+1. Boundaries: of each hot key a sample of rows, picked by a hash of the row's order and
+   about ``PER_CHUNK`` times as many as the chunks wanted, is ranked; every so-manieth row
+   is a boundary.  The boundaries (one row per hot key, about two per partition in total)
+   are broadcast; the chunk is a pure function of the row and them, so every branch and
+   every retry computes the same chunks.
 2. Local fill per (key, chunk) with the same window; groups are chunk-sized.
-3. Chunk tails straight from the input: per (key, chunk) and column, the value of the
-   last non-NULL row (``max_by`` with a NULL ordering for NULL values) — a
+3. Chunk tails of hot keys straight from the input: per (key, chunk) and column, the value
+   of the last non-NULL row (``max_by`` with a NULL ordering for NULL values) — a
    partial/final aggregation.
-4. Carry-in: over the tails (≤ ~2 × #partitions rows), the last non-NULL of all earlier
-   chunks of the key.
+4. Carry-in: over the tails, the last non-NULL of all earlier chunks of the key.
 5. ``coalesce(local, carry)`` through a broadcast join on (key, chunk).
-
-When the first ordering column cannot take quantiles (e.g. a string), chunks come from
-``repartitionByRange`` instead and the chunk id is materialised in a table in the
-shared checkpoint folder (so branches and retries see the same chunks).
 """
 
 from __future__ import annotations
@@ -36,14 +31,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DateType, NumericType, StructField, StructType,
-                               TimestampNTZType, TimestampType)
 
-from verbatim.session import cut_lineage
-
-MAX_HOT_KEYS = 10_000
-MAX_CHUNKS_PER_KEY = 256
-_QUANTILE_TYPES = (NumericType, DateType, TimestampType, TimestampNTZType)
+HOT_FLOOR = 100_000  # rows; a key with fewer is never worth cutting
+PER_CHUNK = 20       # sampled rows for each chunk
 
 
 def _names(x: str | Sequence[str] | None) -> list[str]:
@@ -66,133 +56,49 @@ def _window_fill(df: DataFrame, by, within, columns, extra_partition=()) -> Data
     return df.withColumns({c: F.last(_c(c), ignorenulls=True).over(w) for c in columns})
 
 
-def _hot_stats(df: DataFrame, by: Sequence[str], num_partitions: int, min_rows: int):
-    """(hot rows [keys..., count], total rows); hot = more rows than a balanced partition.
+def _hot_keys(df: DataFrame, by: Sequence[str], num_partitions: int, min_rows: int):
+    """(hot keys with their row counts, rows of a chunk), or (None, 0) if there are none.
 
-    One job in the common case: per-key counts (partial/final aggregation, skew-safe)
-    reduced to (total, largest).  Only when the largest key is over the threshold does
-    a second job collect the hot keys — at most ``MAX_HOT_KEYS`` of them, largest first.
+    Per-key counts are a partial/final aggregation, safe under skew.  Fewer than
+    ``num_partitions`` keys can hold more than a balanced partition's rows.
     """
     counts = df.groupBy(*[_c(b) for b in by]).count()
     stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("largest")).first()
-    if not stats or stats["total"] is None:
-        return [], 0
-    threshold = max(min_rows, stats["total"] // max(num_partitions, 1))
-    if stats["largest"] <= threshold:
-        return [], stats["total"]
-    rows = (counts.where(F.col("count") > threshold)
-            .orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect())
-    return rows, stats["total"]
-
-
-def hot_keys(df: DataFrame, by: Sequence[str], num_partitions: int,
-             min_rows: int = 0) -> DataFrame | None:
-    """Keys with more rows than a balanced partition, as a small local DataFrame."""
-    rows, _ = _hot_stats(df, by, num_partitions, min_rows)
-    if not rows:
-        return None
-    schema = df.select(*[_c(b) for b in by]).schema
-    return df.sparkSession.createDataFrame([tuple(r[b] for b in by) for r in rows], schema)
-
-
-def _chunk_bounds(heavy: DataFrame, by, first_order: str, hot_rows, rows_per_chunk: int):
-    """Per hot key, sorted distinct boundaries of ``first_order`` for its chunks.
-
-    One ``percentile_approx`` per key at a common resolution, thinned on the driver to
-    about count/rows_per_chunk boundaries per key, so all keys together have at most
-    ~(#hot keys + #partitions) chunks.
-    """
-    largest = max(r["count"] for r in hot_rows)
-    m = max(2, min(MAX_CHUNKS_PER_KEY, -(-largest // max(rows_per_chunk, 1))))
-    levels = [i / m for i in range(1, m)]
-    q = (heavy.groupBy(*[_c(b) for b in by])
-         .agg(F.percentile_approx(_c(first_order), levels, 10_000).alias("__q"))
-         .collect())
-    count_of = {tuple(r[b] for b in by): r["count"] for r in hot_rows}
-    out = []
-    for r in q:
-        key = tuple(r[b] for b in by)
-        want = max(1, min(MAX_CHUNKS_PER_KEY, -(-count_of.get(key, 0) // max(rows_per_chunk, 1))))
-        vals = [v for v in (r["__q"] or []) if v is not None]
-        picked = [vals[(i * len(vals)) // want] for i in range(1, want)] if vals and want > 1 else []
-        out.append((*key, sorted(set(picked))))
-    return out
-
-
-def _chunked_fill(heavy: DataFrame, by, order, tie, within, columns, hot_rows,
-                  rows_per_chunk: int) -> DataFrame:
-    spark = heavy.sparkSession
-    bounds = _chunk_bounds(heavy, by, order[0], hot_rows, rows_per_chunk)
-    o_type = heavy.schema[order[0]].dataType
-    schema = StructType([*[heavy.schema[b] for b in by],
-                         StructField("__bounds", ArrayType(o_type))])
-    bdf = spark.createDataFrame(bounds, schema)
+    per_chunk = max(1, min_rows, (stats["total"] or 0) // max(num_partitions, 1))
+    if not stats["largest"] or stats["largest"] <= per_chunk:
+        return None, 0
+    rows = counts.where(F.col("count") > per_chunk).collect()
+    kinds = df.select(*[_c(b).alias(f"__h{i}") for i, b in enumerate(by)]).schema
+    hot = df.sparkSession.createDataFrame([(*[r[b] for b in by], r["count"]) for r in rows],
+                                          kinds.add("__rows", "long"))
+    return hot, per_chunk
+
+
+def _order_key(order: Sequence[str], tie: Sequence[str]) -> Column:
+    """The order as one comparable value, NULLs last."""
+    return F.struct(*[x for i, o in enumerate([*order, *tie])
+                      for x in (_c(o).isNull().alias(f"n{i}"), _c(o).alias(f"o{i}"))])
+
+
+def _bounds(df: DataFrame, by, hot: DataFrame, order_key: Column, per_chunk: int) -> DataFrame:
+    """(__h..., __bounds): each hot key's boundaries in order."""
     hk = [f"__h{i}" for i in range(len(by))]
-    side = F.broadcast(bdf.select(*[_c(b).alias(h) for b, h in zip(by, hk)], "__bounds"))
-    o0 = _c(order[0])
-    rows = (heavy.join(side, _key_match(by, hk), "inner").drop(*hk)
-            .withColumn("__c", F.when(o0.isNull(), F.size("__bounds") + 1)
-                        .otherwise(F.size(F.filter("__bounds", lambda b: b <= o0))))
-            .drop("__bounds"))
-    local = _window_fill(rows, by, within, columns, extra_partition=["__c"])
-
-    ord_key = F.struct(*(
-        [x for i, o in enumerate(order)
-         for x in (_c(o).isNull().alias(f"on{i}"), _c(o).alias(f"o{i}"))]
-        + [x for i, t in enumerate(tie)
-           for x in (_c(t).isNull().alias(f"tn{i}"), _c(t).alias(f"t{i}"))]))
-    kcols = [f"__k{i}" for i in range(len(by))]
-    vcols = [f"__v{j}" for j in range(len(columns))]
-    tails = rows.groupBy(*[_c(b).alias(k) for b, k in zip(by, kcols)], "__c").agg(
-        *[F.max_by(_c(c), F.when(_c(c).isNotNull(), ord_key)).alias(v)
-          for c, v in zip(columns, vcols)])
-    earlier = (Window.partitionBy(*[F.col(k) for k in kcols]).orderBy("__c")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = tails.select(*kcols, F.col("__c").alias("__cc"),
-                         *[F.last(F.col(v), ignorenulls=True).over(earlier).alias(v) for v in vcols])
-    cond = (F.col("__c") == F.col("__cc")) & _key_match(by, kcols)
-    joined = local.join(F.broadcast(carry), cond, "left")  # ≤ ~2 × #partitions rows
-    out = joined.withColumns({c: F.coalesce(_c(c), F.col(v)) for c, v in zip(columns, vcols)})
-    return out.drop("__c", "__cc", *kcols, *vcols)
-
-
-def _segmented_fill(df: DataFrame, by, order, tie, within, columns, n: int) -> DataFrame:
-    global_order = [_c(b).asc_nulls_first() for b in by] + within
-    ranged = df.repartitionByRange(n, *global_order).withColumn("__p", F.spark_partition_id())
-    ranged = cut_lineage(ranged, "fill-chunks")
-    local = _window_fill(ranged, by, within, columns, extra_partition=["__p"])
-
-    # Order key of the global sort with NULL placement explicit: (flag, value) pairs.
-    ord_key = F.struct(*(
-        [x for i, b in enumerate(by)
-         for x in (_c(b).isNotNull().alias(f"bn{i}"), _c(b).alias(f"b{i}"))]
-        + [x for i, o in enumerate(order)
-           for x in (_c(o).isNull().alias(f"on{i}"), _c(o).alias(f"o{i}"))]
-        + [x for i, t in enumerate(tie)
-           for x in (_c(t).isNull().alias(f"tn{i}"), _c(t).alias(f"t{i}"))]))
-    kcols = [f"__k{i}" for i in range(len(by))]
-    vcols = [f"__v{j}" for j in range(len(columns))]
-    last_row = F.struct(*[_c(b).alias(k) for b, k in zip(by, kcols)],
-                        *[_c(c).alias(v) for c, v in zip(columns, vcols)])
-    tails = (local.groupBy("__p").agg(F.max_by(last_row, ord_key).alias("__t"))
-             .select("__p", *[F.col(f"__t.{x}").alias(x) for x in kcols + vcols]))
-    running = (Window.partitionBy(*[F.col(k) for k in kcols]).orderBy("__p")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (tails
-             .withColumns({v: F.last(F.col(v), ignorenulls=True).over(running) for v in vcols})
-             .withColumn("__p", F.lead("__p").over(Window.orderBy("__p")))
-             .where(F.col("__p").isNotNull())
-             .select(F.col("__p").alias("__cp"), *kcols, *vcols))
-    cond = (F.col("__p") == F.col("__cp")) & _key_match(by, kcols)
-    joined = local.join(F.broadcast(carry), cond, "left")  # ≤ one row per chunk
-    out = joined.withColumns({c: F.coalesce(_c(c), F.col(v)) for c, v in zip(columns, vcols)})
-    return out.drop("__p", "__cp", *kcols, *vcols)
+    rows = df.select(*[_c(b) for b in by], order_key.alias("__o"))
+    rows = rows.join(F.broadcast(hot), _key_match(by, hk), "inner").select(*hk, "__rows", "__o")
+    # about PER_CHUNK rows for each chunk's worth, by a hash of the row's place in the order
+    every = F.greatest(F.lit(1), F.lit(per_chunk) / PER_CHUNK).cast("long")
+    some = rows.where(F.pmod(F.xxhash64("__o"), every) == 0)
+    place = Window.partitionBy(*hk).orderBy("__o")
+    # equal order values would be one boundary: each counts once
+    ranked = some.select(*hk, "__o").distinct().withColumn("__i", F.row_number().over(place))
+    picked = ranked.where(F.col("__i") % PER_CHUNK == 0)
+    return picked.groupBy(*hk).agg(F.array_sort(F.collect_list("__o")).alias("__bounds"))
 
 
 def fill_forward(df: DataFrame, by: str | Sequence[str], order: str | Sequence[str],
                  columns: Sequence[str], tiebreak: str | Sequence[str] | None = None,
                  split_hot_keys: bool = True, num_partitions: int | None = None,
-                 hot_min_rows: int = 0) -> DataFrame:
+                 hot_min_rows: int = HOT_FLOOR) -> DataFrame:
     by, order, columns = _names(by), _names(order), list(columns)
     tie = _names(tiebreak)
     added = False
@@ -205,23 +111,29 @@ def fill_forward(df: DataFrame, by: str | Sequence[str], order: str | Sequence[s
         tie, added = ["__tb"], True
     within = [_c(o).asc_nulls_last() for o in order] + [_c(t).asc_nulls_last() for t in tie]
 
-    hot_rows, total = [], 0
+    hot, per_chunk = None, 0
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if split_hot_keys:
-        hot_rows, total = _hot_stats(df, by, n, hot_min_rows)
-    if not hot_rows:
+        hot, per_chunk = _hot_keys(df, by, n, hot_min_rows)
+    if hot is None:
         out = _window_fill(df, by, within, columns)
-    else:
-        keys_df = df.sparkSession.createDataFrame(
-            [tuple(r[b] for b in by) for r in hot_rows], df.select(*[_c(b) for b in by]).schema)
-        hk = F.broadcast(keys_df.select(*[_c(b).alias(f"__h{i}") for i, b in enumerate(by)]))
-        hcols = [f"__h{i}" for i in range(len(by))]
-        normal = df.join(hk, _key_match(by, hcols), "left_anti")
-        heavy = df.join(hk, _key_match(by, hcols), "left_semi")
-        if order and isinstance(df.schema[order[0]].dataType, _QUANTILE_TYPES):
-            heavy_out = _chunked_fill(heavy, by, order, tie, within, columns, hot_rows,
-                                      max(1, total // n))
-        else:
-            heavy_out = _segmented_fill(heavy, by, order, tie, within, columns, n)
-        out = _window_fill(normal, by, within, columns).unionByName(heavy_out)
-    return out.drop("__tb") if added else out
+        return out.drop("__tb") if added else out
+
+    kcols, names = [f"__h{i}" for i in range(len(by))], list(df.columns)
+    order_key = _order_key(order, tie)
+    bounds = F.broadcast(_bounds(df, by, hot, order_key, per_chunk))  # fewer than n keys
+    chunk = F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col("__o"))), F.lit(0))
+    rows = (df.withColumn("__o", order_key).join(bounds, _key_match(by, kcols), "left")
+            .withColumn("__c", F.when(F.col("__bounds").isNotNull(), chunk).otherwise(0)))
+    local = _window_fill(rows.select(*[_c(x) for x in names], "__c"), by, within, columns, extra_partition=["__c"])
+
+    vcols = [f"__v{j}" for j in range(len(columns))]
+    tails = rows.where(F.col("__bounds").isNotNull()).groupBy(*kcols, "__c").agg(
+        *[F.max_by(_c(c), F.when(_c(c).isNotNull(), F.col("__o"))).alias(v) for c, v in zip(columns, vcols)])
+    earlier = (Window.partitionBy(*kcols).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1))
+    carry = tails.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(kcols)], F.col("__c").alias("__cc"),
+                         *[F.last(F.col(v), ignorenulls=True).over(earlier).alias(v) for v in vcols])
+    cond = (F.col("__c") == F.col("__cc")) & _key_match(by, [f"__k{i}" for i in range(len(by))])
+    joined = local.join(F.broadcast(carry), cond, "left")  # a row for each chunk
+    out = joined.withColumns({c: F.coalesce(_c(c), F.col(v)) for c, v in zip(columns, vcols)})
+    return out.select(*[_c(x) for x in names if not (added and x == "__tb")])
