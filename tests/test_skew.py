@@ -1,5 +1,8 @@
 """Hot keys: the skew-safe paths must equal the plain plans exactly."""
 
+from bisect import bisect_left
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from verbatim.operators.bigrams import bigram_occurrences, count_bigrams
@@ -25,12 +28,12 @@ def test_hot_keys_found(spark):
 def test_natural_join_hot_equals_plain(spark):
     l, r = _frames(spark)
     for kw in ({}, {"keys": ["id"]}):
-        a = natural_full_join(l, r, num_partitions=8, **kw)
+        a = natural_full_join(l, r, num_partitions=8, hot_min_rows=0, **kw)
         b = natural_full_join(l, r, split_hot_keys=False, **kw)
         assert a.columns == b.columns
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     # 500 k1 rows on the left × 3 on the right
-    assert natural_full_join(l, r, num_partitions=8).where(F.col("id") == "k1").count() == 1500
+    assert natural_full_join(l, r, num_partitions=8, hot_min_rows=0).where(F.col("id") == "k1").count() == 1500
 
 
 def test_hot_question_counts(spark):
@@ -47,7 +50,7 @@ def test_fill_fallback_for_string_order(spark):
     rows = [("a", f"w{i:04d}", i, ("v%d" % i) if i % 13 == 0 else None) for i in range(300)]
     rows += [("b", "w0001", 900, "b"), ("b", None, 901, None)]
     df = spark.createDataFrame(rows, "id string, wk string, tb int, v string")
-    split = fill_forward(df, "id", "wk", ["v"], tiebreak="tb", num_partitions=8)
+    split = fill_forward(df, "id", "wk", ["v"], tiebreak="tb", num_partitions=8, hot_min_rows=0)
     plain = fill_forward(df, "id", "wk", ["v"], tiebreak="tb", split_hot_keys=False)
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
 
@@ -57,7 +60,7 @@ def test_fill_chunked_with_null_orders_and_keys(spark):
     rows = [(None if i % 50 == 0 else "h", None if i % 7 == 0 else i // 4, i,
              ("x%d" % i) if i % 11 == 0 else None) for i in range(600)]
     df = spark.createDataFrame(rows, "id string, week int, tb int, v string")
-    split = fill_forward(df, "id", "week", ["v"], tiebreak="tb", num_partitions=8)
+    split = fill_forward(df, "id", "week", ["v"], tiebreak="tb", num_partitions=8, hot_min_rows=0)
     plain = fill_forward(df, "id", "week", ["v"], tiebreak="tb", split_hot_keys=False)
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
 
@@ -67,7 +70,7 @@ def test_fill_unique_order_without_tiebreak(spark):
     rows = [("h" if i % 3 else f"k{i}", i, ("v%d" % i) if i % 5 == 0 else None) for i in range(300)]
     df = spark.createDataFrame(rows, "id string, week int, v string")
     for split in (True, False):
-        a = fill_forward(df, "id", "week", ["v"], tiebreak=(), split_hot_keys=split, num_partitions=8)
+        a = fill_forward(df, "id", "week", ["v"], tiebreak=(), split_hot_keys=split, num_partitions=8, hot_min_rows=0)
         b = fill_forward(df, "id", "week", ["v"], split_hot_keys=False)
         assert a.columns == b.columns == ["id", "week", "v"]
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
@@ -79,21 +82,57 @@ def test_fold_with_hot_tuple_equals_plain(spark):
     w2 = spark.createDataFrame([("h", 1, "c")] * 3 + [("y", 2, "d")], "id string, week int, s2 string")
     w3 = spark.createDataFrame([("h", 1, "a", "c")] * 2 + [("z", 3, "e", "f")],
                                "id string, week int, s1 string, s2 string")
-    a = fold_waves([w1, w2, w3], num_partitions=4)
+    a = fold_waves([w1, w2, w3], num_partitions=4, hot_min_rows=0)
     b = fold_waves([w1, w2, w3], split_hot_keys=False)
     assert a.columns == b.columns
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     assert a.where("id = 'h'").count() == 200 * 3 * 2
 
 
-def test_fold_fan_out_bound_triggers_per_step_path(spark):
-    from verbatim.operators.harmonize import _any_hot_tuple, fold_waves
-    filler = [(f"u{i}", i, "p") for i in range(400)]
+def test_fold_joins_only_tuples_met_again(spark):
+    from verbatim.operators.harmonize import _met_again, fold_waves
+    filler = [(f"u{i}", i, "p") for i in range(400)] + [(None, None, "q")]
     w1 = spark.createDataFrame([("h", 1, "a")] * 12 + filler, "id string, week int, s1 string")
-    w2 = spark.createDataFrame([("h", 1, "a")] * 12, "id string, week int, s1 string")
-    # no tuple holds 106 rows, but 12 × 12 duplicates can become 144 rows after the fold
-    assert _any_hot_tuple([w1, w2], ["id", "week", "s1"], 4)
-    a = fold_waves([w1, w2], num_partitions=4)
-    b = fold_waves([w1, w2], split_hot_keys=False)
-    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    w2 = spark.createDataFrame([("h", 1, "b")] * 12 + [(None, None, "r")], "id string, week int, s2 string")
+    assert _met_again([w1, w2], ["id", "week"]).count() == 2
+    for floor in (0, 10**6):
+        a = fold_waves([w1, w2], num_partitions=4, hot_min_rows=floor)
+        b = natural_full_join(w1, w2, split_hot_keys=False)
+        assert a.columns == b.columns
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     assert a.where("id = 'h'").count() == 144
+
+
+def test_hot_duplicates_expand_in_blocks(spark):
+    # 60,000 x 60,000 equal rows: more copies than one array can hold
+    w1 = spark.range(60_000).selectExpr("'h' AS id", "1 AS week", "'a' AS s1")
+    w2 = spark.range(60_000).selectExpr("'h' AS id", "1 AS week", "'b' AS s2")
+    out = natural_full_join(w1, w2, num_partitions=8, hot_min_rows=0)
+    assert out.limit(200_000).count() == 200_000
+
+
+def test_columns_differing_in_case(spark):
+    import pytest
+    from verbatim.operators.harmonize import fold_waves
+    a = spark.createDataFrame([("x", 1)], "id string, `FPL_Curr` int")
+    b = spark.createDataFrame([("x", 1)], "id string, `FPL_CURR` int")
+    with pytest.raises(ValueError, match="differ only in case"):
+        fold_waves([a, b])
+
+
+def test_fill_coarse_order_is_cut_by_the_tie_break(spark):
+    from verbatim.operators.fill import _bounds, _hot_keys, _order_key, fill_forward
+    # a catch-all respondent with most rows and three weeks
+    df = spark.range(64_000).selectExpr(
+        "CASE WHEN id % 5 < 4 THEN 'h' ELSE concat('k', id) END AS id", "int(id % 3) AS week", "id AS tb",
+        "CASE WHEN id % 17 = 0 THEN concat('v', id) END AS v")
+    hot, per_chunk = _hot_keys(df, ["id"], 64, 0)
+    bounds = _bounds(df, ["id"], hot, _order_key(["week"], ["tb"]), per_chunk).collect()
+    assert [r["__h0"] for r in bounds] == ["h"] and len(bounds[0]["__bounds"]) >= 32
+    marks = [tuple(b) for b in bounds[0]["__bounds"]]
+    rows = df.where("id = 'h'").select("week", "tb").collect()
+    sizes = Counter(bisect_left(marks, (False, r.week, False, r.tb)) for r in rows)
+    assert max(sizes.values()) <= 3 * per_chunk
+    split = fill_forward(df, "id", "week", ["v"], tiebreak="tb", num_partitions=64, hot_min_rows=0)
+    plain = fill_forward(df, "id", "week", ["v"], tiebreak="tb", split_hot_keys=False)
+    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verbatim.operators.broadcast import bounded_broadcast
 from verbatim.session import cut_lineage
 
 
@@ -31,8 +32,20 @@ def _q(alias: str, name: str):
     return F.col(f"{alias}.`{name}`")
 
 
-MAX_HOT_KEYS = 10_000
-MAX_SALT = 1_024
+HOT_FLOOR = 100_000  # rows; a key tuple with fewer is never worth splitting
+MAX_TUPLES = 1_000_000  # 8-byte hashes; broadcast up to here, shuffle join beyond
+COPIES = 1 << 16     # copies of a matched pair of rows that one row expands to at once
+
+
+def _check_case(frames: Sequence[DataFrame]) -> None:
+    """Spark's column names don't differ by case; waves whose columns do are an error."""
+    seen: dict[str, str] = {}
+    for df in frames:
+        for c in df.columns:
+            other = seen.setdefault(c.lower(), c)
+            if other != c:
+                raise ValueError(f"columns {other!r} and {c!r} differ only in case; "
+                                 "rename one on ingest")
 
 
 def _check_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
@@ -73,7 +86,7 @@ def hot_join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     """Key tuples with more rows (on either side) than a balanced partition.
 
     Per-key counts of both sides come from one partial/final aggregation; the result
-    is ``keys..., __a, __b`` (rows on the left, on the right), at most ``MAX_HOT_KEYS``.
+    is ``keys..., __a, __b`` (rows on the left, on the right), fewer than two per partition.
     """
     kc = [F.col(f"`{k}`") for k in keys]
     lc = left.groupBy(*kc).agg(F.count(F.lit(1)).alias("__a")).withColumn("__b", F.lit(0).cast("bigint"))
@@ -86,7 +99,7 @@ def hot_join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     threshold = max(min_rows, stats["total"] // max(num_partitions, 1))
     if stats["largest"] <= threshold:
         return None
-    rows = both.where(big > threshold).orderBy(big.desc()).limit(MAX_HOT_KEYS).collect()
+    rows = both.where(big > threshold).collect()  # fewer than twice the partitions
     schema = both.schema
     return left.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
 
@@ -102,7 +115,7 @@ def _hot_full_join(left, right, hot, keys, common, lcols, rcols, rows_per_task)
     """
     hk = [f"__h{i}" for i in range(len(keys))]
     stats = F.broadcast(hot.select(*[F.col(f"`{k}`").alias(h) for k, h in zip(keys, hk)],
-                                   "__a", "__b"))  # ≤ MAX_HOT_KEYS rows
+                                   "__a", "__b"))  # fewer than two per partition
 
     def tag(df: DataFrame) -> DataFrame:
         cond = reduce(lambda a, b: a & b,
@@ -119,8 +132,8 @@ def _hot_full_join(left, right, hot, keys, common, lcols, rcols, rows_per_task)
         lcols, rcols, keys, common, lambda c: F.lit(None).cast(left.schema[c].dataType), col))
 
     matched = (F.col("__a") > 0) & (F.col("__b") > 0)
-    n_salts = F.least(F.lit(MAX_SALT), F.greatest(F.lit(1), F.ceil(
-        F.greatest("__a", "__b") / F.lit(max(rows_per_task, 1))))).cast("int")
+    n_salts = F.greatest(F.lit(1), F.ceil(
+        F.greatest("__a", "__b") / F.lit(max(rows_per_task, 1)))).cast("int")
     every_salt = F.sequence(F.lit(0), F.col("__s") - 1)
     left_big = F.col("__a") >= F.col("__b")
     lm = (lh.where(matched).groupBy(*[col(c) for c in lcols], "__a", "__b")
@@ -134,16 +147,23 @@ def _hot_full_join(left, right, hot, keys, common, lcols, rcols, rows_per_task)
     l, r = lm.alias("__l"), rm.alias("__r")
     cond = reduce(lambda a, b: a & b, [_q("__l", k).eqNullSafe(_q("__r", k)) for k in keys]
                   + [_q("__l", "__k") == _q("__r", "__k")])
-    pairs = l.join(r, cond, "inner").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), _q("__l", "__ml") * _q("__r", "__mr"))))
-    both = pairs.select(_output_columns(lcols, rcols, keys, common,
-                                        lambda c: _q("__l", c), lambda c: _q("__r", c)))
+    # ml x mr copies of each pair of distinct rows: dealt out in blocks, then expanded
+    pairs = l.join(r, cond, "inner").select(
+        *_output_columns(lcols, rcols, keys, common, lambda c: _q("__l", c), lambda c: _q("__r", c)),
+        (_q("__l", "__ml") * _q("__r", "__mr")).alias("__n"))
+    names = [c for c in pairs.columns if c != "__n"]
+    blocks = pairs.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / COPIES))))
+    blocks = blocks.repartition("__block", F.xxhash64(*[col(c) for c in names]))
+    here = F.least(F.lit(COPIES).cast("long"), F.col("__n") - F.col("__block") * COPIES)
+    both = (blocks.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), here)))
+            .select(*[col(c) for c in names]))
     return lonly.unionByName(ronly).unionByName(both)
 
 
 def natural_full_join(left: DataFrame, right: DataFrame,
                       keys: Sequence[str] | None = None, split_hot_keys: bool = True,
-                      num_partitions: int | None = None, hot_min_rows: int = 0) -> DataFrame:
+                      num_partitions: int | None = None,
+                      hot_min_rows: int = HOT_FLOOR) -> DataFrame:
     """Full outer join on all common columns (or ``keys``), NULL matching NULL.
 
     Output columns: ``left``'s in order, then ``right``-only columns.  With an explicit
@@ -154,6 +174,7 @@ def natural_full_join(left: DataFrame, right: DataFrame,
     holding more rows than a balanced partition are found first (one aggregation) and
     joined by ``_hot_full_join`` instead.
     """
+    _check_case([left, right])
     common = common_columns(left, right)
     keys = list(common if keys is None else keys)
     _check_keys(left, right, keys)
@@ -196,62 +217,68 @@ def waves_disjoint(waves: Sequence[DataFrame], column: str) -> bool:
     return shared.limit(1).count() == 0
 
 
-def _any_hot_tuple(waves: Sequence[DataFrame], shared: Sequence[str], num_partitions: int) -> bool:
-    """Could any step of the fold meet a key with more rows than a balanced partition?
+def _tuple_hash(df: DataFrame, shared: Sequence[str]):
+    """64-bit hash of the shared columns; a NULL is a value of its own."""
+    return F.xxhash64(*[x for c in shared for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
 
-    Per shared tuple the fold holds at most the product of its per-wave row counts
-    (every duplicate matching every duplicate), so the largest product — not just the
-    largest count — is compared with the threshold.  Partial/final aggregations only.
-    """
-    cols = [F.col(f"`{c}`") for c in shared]
-    tagged = reduce(DataFrame.unionByName,
-                    [w.select(*cols, F.lit(i).alias("__w")) for i, w in enumerate(waves)])
-    per_wave = tagged.groupBy(*cols, "__w").agg(F.count(F.lit(1)).alias("__n"))
-    per_tuple = per_wave.groupBy(*cols).agg(
-        F.sum("__n").alias("__rows"), F.exp(F.sum(F.log("__n"))).alias("__bound"))
-    stats = per_tuple.agg(F.sum("__rows").alias("total"),
-                          F.max("__bound").alias("largest")).first()
-    if not stats or stats["total"] is None:
-        return False
-    return stats["largest"] > stats["total"] // max(num_partitions, 1) + 0.5
+
+def _met_again(waves: Sequence[DataFrame], shared: Sequence[str]) -> DataFrame:
+    """(__t): hashes of shared tuples that occur in more than one wave.
+
+    Only hashes are shuffled, one a wave and map task at most.  A chance collision only
+    sends rows to the join that would also have been right in the stack."""
+    tagged = reduce(DataFrame.unionByName, [
+        w.select(_tuple_hash(w, shared).alias("__t"), F.lit(i).alias("__w")) for i, w in enumerate(waves)])
+    return (tagged.groupBy("__t").agg(F.min("__w").alias("a"), F.max("__w").alias("b"))
+            .where("a < b").select("__t"))
 
 
 def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
                disjoint_on: str | None = None, split_hot_keys: bool = True,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, hot_min_rows: int = HOT_FLOOR) -> DataFrame:
     """``natural_full_join`` folded left to right over the waves.
 
     ``disjoint_on`` names a shared column whose values never repeat across waves; when
     the check confirms it, the fold is computed as a stack instead (same rows, no
     shuffle).
 
-    Skew: every step's key set contains the columns shared by all waves, and a finer
-    key can only hold fewer rows, so one up-front count on the shared columns (over all
-    waves) shows whether any step can meet a hot key.  If none can, the steps are plain
-    chained joins.  Otherwise each step finds and splits its own hot keys, and each
-    intermediate fold is written as a table in the shared checkpoint folder so the next
-    step's count and join read it instead of recomputing every earlier join.  The
-    up-front count bounds duplicate fan-out too: a tuple's rows after the fold are at
-    most the product of its per-wave counts.
+    Every step's key set contains the columns shared by all waves.  A row whose shared
+    tuple occurs in its own wave only can match nowhere and goes straight to the stack; only
+    the others are joined, step by step.  Which tuples occur again is found by one
+    aggregation of their hashes, written to the shared checkpoint folder.  Of the rows that
+    are joined, hot key tuples are split at each step (``natural_full_join``), and each
+    intermediate result is written, so the next step reads it instead of recomputing every
+    earlier join.  With an explicit ``keys`` list all rows are joined.
     """
     waves = list(waves)
     if len(waves) == 1:
         return waves[0]
+    _check_case(waves)
     if disjoint_on is not None and keys is None and waves_disjoint(waves, disjoint_on):
         _check_types(waves)
         return stack_waves(waves)
     n = num_partitions or int(waves[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if split_hot_keys:
-        shared = list(keys) if keys is not None else [
-            c for c in waves[0].columns if all(c in w.columns for w in waves[1:])]
-        if shared and not _any_hot_tuple(waves, shared, n):
-            split_hot_keys = False
-    acc = waves[0]
-    for i, wave in enumerate(waves[1:], start=1):
-        acc = natural_full_join(acc, wave, keys, split_hot_keys=split_hot_keys, num_partitions=n)
-        if split_hot_keys and i < len(waves) - 1:
-            acc = cut_lineage(acc, "wave-fold")
-    return acc
+
+    def chained(parts: Sequence[DataFrame]) -> DataFrame:
+        acc = parts[0]
+        for i, wave in enumerate(parts[1:], start=1):
+            acc = natural_full_join(acc, wave, keys, split_hot_keys=split_hot_keys,
+                                    num_partitions=n, hot_min_rows=hot_min_rows)
+            if split_hot_keys and i < len(parts) - 1:
+                acc = cut_lineage(acc, "wave-fold")
+        return acc
+
+    shared = [c for c in waves[0].columns if all(c in w.columns for w in waves[1:])]
+    if keys is not None or not shared:
+        return chained(waves)
+    _check_types(waves)
+    again = cut_lineage(_met_again(waves, shared), "wave-tuples")
+    some = bounded_broadcast(again, MAX_TUPLES)
+    if again.isEmpty():
+        return stack_waves(waves)
+    split = lambda w, how: w.join(some, _tuple_hash(w, shared) == F.col("__t"), how)
+    alone = stack_waves([split(w, "left_anti") for w in waves])
+    return alone.unionByName(chained([split(w, "left_semi") for w in waves]))
 
 
 def _check_types(waves: Sequence[DataFrame]) -> None:
