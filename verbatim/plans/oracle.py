@@ -117,21 +117,25 @@ menu AS (
          CASE WHEN num = 5 THEN code || '.1' ELSE code END AS code,
          CASE WHEN num = 9 AND view = 'responses' THEN 'bigram' ELSE view END AS href_view,
          CASE WHEN num = 7 AND view = 'bigram' THEN num + 1
-              WHEN num = 1 AND view = 'responses' THEN 0 ELSE num END AS page_num
+              WHEN num = 1 AND view = 'responses' THEN 0
+              WHEN num = 13 AND view = 'responses' THEN NULL ELSE num END AS page_num,
+         CASE WHEN num = 11 AND view = 'bigram' THEN 'other'
+              WHEN num = 12 AND view = 'bigram' THEN NULL ELSE panel END AS href_panel
   FROM expected WHERE num <> 3),
 sizes AS (SELECT panel, count(*) AS n_questions FROM dq GROUP BY panel),
 j AS (
   SELECT coalesce(m.panel, e.panel) AS panel, coalesce(m.section_view, e.view) AS view,
-         coalesce(m.code, e.code) AS code, e.num, m.page_num, m.href_view,
+         coalesce(m.code, e.code) AS code, e.num, m.page_num, m.href_view, m.href_panel,
          m.panel IS NOT NULL AS in_menu, e.panel IS NOT NULL AS known
   FROM menu m FULL JOIN expected e
     ON m.panel = e.panel AND m.code = e.code AND m.section_view = e.view)
 SELECT j.panel, view, code, num, page_num,
        CASE WHEN NOT in_menu THEN 'missing_in_menu'
             WHEN NOT known THEN 'unknown_code'
-            WHEN page_num < 1 OR page_num > n_questions THEN 'page_out_of_range'
-            WHEN href_view <> view THEN 'wrong_view'
-            WHEN page_num <> num THEN 'wrong_page'
+            WHEN href_panel IS DISTINCT FROM j.panel THEN 'wrong_panel'
+            WHEN page_num IS NULL OR page_num < 1 OR page_num > n_questions THEN 'page_out_of_range'
+            WHEN href_view IS DISTINCT FROM view THEN 'wrong_view'
+            WHEN page_num IS DISTINCT FROM num THEN 'wrong_page'
             ELSE 'ok' END AS status
 FROM j LEFT JOIN sizes USING (panel)
 """
@@ -166,8 +170,12 @@ ORACLE_SQL = {
                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "responses_by_question": f"""
         WITH q(code, question_num) AS (VALUES {", ".join(f"({_lit(c)}, {i + 1})" for i, c in enumerate(SV_QUESTIONS))})
-        SELECT d.doc_id, d.source AS question, 'docs' AS panel, CAST(q.question_num AS INTEGER) AS question_num
-        FROM documents d JOIN q ON d.source = q.code""",
+        SELECT d.doc_id, d.source AS question, CASE WHEN q.code IS NOT NULL THEN 'docs' END AS panel,
+               CAST(q.question_num AS INTEGER) AS question_num,
+               CASE WHEN q.code IS NOT NULL THEN 'Answers since ' || t.first_id END AS question_text,
+               'Question ' || q.question_num AS title
+        FROM documents d LEFT JOIN q ON d.source = q.code
+        LEFT JOIN (SELECT source, min(doc_id) AS first_id FROM documents GROUP BY source) t ON t.source = d.source""",
     "question_code_numbers": r"""
         SELECT question, TRY_CAST(regexp_extract(question, '(\d+)', 1) AS INTEGER) AS code_num
         FROM (SELECT DISTINCT source AS question FROM documents)""",
@@ -221,9 +229,8 @@ ORACLE_SQL = {
         c AS (SELECT c_custkey, {_zip('c_custkey')} AS zip FROM customer)
         SELECT c.c_custkey, c.zip, s.State FROM c LEFT JOIN s ON c.zip = s.zip""",
     "lookup_left": """
-        SELECT c.c_custkey, c.c_nationkey, n.n_name FROM customer c
-        LEFT JOIN (SELECT n_nationkey, n_name FROM nation JOIN region ON n_regionkey = r_regionkey
-                   WHERE r_name IN ('AMERICA', 'EUROPE')) n ON c.c_nationkey = n.n_nationkey""",
+        SELECT c.c_custkey, c.c_nationkey, s.s_name FROM customer c
+        LEFT JOIN supplier s ON c.c_custkey = s.s_suppkey""",
     "flag_priority": _flag_sql(),
     "label_decode": f"""
         SELECT doc_id, {_case('quality', PARTIAL_LABELS['quality'])} AS quality,
@@ -249,4 +256,21 @@ ORACLE_SQL = {
                panel || '_responses_' || CAST(num AS VARCHAR) AS responses_page
         FROM dq""",
     "catalog_audit": _AUDIT,
+    "bigram_sorted_counts": f"""WITH {_BIGRAMS} SELECT *, row_number() OVER (
+        PARTITION BY question ORDER BY n DESC, word1, word2) AS place FROM counts""",
+    "label_decode_double": f"""
+        SELECT doc_id, {_case('quality + toxic / 2.0', SV_LABELS['quality'])} AS quality,
+               {_case('toxic', SV_LABELS['toxic'])} AS toxic FROM labels""",
+    "response_view_contains": """
+        SELECT doc_id, lang, text AS response FROM documents
+        WHERE source = 'src3' AND contains(lower(text), 'token') AND lang IN ('en', 'de')""",
+    "wave_full_join_keys": """
+        WITH side AS (SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS segment, c_nationkey,
+                             CAST(floor(c_custkey / 50.0) AS BIGINT) AS block FROM customer),
+        a AS (SELECT segment, c_nationkey, count(*) AS left_rows, max(block) AS left_block
+              FROM side WHERE c_nationkey < 15 GROUP BY segment, c_nationkey),
+        b AS (SELECT segment, c_nationkey, block AS right_block FROM side WHERE c_nationkey >= 5)
+        SELECT coalesce(a.segment, b.segment) AS segment, coalesce(a.c_nationkey, b.c_nationkey) AS c_nationkey,
+               left_rows, left_block, right_block
+        FROM a FULL JOIN b ON a.segment IS NOT DISTINCT FROM b.segment AND a.c_nationkey = b.c_nationkey""",
 }

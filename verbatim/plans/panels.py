@@ -27,7 +27,6 @@ class PanelConfig:
     child_count_col: str | None = None                  # household only
     flag_prefix: str | None = None                      # provider only
     provider_rules: tuple = ()                          # (label, flag suffixes), first wins
-    extra_cols: tuple[str, ...] = ()                    # other demographics kept as is
     tiebreak: str | None = None                         # order inside a week
     languages: tuple[str, ...] | None = None            # optional language filter (F2)
 
@@ -85,7 +84,6 @@ EC = PanelConfig(
     demographics=("State", "below_1_5x_fpl", "zip", "Language", "RaceGroup", "CaregiverAge",
                   "child_0_3"),
     language_labels=LANGUAGE_LABELS, child_count_col="DEMO_004_a_2",
-    extra_cols=("RaceGroup", "CaregiverAge"),
 )
 
 CC = PanelConfig(
@@ -95,7 +93,7 @@ CC = PanelConfig(
     carried=("State", "below_1_5x_fpl", "zip", "RaceGroup", "provider_type", "Language"),
     demographics=("State", "below_1_5x_fpl", "zip", "RaceGroup", "provider_type", "Language"),
     language_labels=LANGUAGE_LABELS, flag_prefix="CC_DEMO_013_",
-    provider_rules=PROVIDER_RULES, extra_cols=("RaceGroup",),
+    provider_rules=PROVIDER_RULES,
 )
 
 

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbatim.operators.audit import question_dimension
+from verbatim.functions.keys import page_title
+from verbatim.operators.audit import MAX_VARIABLES, question_dimension
+from verbatim.operators.broadcast import bounded_broadcast
 from verbatim.operators.graph import BigramNetwork, bigram_network
 from verbatim.operators.thresholds import DEFAULT_RULE, PercentileRule
 from verbatim.plans.panels import PanelConfig
@@ -25,10 +27,17 @@ def panel_network(long: DataFrame, cfg: PanelConfig, stop=None,
 
 
 def attach_questions(df: DataFrame, questions: DataFrame) -> DataFrame:
-    """Add ``panel, question_num`` by code; the dimension is config-sized."""
+    """Add ``panel, question_num, question_text, title`` by code.
+
+    A code outside the list is an error of the caller's question list, so its rows are kept
+    with NULLs rather than lost.  Broadcast only behind a size check.
+    """
+    text = F.col("text") if "text" in questions.columns else F.lit(None).cast("string")
     dim = questions.select("panel", F.col("code").alias("question"),
-                           F.col("num").alias("question_num"))
-    return df.join(F.broadcast(dim), "question", "inner")
+                           F.col("num").alias("question_num"),
+                           F.coalesce(text, F.col("code")).alias("question_text"),
+                           page_title(F.col("num")).alias("title"))
+    return df.join(bounded_broadcast(dim, MAX_VARIABLES), "question", "left")
 
 
 def responses_by_question(long: DataFrame, questions: DataFrame,

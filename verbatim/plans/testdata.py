@@ -15,14 +15,14 @@ Every query reads whole tables; nothing is sampled, capped or filtered by id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verbatim.functions.keys import code_number
 from verbatim.functions.recode import child_flag, first_true, recode_map
 from verbatim.functions.zipcodes import normalize_zip
 from verbatim.operators.audit import catalog_audit, number_questions, question_index
-from verbatim.operators.bigrams import bigram_occurrences
+from verbatim.operators.bigrams import bigram_occurrences, sort_counts
 from verbatim.operators.decode import decode_values
 from verbatim.operators.fill import fill_forward
 from verbatim.operators.graph import bigram_network
@@ -40,6 +40,8 @@ SV_QUESTIONS = tuple(f"src{i}" for i in range(20))
 SV_LANGUAGE = {"en": "English", "es": "Spanish"}
 SV_LABELS = {"quality": {0: "low", 1: "high"}, "toxic": {0: "no", 1: "yes"}}
 PARTIAL_LABELS = {"quality": {1: "high"}, "toxic": {0: "clean", 1: "toxic"}}
+ROLES = ("assistant", "system", "user")
+YEARS = tuple(range(1995, 2002))
 FLAG_NUMBERS = (1, 2, 3, 4, 5, 6, 8, 9, 10, 11, 12, 13)
 QUESTION_PATTERN = "^src1[0-9]?$"
 
@@ -53,31 +55,50 @@ def responses(spark, d) -> DataFrame:
         "doc_id", F.col("source").alias("question"), F.col("text").alias("response"))
 
 
+def few_splits(scan: DataFrame) -> int | None:
+    """Partitions to deal a scan out to before tokenising, or None if the scan itself has as
+    many splits as there are cores (the case for any large table)."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return 2 * cores if scan.rdd.getNumPartitions() < cores else None
+
+
+def _network(spark, d, **options):
+    answers = responses(spark, d)
+    return bigram_network(answers, partitions=few_splits(answers), **options)
+
+
 # ---------------------------------------------------------------- bigram network
 def bigram_network_edges(spark, d):
-    return bigram_network(responses(spark, d)).edges
+    return _network(spark, d).edges
 
 
 def bigram_network_vertices(spark, d):
-    return bigram_network(responses(spark, d)).vertices
+    return _network(spark, d).vertices
 
 
 def bigram_counts(spark, d):
-    return bigram_network(responses(spark, d)).counts
+    return _network(spark, d).counts
+
+
+def bigram_sorted_counts(spark, d):
+    """O2: counts in output order, each with its place among its question's."""
+    place = Window.partitionBy("question").orderBy(F.desc("n"), "word1", "word2")
+    return sort_counts(_network(spark, d).counts.withColumn("place", F.row_number().over(place)))
 
 
 def bigram_thresholds(spark, d):
-    return bigram_network(responses(spark, d)).cuts
+    return _network(spark, d).cuts
 
 
 def bigram_counts_stop_table(spark, d):
     """Stop words given as a table: two broadcast left-anti joins instead of ``InSet``."""
     table_words = stop_words(spark, ENGLISH_STOP_WORDS)
-    return bigram_network(responses(spark, d), stop=table_words).counts
+    return _network(spark, d, stop=table_words).counts
 
 
 def bigram_tokens(spark, d):
-    return bigram_occurrences(responses(spark, d), keep=["doc_id"])
+    answers = responses(spark, d)
+    return bigram_occurrences(answers, keep=["doc_id"], partitions=few_splits(answers))
 
 
 # ---------------------------------------------------------------- panel stand-in
@@ -117,9 +138,17 @@ def panel_language_filter(spark, d):
     return out.select("respondent_id", "wave", "doc_id", "question", "quality", "toxic")
 
 
+def _known(df: DataFrame, column: str, values) -> DataFrame:
+    """``df``, after a check that no row has another value: a wide layout would lose it."""
+    stray = df.where(F.col(column).isNotNull() & ~F.col(column).isin(list(values))).limit(1).collect()
+    if stray:
+        raise ValueError(f"{column} {stray[0][column]!r} is not among the configured values")
+    return df
+
+
 def sv_wide(spark, d) -> DataFrame:
     """One row per (respondent, wave) with one text column per question."""
-    sv = sv_panel(spark, d)
+    sv = _known(sv_panel(spark, d), "question", SV_QUESTIONS)
     qcols = [F.when(F.col("question") == q, F.col("response")).alias(q) for q in SV_QUESTIONS]
     return sv.select("respondent_id", "wave", "consent", "language", "quality", "toxic", *qcols)
 
@@ -137,9 +166,11 @@ def panel_response_table(spark, d):
 
 
 def panel_bigram_edges(spark, d):
-    """Entry 1 then Entry 2: the bigram network of every question of the long table."""
-    long = panel_response_table(spark, d)
-    return bigram_network(long, questions=list(SV_QUESTIONS)).edges
+    """Entry 1 then Entry 2: the bigram network of every question of the long table.
+
+    The network needs no demographics, so the gated answers are taken without the fill."""
+    long = sv_panel(spark, d).where(F.col("consent") == 1).select("question", "response")
+    return bigram_network(long, partitions=few_splits(table(spark, d, "documents"))).edges
 
 
 def event_fill_forward(spark, d):
@@ -163,7 +194,7 @@ def event_fill_forward_skewed(spark, d):
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("last_purchase"),
         F.when(F.col("event_type") == "signup", F.col("event_id")).alias("last_signup_event"))
     out = fill_forward(ev, "user_id", "ts", ["last_purchase", "last_signup_event"],
-                       tiebreak="event_id")
+                       tiebreak="event_id", hot_min_rows=0)
     return out.select("event_id", "user_id", "event_type", "last_purchase", "last_signup_event")
 
 
@@ -174,8 +205,8 @@ def unpivot_codes(spark, d):
 
 def unpivot_text(spark, d):
     conv = table(spark, d, "conversations")
-    roles = sorted(r[0] for r in conv.select("role").distinct().where("role IS NOT NULL").collect())
-    wide = conv.select("conv_id", "turn",
+    roles = list(ROLES)
+    wide = _known(conv, "role", roles).select("conv_id", "turn",
                        *[F.when(F.col("role") == r, F.col("text")).alias(r) for r in roles])
     return unpivot_responses(wide, ["conv_id", "turn"], roles)
 
@@ -194,11 +225,16 @@ def wave_full_join(spark, d):
 
 
 def _yearly_waves(spark, d) -> list[DataFrame]:
-    o = _orders(spark, d).withColumn("__y", F.year("o_orderdate"))
-    years = sorted(r[0] for r in o.select("__y").distinct().collect())
-    base = ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"]
-    return [o.where(F.col("__y") == y).select(*base, "o_orderstatus" if y % 2 else "o_orderpriority")
-            for y in years]
+    """One wave a year, each a date range that reaches the scan; together all rows."""
+    o = table(spark, d, "orders")
+    when, kind = F.col("o_orderdate"), o.schema["o_orderdate"].dataType
+    base = ["o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_totalprice"]
+    waves = []
+    for y in YEARS:
+        after = when >= F.lit(f"{y}-01-01 00:00:00").cast(kind) if y > YEARS[0] else F.lit(True)
+        before = when < F.lit(f"{y + 1}-01-01 00:00:00").cast(kind) if y < YEARS[-1] else F.lit(True)
+        waves.append(o.where(after & before).select(*base, "o_orderstatus" if y % 2 else "o_orderpriority"))
+    return waves
 
 
 def wave_fold(spark, d):
@@ -235,13 +271,11 @@ def zip_lookup_parity(spark, d):
                         gazetteer_states(_order_gazetteer(spark, d), dedupe=False))
 
 
-def lookup_left_nation(spark, d):
-    nation = table(spark, d, "nation").join(table(spark, d, "region"),
-                                            F.col("n_regionkey") == F.col("r_regionkey"))
-    covered = nation.where(F.col("r_name").isin("AMERICA", "EUROPE")).select(
-        F.col("n_nationkey").alias("c_nationkey"), "n_name")
+def lookup_left_supplier(spark, d):
+    """Customers and the supplier with their number; there are fewer suppliers."""
+    supplier = table(spark, d, "supplier").select(F.col("s_suppkey").alias("c_custkey"), "s_name")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    return lookup_left(c, covered, "c_nationkey", max_broadcast_rows=100_000)
+    return lookup_left(c, supplier, "c_custkey", max_broadcast_rows=100_000)
 
 
 def _flags(spark, d) -> DataFrame:
@@ -263,6 +297,15 @@ def label_decode(spark, d):
     return decode_values(table(spark, d, "labels"), PARTIAL_LABELS, exclude=["doc_id"])
 
 
+def label_decode_double(spark, d):
+    """Codes held as doubles, some fractional, against a codebook table."""
+    doc = table(spark, d, "labels").select("doc_id", (F.col("quality") + F.col("toxic") / 2).alias("quality"),
+                                           F.col("toxic").cast("double").alias("toxic"))
+    rows = [(v, str(c), l) for v, m in SV_LABELS.items() for c, l in m.items()]
+    book = spark.createDataFrame(rows, "variable string, code string, label string")
+    return decode_values(doc, book, exclude=["doc_id"])
+
+
 def prefix_projection(spark, d):
     c = select_prefix(table(spark, d, "customer"), "C_")
     return c.drop("c_acctbal").withColumnsRenamed({"c_name": "customer_name"})
@@ -288,6 +331,23 @@ def response_view_page(spark, d):
                          page=1, page_size=10)
 
 
+def response_view_contains(spark, d):
+    """the case-insensitive text filter, all pages."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", F.col("source").alias("question"), F.col("text").alias("response"))
+    return response_view(docs, question="src3", filters={"response": ("contains", "Token"), "lang": ("in", ["en", "de"])},
+                         order_by=[("doc_id", True)], page_size=None)
+
+
+def wave_full_join_keys(spark, d):
+    """J1 on few values, so that key tuples repeat on both sides and NULLs meet NULLs."""
+    c = table(spark, d, "customer")
+    none = F.when(F.col("c_custkey") % 7 == 0, F.lit(None)).otherwise(F.col("c_mktsegment"))
+    side = c.select(none.alias("segment"), "c_nationkey", F.floor(F.col("c_custkey") / 50).alias("block"))
+    a = side.where("c_nationkey < 15").groupBy("segment", "c_nationkey").agg(F.count("*").alias("left_rows"), F.max("block").alias("left_block"))
+    b = side.where("c_nationkey >= 5").select("segment", "c_nationkey", F.col("block").alias("right_block"))
+    return natural_full_join(a, b, hot_min_rows=0)
+
+
 def _doc_questions(spark, d) -> DataFrame:
     return number_questions(table(spark, d, "documents").select(F.col("source").alias("code")),
                             "docs")
@@ -300,9 +360,12 @@ def question_index_docs(spark, d):
 
 def responses_by_question(spark, d):
     """Responses keyed by the configured question list (page number by code)."""
-    q = question_dimension(spark, "docs", list(SV_QUESTIONS))
+    docs = table(spark, d, "documents")
+    texts = docs.groupBy(F.col("source").alias("variable")).agg(
+        F.concat(F.lit("Answers since "), F.min("doc_id")).alias("label")).withColumn("panel", F.lit("docs"))
+    q = question_dimension(spark, "docs", list(SV_QUESTIONS), texts)
     return attach_questions(responses(spark, d), q).select(
-        "doc_id", "question", "panel", "question_num")
+        "doc_id", "question", "panel", "question_num", "question_text", "title")
 
 
 def question_code_numbers(spark, d):
@@ -322,7 +385,10 @@ def derived_menu(questions: DataFrame) -> DataFrame:
         F.when(num == 5, F.concat(F.col("code"), F.lit(".1"))).otherwise(F.col("code")).alias("code"),
         F.when((num == 9) & (view == "responses"), F.lit("bigram")).otherwise(view).alias("href_view"),
         F.when((num == 7) & (view == "bigram"), num + 1)
-         .when((num == 1) & (view == "responses"), F.lit(0)).otherwise(num).alias("page_num"))
+         .when((num == 1) & (view == "responses"), F.lit(0))
+         .when((num == 13) & (view == "responses"), F.lit(None)).otherwise(num).alias("page_num"),
+        F.when((num == 11) & (view == "bigram"), F.lit("other"))
+         .when((num == 12) & (view == "bigram"), F.lit(None)).otherwise(F.col("panel")).alias("href_panel"))
 
 
 def catalog_audit_docs(spark, d):
@@ -334,6 +400,7 @@ QUERIES = {
     "bigram_network_edges": bigram_network_edges,
     "bigram_network_vertices": bigram_network_vertices,
     "bigram_counts": bigram_counts,
+    "bigram_sorted_counts": bigram_sorted_counts,
     "bigram_thresholds": bigram_thresholds,
     "bigram_tokens": bigram_tokens,
     "bigram_counts_stop_table": bigram_counts_stop_table,
@@ -346,18 +413,21 @@ QUERIES = {
     "unpivot_codes": unpivot_codes,
     "unpivot_text": unpivot_text,
     "wave_full_join": wave_full_join,
+    "wave_full_join_keys": wave_full_join_keys,
     "wave_fold": wave_fold,
     "wave_stack": wave_stack,
     "zip_normalise": zip_normalise,
     "zip_lookup": zip_lookup,
     "zip_lookup_parity": zip_lookup_parity,
-    "lookup_left": lookup_left_nation,
+    "lookup_left": lookup_left_supplier,
     "flag_priority": flag_priority,
     "label_decode": label_decode,
+    "label_decode_double": label_decode_double,
     "prefix_projection": prefix_projection,
     "restricted_enrich": restricted_enrich,
     "question_regex": question_regex,
     "response_view": response_view_page,
+    "response_view_contains": response_view_contains,
     "question_index": question_index_docs,
     "catalog_audit": catalog_audit_docs,
     "responses_by_question": responses_by_question,
