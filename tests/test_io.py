@@ -72,3 +72,33 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
         checkpoint_dir(fake)
     fake.conf = SimpleNamespace(get=lambda key, default=None: "hdfs://shared/ckpt")
     assert checkpoint_dir(fake) == "hdfs://shared/ckpt"
+
+
+def test_waves_with_one_stem(spark, tmpdir_fresh):
+    import pytest
+    paths = [os.path.join(tmpdir_fresh, y, "ec.parquet") for y in ("2020", "2021")]
+    for i, p in enumerate(paths):
+        spark.range(i + 1).write.parquet(p)
+    with pytest.raises(ValueError, match="two wave files"):
+        read_waves(spark, paths)
+    both = read_waves(spark, {"w20": paths[0], "w21": paths[1]})
+    assert [w.count() for w in both.values()] == [1, 2]
+
+
+def test_lineage_tables_are_deleted(spark):
+    from verbatim.session import cut_lineage, lineage_tables
+    with lineage_tables(spark) as made:
+        assert cut_lineage(spark.range(5)).count() == 5
+    assert len(made) == 1 and not os.path.exists(made[0].removeprefix("file:"))
+
+
+def test_codes_compare_as_numbers(spark):
+    from verbatim.operators.decode import decode_values
+    df = spark.createDataFrame([(1.0, "1", 1), (1.5, "x", 2), (None, " 2.0", None), (2.0, "abc", 7)], "a double, b string, c int")
+    codes = {c: {1: "one", 2: "two"} for c in "abc"}
+    codes["b"] = {"1": "one", "2": "two", "abc": "letters"}
+    table = spark.createDataFrame([(v, str(k), l) for v, m in codes.items() for k, l in m.items()], "variable string, code string, label string")
+    want = [("one", "one", "one"), (None, None, "two"), (None, "two", None), ("two", "letters", None)]
+    for labels in (codes, table):
+        assert sorted(map(str, map(tuple, decode_values(df, labels).collect()))) == sorted(map(str, want))
+    assert decode_values(df, table, exclude=["a"]).select("a").collect() == df.select("a").collect()

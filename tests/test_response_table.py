@@ -29,7 +29,7 @@ def test_household_flow(spark):
     ], EC_SCHEMA)
     master = fold_waves([w20, w21], disjoint_on="Week")
     labels = {"FPL.2019.150": {0: "No", 1: "Yes"}, "RaceGroup": {1: "White", 2: "Latinx"}}
-    long = build_response_table(master, EC, _gaz(spark), labels)
+    long = build_response_table(master, EC, _gaz(spark), labels, allow_missing=True)
     rows = {(r.CaregiverID, r.Week, r.question): r for r in long.collect()}
     # gate: c2's week-1 row is gated out, so nothing from it is carried forward
     assert ("c2", 1, "OPEN.001") not in rows
@@ -57,7 +57,7 @@ def test_provider_flow(spark):
     f1 = list(f); f1[4] = 1   # _5 → FFN
     df = spark.createDataFrame([("p1", 3, "EN", "30301", *f1, 1, 1, 1, "hello there friend"),
                                 ("p1", 4, "SPA", None, *f, 1, None, None, "more words here")], schema)
-    long = build_response_table(df, CC, _gaz(spark), None)
+    long = build_response_table(df, CC, _gaz(spark), None, allow_missing=True)
     got = sorted((r.Week, r.provider_type, r.Language, r.State) for r in long.collect())
     assert got == [(3, "FFN", "English", "GA"), (4, "FFN", "Spanish", "GA")]
 
@@ -74,7 +74,36 @@ def test_first_driver_config(spark):
               "CaregiverAge int, OPEN_001 string, OPEN_002 string, MH_013 string")
     df = spark.createDataFrame([("c1", 1, "EN", "30301", 0, 1, 1, 1, 1, "a b", "", "c d"),
                                 ("c2", 1, "SPA", "30301", 0, 1, 1, 1, 1, "e f", "g", "h")], schema)
-    long = build_response_table(df, cfg, _gaz(spark))
+    long = build_response_table(df, cfg, _gaz(spark), allow_missing=True)
     assert "Language" not in long.columns
     assert sorted((r.CaregiverID, r.question, r.State) for r in long.collect()) == [
         ("c1", "MH.013", "GA"), ("c1", "OPEN.001", "GA")]
+
+
+def test_missing_question_column_is_an_error(spark):
+    import pytest
+    from verbatim.plans.response_table import missing_columns
+    df = spark.createDataFrame([("c1", 1, "EN", 30301.0, 2, 1, 1, 1, 3, "a", "b")], EC_SCHEMA)
+    assert "OPEN_002" in missing_columns(df, EC) and "OPEN_001" not in missing_columns(df, EC)
+    with pytest.raises(ValueError, match="OPEN_002"):
+        build_response_table(df, EC, _gaz(spark))
+
+
+def test_same_week_tie_follows_wave_order(spark):
+    from verbatim.operators.harmonize import stack_waves
+    from verbatim.plans.response_table import with_order
+    rows = [("c1", 5, "EN", 30301.0, 2, 1, 1, 1, 3, "first", ""), ("c1", 5, "EN", None, None, 1, None, 2, None, "second", "")]
+    waves = [spark.createDataFrame([r], EC_SCHEMA) for r in rows]
+    for order in (waves, waves[::-1]):
+        long = build_response_table(stack_waves(with_order(order, EC)), EC, _gaz(spark), allow_missing=True)
+        got = {r.response: (r.RaceGroup, r.CaregiverAge) for r in long.collect()}
+        # only a later row of the week carries the age forward
+        assert got["first"] == ("1", "3") or got["first"] == (1, 3)
+        assert (got["second"][1] is not None) == (order is waves)
+
+
+def test_relookup_takes_state_from_the_carried_zip(spark):
+    df = spark.createDataFrame([("c1", 1, "EN", 30301.0, 2, 1, 1, 1, 3, "a", ""), ("c1", 2, "EN", None, None, 1, 1, 1, 3, "b", "")], EC_SCHEMA)
+    for relookup in (True, False):
+        long = build_response_table(df, EC, _gaz(spark), relookup=relookup, allow_missing=True)
+        assert {(r.Week, r.State, r.zip) for r in long.collect()} == {(1, "GA", "30301"), (2, "GA", "30301")}

@@ -7,7 +7,6 @@ Layout
 ``operators``  DataFrame -> DataFrame operators (wave harmonisation, lookup, decode,
                fill-forward, unpivot, bigram network, thresholds, views, catalog audit)
 ``plans``      end-to-end panel flows and the test-table query registry
-``streaming``  landing-folder refresh that re-runs the batch flow per new wave file
 """
 
 __version__ = "0.1.0"

@@ -5,7 +5,8 @@
         --variable-labels data/variable_labels.parquet --catalog data/menu.json --out out/
 
 Writes ``out/responses``, ``out/edges``, ``out/vertices`` (partitioned by panel and
-question number), ``out/question_index`` and, with ``--catalog``, ``out/catalog_audit``.
+question number), ``out/question_index`` and, with ``--catalog``, ``out/catalog_audit``; each
+run replaces its own panel only.
 Runs on whatever cluster ``spark-submit`` provides; ``--master`` is for local use.
 """
 
@@ -13,17 +14,20 @@ from __future__ import annotations
 
 import argparse
 
-from verbatim.functions.names import rename_dotted
+from pyspark.sql import functions as F
+
 from verbatim.operators.audit import catalog_audit, question_dimension, question_index
 from verbatim.operators.graph import bigram_network
-from verbatim.operators.harmonize import fold_waves
+from verbatim.operators.harmonize import fold_waves, stack_waves, waves_disjoint
 from verbatim.plans import panels
-from verbatim.plans.response_table import build_response_table
-from verbatim.plans.sinks import write_network, write_responses
-from verbatim.session import get_spark
+from verbatim.plans.response_table import build_response_table, missing_columns, with_order
+from verbatim.plans.sinks import panels_of, write_by_panel, write_network, write_responses
+from verbatim.session import get_spark, lineage_tables
 from verbatim.sources.catalog import read_catalog
 from verbatim.sources.codebook import read_value_labels, read_variable_labels
 from verbatim.sources.gazetteer import read_gazetteer
+from verbatim.sources.stopwords import read_stop_words
+from verbatim.sources.waves import wave_columns, read_waves
 
 CONFIGS = {
     "ec": lambda cols: panels.EC,
@@ -47,6 +51,12 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--parity", action="store_true", help="reference zip handling exactly")
     p.add_argument("--disjoint-on", default="Week",
                    help="column whose values never repeat across waves (stack instead of join)")
+    p.add_argument("--stop-words", help="stop-word table with a column word (Parquet)")
+    p.add_argument("--language", nargs="+", help="language codes to keep (default: the panel's)")
+    p.add_argument("--relookup", action="store_true",
+                   help="look State up from the carried zip instead of carrying both")
+    p.add_argument("--allow-missing", action="store_true",
+                   help="report configured columns that the waves lack instead of failing")
     p.add_argument("--master", help="e.g. local[8]; omit under spark-submit")
     return p.parse_args(argv)
 
@@ -54,23 +64,38 @@ def parse_args(argv=None) -> argparse.Namespace:
 def main(argv=None, spark=None) -> None:
     a = parse_args(argv)
     spark = spark or get_spark(a.master)
-    raw = [spark.read.format(a.format).load(path) for path in a.waves]
-    original_columns = list(dict.fromkeys(c for w in raw for c in w.columns))
-    cfg = CONFIGS[a.panel](original_columns)
-    master = fold_waves([rename_dotted(w) for w in raw], disjoint_on=a.disjoint_on)
+    waves = read_waves(spark, a.waves, fmt=a.format)
+    cfg = CONFIGS[a.panel](wave_columns(spark, a.waves, fmt=a.format))
+    frames = list(waves.values())
+    if waves_disjoint(frames, a.disjoint_on):  # no row can match across waves
+        master = stack_waves(with_order(frames, cfg))
+    else:
+        master = fold_waves(frames)
+    if a.allow_missing:
+        for c in missing_columns(master, cfg):
+            print(f"missing column: {c}")
     gaz = read_gazetteer(spark, a.gazetteer) if a.gazetteer else None
     labels = read_value_labels(spark, a.value_labels) if a.value_labels else None
     texts = read_variable_labels(spark, a.variable_labels) if a.variable_labels else None
 
-    long = build_response_table(master, cfg, gaz, labels, parity=a.parity)
+    long = build_response_table(master, cfg, gaz, labels, parity=a.parity, relookup=a.relookup,
+                                languages=tuple(a.language) if a.language else None,
+                                allow_missing=a.allow_missing)
     questions = question_dimension(spark, cfg.name, list(cfg.question_codes), texts)
+    panels = panels_of(questions)
     write_responses(long, questions, a.out)
-    write_network(bigram_network(long, questions=list(cfg.question_codes)), questions, a.out)
-    question_index(questions).write.mode("overwrite").parquet(f"{a.out}/question_index")
+    # the network reads the table just written: the waves are folded and filled once
+    done = spark.read.parquet(f"{a.out}/responses").where(F.col("panel") == cfg.name)
+    stop = read_stop_words(spark, a.stop_words) if a.stop_words else None
+    with lineage_tables(spark):
+        net = bigram_network(done.select("question", "response"), stop=stop,
+                             questions=list(cfg.question_codes))
+        write_network(net, questions, a.out)
+    write_by_panel(question_index(questions), f"{a.out}/question_index", panels)
     if a.catalog:
         audit = catalog_audit(read_catalog(spark, a.catalog).where(f"panel = '{cfg.name}'"),
                               questions)
-        audit.write.mode("overwrite").parquet(f"{a.out}/catalog_audit")
+        write_by_panel(audit, f"{a.out}/catalog_audit", panels)
 
 
 if __name__ == "__main__":

@@ -59,26 +59,32 @@ def question_index(questions: DataFrame) -> DataFrame:
 def catalog_audit(catalog: DataFrame, questions: DataFrame) -> DataFrame:
     """Q1: reconcile menu entries with the question list.
 
-    ``catalog``: ``panel, section_view, code, href_view, page_num`` (one row per entry).
+    ``catalog``: ``panel, section_view, code, href_view, page_num`` (one row per entry) and
+    ``href_panel`` where the link names one.
     ``questions``: ``panel, num, code``.
     Result: ``panel, view, code, num, page_num, status`` with status one of
-    ``ok / missing_in_menu / unknown_code / wrong_page / wrong_view / page_out_of_range``
-    (first that applies, in that order of checks: unknown code, range, view, page).
+    ``ok / missing_in_menu / unknown_code / wrong_panel / wrong_page / wrong_view /
+    page_out_of_range`` (first that applies, in that order of checks: unknown code, panel,
+    range, view, page).  A link without a page number is out of range, one without a panel
+    or view points to the wrong one.
     """
     expected = questions.select("panel", "num", "code",
                                 F.explode(F.array(*[F.lit(v) for v in VIEWS])).alias("view"),
                                 F.lit(True).alias("__e"))
     sizes = questions.groupBy("panel").agg(F.count(F.lit(1)).alias("n_questions"))
     menu = catalog.select("panel", F.col("section_view").alias("view"), "code",
-                          "href_view", "page_num", F.lit(True).alias("__m"))
+                          "href_view", "page_num", F.lit(True).alias("__m"),
+                          (F.col("href_panel") if "href_panel" in catalog.columns
+                           else F.col("panel")).alias("href_panel"))
     j = menu.alias("m").join(expected.alias("e"), ["panel", "code", "view"], "full")
     j = j.join(sizes, "panel", "left")
     status = (F.when(F.col("__m").isNull(), "missing_in_menu")
               .when(F.col("__e").isNull(), "unknown_code")
-              .when((F.col("page_num") < 1) | (F.col("page_num") > F.col("n_questions")),
+              .when(~F.col("href_panel").eqNullSafe(F.col("panel")), "wrong_panel")
+              .when(F.col("page_num").isNull() | (F.col("page_num") < 1) | (F.col("page_num") > F.col("n_questions")),
                     "page_out_of_range")
-              .when(F.col("href_view") != F.col("view"), "wrong_view")
-              .when(F.col("page_num") != F.col("num"), "wrong_page")
+              .when(~F.col("href_view").eqNullSafe(F.col("view")), "wrong_view")
+              .when(~F.col("page_num").eqNullSafe(F.col("num")), "wrong_page")
               .otherwise("ok"))
     return j.select("panel", "view", "code", "num", "page_num",
                     status.alias("status"))

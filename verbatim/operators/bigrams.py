@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from verbatim.functions.text import ngram_pairs, tokens
 from verbatim.operators.broadcast import bounded_broadcast
-from verbatim.operators.parallelism import spread_small_input
 from verbatim.sources.stopwords import ENGLISH_STOP_WORDS, MAX_BROADCAST_WORDS, stop_words
 
 
@@ -64,13 +63,19 @@ def _remove_keyed(pairs: DataFrame, stop: DataFrame, by: list[str]) -> DataFrame
 def bigram_occurrences(responses: DataFrame, question_col: str = "question",
                        response_col: str = "response", keep: Sequence[str] = (),
                        stop: DataFrame | Sequence[str] | None = None,
-                       stop_by: Sequence[str] = ()) -> DataFrame:
+                       stop_by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """One row per adjacent word pair occurrence: ``keep..., question, word1, word2``.
 
+    Tokenising is the costly step and runs where the input's rows are: a large input has
+    many splits.  ``partitions`` deals the responses out first, for an input of few splits
+    (one small file); only the columns used are moved.
+
     Responses that are NULL or ``""`` are skipped; responses with fewer than two
     tokens yield nothing.  Pairs never span two responses.
     """
-    src = spread_small_input(responses.where(F.col(response_col) != ""))
+    src = responses.where(F.col(response_col) != "").select(*dict.fromkeys([*keep, question_col, response_col]))
+    if partitions:
+        src = src.repartition(partitions)
     # Tokens are projected once and referenced by name: pairing reads the array four
     # times (two slices, two sizes), and the tokenizer must not run four times.
     toks = src.select(*[F.col(k) for k in keep], F.col(question_col).alias("question"),

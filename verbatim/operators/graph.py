@@ -37,7 +37,7 @@ def bigram_network(responses: DataFrame, question_col: str = "question",
                    stop: DataFrame | Sequence[str] | None = None,
                    rule: PercentileRule = DEFAULT_RULE,
                    questions: Sequence[str] | None = None,
-                   materialize: bool = True) -> BigramNetwork:
+                   materialize: bool = True, partitions: int | None = None) -> BigramNetwork:
     """V2 for all questions at once (or only ``questions``).
 
     ``questions`` (a known, bounded list) both prunes the input — the predicate reaches
@@ -51,7 +51,8 @@ def bigram_network(responses: DataFrame, question_col: str = "question",
     src = responses
     if questions is not None:
         src = src.where(F.col(question_col).isin(list(questions)))
-    counts = count_bigrams(bigram_occurrences(src, question_col, response_col, stop=stop))
+    counts = count_bigrams(bigram_occurrences(src, question_col, response_col, stop=stop,
+                                              partitions=partitions))
     if materialize:
         counts = cut_lineage(counts, "bigram-counts")
     cuts = percentile_cuts(counts, rule)

@@ -6,7 +6,7 @@ what the session already has.  ``get_spark`` exists for tests, the bench and loc
 
 from __future__ import annotations
 
-import os
+import contextlib
 import tempfile
 import uuid
 
@@ -47,9 +47,13 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     cannot read a folder on the driver's disk, so an unset value is an error there.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    one_machine = spark.sparkContext.master.startswith("local")
     if current:
+        if not one_machine and "://" not in current and not current.startswith("file:"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is {current!r}: on a cluster give a URI with "
+                               "a scheme (a mounted shared folder as file://...)")
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_machine:
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS/object store) "
                            "for lineage cuts on a cluster")
     path = fallback or tempfile.mkdtemp(prefix="verbatim-ckpt-")
@@ -68,8 +72,29 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/verbatim-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    for made in _open_scopes:
+        made.append(path)
     return spark.read.parquet(path)
 
 
-def default_parallelism_hint(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", str(os.cpu_count() or 8)))
+_open_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def lineage_tables(spark: SparkSession):
+    """Deletes the tables that ``cut_lineage`` made inside the block when it ends.
+
+    Put it round a whole flow up to its last write: results that still read the tables
+    must be written before the block ends.  Tables made outside of any block are the
+    caller's to delete with the checkpoint folder.
+    """
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield made
+    finally:
+        _open_scopes.remove(made)
+        jvm = spark.sparkContext._jvm
+        for path in made:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

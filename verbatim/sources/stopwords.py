@@ -39,3 +39,8 @@ def stop_words(spark: SparkSession, words: DataFrame | list[str] | None = None)
         return words.select(F.lower(F.col("word")).alias("word")).dropna().distinct()
     uniq = sorted({w.lower() for w in words})
     return spark.createDataFrame([(w,) for w in uniq], "word string")
+
+
+def read_stop_words(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A stop-word table with a column ``word`` (other columns, e.g. lexicon, are ignored)."""
+    return stop_words(spark, spark.read.format(fmt).load(path))
