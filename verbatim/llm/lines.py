@@ -2,16 +2,17 @@
 
 A line is the set of its lower-case words.  A line is removed if an earlier line, in order of
 (doc_id, text hash, line number), has a Jaccard similarity of at least ``SIMILARITY`` to it;
-lines without words stay.  The first line of each distinct set stands for the set.
+lines without words stay.  Lines equal but for case are one text, named by two 64-bit hashes
+(words by one; equal hashes of different texts are left to chance in 2^64).
 
-* Words are ordered by rarity: their frequency among distinct lines, counted in
+* Words are ordered by rarity: their frequency among all lines, counted in
   ``1 << RARITY_BITS`` hash bins (a table of fixed size), then their hash.
 * Prefix filter: similar sets share a word among the first ``n - ceil(t n) + 1`` of each; of
   the shorter set the first ``n - ceil(2 t n / (1 + t)) + 1`` are enough.
 * Length filter: the shorter set has at least ``t`` times the words of the longer.
 * Positional filter: the words after the shared one must still allow the overlap needed.
-* Parity bits: a word flips one of 64 bits of its line, so the bits in which two lines differ
-  are a lower bound of the words that only one of them has.
+* Parity bits: a word flips one of 64 bits of its line (and one of 64 others), so the bits
+  in which two lines differ are a lower bound of the words that only one of them has.
 * Verification: the words of the pairs left are intersected.
 
 A family of many near copies would make pairs with the square of its size.  So lines are
@@ -19,6 +20,9 @@ first compared only to the earliest and the one before them among those that sha
 their ``RARE`` rarest words; whoever has a match there is decided.  Only undecided lines are
 then joined with all others, so no link that decides about a line is lost.
 
+Texts are not shuffled: each line's few features are, and the lines of candidate pairs are
+looked up again in their documents.
+
 Defined results: a null text has no lines and stays null; an empty text has one line without
 words; rows equal in id and text are copies of which all lines but the first's go; a null id
 is before all others; an empty table gives an empty result; extra columns, whatever their
@@ -35,41 +39,33 @@ from verbatim.operators.broadcast import bounded_broadcast
 
 SIMILARITY = 0.8
 RARITY_BITS = 16
-RARE = 3
-MAX_IDS = 2_000_000  # ids (8 bytes each) that are broadcast; beyond, a shuffle join
+RARE = 2
+MAX_ROWS = 500_000  # rows of a few numbers that are broadcast; beyond, a shuffle join
 SPACE = r"[\x20\x09-\x0D]+"
-
-
-def words(line: Column) -> Column:
-    """The distinct lower-case words of a line."""
-    return F.array_distinct(F.filter(F.split(F.lower(line), SPACE), lambda w: w != ""))
+HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
 def text_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, no, line, k1, k2): every line that has words; (k1, k2) names its set."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
-    rows = rows.withColumn("set", F.sort_array(words(F.col("line")))).where(F.size("set") > 0)
-    return rows.select("doc_id", "h", "no", "line", F.xxhash64("set").alias("k1"), F.xxhash64("set", F.lit(1)).alias("k2"))
+    """(doc_id, h, no, line, k1, k2): every line that has words, in lower case."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split(F.lower("text"), "\n", -1)).alias("no", "line"))
+    return rows.where(F.col("line").rlike(HAS_WORD)).withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64("line", F.lit(1))})
 
 
-def distinct_sets(lines: DataFrame, tables: Tables) -> DataFrame:
-    """(id, k1, k2, first, line): each distinct set once, with its first line."""
-    first = F.min(F.struct("doc_id", "h", "no", "line"))
-    sets = lines.groupBy("k1", "k2").agg(first.alias("f"))
-    return tables.put(sets.select(F.monotonically_increasing_id().alias("id"), "k1", "k2",
-                                  F.struct("f.doc_id", "f.h", "f.no").alias("first"), F.col("f.line").alias("line")), "sets")
+def words(line: Column) -> Column:
+    """Hashes of the distinct words of a lower-case line."""
+    return F.array_distinct(F.array_remove(F.transform(F.split(line, SPACE), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
 
 
 def _bin(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(1 << RARITY_BITS)).cast("int")
+    return word.bitwiseAND((1 << RARITY_BITS) - 1).cast("int")
 
 
-def rarities(sets: DataFrame, tables: Tables) -> Column:
+def rarities(lines: DataFrame, tables: Tables) -> Column:
     """Array of the frequency of each hash bin, as a scalar subquery over a table of
     ``1 << RARITY_BITS`` rows."""
-    counts = sets.select(F.explode(words(F.col("line"))).alias("w")).groupBy(_bin(F.col("w")).alias("bin")).agg(F.count("*").alias("n"))
-    every = sets.sparkSession.range(1 << RARITY_BITS).select(F.col("id").cast("int").alias("bin"))
-    counts = tables.put(every.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n")), "rarity")
+    counts = lines.select(F.explode(words(F.col("line"))).alias("w")).groupBy(_bin(F.col("w")).alias("bin")).agg(F.count("*").alias("n"))
+    every = lines.sparkSession.range(1 << RARITY_BITS).select(F.col("id").cast("int").alias("bin"))
+    counts = tables.put(every.join(counts, "bin", "left").select("bin", F.least(F.coalesce("n", F.lit(0)), F.lit((1 << 31) - 1)).alias("n")), "rarity")
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("bin", "n"))), lambda x: x["n"])
     return counts.agg(in_order).scalar()
 
@@ -80,61 +76,82 @@ def _prefix(n: Column, t: float) -> Column:
     return (n - F.ceil(n * t - 1e-9) + 1).cast("int")
 
 
-def prefixes(sets: DataFrame, tables: Tables, t: float) -> DataFrame:
-    """(id, doc, n, bits, prefix): the rarest words' hashes of each set, in order."""
-    rows = sets.select("id", F.col("first.doc_id").alias("doc"), words(F.col("line")).alias("words"), rarities(sets, tables).alias("rarity"))
-    n = F.size("words")
-    ranked = F.sort_array(F.transform("words", lambda w: F.struct(F.get(F.col("rarity"), _bin(w)).alias("f"), F.hash(w).alias("w"))))
-    bits = F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(w, F.lit(7)), F.lit(64)).cast("int"))))
-    prefix = F.transform(F.slice(ranked, F.lit(1), _prefix(n, t)), lambda x: x["w"])
-    return tables.put(rows.select("id", "doc", n.alias("n"), bits.alias("bits"), prefix.alias("prefix")), "prefixes")
+def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
+    """(k1, doc, n, bits, more, prefix): each text's number of words, parity bits and rarest
+    words' hashes in order, with the least id of its documents."""
+    rows = lines.select("k1", "doc_id", words(F.col("line")).alias("w"), rarities(lines, tables).alias("rarity"))
+    n = F.size("w")
+    # rarity above, 32 bits of the hash below: one number to sort by
+    ranked = F.sort_array(F.transform("w", lambda w: F.call_function("shiftleft", F.get("rarity", _bin(w)), F.lit(32)) + F.shiftrightunsigned(w, 32)))
+    parity = lambda at: F.aggregate("w", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(w, at).bitwiseAND(63).cast("int"))))
+    prefix = F.transform(F.slice(ranked, F.lit(1), _prefix(n, t)), lambda x: x.bitwiseAND((1 << 32) - 1))
+    rows = rows.select("k1", "doc_id", n.alias("n"), parity(20).alias("bits"), parity(40).alias("more"), prefix.alias("prefix"))
+    one = F.min(F.struct("doc_id", "n", "bits", "more", "prefix")).alias("f")
+    return tables.put(rows.groupBy("k1").agg(one).select("k1", F.col("f.doc_id").alias("doc"), "f.n", "f.bits", "f.more", "f.prefix"), "features")
 
 
-def _may_match(n1: Column, n2: Column, bits1: Column, bits2: Column, t: float) -> Column:
-    """Length filter and parity bits: at most (1 - t) / (1 + t) of all words differ."""
-    most = (n1 + n2) * ((1 - t) / (1 + t)) + 1e-9
-    return (F.least(n1, n2) + 1e-9 >= t * F.greatest(n1, n2)) & (F.bit_count(bits1.bitwiseXOR(bits2)) <= most)
+def _few_bits(n1: Column, n2: Column, bits1: Column, bits2: Column, t: float) -> Column:
+    """Parity bits: at most (1 - t) / (1 + t) of all words are in one line only."""
+    return F.bit_count(bits1.bitwiseXOR(bits2)) <= (n1 + n2) * ((1 - t) / (1 + t)) + 1e-9
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, tables: Tables, name: str, t: float) -> DataFrame:
-    """Ids that have an earlier match, of candidate pairs (a, b)."""
-    pairs = tables.put(pairs.distinct(), f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    some = tables.put(sets.join(bounded_broadcast(ids, MAX_IDS), "id", "left_semi").select("id", "first", words(F.col("line")).alias("words")), f"{name}-words")
-    one = lambda x: some.select(F.col("id").alias(x), F.col("first").alias(f"first_{x}"), F.col("words").alias(f"words_{x}"))
+def _may_match(n1: Column, n2: Column, bits1: Column, bits2: Column, t: float) -> Column:
+    return (F.least(n1, n2) + 1e-9 >= t * F.greatest(n1, n2)) & _few_bits(n1, n2, bits1, bits2, t)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, feature: DataFrame, docs: DataFrame, tables: Tables, name: str, t: float) -> DataFrame:
+    """(k1, k2) of the texts that have an earlier match, of candidate pairs (a, b) of k1."""
+    side = lambda x: feature.select(F.col("k1").alias(x), F.col("n").alias(f"n_{x}"), F.col("more").alias(f"more_{x}"))
+    pairs = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
+    pairs = pairs.where(_few_bits(F.col("n_a"), F.col("n_b"), F.col("more_a"), F.col("more_b"), t)).select("a", "b")
+    pairs = tables.put(pairs, f"{name}-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
+    wanted = tables.put(sets.join(bounded_broadcast(ids, MAX_ROWS), "k1", "left_semi").select("k1", "k2", "first.*"), f"{name}-wanted")
+    # back to the documents: only those with a wanted line, and of their lines only these
+    of = wanted.select(F.col("doc_id").alias("w_id"), F.col("h").alias("w_h")).distinct()
+    some = docs.select("doc_id", "text").join(bounded_broadcast(of, MAX_ROWS), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.xxhash64("text") == F.col("w_h")), "left_semi")
+    lines = text_lines(some).join(bounded_broadcast(wanted.select("k1", "k2"), MAX_ROWS), ["k1", "k2"], "left_semi")
+    lines = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "h", "no", "line")).alias("f"))
+    found = tables.put(lines.select("k1", "k2", F.struct("f.doc_id", "f.h", "f.no").alias("first"), words(F.col("f.line")).alias("words")), f"{name}-words")
+    one = lambda x: found.select(F.col("k1").alias(x), F.struct("k1", "k2").alias(f"key_{x}"), F.col("first").alias(f"first_{x}"), F.col("words").alias(f"words_{x}"))
     both = pairs.join(one("a"), "a").join(one("b"), "b")
     common = F.size(F.array_intersect("words_a", "words_b"))
     total = F.size("words_a") + F.size("words_b") - common
-    later = F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a"))
-    return tables.put(both.where(common + 1e-9 >= t * total).select(later.alias("id")).distinct(), name)
+    later = F.when(F.col("first_a") < F.col("first_b"), F.col("key_b")).otherwise(F.col("key_a"))
+    return tables.put(both.where(common + 1e-9 >= t * total).select(later.alias("k")).select("k.*").distinct(), name)
 
 
-def later_matches(sets: DataFrame, tables: Tables, t: float = SIMILARITY) -> DataFrame:
-    """(id): the sets with an earlier set of Jaccard similarity t or more."""
-    lines = prefixes(sets, tables, t)
+def later_matches(docs: DataFrame, sets: DataFrame, tables: Tables, t: float = SIMILARITY) -> DataFrame:
+    """(k1, k2): the texts with an earlier line of Jaccard similarity t or more."""
+    lines = features(text_lines(docs), tables, t)
 
     # 1. The earliest and the previous line among those that share one of the rarest words.
-    rare = lines.select("id", "doc", "n", "bits", F.explode(F.slice("prefix", 1, RARE)).alias("w"))
-    own = F.struct("id", "n", "bits")
-    in_order = Window.partitionBy("w").orderBy("doc", "id")
+    rare = lines.select("k1", "doc", "n", "bits", F.explode(F.slice("prefix", 1, RARE)).alias("w"))
+    own = F.struct("k1", "n", "bits")
+    in_order = Window.partitionBy("w").orderBy("doc", "k1")
     near = rare.select(own.alias("x"), F.first(own).over(in_order).alias("first"), F.lag(own).over(in_order).alias("last"))
     near = near.select("x", F.explode(F.array("first", "last")).alias("y"))
-    near = near.where(F.col("y").isNotNull() & (F.col("x.id") != F.col("y.id")))
+    near = near.where(F.col("y").isNotNull() & (F.col("x.k1") != F.col("y.k1")))
     near = near.where(_may_match(F.col("x.n"), F.col("y.n"), F.col("x.bits"), F.col("y.bits"), t))
-    decided = _verified(near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), sets, tables, "near", t)
+    near = near.select(F.least("x.k1", "y.k1").alias("a"), F.greatest("x.k1", "y.k1").alias("b"))
+    decided = _verified(near, sets, lines, docs, tables, "near", t)
 
     # 2. Undecided lines with all lines that share a prefix word.
-    flagged = lines.join(bounded_broadcast(decided.withColumn("decided", F.lit(True)), MAX_IDS), "id", "left")
-    rows = flagged.select("id", "n", "bits", F.coalesce("decided", F.lit(False)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
+    flag = decided.select("k1").distinct().withColumn("decided", F.lit(True))
+    flagged = lines.join(bounded_broadcast(flag, MAX_ROWS), "k1", "left")
+    rows = flagged.select("k1", "n", "bits", F.coalesce("decided", F.lit(False)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
     x, y = rows.alias("x"), rows.alias("y")
     c = lambda side, name: F.col(f"{side}.{name}")
-    longer = (c("x", "n") > c("y", "n")) | ((c("x", "n") == c("y", "n")) & (c("x", "id") > c("y", "id")))
+    longer = (c("x", "n") > c("y", "n")) | ((c("x", "n") == c("y", "n")) & (c("x", "k1") > c("y", "k1")))
     needed = F.ceil((c("x", "n") + c("y", "n")) * (t / (1 + t)) - 1e-9)
-    possible = 1 + F.least(c("x", "n") - c("x", "at"), c("y", "n") - c("y", "at")) - 1
+    possible = F.least(c("x", "n") - c("x", "at"), c("y", "n") - c("y", "at"))
+    # both sides are the same rows, shuffled once: conditions on one side stay in the join
     pairs = x.join(y, (c("x", "w") == c("y", "w")) & longer & ~(c("x", "decided") & c("y", "decided"))
                    & (c("y", "at") < _prefix(c("y", "n"), 2 * t / (1 + t)) + 0 * c("x", "n"))
                    & _may_match(c("x", "n"), c("y", "n"), c("x", "bits"), c("y", "bits"), t) & (possible >= needed))
-    rest = _verified(pairs.select(c("x", "id").alias("a"), c("y", "id").alias("b")), sets, tables, "rest", t)
+    pairs = pairs.select(F.least(c("x", "k1"), c("y", "k1")).alias("a"), F.greatest(c("x", "k1"), c("y", "k1")).alias("b"))
+    rest = _verified(pairs, sets, lines, docs, tables, "rest", t)
     return decided.union(rest).distinct()
 
 
@@ -142,10 +159,11 @@ def line_decisions(docs: DataFrame, tables: Tables, t: float = SIMILARITY) -> Da
     """(doc_id, h, n_lines, n_rows, removed): for each distinct (id, text), the numbers of its
     removed lines in the first row of that id and text."""
     lines = tables.put(text_lines(docs).drop("line"), "lines")
-    sets = distinct_sets(text_lines(docs), tables)
-    gone = later_matches(sets, tables, t)
-    # a line stays if it is its set's first and the set has no earlier match
-    stays = sets.join(gone, "id", "left_anti").select("first.*").withColumn("stays", F.lit(True))
+    # each text once, with its first line
+    sets = tables.put(lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "h", "no")).alias("first")), "sets")
+    gone = later_matches(docs, sets, tables, t)
+    # a line stays if it is its text's first and the text has no earlier match
+    stays = sets.join(gone, ["k1", "k2"], "left_anti").select("first.*").withColumn("stays", F.lit(True))
     once = lines.select("doc_id", "h", "no").distinct()
     on = [F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("doc_id", "h", "no")]
     removed = (once.alias("l").join(stays.alias("s"), on, "left_anti").groupBy("doc_id", "h")
