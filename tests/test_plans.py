@@ -96,10 +96,11 @@ def test_sink_uses_rebalance_exchange(spark, tmpdir_fresh):
     df = spark.createDataFrame([("ec", 1, "x")], "panel string, question_num int, v string")
     from verbatim.plans import sinks
     seen = []
-    real = sinks.DataFrame.hint
-    sinks.DataFrame.hint = lambda self, *a: seen.append(real(self, *a)) or seen[-1]
+    kind = type(df)
+    real = kind.hint
+    kind.hint = lambda self, *a: seen.append(real(self, *a)) or seen[-1]
     try:
         sinks.write_partitioned(df, f"{tmpdir_fresh}/out", ["ec"])
     finally:
-        sinks.DataFrame.hint = real
+        kind.hint = real
     assert "REBALANCE_PARTITIONS_BY_COL" in _plan(seen[0])
