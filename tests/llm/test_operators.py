@@ -63,8 +63,8 @@ def test_op1_estimates_follow_the_formula():
     before, pairs = lm.pair_hashes(codes, counts, hashes)
     assert before[[0, 4, 5]].tolist() == [lm.START] * 3
     assert len(set(pairs.tolist())) == 7  # ^a ab ba a$ ^$ ^b b$
-    found = {"context_fit": np.array([2, 0]), "pair_fit": np.array([1, 0]), "word_fit": np.array([3, 0])}
-    assert np.allclose(lm.estimates(found, "fit", 10, 4), [[0.5, 0.3, 0.2], [0, 0, 0.2]])
+    found = {"context": np.array([2, 0]), "pair": np.array([1, 0]), "word": np.array([3, 0])}
+    assert np.allclose(lm.estimates(found, 10, 4), [[0.5, 0.3, 0.2], [0, 0, 0.2]])
     assert lm.bucket(np.array([0, 1, 2, 3, 4])).tolist() == [0, 1, 2, 2, 3]
 
 

@@ -192,25 +192,29 @@ def sums(rows: DataFrame) -> DataFrame:
     return rows.groupBy("part").applyInArrow(run, SUMS)
 
 
-def _looked_up(row: dict, parts: list[dict]) -> dict[str, np.ndarray]:
-    """Per token of a block: fit and training counts of word, context and pair."""
+def _looked_up(row: dict, parts: list[dict], which: str) -> dict[str, np.ndarray]:
+    """Per token of a block: counts of word, context and pair, in the texts that are counted
+    ("fit") or in all training texts ("all")."""
     counts, codes, hashes, _ = _read(row)
     before, pairs = pair_hashes(codes, counts, hashes)
-    out = {}
-    for kind, keys in ((0, hashes[codes]), (1, pairs)):
-        distinct, place = np.unique(keys, return_inverse=True)
+
+    def total(kind: int, distinct: int) -> np.ndarray:
         mine = sorted((p for p in parts if p["kind"] % KEPT == kind), key=lambda p: p["part"])
-        fit, dev = (np.concatenate([unpack(p[c]) for p in mine] or [np.zeros(0, np.int64)]) for c in ("fit", "dev"))
-        if len(fit) != len(distinct):
+        out = np.concatenate([unpack(p["fit"]) + (unpack(p["dev"]) if which == "all" else 0) for p in mine] or [np.zeros(0, np.int64)])
+        if len(out) != distinct:
             raise ValueError("a block's sums are not complete")
-        for name, x in (("fit", fit), ("all", fit + dev)):
-            out[f"{'pair' if kind else 'word'}_{name}"] = x[place]
-            if kind == 0:  # the context's count: of its word, or of the texts (their ends) at the start
-                by_code = np.zeros(len(hashes), np.int64)
-                by_code[codes] = x[place]
-                by_code[START] = by_code[END]
-                by_code[END] = 0
-                out[f"context_{name}"] = by_code[before]
+        return out
+
+    present = np.flatnonzero(np.bincount(codes, minlength=len(hashes)))
+    distinct, place = np.unique(hashes[present], return_inverse=True)
+    by_code = np.zeros(len(hashes), np.int64)
+    by_code[present] = total(0, len(distinct))[place]
+    out = {"word": by_code[codes]}
+    # the context's count: of its word, or at the start of the texts (their ends)
+    by_code[START], by_code[END] = by_code[END], 0
+    out["context"] = by_code[before]
+    distinct, place = np.unique(pairs, return_inverse=True)
+    out["pair"] = total(1, len(distinct))[place]
     return out
 
 
@@ -218,11 +222,10 @@ def bucket(context: np.ndarray) -> np.ndarray:
     return np.minimum(BUCKETS - 1, np.frexp(context.astype(np.float64))[1])
 
 
-def estimates(found: dict, which: str, n: int, v: int) -> np.ndarray:
+def estimates(found: dict, n: int, v: int) -> np.ndarray:
     """Three columns: bigram, unigram and uniform estimates of each token."""
-    context = found[f"context_{which}"]
-    two = found[f"pair_{which}"] / np.maximum(context, 1)
-    one = found[f"word_{which}"] / max(n, 1)
+    two = found["pair"] / np.maximum(found["context"], 1)
+    one = found["word"] / max(n, 1)
     return np.stack([two, one, np.full(len(two), 1.0 / (v + 1))], axis=1)
 
 
@@ -265,7 +268,7 @@ def score(docs: DataFrame, part, tables: Tables) -> DataFrame:
     is counted (0), kept back for the weights (1) or never learned from (2)."""
     spark = docs.sparkSession
     made = tables.put(blocks(docs.withColumn("part", part)), "blocks")
-    count = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    count = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = tables.put(sums(entries(made, count)), "sums")
 
     # tokens and distinct words (N and V) of each range, one row a range
@@ -276,21 +279,22 @@ def score(docs: DataFrame, part, tables: Tables) -> DataFrame:
     def joined(kept_back: bool, use, schema):
         def run(a: pa.Table, b: pa.Table) -> pa.Table:
             rows = a.to_pylist()
-            return use(rows[0], _looked_up(rows[0], b.to_pylist()))
+            return use(rows[0], _looked_up(rows[0], b.to_pylist(), "fit" if kept_back else "all"))
         kinds = F.col("kind").isin([KEPT, KEPT + 1] if kept_back else [0, 1])
         own = made.where("kept_back AND size(parts) > 0" if kept_back else "NOT kept_back")
         return own.groupBy("block").cogroup(found.where(kinds).groupBy("block")).applyInArrow(run, schema)
 
     def held_out(row: dict, looked: dict) -> pa.Table:
-        p = estimates(looked, "fit", n_fit, v_fit).astype(np.float32)
-        return pa.table({"buckets": [bucket(looked["context_fit"]).astype(np.uint8).tobytes()], "estimates": [p.tobytes()]})
+        p = estimates(looked, n_fit, v_fit).astype(np.float32)
+        return pa.table({"buckets": [bucket(looked["context"]).astype(np.uint8).tobytes()], "estimates": [p.tobytes()]})
 
     weights = learn_weights(tables.put(joined(True, held_out, "buckets binary, estimates binary"), "held_out"))
 
     def final(row: dict, looked: dict) -> pa.Table:
         counts, _, _, parts = _read(row)
-        p = (estimates(looked, "all", n_all, v_all) * weights[bucket(looked["context_all"])]).sum(axis=1)
-        c = looked["word_all"]
+        mixed = weights[bucket(looked["context"])]
+        mixed *= estimates(looked, n_all, v_all)
+        p, c = mixed.sum(axis=1), looked["word"]
         base = np.log10((c + 0.1) / (n_all + 0.1 * (v_all + 1)))
         first = np.cumsum(counts) - counts
         ids = pa.array(row["doc_ids"], pa.int64(), mask=np.array(row["nulls"], bool))
