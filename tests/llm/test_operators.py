@@ -185,8 +185,16 @@ def test_op3_keep_one(spark, awkward, texts):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    found = simhash.op3_simhash(spark, awkward).collect()
-    assert sorted(ids, key=str) == sorted({r.component_id for r in found}, key=str)
+    found = simhash.near_duplicates(docs, Tables(spark, "t")).collect()
+    assert sorted(ids, key=str) == sorted([i for _, i in {(r.root, r.component_id) for r in found}], key=str)
+    assert ids.count(None) == 2
+
+
+def test_op3_one_id_in_two_components(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(3, text), (5, text), (5, "quite another text with nothing in common at all")], "doc_id long, text string")
+    assert sorted(r.text for r in simhash.keep_one(docs).collect()) == sorted([text, "quite another text with nothing in common at all"])
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [3, 5]
 
 
 RULES = [("assign", re.compile(secrets.ASSIGN, re.A), 2, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16)]

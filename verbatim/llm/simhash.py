@@ -70,13 +70,13 @@ def fingerprint(text: bytes, k: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of each document; fp as a signed 64-bit integer."""
+    """(doc_id, h, fp) of each document: the text's hash, and fp as a signed 64-bit integer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, k) for t in text_bytes(b.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t, k) for t in text_bytes(b.column(2))], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["doc_id", "h", "fp"])
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {ids}, fp long")
+    return docs.select("doc_id", F.xxhash64("text"), "text").mapInArrow(run, f"doc_id {ids}, h long, fp long")
 
 
 @lru_cache(1)
@@ -200,34 +200,35 @@ def links(distinct_fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, tables: Tables, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, component_id) of each document."""
+    """(doc_id, h, fp, root, component_id) of each document; root is a fingerprint that names
+    the component, also where no document of it has an id."""
     fps = tables.put(fingerprints(docs, k), "fps")
     # one row per fingerprint, whatever the number of its copies
     classes = tables.put(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "classes")
     roots = stars(links(classes.select("fp")), tables).withColumnRenamed("node", "fp")
     linked = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = tables.put(linked.join(least, "root").select("fp", "component_id"), "named")
+    named = tables.put(linked.join(least, "root").select("fp", "root", "component_id"), "named")
     return fps.join(named, "fp")
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """One document of each component stays: the one with the smallest id.
+    """One document of each component stays: the one with the smallest id (of several with
+    that id, or of none with an id, the one with the smallest text hash).
 
-    Of rows with the same kept id one stays; of components without any id, one row.
-    """
+    Of rows equal in id and text one stays."""
     tables = Tables(docs.sparkSession, "simhash")
     found = near_duplicates(docs, tables, k)
-    kept = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id"))
-            .agg(F.count("*").alias("copies_of_id")))
-    kept = tables.put(kept, "kept")
+    rows = found.groupBy("root", "doc_id", "h").agg(F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "rows")).alias("f")
+    kept = tables.put(rows.groupBy("root").agg(first).select("f.doc_id", "f.h", "f.rows"), "kept")
     own = [F.col(f"d.`{c}`") for c in docs.columns]
-    on = F.col("d.doc_id").eqNullSafe(F.col("k.kept_id"))
-    once = docs.alias("d").join(kept.where("copies_of_id = 1").alias("k"), on, "left_semi").select(*own)
-    more = kept.where("copies_of_id > 1")
+    on = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64("d.text") == F.col("k.h"))
+    once = docs.alias("d").join(kept.where("rows = 1").alias("k"), on, "left_semi").select(*own)
+    more = kept.where("rows > 1")
     if more.isEmpty():
         return once
-    return once.union(docs.alias("d").join(more.alias("k"), on, "left_semi").select(*own).dropDuplicates(["doc_id"]))
+    return once.union(docs.alias("d").join(more.alias("k"), on, "left_semi").select(*own).dropDuplicates(["doc_id", "text"]))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
