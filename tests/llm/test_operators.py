@@ -303,6 +303,14 @@ def test_op6_files(spark, awkward, texts, library):
     assert collected(shards.op6_token_shards(spark, awkward), "doc_id", "start", "n_tokens", "ids_crc32") == sorted(want, key=str)
 
 
+def test_op6_coder_equals_the_library(library):
+    coder, rng = shards.LibraryCoder(bpe.public_vocabulary()), np.random.default_rng(3)
+    alphabet = [*" \n\t\x1c\xa0\u2003", "a", " the", " river's", "1", " é", "中", "\U0001f600", "!", "<|endoftext|>", "  ", " \n", "\u0345"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.integers(0, 30))) for _ in range(4000)]
+    kind = np.dtype(f"<u{coder.width}")
+    assert [np.frombuffer(x, kind).tolist() for x in coder.encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_op6_rotation_and_absent_keys(spark, awkward, monkeypatch):
     # the writer runs in other processes: limits go with the function's module, so only the
     # index is tested at small size here

@@ -42,6 +42,7 @@ SHARD_IDS = 32_000_000
 SHARD_DOCS = 1_000_000
 PART_KEYS = 200_000
 CACHED = 500_000
+TOGETHER = 2_000
 LONGEST_CACHED = 48
 
 
@@ -53,7 +54,11 @@ def file_system(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 class LibraryCoder:
-    """The tokenizers library, asked once for each short part of a text."""
+    """The tokenizers library, asked once for each short part of a text.
+
+    New parts are given to the library many at a time: those that start with white space
+    after another's last word are joined, as no token reaches across such a border, and the
+    ids are told apart by the tokens' lengths in bytes."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
@@ -65,6 +70,11 @@ class LibraryCoder:
         self.kind = "H" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "I"
         self.width = array(self.kind).itemsize
         self.known: dict[str, bytes] = {}
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        vocabulary = self.tokenizer.get_vocab(True)
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # a byte-level token has a letter for each byte
+            self.lengths[i] = len(token.encode()) if token in special else len(token)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as raw bytes."""
@@ -73,13 +83,33 @@ class LibraryCoder:
             known.clear()
         new = list({p for ps in cut for p in ps if p not in known})
         long = {}
-        for i in range(0, len(new), 10_000):
-            some = new[i:i + 10_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                (known if len(p) <= LONGEST_CACHED else long)[p] = array(self.kind, e.ids).tobytes()
+        for i in range(0, len(new), TOGETHER):
+            some = new[i:i + TOGETHER]
+            for p, ids in zip(some, self._ids(some)):
+                (known if len(p) <= LONGEST_CACHED else long)[p] = ids
         return [b"".join([known[p] if p in known else long[p] for p in ps]) for ps in cut]
 
 
+    def _ids(self, new: list[str]) -> list[bytes]:
+        """The ids of each part as raw bytes."""
+        free = [p[0] in " \n" and p[-1] not in " \n" and len(p) <= LONGEST_CACHED for p in new]
+        joined = [p for p, f in zip(new, free) if f]
+        kind = np.dtype(f"<u{self.width}")
+        out = {}
+        if joined:
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.cumsum([len(p.encode()) for p in joined])
+            reached = np.cumsum(self.lengths[ids])
+            at = np.searchsorted(reached, ends)
+            if len(ids) and reached[-1] == ends[-1] and (reached[np.minimum(at, len(ids) - 1)] == ends).all():
+                raw, at = ids.astype(kind).tobytes(), ((at + 1) * self.width).tolist()
+                out = dict(zip(joined, (raw[a:b] for a, b in zip([0, *at], at))))
+        rest = [p for p in new if p not in out]  # others, or all if a token crossed a border
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []):
+            out[p] = array(self.kind, e.ids).tobytes()
+        return [out[p] for p in new]
+
+
 @lru_cache(2)
 def coder(spec: str) -> LibraryCoder:
     return LibraryCoder(spec)
