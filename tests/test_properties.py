@@ -71,3 +71,17 @@ def test_unpivot_then_pivot_round_trip(spark, rs):
     long = unpivot_responses(df, ["id"], ["q1", "q2"], drop_empty=False)
     wide = long.groupBy("id").pivot("question", ["q1", "q2"]).agg(F.first("response"))
     assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_keyset_pages_equal_numbered_pages(spark):
+    from verbatim.operators.views import response_view
+    rows = [(i, None if i % 7 == 0 else i % 5, None if i % 11 == 0 else f"t{i % 3}") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, n int, t string")
+    order = [("n", False), ("t", True), ("id", True)]
+    after = None
+    for page in range(7):
+        want = [tuple(r) for r in response_view(df, order_by=order, page=page).collect()]
+        got = [tuple(r) for r in response_view(df, order_by=order, after=after).collect()]
+        assert got == want
+        if got:
+            after = (got[-1][1], got[-1][2], got[-1][0])

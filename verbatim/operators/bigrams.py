@@ -21,6 +21,9 @@ from verbatim.operators.broadcast import bounded_broadcast
 from verbatim.sources.stopwords import ENGLISH_STOP_WORDS, MAX_BROADCAST_WORDS, stop_words
 
 
+MAX_LITERAL_WORDS = 10_000  # a longer list is joined as a table
+
+
 def remove_stop_pairs(pairs: DataFrame, stop: DataFrame | Sequence[str] | None = None,
                       by: Sequence[str] = ()) -> DataFrame:
     """Drop a pair when either word is a stop word; words are never NULL.
@@ -34,7 +37,7 @@ def remove_stop_pairs(pairs: DataFrame, stop: DataFrame | Sequence[str] | None =
         return _remove_keyed(pairs, stop, list(by))
     if stop is None or not isinstance(stop, DataFrame):
         words = sorted({w.lower() for w in (ENGLISH_STOP_WORDS if stop is None else stop)})
-        if len(words) <= MAX_BROADCAST_WORDS:
+        if len(words) <= MAX_LITERAL_WORDS:
             out = pairs.where(~F.col("word1").isin(words) & ~F.col("word2").isin(words))
             return out.where(F.col("word1").isNotNull() & F.col("word2").isNotNull())
         stop = stop_words(pairs.sparkSession, words)

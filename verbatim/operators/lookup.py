@@ -28,13 +28,17 @@ def gazetteer_states(gazetteer: DataFrame, dedupe: bool = True) -> DataFrame:
 
 
 def lookup_state(df: DataFrame, states: DataFrame, zip_col: str = "zip",
-                 max_broadcast_rows: int = MAX_GAZETTEER_ROWS) -> DataFrame:
-    """Left join ``State`` on the zip column, explicitly on that one key."""
+                 max_broadcast_rows: int = MAX_GAZETTEER_ROWS,
+                 gazetteer: DataFrame | None = None) -> DataFrame:
+    """Left join ``State`` on the zip column, explicitly on that one key.
+
+    ``gazetteer``, the table that ``states`` came from, is counted for the size check, so
+    that the deduplication runs once."""
     if "State" in df.columns:
         raise ValueError("lookup_state: input already has a State column; a natural join "
                          "would silently use it as a second key — drop or rename it first")
     side = states.withColumnRenamed("zip", "__zip")
-    side = bounded_broadcast(side, max_broadcast_rows)
+    side = bounded_broadcast(side, max_broadcast_rows, gazetteer)
     out = df.join(side, F.col(f"`{zip_col}`") == F.col("__zip"), "left")
     return out.drop("__zip")
 

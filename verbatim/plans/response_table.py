@@ -49,7 +49,8 @@ def derive_demographics(master: DataFrame, cfg: PanelConfig, gazetteer: DataFram
     z = zip_text(master, cfg.zip_col)
     df = master.withColumn("zip", z if parity else normalize_zip(z))
     if gazetteer is not None:
-        df = lookup_state(df, gazetteer_states(gazetteer, dedupe=not parity), "zip")
+        df = lookup_state(df, gazetteer_states(gazetteer, dedupe=not parity), "zip",
+                          gazetteer=gazetteer)
     else:
         df = df.withColumn("State", F.lit(None).cast("string"))
     if cfg.child_count_col:
@@ -123,6 +124,7 @@ def build_response_table(master: DataFrame, cfg: PanelConfig,
     df = fill_forward(df, cfg.id_col, cfg.week_col, carried, tiebreak=tie or None,
                       split_hot_keys=split_hot_keys)
     if relookup and gazetteer is not None:
-        df = lookup_state(df.drop("State"), gazetteer_states(gazetteer, dedupe=not parity), "zip")
+        df = lookup_state(df.drop("State"), gazetteer_states(gazetteer, dedupe=not parity), "zip",
+                          gazetteer=gazetteer)
     ids = [cfg.id_col, cfg.week_col, *cfg.demographics]
     return unpivot_responses(df.drop(cfg.gate_col), ids, qcols, "question", "response")

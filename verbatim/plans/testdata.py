@@ -263,7 +263,8 @@ def _order_gazetteer(spark, d) -> DataFrame:
 
 
 def zip_lookup(spark, d):
-    return lookup_state(_customer_zips(spark, d), gazetteer_states(_order_gazetteer(spark, d)))
+    gazetteer = _order_gazetteer(spark, d)
+    return lookup_state(_customer_zips(spark, d), gazetteer_states(gazetteer), gazetteer=gazetteer)
 
 
 def zip_lookup_parity(spark, d):
