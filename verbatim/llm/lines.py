@@ -60,14 +60,14 @@ def _bin(word: Column) -> Column:
     return word.bitwiseAND((1 << RARITY_BITS) - 1).cast("int")
 
 
-def rarities(lines: DataFrame, tables: Tables) -> Column:
-    """Array of the frequency of each hash bin, as a scalar subquery over a table of
-    ``1 << RARITY_BITS`` rows."""
+def rarities(lines: DataFrame) -> Column:
+    """Array of the frequency class of each hash bin (four for each doubling), as a literal:
+    ``1 << RARITY_BITS`` small numbers, however large the table."""
     counts = lines.select(F.explode(words(F.col("line"))).alias("w")).groupBy(_bin(F.col("w")).alias("bin")).agg(F.count("*").alias("n"))
-    every = lines.sparkSession.range(1 << RARITY_BITS).select(F.col("id").cast("int").alias("bin"))
-    counts = tables.put(every.join(counts, "bin", "left").select("bin", F.least(F.coalesce("n", F.lit(0)), F.lit((1 << 31) - 1)).alias("n")), "rarity")
-    in_order = F.transform(F.array_sort(F.collect_list(F.struct("bin", "n"))), lambda x: x["n"])
-    return counts.agg(in_order).scalar()
+    classes = ["0"] * (1 << RARITY_BITS)
+    for b, c in counts.select("bin", F.floor(4 * F.log2(F.col("n") + 1.0))).collect():
+        classes[b] = str(c)
+    return F.split(F.lit(",".join(classes)), ",").cast("array<int>")  # folded to one literal
 
 
 def _prefix(n: Column, t: float) -> Column:
@@ -79,10 +79,11 @@ def _prefix(n: Column, t: float) -> Column:
 def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
     """(k1, doc, n, bits, more, prefix): each text's number of words, parity bits and rarest
     words' hashes in order, with the least id of its documents."""
-    rows = lines.select("k1", "doc_id", words(F.col("line")).alias("w"), rarities(lines, tables).alias("rarity"))
+    rarity = rarities(lines)
+    rows = lines.select("k1", "doc_id", words(F.col("line")).alias("w"))
     n = F.size("w")
     # rarity above, 32 bits of the hash below: one number to sort by
-    ranked = F.sort_array(F.transform("w", lambda w: F.call_function("shiftleft", F.get("rarity", _bin(w)), F.lit(32)) + F.shiftrightunsigned(w, 32)))
+    ranked = F.sort_array(F.transform("w", lambda w: F.call_function("shiftleft", F.get(rarity, _bin(w)).cast("long"), F.lit(32)) + F.shiftrightunsigned(w, 32)))
     parity = lambda at: F.aggregate("w", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(w, at).bitwiseAND(63).cast("int"))))
     prefix = F.transform(F.slice(ranked, F.lit(1), _prefix(n, t)), lambda x: x.bitwiseAND((1 << 32) - 1))
@@ -140,14 +141,17 @@ def later_matches(docs: DataFrame, sets: DataFrame, tables: Tables, t: float = S
     # 2. Undecided lines with all lines that share a prefix word.
     flag = decided.select("k1").distinct().withColumn("decided", F.lit(True))
     flagged = lines.join(bounded_broadcast(flag, MAX_ROWS), "k1", "left")
-    rows = flagged.select("k1", "n", "bits", F.coalesce("decided", F.lit(False)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
+    rows = flagged.select("k1", "doc", "n", "bits", F.coalesce("decided", F.lit(False)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
     x, y = rows.alias("x"), rows.alias("y")
     c = lambda side, name: F.col(f"{side}.{name}")
     longer = (c("x", "n") > c("y", "n")) | ((c("x", "n") == c("y", "n")) & (c("x", "k1") > c("y", "k1")))
     needed = F.ceil((c("x", "n") + c("y", "n")) * (t / (1 + t)) - 1e-9)
     possible = F.least(c("x", "n") - c("x", "at"), c("y", "n") - c("y", "at"))
+    # only an undecided line with one that may be earlier is of interest (a null id is first)
+    no_later = lambda a, b: c(a, "doc").isNull() | F.coalesce(c(a, "doc") <= c(b, "doc"), F.lit(False))
+    open_ = (~c("x", "decided") & no_later("y", "x")) | (~c("y", "decided") & no_later("x", "y"))
     # both sides are the same rows, shuffled once: conditions on one side stay in the join
-    pairs = x.join(y, (c("x", "w") == c("y", "w")) & longer & ~(c("x", "decided") & c("y", "decided"))
+    pairs = x.join(y, (c("x", "w") == c("y", "w")) & longer & open_
                    & (c("y", "at") < _prefix(c("y", "n"), 2 * t / (1 + t)) + 0 * c("x", "n"))
                    & _may_match(c("x", "n"), c("y", "n"), c("x", "bits"), c("y", "bits"), t) & (possible >= needed))
     pairs = pairs.select(F.least(c("x", "k1"), c("y", "k1")).alias("a"), F.greatest(c("x", "k1"), c("y", "k1")).alias("b"))
