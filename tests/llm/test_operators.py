@@ -458,6 +458,12 @@ def test_op9_decisions(spark):
     assert kept == want
 
 
+def test_op9_other_spaces(spark):
+    texts = [(1, "a b c d e f"), (2, "a\tb\x0bc \x0c d\re  f "), (3, "\t\r"), (4, "a b c x y z")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r.doc_id: r.removed for r in lines.line_decisions(df, Tables(spark, "t")).collect()} == {1: [], 2: [0], 3: [], 4: []}
+
+
 def test_op9_awkward(spark, awkward, texts):
     out = lines.op9_line_dedup(spark, awkward).collect()
     assert len(out) == len(set(texts))

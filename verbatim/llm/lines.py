@@ -52,8 +52,13 @@ def text_lines(docs: DataFrame) -> DataFrame:
 
 
 def words(line: Column) -> Column:
-    """Hashes of the distinct words of a lower-case line."""
-    return F.array_distinct(F.array_remove(F.transform(F.split(line, SPACE), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+    """Hashes of the distinct words of a lower-case line.
+
+    Splitting at single spaces is several times faster than at a pattern; the empty words
+    between adjacent spaces are removed."""
+    other = line.contains("\t") | line.contains("\x0b") | line.contains("\x0c") | line.contains("\r")
+    spaced = F.when(other, F.regexp_replace(line, SPACE, " ")).otherwise(line)
+    return F.array_distinct(F.array_remove(F.transform(F.split(spaced, " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
 
 
 def _bin(word: Column) -> Column:
