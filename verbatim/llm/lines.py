@@ -11,8 +11,9 @@ lines without words stay.  Lines equal but for case are one text, named by two 6
   the shorter set the first ``n - ceil(2 t n / (1 + t)) + 1`` are enough.
 * Length filter: the shorter set has at least ``t`` times the words of the longer.
 * Positional filter: the words after the shared one must still allow the overlap needed.
-* Parity bits: a word flips one of 64 bits of its line (and one of 64 others), so the bits
-  in which two lines differ are a lower bound of the words that only one of them has.
+* Parity bits: a word flips one of 64 bits of its line (and one of 128 others, for the pairs
+  left), so the bits in which two lines differ are a lower bound of the words that only one
+  of them has.
 * Verification: the words of the pairs left are intersected.
 
 A family of many near copies would make pairs with the square of its size.  So lines are
@@ -82,35 +83,38 @@ def _prefix(n: Column, t: float) -> Column:
 
 
 def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
-    """(k1, doc, n, bits, more, prefix): each text's number of words, parity bits and rarest
+    """(k1, doc, n, bits, more, rest, prefix): each text's number of words, parity bits and rarest
     words' hashes in order, with the least id of its documents."""
     rarity = rarities(lines)
     rows = lines.select("k1", "doc_id", words(F.col("line")).alias("w"))
     n = F.size("w")
     # rarity above, 32 bits of the hash below: one number to sort by
     ranked = F.sort_array(F.transform("w", lambda w: F.call_function("shiftleft", F.get(rarity, _bin(w)).cast("long"), F.lit(32)) + F.shiftrightunsigned(w, 32)))
-    parity = lambda at: F.aggregate("w", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(w, at).bitwiseAND(63).cast("int"))))
+    bit = lambda w, at: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(w, at).bitwiseAND(63).cast("int"))
+    parity = lambda of: F.aggregate("w", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(of(w)))
+    half = lambda odd: parity(lambda w: F.when(F.shiftrightunsigned(w, 46).bitwiseAND(1) == odd, bit(w, 40)).otherwise(0))
     prefix = F.transform(F.slice(ranked, F.lit(1), _prefix(n, t)), lambda x: x.bitwiseAND((1 << 32) - 1))
-    rows = rows.select("k1", "doc_id", n.alias("n"), parity(20).alias("bits"), parity(40).alias("more"), prefix.alias("prefix"))
-    one = F.min(F.struct("doc_id", "n", "bits", "more", "prefix")).alias("f")
-    return tables.put(rows.groupBy("k1").agg(one).select("k1", F.col("f.doc_id").alias("doc"), "f.n", "f.bits", "f.more", "f.prefix"), "features")
+    rows = rows.select("k1", "doc_id", n.alias("n"), parity(lambda w: bit(w, 20)).alias("bits"),
+                       half(0).alias("more"), half(1).alias("rest"), prefix.alias("prefix"))
+    one = F.min(F.struct("doc_id", "n", "bits", "more", "rest", "prefix")).alias("f")
+    return tables.put(rows.groupBy("k1").agg(one).select("k1", F.col("f.doc_id").alias("doc"), "f.n", "f.bits", "f.more", "f.rest", "f.prefix"), "features")
 
 
-def _few_bits(n1: Column, n2: Column, bits1: Column, bits2: Column, t: float) -> Column:
+def _few_bits(n1: Column, n2: Column, differ: Column, t: float) -> Column:
     """Parity bits: at most (1 - t) / (1 + t) of all words are in one line only."""
-    return F.bit_count(bits1.bitwiseXOR(bits2)) <= (n1 + n2) * ((1 - t) / (1 + t)) + 1e-9
+    return differ <= (n1 + n2) * ((1 - t) / (1 + t)) + 1e-9
 
 
 def _may_match(n1: Column, n2: Column, bits1: Column, bits2: Column, t: float) -> Column:
-    return (F.least(n1, n2) + 1e-9 >= t * F.greatest(n1, n2)) & _few_bits(n1, n2, bits1, bits2, t)
+    return (F.least(n1, n2) + 1e-9 >= t * F.greatest(n1, n2)) & _few_bits(n1, n2, F.bit_count(bits1.bitwiseXOR(bits2)), t)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, feature: DataFrame, docs: DataFrame, tables: Tables, name: str, t: float) -> DataFrame:
     """(k1, k2) of the texts that have an earlier match, of candidate pairs (a, b) of k1."""
-    side = lambda x: feature.select(F.col("k1").alias(x), F.col("n").alias(f"n_{x}"), F.col("more").alias(f"more_{x}"))
+    side = lambda x: feature.select(F.col("k1").alias(x), F.col("n").alias(f"n_{x}"), F.col("more").alias(f"more_{x}"), F.col("rest").alias(f"rest_{x}"))
     pairs = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-    pairs = pairs.where(_few_bits(F.col("n_a"), F.col("n_b"), F.col("more_a"), F.col("more_b"), t)).select("a", "b")
+    differ = F.bit_count(F.col("more_a").bitwiseXOR(F.col("more_b"))) + F.bit_count(F.col("rest_a").bitwiseXOR(F.col("rest_b")))
+    pairs = pairs.where(_few_bits(F.col("n_a"), F.col("n_b"), differ, t)).select("a", "b")
     pairs = tables.put(pairs, f"{name}-pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
     wanted = tables.put(sets.join(bounded_broadcast(ids, MAX_ROWS), "k1", "left_semi").select("k1", "k2", "first.*"), f"{name}-wanted")
