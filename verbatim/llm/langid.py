@@ -165,18 +165,21 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     The model, DIMS x languages numbers, goes to the tasks with the function."""
     kept = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")
-    rows = docs.select(F.col("text"), kept)
+    # a text that is kept goes to the task once
+    inside = keep.index("text") if "text" in keep else None
+    rows = docs.select(kept) if inside is not None else docs.select(kept, "text")
     names = np.array([*model.languages, UNKNOWN], object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            known = _has_letter(b.column(0)) & bool(model.languages)
+        for b in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
+            texts = b.column(1) if inside is None else b.column(0).flatten()[inside]
+            known = _has_letter(texts) & bool(model.languages)
             best, score = np.full(b.num_rows, len(model.languages)), np.zeros(b.num_rows)
             for i in np.flatnonzero(known):
-                p = softmax(model.logits(b.column(0)[int(i)].as_py()) / model.temperature)
+                p = softmax(model.logits(texts[int(i)].as_py()) / model.temperature)
                 best[i] = p.argmax()
                 score[i] = p[best[i]]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(names[best], pa.string()), pa.array(score)], ["kept", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names[best], pa.string()), pa.array(score)], ["kept", "lang_pred", "score"])
 
     schema = rows.select("kept").schema.add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(run, schema)
