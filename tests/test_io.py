@@ -72,6 +72,16 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
         checkpoint_dir(fake)
     fake.conf = SimpleNamespace(get=lambda key, default=None: "hdfs://shared/ckpt")
     assert checkpoint_dir(fake) == "hdfs://shared/ckpt"
+    # a bare path is on the default file system
+    fake.conf = SimpleNamespace(get=lambda key, default=None: "/shared/ckpt")
+    for default, shared in (("hdfs://nn", True), ("file:///", False)):
+        hadoop = SimpleNamespace(get=lambda key, other, default=default: default)
+        fake.sparkContext._jsc = SimpleNamespace(hadoopConfiguration=lambda hadoop=hadoop: hadoop)
+        if shared:
+            assert checkpoint_dir(fake) == "/shared/ckpt"
+        else:
+            with pytest.raises(RuntimeError):
+                checkpoint_dir(fake)
 
 
 def test_waves_with_one_stem(spark, tmpdir_fresh):

@@ -50,8 +50,11 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     one_machine = spark.sparkContext.master.startswith("local")
     if current:
         if not one_machine and "://" not in current and not current.startswith("file:"):
-            raise RuntimeError(f"{CHECKPOINT_CONF} is {current!r}: on a cluster give a URI with "
-                               "a scheme (a mounted shared folder as file://...)")
+            # a bare path is on the default file system: shared, unless that is the local one
+            default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+            if default.startswith("file:"):
+                raise RuntimeError(f"{CHECKPOINT_CONF} is {current!r}, a local path: on a cluster "
+                                   "name shared storage (a mounted shared folder as file://...)")
         return current
     if not one_machine:
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS/object store) "
