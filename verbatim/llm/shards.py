@@ -41,7 +41,7 @@ END_ID = 2
 SHARD_IDS = 32_000_000
 SHARD_DOCS = 1_000_000
 PART_KEYS = 200_000
-CACHED = 500_000
+CACHED = 1_200_000
 TOGETHER = 2_000
 LONGEST_CACHED = 48
 
