@@ -11,9 +11,8 @@ lines without words stay.  Lines equal but for case are one text, named by two 6
   the shorter set the first ``n - ceil(2 t n / (1 + t)) + 1`` are enough.
 * Length filter: the shorter set has at least ``t`` times the words of the longer.
 * Positional filter: the words after the shared one must still allow the overlap needed.
-* Parity bits: a word flips one of 64 bits of its line (and one of 128 others, for the pairs
-  left), so the bits in which two lines differ are a lower bound of the words that only one
-  of them has.
+* Parity bits: a word flips one of 64 bits of its line, and one of 128 others, so the bits in
+  which two lines differ are a lower bound of the words that only one of them has.
 * Verification: the words of the pairs left are intersected.
 
 A family of many near copies would make pairs with the square of its size.  So lines are
@@ -150,19 +149,21 @@ def later_matches(docs: DataFrame, sets: DataFrame, tables: Tables, t: float = S
     # 2. Undecided lines with all lines that share a prefix word.
     flag = decided.select("k1").distinct().withColumn("decided", F.lit(True))
     flagged = lines.join(bounded_broadcast(flag, MAX_ROWS), "k1", "left")
-    rows = flagged.select("k1", "doc", "n", "bits", F.coalesce("decided", F.lit(False)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
+    rows = flagged.select("k1", "doc", "n", "more", "rest", F.coalesce("decided", F.lit(False)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
     x, y = rows.alias("x"), rows.alias("y")
     c = lambda side, name: F.col(f"{side}.{name}")
     longer = (c("x", "n") > c("y", "n")) | ((c("x", "n") == c("y", "n")) & (c("x", "k1") > c("y", "k1")))
     needed = F.ceil((c("x", "n") + c("y", "n")) * (t / (1 + t)) - 1e-9)
     possible = F.least(c("x", "n") - c("x", "at"), c("y", "n") - c("y", "at"))
+    differ = F.bit_count(c("x", "more").bitwiseXOR(c("y", "more"))) + F.bit_count(c("x", "rest").bitwiseXOR(c("y", "rest")))
     # only an undecided line with one that may be earlier is of interest (a null id is first)
     no_later = lambda a, b: c(a, "doc").isNull() | F.coalesce(c(a, "doc") <= c(b, "doc"), F.lit(False))
     open_ = (~c("x", "decided") & no_later("y", "x")) | (~c("y", "decided") & no_later("x", "y"))
     # both sides are the same rows, shuffled once: conditions on one side stay in the join
     pairs = x.join(y, (c("x", "w") == c("y", "w")) & longer & open_
                    & (c("y", "at") < _prefix(c("y", "n"), 2 * t / (1 + t)) + 0 * c("x", "n"))
-                   & _may_match(c("x", "n"), c("y", "n"), c("x", "bits"), c("y", "bits"), t) & (possible >= needed))
+                   & (F.least(c("x", "n"), c("y", "n")) + 1e-9 >= t * F.greatest(c("x", "n"), c("y", "n")))
+                   & _few_bits(c("x", "n"), c("y", "n"), differ, t) & (possible >= needed))
     pairs = pairs.select(F.least(c("x", "k1"), c("y", "k1")).alias("a"), F.greatest(c("x", "k1"), c("y", "k1")).alias("b"))
     rest = _verified(pairs, sets, lines, docs, tables, "rest", t)
     return decided.union(rest).distinct()
