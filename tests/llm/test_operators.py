@@ -363,6 +363,18 @@ def test_op7_few_candidates(spark):
     assert collected(out, "query_id", "rank", "vec_id") == [(0, 1, 3), (0, 2, 20), (20, 1, 3), (20, 2, 0)]
 
 
+@pytest.mark.parametrize("n", [10, 21])
+def test_op7_few_candidates_in_many_cells(spark, n):
+    x = np.random.default_rng(5).normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
+    out = ann.search(rows, rows, Tables(spark, "test"), k=20, block=8).collect()
+    score = x @ x.T
+    for q in range(n):
+        want = sorted((i for i in range(n) if i != q), key=lambda i: -score[q, i])[:20]
+        assert [r.vec_id for r in sorted((r for r in out if r.query_id == q), key=lambda r: r["rank"])] == want
+
+
 def test_op7_recall_on_the_given_table(spark):
     out = ann.op7_nearest(spark, "/root/testdata/sf0.01").collect()
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()

@@ -15,7 +15,8 @@ other can be among the ``k`` nearest of any query, as ties go to the smaller id.
 Defined results: a vector that is null, zero or holds null or non-finite components takes no
 part, neither does a row without id; shorter vectors count as filled up with zeros; rows
 with the query's id are its own; rows equal in id and vector count once; fewer candidates
-than ``k`` are all returned if found; an empty table gives an empty result.
+than ``k`` are all returned, as a query that found fewer than ``k`` rows in its cells is
+compared with all rows, in the same blocks; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -146,10 +147,10 @@ def search(queries: DataFrame, rows: DataFrame, tables: Tables, k: int = NEAREST
     sizes = indexed.groupBy("cell").agg(F.count("*").alias("n")).join(asked.groupBy("cell").agg(F.count("*").alias("m")), "cell")
     blocks = sizes.select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.ceil(F.col("m") / block).cast("int").alias("parts"))
     blocks = F.broadcast(tables.put(blocks, "blocks"))
-    pick = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = asked.join(blocks, "cell").withColumn("part", pick("parts", 1)).withColumn("block", every("blocks")).drop("blocks", "parts")
-    right = indexed.join(blocks, "cell").withColumn("block", pick("blocks", 2)).withColumn("part", every("parts")).drop("blocks", "parts")
+    pick = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = asked.join(blocks, "cell").withColumn("part", pick(F.col("parts"), 1)).withColumn("block", every(F.col("blocks"))).drop("blocks", "parts")
+    right = indexed.join(blocks, "cell").withColumn("block", pick(F.col("blocks"), 2)).withColumn("part", every(F.col("parts"))).drop("blocks", "parts")
 
     def rank(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
@@ -161,13 +162,27 @@ def search(queries: DataFrame, rows: DataFrame, tables: Tables, k: int = NEAREST
 
     key = ["cell", "block", "part"]
     left = left.withColumn("q_key", F.xxhash64("vector"))
-    found = (left.groupBy(*key).cogroup(right.groupBy(*key))
-             .applyInArrow(rank, "query long, q_key long, vec_id long, score double"))
-    # a candidate found in several tables has the same score each time
-    once = found.groupBy("query", "q_key", "vec_id", "score").agg(F.lit(1))
-    best = Window.partitionBy("query", "q_key").orderBy(F.desc("score"), "vec_id")
-    return (once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select(F.col("query").alias("query_id"), "rank", "vec_id", "score"))
+    ranked = "query long, q_key long, vec_id long, score double"
+
+    def best(found: DataFrame) -> DataFrame:
+        # a candidate found in several tables has the same score each time
+        once = found.groupBy("query", "q_key", "vec_id", "score").agg(F.lit(1))
+        order = Window.partitionBy("query", "q_key").orderBy(F.desc("score"), "vec_id")
+        return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query", "q_key", "vec_id", "score", "rank")
+
+    found = tables.put(best(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(rank, ranked)), "found")
+    # queries whose cells hold too few rows are compared with all rows
+    full = found.groupBy("query", "q_key").agg(F.count("*").alias("n")).where(F.col("n") >= k)
+    short = queries.withColumn("q_key", F.xxhash64("vector"))
+    short = tables.put(short.join(full, (F.col("vec_id") == F.col("query")) & (short["q_key"] == full["q_key"]), "left_anti"), "short")
+    parts = -(-short.count() // block)
+    if parts:
+        key, blocks = ["block", "part"], -(-rows.count() // block)
+        left = short.withColumn("part", pick(F.lit(parts), 1)).withColumn("block", every(F.lit(blocks)))
+        right = rows.withColumn("block", pick(F.lit(blocks), 2)).withColumn("part", every(F.lit(parts)))
+        exact = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(rank, ranked)
+        found = best(found.drop("rank").unionByName(exact))
+    return found.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
 
 
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
