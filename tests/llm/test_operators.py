@@ -375,6 +375,27 @@ def test_op7_few_candidates_in_many_cells(spark, n):
         assert [r.vec_id for r in sorted((r for r in out if r.query_id == q), key=lambda r: r["rank"])] == want
 
 
+@pytest.mark.parametrize("norms", ["outlier", "lognormal"])
+def test_op7_recall_of_unequal_norms(spark, norms):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if norms == "outlier":
+        x[7] *= 100
+    else:
+        x *= np.exp(0.5 * rng.normal(size=4000))[:, None]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
+    out = ann.search(rows.where("vec_id % 20 = 0"), rows, Tables(spark, "test"), block=500).collect()
+    got = collections.defaultdict(set)
+    for r in out:
+        got[r.query_id].add(r.vec_id)
+    queries = range(0, 4000, 20)
+    score = x @ x.T
+    np.fill_diagonal(score, -np.inf)
+    assert all(len(got[q]) == 20 for q in queries)
+    assert sum(len(got[q] & set(np.argsort(-score[q])[:20].tolist())) for q in queries) / (20 * len(queries)) >= 0.9
+
+
 def test_op7_recall_on_the_given_table(spark):
     out = ann.op7_nearest(spark, "/root/testdata/sf0.01").collect()
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()

@@ -1,13 +1,16 @@
 """Approximate nearest neighbours by largest inner product: cross-polytope hashing.
 
-Vectors are scaled by the greatest norm and lifted by one coordinate to unit length, so that
+Rows are split into bands of norms within a factor of the square root of 2.  In each band
+vectors are scaled by its greatest norm and lifted by one coordinate to unit length, so that
 the largest inner product with a query is the nearest unit vector.  For each of ``TABLES``
 tables, three rounds of random signs and a fast Hadamard transform rotate them (padded with
 zeros to a power of two, ``D``), and a vector belongs to the cell of its nearest signed axis,
-one of ``2 D``.  A query looks into the ``PROBES`` nearest cells of every table, and each
-candidate is ranked by the exact inner product of the original vectors in double precision.
+one of ``2 D``.  A query looks into the ``PROBES`` nearest cells of every table and band, and
+each candidate is ranked by the exact inner product of the original vectors in double
+precision.  Bands of at most ``block`` rows are not hashed: every query is compared with all
+their rows, as the few longest vectors can be nearest at any angle.
 
-Every row is indexed; nothing is fitted but the greatest norm and length.  A cell is dealt
+Every row is indexed; nothing is fitted but the bands' norms and the length.  A cell is dealt
 out in blocks of at most about ``BLOCK`` rows and as many queries, so no cell has to fit
 into one task.  Of equal vectors only the ``k + 1`` with the smallest ids are indexed: no
 other can be among the ``k`` nearest of any query, as ties go to the smaller id.
@@ -50,13 +53,13 @@ def signs(tables: int, d: int, seed: int = 0) -> np.ndarray:
     return np.random.default_rng(seed).choice(np.array([-1.0, 1.0]), (tables, 3, d))
 
 
-def lifted(x: np.ndarray, norm: float, d: int, query: bool) -> np.ndarray:
-    """Unit vectors of length d whose inner products order like the originals'."""
+def lifted(x: np.ndarray, norm: np.ndarray | float, d: int, query: bool) -> np.ndarray:
+    """Unit vectors of length d whose inner products order like the originals' of one norm."""
     out = np.zeros((len(x), d))
     if query:
         out[:, :x.shape[1]] = x / np.linalg.norm(x, axis=1)[:, None]
     else:
-        out[:, :x.shape[1]] = x / norm
+        out[:, :x.shape[1]] = x / np.reshape(norm, (-1, 1))
         out[:, x.shape[1]] = np.sqrt(np.maximum(0, 1 - (out * out).sum(axis=1)))
     return out
 
@@ -115,42 +118,65 @@ def search(queries: DataFrame, rows: DataFrame, tables: Tables, k: int = NEAREST
 
     ``queries`` and ``rows`` are (vec_id, vector) as ``valid`` gives them."""
     same = Window.partitionBy("vector").orderBy("vec_id")
-    # the row number's limit is applied before the shuffle too, so copies don't gather
-    rows = tables.put(rows.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1).drop("copy"), "rows")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))
-    most, size = rows.agg(F.max(norm), F.max(F.size("vector"))).first()
-    if most is None:
+    band = F.coalesce(F.floor(2 * F.log2("norm") + 0.5), F.lit(-1 << 20)).cast("int")  # norm 1 is amid its band
+    # the row number's limit is applied before the shuffle too, so copies don't gather
+    rows = rows.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1).drop("copy")
+    rows = tables.put(rows.withColumn("norm", norm).withColumn("band", band), "rows")
+    # some thousand bands at most, whatever the data
+    bands = rows.groupBy("band").agg(F.max("norm").alias("most"), F.max(F.size("vector")).alias("size"), F.count("*").alias("n")).collect()
+    if not bands:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    size = max(r["size"] for r in bands)
     d = 1 << int(size).bit_length()
-    turns = signs(hash_tables, d)
-
-    def cells(query: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for at in range(0, b.num_rows, 2048):
-                    part = b.slice(at, 2048)
-                    unit = lifted(_matrix(part.column(1), size), most, d, query)
-                    for t, turn in enumerate(turns):
-                        close = axes(unit, turn)
-                        n = min(probes, 2 * d) if query else 1
-                        best = np.argpartition(-close, n - 1, axis=1)[:, :n] if query else close.argmax(axis=1)[:, None]
-                        who = np.repeat(np.arange(part.num_rows), n)
-                        yield pa.RecordBatch.from_arrays([pa.array((t * 2 * d + best).ravel().astype(np.int32)), part.column(0).take(pa.array(who)), part.column(1).take(pa.array(who))],
-                                                         ["cell", "vec_id", "vector"])
-        return run
+    hashed = sorted((r["band"], r["most"]) for r in bands if r["n"] > block)
+    turns = signs(hash_tables, d) if hashed else []
+    numbers, mosts = np.array([b for b, _ in hashed], np.int32), np.array([m for _, m in hashed])
+
+    def batch(cell: np.ndarray, part: pa.RecordBatch, who: np.ndarray, band: np.ndarray | None) -> pa.RecordBatch:
+        out = {"cell": pa.array(cell.astype(np.int32)), "vec_id": part.column(0).take(pa.array(who)), "vector": part.column(1).take(pa.array(who))}
+        return pa.RecordBatch.from_pydict(out if band is None else {"band": pa.array(band), **out})
+
+    def indexed_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 2048):
+                part = b.slice(at, 2048)
+                band = part.column(2).to_numpy()
+                deep = np.isin(band, numbers)
+                whole = np.flatnonzero(~deep)
+                yield batch(np.full(len(whole), -1), part, whole, np.zeros(len(whole), np.int32))
+                who = np.flatnonzero(deep)
+                if not len(who):
+                    continue
+                unit = lifted(_matrix(part.column(1), size)[who], mosts[np.searchsorted(numbers, band[who])], d, False)
+                for t, turn in enumerate(turns):
+                    yield batch(t * 2 * d + axes(unit, turn).argmax(axis=1), part, who, band[who])
+
+    def probed_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 2048):
+                part = b.slice(at, 2048)
+                if len(hashed) < len(bands):
+                    yield batch(np.full(part.num_rows, -1), part, np.arange(part.num_rows), None)
+                unit = lifted(_matrix(part.column(1), size), 1.0, d, True)
+                n = min(probes, 2 * d)
+                for t, turn in enumerate(turns):
+                    best = np.argpartition(-axes(unit, turn), n - 1, axis=1)[:, :n]
+                    yield batch((t * 2 * d + best).ravel(), part, np.repeat(np.arange(part.num_rows), n), None)
 
     kind = rows.schema["vector"].dataType.simpleString()
     schema = f"cell int, vec_id long, vector {kind}"
-    indexed = tables.put(rows.mapInArrow(cells(False), schema), "index")
-    asked = tables.put(queries.mapInArrow(cells(True), schema), "probes")
-    # 2 D cells a table: numbers that don't grow with the data
-    sizes = indexed.groupBy("cell").agg(F.count("*").alias("n")).join(asked.groupBy("cell").agg(F.count("*").alias("m")), "cell")
-    blocks = sizes.select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.ceil(F.col("m") / block).cast("int").alias("parts"))
+    indexed = tables.put(rows.select("vec_id", "vector", "band").mapInArrow(indexed_cells, f"band int, {schema}"), "index")
+    rows = rows.select("vec_id", "vector")
+    asked = tables.put(queries.mapInArrow(probed_cells, schema), "probes")
+    # 2 D cells a table and band: numbers that don't grow with the data
+    sizes = indexed.groupBy("band", "cell").agg(F.count("*").alias("n")).join(asked.groupBy("cell").agg(F.count("*").alias("m")), "cell")
+    blocks = sizes.select("band", "cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.ceil(F.col("m") / block).cast("int").alias("parts"))
     blocks = F.broadcast(tables.put(blocks, "blocks"))
     pick = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     left = asked.join(blocks, "cell").withColumn("part", pick(F.col("parts"), 1)).withColumn("block", every(F.col("blocks"))).drop("blocks", "parts")
-    right = indexed.join(blocks, "cell").withColumn("block", pick(F.col("blocks"), 2)).withColumn("part", every(F.col("parts"))).drop("blocks", "parts")
+    right = indexed.join(blocks, ["band", "cell"]).withColumn("block", pick(F.col("blocks"), 2)).withColumn("part", every(F.col("parts"))).drop("blocks", "parts")
 
     def rank(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
@@ -160,7 +186,7 @@ def search(queries: DataFrame, rows: DataFrame, tables: Tables, k: int = NEAREST
         who, found, score = nearest(q_ids, q, ids, x, k)
         return pa.table({"query": q_ids[who], "q_key": a["q_key"].to_numpy()[who], "vec_id": found, "score": score})
 
-    key = ["cell", "block", "part"]
+    key = ["band", "cell", "block", "part"]
     left = left.withColumn("q_key", F.xxhash64("vector"))
     ranked = "query long, q_key long, vec_id long, score double"
 
