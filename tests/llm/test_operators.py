@@ -284,6 +284,20 @@ def test_op5_unequal_targets_and_refinement(spark, monkeypatch):
     assert 1.6 < rate[1] / rate[0] < 2.5
 
 
+@pytest.mark.parametrize("weight", [1.0, 0.1])
+def test_op5_whole_copies_fill_nothing(spark, weight):
+    for sizes, copies in ({"a": 300}, {"a": 1}), ({"a": 900, "b": 60}, {"b": 3}):
+        data = [(i, s, 2, weight) for s, n in sizes.items() for i in range(n)]
+        df = spark.createDataFrame(data, "doc_id long, source string, size long, weight double").withColumn("key", mixing.F.xxhash64("doc_id", "source"))
+        tables = Tables(spark, "t")
+        rows = tables.put(df, "rows")
+        plan = mixing.plan_mix(rows, tables)
+        done = list(copies)
+        assert plan[2].where(mixing.F.col("source").isin(done)).isEmpty()
+        out = mixing.apply_mix(rows, plan).collect()
+        assert len(out) == len(data) and {(r.source, r.copies) for r in out if r.source in done} == set(copies.items())
+
+
 def test_op5_mix_keeps_columns(spark, awkward):
     docs = spark.read.parquet(f"{awkward}/documents.parquet")
     mixed = mixing.mix(docs)

@@ -74,6 +74,7 @@ def _ranked(rows: DataFrame, targets: DataFrame, seed: int, cap: float) -> DataF
     rows = rows.join(bounded_broadcast(t, MAX_SOURCES), F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
     e = F.when(F.col("weighted_size") > 0,
                F.least(F.lit(cap), F.col("target") * F.col("weight") / F.col("weighted_size"))).otherwise(0.0)
+    e = F.when(F.abs(e - F.round(e)) < 1e-12, F.round(e)).otherwise(e)  # a whole number but for rounding
     p = F.col("expected") - F.col("whole")
     u = (F.shiftrightunsigned(F.xxhash64("key", F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
     a, b = u * (1 - p), p * (1 - u)
@@ -123,8 +124,10 @@ def plan_mix(rows: DataFrame, tables: Tables, seed: int = 0, cap: float = CAP) -
             F.col("left_here").alias("left"), "rows"), F.when(F.col("left_here") > 0, F.col("bin")).otherwise(-1 - F.col("bin")))
         ends = tables.put(bins.groupBy("source").agg(pick.alias("p")).select("source", "p.*"), f"ends{level}")
     e = bounded_broadcast(ends.withColumnRenamed("source", "e_source"), MAX_SOURCES)
-    last = (ranked.join(e, F.col("source").eqNullSafe(F.col("e_source")))
+    # sources whose certain copies reach the target, and rows without a fraction, have nothing to fill
+    last = (ranked.join(e.where("left > 0"), F.col("source").eqNullSafe(F.col("e_source")))
             .where((F.col("z") >= F.col("lo")) & (F.col("z") < F.col("hi")))
+            .where((F.col("whole") < cap) & (F.col("expected") > F.col("whole")) & (F.col("size") > 0))
             .groupBy("source", "key", "z", "whole", "left").agg(F.sum("size").alias("item_size")))
     chosen = tables.put(last.groupBy("source").applyInPandas(_fill, "source string, b_key long, extra long"), "chosen")
     return targets, ends, chosen
