@@ -68,6 +68,19 @@ def test_op1_estimates_follow_the_formula():
     assert lm.bucket(np.array([0, 1, 2, 3, 4])).tolist() == [0, 1, 2, 2, 3]
 
 
+def test_op1_ranges_grow_with_the_corpus(spark, awkward, monkeypatch):
+    names = ("doc_id", "n_tokens", "n_known", "base_score", "score")
+    want = collected(lm.op1_lm_score(spark, awkward), *names)
+    counts, entries = [], lm.entries
+    monkeypatch.setattr(lm, "entries", lambda blocks, count: counts.append(count) or entries(blocks, count))
+    monkeypatch.setattr(lm, "RANGE_ENTRIES", 500, raising=False)
+    got = collected(lm.op1_lm_score(spark, awkward), *names)
+    tokens = sum(r[1] for r in want)
+    assert counts[0] >= tokens / 500 > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3:] for g in got], [w[3:] for w in want])
+
+
 def test_op1_weights_by_em(spark):
     # tokens of one bucket that only the unigram explains: its weight goes to 1
     p = np.tile(np.array([[0.0, 0.5, 0.01]], np.float32), (100, 1))

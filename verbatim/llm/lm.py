@@ -12,8 +12,9 @@ with one row per bucket each round.  The score then takes counts from all traini
 
 How it runs: texts are gathered to blocks of some megabytes; a block's words and pairs are
 its distinct 64-bit hashes with counts, so a frequent word costs one entry a block, not one
-an occurrence.  Entries are dealt out by hash, summed, and the sums sent back to the blocks,
-which alone need them.  Blocks, and the sums with them, are tables in the shared folder; no
+an occurrence.  Entries are dealt out by ranges of hashes, as many as the corpus needs for
+about ``RANGE_ENTRIES`` a range at most, summed, and the sums sent back to the blocks, which
+alone need them.  Blocks, and the sums with them, are tables in the shared folder; no
 vocabulary or n-gram table is ever in one task or on the driver.  Hashes are taken as exact:
 two words or pairs share one by chance in 2^64.
 
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from verbatim.llm.common import Tables, doc_crc, table
 
 BLOCK_BYTES = 16 << 20
+RANGE_ENTRIES = 2_000_000  # at most about so many words and pairs of all blocks in one range
 KEPT_BACK = 10  # one training text in so many is for the mixture weights
 ROUNDS = 12
 BUCKETS = 40  # binary logarithm of the context's frequency; bucket 0: never seen
@@ -44,7 +46,7 @@ SEED = {END: xxhash.xxh64_intdigest(b"", 1), START: xxhash.xxh64_intdigest(b"",
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 BLOCK = ("block long, kept_back boolean, doc_ids array<long>, nulls array<boolean>, parts array<int>, n_tokens array<long>, "
-         "codes binary, words binary")
+         "n_entries long, codes binary, words binary")
 ENTRIES = "part int, block long, kind int, keys binary, fit binary, dev binary"
 SUMS = "block long, part int, kind int, fit binary, dev binary"
 
@@ -101,7 +103,8 @@ def unpack(raw: bytes) -> np.ndarray:
 
 def blocks(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, part, text) to blocks; part 0 is counted, 1 kept back, 2 never learned.
-    Each block is there twice: with all its texts, and with those kept back only."""
+    Each block is there twice: with all its texts, and with those kept back only.
+    ``n_entries`` is at least its number of distinct words and pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
 
@@ -112,10 +115,11 @@ def blocks(docs: DataFrame) -> DataFrame:
                 counts, codes, hashes = encode_block([t for _, _, t in some])
                 yield pa.RecordBatch.from_pydict({
                     "block": [name], "kept_back": [kept_back], "doc_ids": [[i or 0 for i, _, _ in some]], "nulls": [[i is None for i, _, _ in some]],
-                    "parts": [[p for _, p, _ in some]], "n_tokens": [counts.tolist()], "codes": [codes.tobytes()], "words": [hashes.tobytes()]}, schema)
+                    "parts": [[p for _, p, _ in some]], "n_tokens": [counts.tolist()],
+                    "n_entries": [int(counts.sum()) + len(hashes)], "codes": [codes.tobytes()], "words": [hashes.tobytes()]}, schema)
 
         schema = pa.schema([("block", pa.int64()), ("kept_back", pa.bool_()), ("doc_ids", pa.list_(pa.int64())), ("nulls", pa.list_(pa.bool_())), ("parts", pa.list_(pa.int32())),
-                            ("n_tokens", pa.list_(pa.int64())), ("codes", pa.binary()), ("words", pa.binary())])
+                            ("n_tokens", pa.list_(pa.int64())), ("n_entries", pa.int64()), ("codes", pa.binary()), ("words", pa.binary())])
         for b in batches:
             for row in zip(*(b.column(i).to_pylist() for i in range(3))):
                 rows.append(row)
@@ -268,7 +272,8 @@ def score(docs: DataFrame, part, tables: Tables) -> DataFrame:
     is counted (0), kept back for the weights (1) or never learned from (2)."""
     spark = docs.sparkSession
     made = tables.put(blocks(docs.withColumn("part", part)), "blocks")
-    count = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    most = made.where("NOT kept_back").agg(F.sum("n_entries")).first()[0] or 0
+    count = max(2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-most // RANGE_ENTRIES))
     found = tables.put(sums(entries(made, count)), "sums")
 
     # tokens and distinct words (N and V) of each range, one row a range
