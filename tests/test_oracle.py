@@ -1,5 +1,6 @@
 """Every registered query against its DuckDB SQL on the same Parquet (small scale)."""
 
+import duckdb
 import pytest
 
 import __spark_entry__ as E
@@ -21,6 +22,17 @@ def test_query_matches_oracle(spark, con, name):
     assert r["ok"], r
 
 
+@pytest.mark.parametrize("name", ["wave_fold", "wave_stack"])
+def test_waves_keep_rows_without_a_date(spark, name, tmp_path):
+    path = f"{tmp_path}/orders.parquet"
+    con = duckdb.connect()
+    con.execute(f"""COPY (SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate)
+                    FROM read_parquet('{SF_SMALL}/orders.parquet')) TO '{path}' (FORMAT parquet)""")
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{path}')")
+    r = compare(spark, E.queries()[name], SQL[name], str(tmp_path), con)
+    assert r["ok"], r
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["question", "word1", "word2", "n"]

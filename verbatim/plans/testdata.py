@@ -225,7 +225,8 @@ def wave_full_join(spark, d):
 
 
 def _yearly_waves(spark, d) -> list[DataFrame]:
-    """One wave a year, each a date range that reaches the scan; together all rows."""
+    """One wave a year, each a date range that reaches the scan; together all rows.  Rows
+    without a date are in the first and belong to no year, so they have no year's column."""
     o = table(spark, d, "orders")
     when, kind = F.col("o_orderdate"), o.schema["o_orderdate"].dataType
     base = ["o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_totalprice"]
@@ -233,7 +234,10 @@ def _yearly_waves(spark, d) -> list[DataFrame]:
     for y in YEARS:
         after = when >= F.lit(f"{y}-01-01 00:00:00").cast(kind) if y > YEARS[0] else F.lit(True)
         before = when < F.lit(f"{y + 1}-01-01 00:00:00").cast(kind) if y < YEARS[-1] else F.lit(True)
-        waves.append(o.where(after & before).select(*base, "o_orderstatus" if y % 2 else "o_orderpriority"))
+        own = F.col("o_orderstatus" if y % 2 else "o_orderpriority")
+        if y == YEARS[0]:
+            before, own = before | when.isNull(), F.when(when.isNotNull(), own).alias("o_orderstatus" if y % 2 else "o_orderpriority")
+        waves.append(o.where(after & before).select(*base, own))
     return waves
 
 
