@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from verbatim.operators.audit import catalog_audit
 from verbatim.operators.graph import bigram_network
 from verbatim.plans.panels import CC, EC

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from verbatim.operators.fill import fill_forward
 from verbatim.plans.testdata import responses
 from verbatim.operators.bigrams import bigram_occurrences, count_bigrams
