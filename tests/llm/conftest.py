@@ -49,6 +49,7 @@ def awkward(spark):
 def empty(spark):
     base = write(spark, [])
     spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(os.path.join(base, "embeddings.parquet"))
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(os.path.join(base, "conversations.parquet"))
     return base
 
 

@@ -1,0 +1,114 @@
+"""The prefix trie against a trie built in plain Python."""
+
+import collections
+import hashlib
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from verbatim.llm import trie
+from verbatim.llm.common import Tables
+from verbatim.llm.runs import Wanted, in_order
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def brute(rows):
+    conv = collections.defaultdict(list)
+    for c, t, role, text, *_ in rows:
+        if c is not None:
+            conv[c].append((t is not None, t or 0, role or "", text or ""))
+    turns = {c: [x[2:] for x in sorted(ts)] for c, ts in conv.items()}
+    built = {}
+    for c in turns:
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (c % 5 if c >= 0 else -(-c % 5))
+        built[c] = tuple(turns.get(base, [])[:h] + turns[c][h:])
+    members, kids = collections.defaultdict(list), collections.defaultdict(list)
+    for c, s in built.items():
+        for d in range(len(s) + 1):
+            members[s[:d]].append(c)
+    for p in members:
+        if p:
+            kids[p[:-1]].append(p)
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[k] for k in kids[p]) or 1
+        saved[p] = (len(members[p]) - 1) * (len(p[-1][1].encode()) if p else 0) + sum(saved[k] for k in kids[p])
+    sha = lambda p: hashlib.sha256(",".join(str(c) for c in sorted(members[p]) if len(built[c]) == len(p)).encode()).hexdigest()
+    return sorted([(min(m), len(p), min(members[p[:-1]]) if p else None, len(m), len(kids[p]), leaves[p], saved[p], sha(p)) for p, m in members.items()], key=str)
+
+
+def awkward_rows():
+    rng = random.Random(1)
+    rows = [(c, rng.choice([None, t, t, 3]), rng.choice(["u", None]), rng.choice(["a", "b", "é", None]))
+            for c in rng.sample(range(-30, 200), 60) for t in range(rng.choice([1, 2, 5, 9, 14]))]
+    rows += [(7, 1, "u", "hot")] * 200 + [(None, 1, "u", "no conversation")]
+    rows += [(500 + i, t, "u", "same") for i in range(40) for t in range(4)]
+    return [(*r, 1, "x") for r in rows]
+
+
+@pytest.fixture(scope="module")
+def chats(spark, tmp_path_factory):
+    base = str(tmp_path_factory.mktemp("chats"))
+    spark.createDataFrame(awkward_rows(), "conv_id long, turn long, role string, text string, depth int, p1 string").write.parquet(f"{base}/conversations.parquet")
+    return base
+
+
+def test_op12_awkward(spark, chats):
+    got = sorted([tuple(r[c] for c in COLUMNS) for r in trie.op12_prefix_trie(spark, chats).collect()], key=str)
+    assert got == brute(awkward_rows())
+
+
+def test_op12_sql_on_awkward(chats):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{chats}/conversations.parquet/*.parquet')")
+    res = con.execute(trie.ORACLE)
+    order = [[d[0] for d in res.description].index(c) for c in COLUMNS]
+    assert sorted([tuple(r[i] for i in order) for r in res.fetchall()], key=str) == brute(awkward_rows())
+
+
+def test_arcs_are_a_tour(spark, chats):
+    """With many rounds of contraction; every place of the tour is one arc's, children lie in their parent."""
+    tables = Tables(spark, "test")
+    turns, convs = trie.rebuilt(trie.ordered_turns(spark.read.parquet(f"{chats}/conversations.parquet"), tables))
+    rows = trie.prefix_trie(turns, convs, tables, last=12).collect()
+    assert sorted(x for r in rows for x in (r.enter, r.exit)) == list(range(2 * len(rows)))
+    at = {(r.conv_id, r.depth): r for r in rows}
+    for r in rows:
+        if r.depth:
+            up = at[r.parent_conv_id, r.depth - 1]
+            assert up.enter < r.enter < r.exit < up.exit
+        inside = [x for x in rows if r.enter <= x.enter and x.exit <= r.exit]
+        assert r.n_leaves == sum(x.n_children == 0 for x in inside)
+
+
+def test_list_rank_of_a_shuffled_list(spark):
+    n = 300
+    rows = spark.range(n).select(F.col("id").alias("c"), F.lit(-1).cast("long").alias("d"), F.when(F.col("id") < n - 1, F.col("id") + 1).alias("next_c"),
+                                 F.when(F.col("id") < n - 1, F.lit(-1).cast("long")).alias("next_d"), F.col("id").alias("arcs"), F.lit(1).cast("long").alias("leaves"), F.lit(2).cast("long").alias("saved"))
+    got = {r.c: (r.at_arcs, r.at_leaves, r.at_saved) for r in trie.list_rank(rows, Tables(spark, "test"), last=10).collect()}
+    assert got == {i: (i * (i - 1) // 2, i, 2 * i) for i in range(n)}
+
+
+def test_running_values_over_many_partitions(spark):
+    """One key in most rows, so its run goes through several whole partitions."""
+    rng = random.Random(4)
+    data = [(5 if rng.random() < 0.8 else rng.randint(0, 9), i, rng.randint(-9, 9), rng.getrandbits(63), rng.choice([None, None, i])) for i in range(500)]
+    tables = Tables(spark, "test")
+    rows = tables.put(spark.createDataFrame(data, "k long, i long, v long, x long, c long"), "rows")
+    got = in_order(rows, ["k"], [F.col("i")], Wanted(sums=("v",), chains=("x",), carry=("c",), lag=("v",), keep=("i",)), tables, "runs").collect()
+    want = []
+    for k in range(10):
+        total, chain, last, nth, before = 0, 0, None, 0, None
+        for _, i, v, x, c in sorted(r for r in data if r[0] == k):
+            total, nth, last = total + v, nth + 1, last if c is None else c
+            old, chain = chain, (chain + x * pow(0x9E3779B97F4A7C15, nth, 1 << 64)) % (1 << 64)
+            signed = [int(np.uint64(y).view(np.int64)) for y in (chain, old)]
+            want.append((k, i, total, *signed, last, before, nth))
+            before = v
+    assert sorted(tuple(r) for r in got) == sorted(want)

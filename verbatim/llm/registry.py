@@ -13,6 +13,8 @@ from verbatim.llm.mixing import op5_mix_sources
 from verbatim.llm.secrets import op4_secrets
 from verbatim.llm.shards import op6_token_shards
 from verbatim.llm.simhash import op3_simhash
+from verbatim.llm.trie import ORACLE as TRIE_SQL
+from verbatim.llm.trie import op12_prefix_trie
 
 QUERIES = {
     "op1_lm_score": op1_lm_score,
@@ -25,8 +27,10 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLE_SQL = {
     "op9_line_dedup": LINES_SQL,
+    "op12_prefix_trie": TRIE_SQL,
 }
