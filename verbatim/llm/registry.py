@@ -15,6 +15,8 @@ from verbatim.llm.shards import op6_token_shards
 from verbatim.llm.simhash import op3_simhash
 from verbatim.llm.trie import ORACLE as TRIE_SQL
 from verbatim.llm.trie import op12_prefix_trie
+from verbatim.llm.variants import ORACLE as VARIANTS_SQL
+from verbatim.llm.variants import op13_spelling_variants
 
 QUERIES = {
     "op1_lm_score": op1_lm_score,
@@ -28,9 +30,11 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL = {
     "op9_line_dedup": LINES_SQL,
     "op12_prefix_trie": TRIE_SQL,
+    "op13_spelling_variants": VARIANTS_SQL,
 }
