@@ -39,6 +39,13 @@ def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return joined, starts, ends, np.diff(np.searchsorted(starts, begins + 1))
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers with their bits well mixed."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def row_hash(*columns) -> F.Column:
     """64-bit hash of a row's values; a null counts as such, not as the neighbouring value."""
     return F.xxhash64(*[c for x in columns for c in (x, x.isNull())])

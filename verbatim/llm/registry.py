@@ -11,6 +11,8 @@ from verbatim.llm.lines import op9_line_dedup
 from verbatim.llm.lm import op1_lm_score
 from verbatim.llm.mixing import op5_mix_sources
 from verbatim.llm.secrets import op4_secrets
+from verbatim.llm.recompress import ORACLE as REPEATS_SQL
+from verbatim.llm.recompress import op11_substring_dedup
 from verbatim.llm.shards import op6_token_shards
 from verbatim.llm.simhash import op3_simhash
 from verbatim.llm.trie import ORACLE as TRIE_SQL
@@ -29,12 +31,14 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
+    "op11_substring_dedup": op11_substring_dedup,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL = {
     "op9_line_dedup": LINES_SQL,
+    "op11_substring_dedup": REPEATS_SQL,
     "op12_prefix_trie": TRIE_SQL,
     "op13_spelling_variants": VARIANTS_SQL,
 }
