@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from verbatim.operators.audit import catalog_audit, question_dimension, question_index
 from verbatim.operators.graph import bigram_network
 from verbatim.operators.harmonize import fold_waves, stack_waves, waves_disjoint
+from verbatim.operators.wavetypes import align_types
 from verbatim.plans import panels
 from verbatim.plans.response_table import build_response_table, missing_columns, with_order
 from verbatim.plans.sinks import panels_of, write_by_panel, write_network, write_responses
@@ -66,7 +67,7 @@ def main(argv=None, spark=None) -> None:
     spark = spark or get_spark(a.master)
     waves = read_waves(spark, a.waves, fmt=a.format)
     cfg = CONFIGS[a.panel](wave_columns(spark, a.waves, fmt=a.format))
-    frames = list(waves.values())
+    frames = align_types(list(waves.values()))
     if waves_disjoint(frames, a.disjoint_on):  # no row can match across waves
         master = stack_waves(with_order(frames, cfg))
     else:

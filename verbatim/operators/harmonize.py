@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbatim.operators.broadcast import bounded_broadcast
+from verbatim.operators.wavetypes import align_types
 from verbatim.session import cut_lineage
 
 
@@ -210,6 +211,7 @@ def waves_disjoint(waves: Sequence[DataFrame], column: str) -> bool:
     """
     if any(column not in w.columns for w in waves):
         return False
+    waves = align_types([w.select(F.col(f"`{column}`")) for w in waves])
     tagged = [w.select(F.col(f"`{column}`").alias("v")).distinct().withColumn("w", F.lit(i))
               for i, w in enumerate(waves)]
     shared = (reduce(DataFrame.unionByName, tagged)
@@ -238,6 +240,10 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
                num_partitions: int | None = None, hot_min_rows: int = HOT_FLOOR) -> DataFrame:
     """``natural_full_join`` folded left to right over the waves.
 
+    A column whose type differs between waves first gets its least common type over all of
+    them (``wavetypes.align_types``); a pair of types that no type holds without loss is an
+    error that names both.
+
     ``disjoint_on`` names a shared column whose values never repeat across waves; when
     the check confirms it, the fold is computed as a stack instead (same rows, no
     shuffle).
@@ -254,8 +260,8 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
     if len(waves) == 1:
         return waves[0]
     _check_case(waves)
+    waves = align_types(waves)
     if disjoint_on is not None and keys is None and waves_disjoint(waves, disjoint_on):
-        _check_types(waves)
         return stack_waves(waves)
     n = num_partitions or int(waves[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -271,7 +277,6 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
     shared = [c for c in waves[0].columns if all(c in w.columns for w in waves[1:])]
     if keys is not None or not shared:
         return chained(waves)
-    _check_types(waves)
     again = cut_lineage(_met_again(waves, shared), "wave-tuples")
     some = bounded_broadcast(again, MAX_TUPLES)
     if again.isEmpty():
@@ -280,11 +285,3 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
     alone = stack_waves([split(w, "left_anti") for w in waves])
     return alone.unionByName(chained([split(w, "left_semi") for w in waves]))
 
-
-def _check_types(waves: Sequence[DataFrame]) -> None:
-    seen: dict[str, object] = {}
-    for w in waves:
-        for f in w.schema.fields:
-            if f.name in seen and seen[f.name] != f.dataType:
-                raise TypeError(f"column {f.name!r} changes type across waves")
-            seen.setdefault(f.name, f.dataType)

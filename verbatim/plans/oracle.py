@@ -216,6 +216,13 @@ ORACLE_SQL = {
         SELECT * FROM a NATURAL FULL JOIN b""",
     "wave_fold": _YEARLY,
     "wave_stack": _YEARLY,
+    # a customer met in several periods is one row; counts of periods without it are NULL
+    "wave_mixed_types": """
+        SELECT CAST(o_custkey AS VARCHAR) AS customer, CAST(starts_with(o_orderpriority, '1') AS DOUBLE) AS urgent, o_orderpriority AS priority,
+          nullif(count(*) FILTER (o_orderdate IS NULL OR year(o_orderdate) < 1995), 0) AS n_early,
+          nullif(count(*) FILTER (year(o_orderdate) BETWEEN 1995 AND 1997), 0) AS n_middle,
+          nullif(count(*) FILTER (year(o_orderdate) >= 1998), 0) AS n_late
+        FROM orders GROUP BY o_custkey, o_orderpriority""",
     "zip_normalise": f"""
         SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS zip_raw, {_zip('c_custkey')} AS zip
         FROM customer""",

@@ -249,6 +249,23 @@ def wave_stack(spark, d):
     return fold_waves(_yearly_waves(spark, d), disjoint_on="o_orderdate")
 
 
+def _mixed_waves(spark, d) -> list[DataFrame]:
+    """Orders of three periods counted by customer, urgency and priority; the customer is an
+    int, a double and a text, urgency a boolean, an int and a double.  Rows without a date are
+    in the first."""
+    o = table(spark, d, "orders")
+    year, urgent = F.year("o_orderdate"), F.col("o_orderpriority").startswith("1")
+    periods = [("early", (year < 1995) | year.isNull(), "int", "boolean"), ("middle", (year >= 1995) & (year < 1998), "double", "int"),
+               ("late", year >= 1998, "string", "double")]
+    return [o.where(when).groupBy(F.col("o_custkey").cast(id_type).alias("customer"), urgent.cast("int").cast(flag_type).alias("urgent"),
+                                  F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias(f"n_{name}")) for name, when, id_type, flag_type in periods]
+
+
+def wave_mixed_types(spark, d):
+    """J1/J2 where a shared key changes type from wave to wave."""
+    return fold_waves(_mixed_waves(spark, d))
+
+
 # ---------------------------------------------------------------- enrich
 def zip_normalise(spark, d):
     c = table(spark, d, "customer")
@@ -421,6 +438,7 @@ QUERIES = {
     "wave_full_join_keys": wave_full_join_keys,
     "wave_fold": wave_fold,
     "wave_stack": wave_stack,
+    "wave_mixed_types": wave_mixed_types,
     "zip_normalise": zip_normalise,
     "zip_lookup": zip_lookup,
     "zip_lookup_parity": zip_lookup_parity,
