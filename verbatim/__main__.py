@@ -6,7 +6,8 @@
 
 Writes ``out/responses``, ``out/edges``, ``out/vertices`` (partitioned by panel and
 question number), ``out/question_index`` and, with ``--catalog``, ``out/catalog_audit``; each
-run replaces its own panel only.
+run replaces its own panel only.  With ``--publish`` the same tables become a new version of the
+panel's pages, which takes the old one's place at one moment.
 Runs on whatever cluster ``spark-submit`` provides; ``--master`` is for local use.
 """
 
@@ -21,6 +22,8 @@ from verbatim.operators.graph import bigram_network
 from verbatim.operators.harmonize import fold_waves, stack_waves, waves_disjoint
 from verbatim.operators.wavetypes import align_types
 from verbatim.plans import panels
+from verbatim.plans.publish import Published
+from verbatim.plans.reports import attach_questions
 from verbatim.plans.response_table import build_response_table, missing_columns, with_order
 from verbatim.plans.sinks import panels_of, write_by_panel, write_network, write_responses
 from verbatim.session import get_spark, lineage_tables
@@ -58,6 +61,8 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="look State up from the carried zip instead of carrying both")
     p.add_argument("--allow-missing", action="store_true",
                    help="report configured columns that the waves lack instead of failing")
+    p.add_argument("--publish", action="store_true",
+                   help="write a new version and switch to it when complete (plans.publish); the old pages stay readable")
     p.add_argument("--master", help="e.g. local[8]; omit under spark-submit")
     return p.parse_args(argv)
 
@@ -83,20 +88,29 @@ def main(argv=None, spark=None) -> None:
                                 languages=tuple(a.language) if a.language else None,
                                 allow_missing=a.allow_missing)
     questions = question_dimension(spark, cfg.name, list(cfg.question_codes), texts)
+    stop = read_stop_words(spark, a.stop_words) if a.stop_words else None
+    catalog = read_catalog(spark, a.catalog).where(f"panel = '{cfg.name}'") if a.catalog else None
+    if a.publish:
+        with Published(spark, a.out).refresh(cfg.name) as new, lineage_tables(spark):
+            new.write("responses", attach_questions(long, questions))
+            net = bigram_network(new.read("responses").select("question", "response"), stop=stop, questions=list(cfg.question_codes))
+            new.write("edges", attach_questions(net.edges, questions))
+            new.write("vertices", attach_questions(net.vertices, questions))
+            new.write("question_index", question_index(questions))
+            if catalog is not None:
+                new.write("catalog_audit", catalog_audit(catalog, questions))
+        return
     panels = panels_of(questions)
     write_responses(long, questions, a.out)
     # the network reads the table just written: the waves are folded and filled once
     done = spark.read.parquet(f"{a.out}/responses").where(F.col("panel") == cfg.name)
-    stop = read_stop_words(spark, a.stop_words) if a.stop_words else None
     with lineage_tables(spark):
         net = bigram_network(done.select("question", "response"), stop=stop,
                              questions=list(cfg.question_codes))
         write_network(net, questions, a.out)
     write_by_panel(question_index(questions), f"{a.out}/question_index", panels)
-    if a.catalog:
-        audit = catalog_audit(read_catalog(spark, a.catalog).where(f"panel = '{cfg.name}'"),
-                              questions)
-        write_by_panel(audit, f"{a.out}/catalog_audit", panels)
+    if catalog is not None:
+        write_by_panel(catalog_audit(catalog, questions), f"{a.out}/catalog_audit", panels)
 
 
 if __name__ == "__main__":

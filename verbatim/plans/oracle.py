@@ -216,6 +216,7 @@ ORACLE_SQL = {
         SELECT * FROM a NATURAL FULL JOIN b""",
     "wave_fold": _YEARLY,
     "wave_stack": _YEARLY,
+    "wave_files": _YEARLY,
     # a customer met in several periods is one row; counts of periods without it are NULL
     "wave_mixed_types": """
         SELECT CAST(o_custkey AS VARCHAR) AS customer, CAST(starts_with(o_orderpriority, '1') AS DOUBLE) AS urgent, o_orderpriority AS priority,
@@ -263,6 +264,9 @@ ORACLE_SQL = {
                panel || '_responses_' || CAST(num AS VARCHAR) AS responses_page
         FROM dq""",
     "catalog_audit": _AUDIT,
+    "published_page": f"""WITH {_BIGRAMS}
+        SELECT 'Question {SV_QUESTIONS.index("src3") + 1}' AS title, word1, word2, n, NULL::BIGINT AS doc_id FROM edges WHERE question = 'src3'
+        UNION ALL SELECT 'Question {SV_QUESTIONS.index("src3") + 1}', NULL, NULL, NULL, doc_id FROM documents WHERE source = 'src3'""",
     "bigram_sorted_counts": f"""WITH {_BIGRAMS} SELECT *, row_number() OVER (
         PARTITION BY question ORDER BY n DESC, word1, word2) AS place FROM counts""",
     "label_decode_double": f"""
@@ -270,7 +274,7 @@ ORACLE_SQL = {
                {_case('toxic', SV_LABELS['toxic'])} AS toxic FROM labels""",
     "response_view_contains": """
         SELECT doc_id, lang, text AS response FROM documents
-        WHERE source = 'src3' AND contains(lower(text), 'token') AND lang IN ('en', 'de')""",
+        WHERE source = 'src3' AND contains(lower(text), 'ing') AND lang IN ('en', 'de')""",
     "wave_full_join_keys": """
         WITH side AS (SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS segment, c_nationkey,
                              CAST(floor(c_custkey / 50.0) AS BIGINT) AS block FROM customer),

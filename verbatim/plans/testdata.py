@@ -15,6 +15,8 @@ Every query reads whole tables; nothing is sampled, capped or filtered by id.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +34,11 @@ from verbatim.operators.reshape import select_prefix, unpivot_responses
 from verbatim.operators.views import questions_matching, response_view
 from verbatim.operators.audit import question_dimension
 from verbatim.plans.panels import PROVIDER_RULES
+from verbatim.plans.publish import Published
 from verbatim.plans.reports import attach_questions
+from verbatim.session import checkpoint_dir
 from verbatim.sources.stopwords import ENGLISH_STOP_WORDS, stop_words
+from verbatim.sources.waves import read_waves
 
 # Fixed values of the stand-in panel configuration.
 SV_QUESTIONS = tuple(f"src{i}" for i in range(20))
@@ -50,6 +55,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder that every executor sees, for queries that write and read back."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/verbatim-tables/{name}-{uuid.uuid4().hex}"
+
+
 def responses(spark, d) -> DataFrame:
     return table(spark, d, "documents").select(
         "doc_id", F.col("source").alias("question"), F.col("text").alias("response"))
@@ -249,6 +259,15 @@ def wave_stack(spark, d):
     return fold_waves(_yearly_waves(spark, d), disjoint_on="o_orderdate")
 
 
+def wave_files(spark, d):
+    """The yearly waves as files with dotted column names, read back and folded."""
+    folder, paths = shared_folder(spark, "waves"), {}
+    for i, wave in enumerate(_yearly_waves(spark, d)):
+        paths[f"wave{i}"] = f"{folder}/orders_{YEARS[i]}.parquet"
+        wave.toDF(*[c.replace("_", ".", 1) for c in wave.columns]).write.parquet(paths[f"wave{i}"])
+    return fold_waves(list(read_waves(spark, paths).values()))
+
+
 def _mixed_waves(spark, d) -> list[DataFrame]:
     """Orders of three periods counted by customer, urgency and priority; the customer is an
     int, a double and a text, urgency a boolean, an int and a double.  Rows without a date are
@@ -356,7 +375,7 @@ def response_view_page(spark, d):
 def response_view_contains(spark, d):
     """the case-insensitive text filter, all pages."""
     docs = table(spark, d, "documents").select("doc_id", "lang", F.col("source").alias("question"), F.col("text").alias("response"))
-    return response_view(docs, question="src3", filters={"response": ("contains", "Token"), "lang": ("in", ["en", "de"])},
+    return response_view(docs, question="src3", filters={"response": ("contains", "Ing"), "lang": ("in", ["en", "de"])},
                          order_by=[("doc_id", True)], page_size=None)
 
 
@@ -390,6 +409,23 @@ def responses_by_question(spark, d):
         "doc_id", "question", "panel", "question_num", "question_text", "title")
 
 
+def published_page(spark, d):
+    """K1/K2: edges and responses published twice; one question's page read back."""
+    docs = responses(spark, d)
+    q = question_dimension(spark, "docs", list(SV_QUESTIONS))
+    pages = Published(spark, shared_folder(spark, "pages"))
+    for long in (docs.where("question <> 'src3'"), docs):  # the second takes the first one's place
+        with pages.refresh("docs") as new:
+            new.write("responses", attach_questions(long, q))
+            net = bigram_network(new.read("responses").select("question", "response"), questions=list(SV_QUESTIONS), partitions=few_splits(docs))
+            new.write("edges", attach_questions(net.edges, q))
+    number = SV_QUESTIONS.index("src3") + 1
+    none = F.lit(None)
+    edges = pages.page("edges", "docs", number).select("title", "word1", "word2", "n", none.cast("long").alias("doc_id"))
+    answers = pages.page("responses", "docs", number).select("title", none.cast("string"), none.cast("string"), none.cast("long"), "doc_id")
+    return edges.union(answers)
+
+
 def question_code_numbers(spark, d):
     """The number inside each question code."""
     codes = table(spark, d, "documents").select(F.col("source").alias("question")).distinct()
@@ -439,6 +475,7 @@ QUERIES = {
     "wave_fold": wave_fold,
     "wave_stack": wave_stack,
     "wave_mixed_types": wave_mixed_types,
+    "wave_files": wave_files,
     "zip_normalise": zip_normalise,
     "zip_lookup": zip_lookup,
     "zip_lookup_parity": zip_lookup_parity,
@@ -455,4 +492,5 @@ QUERIES = {
     "catalog_audit": catalog_audit_docs,
     "responses_by_question": responses_by_question,
     "question_code_numbers": question_code_numbers,
+    "published_page": published_page,
 }
