@@ -60,18 +60,28 @@ class Tables:
     """Intermediate tables of one operator call in the shared checkpoint folder.
 
     A written table cuts lineage: after a lost executor the later steps read it again
-    instead of running the earlier ones.  Every call has a folder of its own.
+    instead of running the earlier ones.  Every call has a folder of its own.  With ``tidy``
+    the shuffle files of a step go when its table is written, as nothing reads them again.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, name: str, tidy: bool = False):
+        self.spark, self.tidy = spark, tidy
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/verbatim-llm/{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("error").option("compression", "zstd").parquet(self.path(name))
+        before = self.spark.conf.get(self.CLEANUP)
+        if self.tidy:
+            self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            df.write.mode("error").option("compression", "zstd").parquet(self.path(name))
+        finally:
+            if self.tidy:
+                self.spark.conf.set(self.CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:

@@ -15,12 +15,14 @@ hash), or earlier in the same document.
 * Low-level symbols.  Among the first units, windows that are equal share the symbols that
   are determined by words inside the window: each symbol carries the span of words that its
   rounds looked at.  A window's anchor is, of the highest of some rounds that has any such
-  symbol, the longest and then the least by hash, leftmost.  It depends on the window's words alone,
-  so equal windows have equal anchors, and windows whose anchor occurs once are unique.
+  symbol, the least by hash, leftmost, and is known by the words of its span.  It depends on the
+  window's words alone, so equal windows have equal anchors, and windows whose anchor occurs
+  once are unique.  Neighbouring windows share an anchor, which keeps its rows few.
 * Windows of anchors that occur again are compared by a 128-bit hash of their words, in
   global order of (hash, document, start) (``runs.in_order``): all but the first are repeats.
 
-Texts are shuffled twice, to the starts sought in them and to their decisions.
+Texts are shuffled twice, to the starts sought in them and to their decisions.  The
+shuffle files of each step go when its table is written.
 
 Defined results: a null text has no words; a document of fewer words than a window keeps all;
 a null doc_id is before all others (as the least long); of rows equal in id and text one is the
@@ -41,11 +43,11 @@ from pyspark.sql import functions as F
 
 from verbatim.llm.common import Tables, mixed, table
 from verbatim.llm.ordered import order_key
-from verbatim.llm.runs import BASES, Wanted, in_order, power, powers
+from verbatim.llm.runs import BASES, Wanted, in_order, partitions, power, powers
 
 WINDOW = 20
-ROUNDS = 10  # about 18 words a symbol
-ANCHOR_ROUNDS = 3
+ROUNDS = 12  # about 30 words a symbol
+ANCHOR_ROUNDS = 1
 BLOCK_CHARS = 4_000_000  # texts whose words are named together
 EXPAND = 100_000  # copies of one row that are made in one step
 M64 = (1 << 64) - 1
@@ -154,7 +156,7 @@ def _least(rank: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def anchors(found: list[Level], windows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each window (its first word) the name of its anchor, and a number for its occurrence."""
+    """Of each window (its first word) the hash of its anchor, and a number for its occurrence."""
     name, place = np.zeros(len(windows), np.uint64), np.zeros(len(windows), np.int64)
     open_ = np.arange(len(windows))
     for r in range(len(found) - 1, -1, -1):
@@ -162,15 +164,18 @@ def anchors(found: list[Level], windows: np.ndarray, width: int) -> tuple[np.nda
         first = np.searchsorted(lv.low, s, "left")
         last = np.searchsorted(lv.high, s + width, "right") - 1
         has = first <= last
-        rank = (np.uint64(63) - np.minimum(lv.end - lv.start, 63).astype(np.uint64)) << np.uint64(58) | _name(1, r, *lv.names) >> np.uint64(6)
-        at = _least(rank, first[has], last[has])
-        name[open_[has]] = _name(0, 1000 + r, lv.names[0][at], lv.names[1][at])
-        place[open_[has]] = at * (len(found)) + r
+        at = _least(mixed(lv.names[0]), first[has], last[has])
+        used = np.unique(at)
+        spans = np.zeros(len(lv.start), np.uint64)
+        spans[used] = _name(0, r, rolled(found[0].names[:1], lv.low[used], lv.high[used])[0], (lv.high - lv.low)[used].astype(np.uint64))
+        name[open_[has]] = spans[at]
+        place[open_[has]] = at * len(found) + r
         open_ = open_[~has]
     return name, place
 
 
-UNITS = "k1 long, k2 long, at long, th long, start int, size int, names array<long>, offs array<int>, sizes array<int>"
+UNITS = "k1 long, k2 long, at long, th long, start int, size int, marks binary"
+MARK = np.dtype([("name", "<i8"), ("size", "u1")])  # an anchor and how many windows in a row have it
 
 
 def _units(ids: list[np.ndarray], texts: list, width: int, rounds: int, anchor_rounds: int) -> pa.RecordBatch:
@@ -188,17 +193,62 @@ def _units(ids: list[np.ndarray], texts: list, width: int, rounds: int, anchor_r
         key = [_name(lane, 7, k, 2 * (far - np.arange(len(far))).astype(np.uint64) + short.astype(np.uint64)) for lane, k in enumerate(key)]
         use = np.flatnonzero(size > 0)
         size, start = size[use], top.start[use]
-        windows = np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(use) else np.zeros(0, np.int64)
+        windows = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
         name, place = anchors(found[:anchor_rounds + 1], windows, width)
     unit = np.repeat(np.arange(len(use)), size)
     new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (unit[1:] != unit[:-1])])) if len(windows) else np.zeros(0, np.int64)
-    cut = np.concatenate([[0], np.cumsum(np.bincount(unit[new], minlength=len(use)))]).astype(np.int32)
+    many = np.diff(np.append(new, len(windows)))
+    pieces = -(-many // 255)  # a mark counts up to 255 windows
+    marks = np.zeros(int(pieces.sum()), MARK)
+    marks["name"], marks["size"] = np.repeat(name[new].view(np.int64), pieces), 255
+    marks["size"][np.cumsum(pieces) - 1] = many - 255 * (pieces - 1)
+    cut = np.concatenate([[0], np.cumsum(np.bincount(np.repeat(unit[new], pieces), minlength=len(use)))])
+    blobs = pa.Array.from_buffers(pa.binary(), len(use), [None, pa.py_buffer((cut * MARK.itemsize).astype(np.int32)), pa.py_buffer(marks.tobytes())])
     doc = top.doc[use]
-    lists = lambda x: pa.ListArray.from_arrays(pa.array(cut), x)
     return pa.RecordBatch.from_arrays([
-        *[pa.array(k[use].view(np.int64)) for k in key], *[pa.array(i[doc]) for i in ids], pa.array((start - begins[doc]).astype(np.int32)), pa.array(size.astype(np.int32)),
-        lists(pa.array(name[new].view(np.int64))), lists(pa.array((windows[new] - start[unit[new]]).astype(np.int32))),
-        lists(pa.array(np.diff(np.append(new, len(windows))).astype(np.int32)))], [f.split()[0] for f in UNITS.split(", ")])
+        *[pa.array(k[use].view(np.int64)) for k in key], *[pa.array(i[doc]) for i in ids], pa.array((start - begins[doc]).astype(np.int32)),
+        pa.array(size.astype(np.int32)), blobs], [f.split()[0] for f in UNITS.split(", ")])
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(name, at, th, s, size) of the marks of units (at, th, start, marks)."""
+    for b in batches:
+        at, th, start = (b.column(i).to_numpy() for i in range(3))
+        blobs = b.column(3).to_pylist()
+        marks, each = np.frombuffer(b"".join(blobs), MARK), np.array([len(x) // MARK.itemsize for x in blobs], np.int64)
+        size = marks["size"].astype(np.int64)
+        before = np.concatenate([[0], np.cumsum(size)])
+        first = np.cumsum(each) - each
+        s = before[:-1] - np.repeat(before[first], each) + np.repeat(start, each)
+        yield pa.RecordBatch.from_arrays([pa.array(marks["name"].copy()), pa.array(np.repeat(at, each)), pa.array(np.repeat(th, each)),
+                                          pa.array(s.astype(np.int32)), pa.array(size.astype(np.int32))], ["name", "at", "th", "s", "size"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of marks sorted by name those whose name occurs again, and a task's first and last: their
+    name may occur again in the task before or after."""
+    held, again = None, True
+    for b in batches:
+        if not b.num_rows:
+            continue
+        if held is not None:
+            b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+        name = b.column(0).to_numpy()
+        equal = name[1:] == name[:-1]
+        keep = np.concatenate([[again], equal]) | np.concatenate([equal, [False]])
+        held, again = b.slice(b.num_rows - 1), bool(keep[-1])
+        keep[-1] = False
+        yield b.filter(pa.array(keep))
+    if held is not None:
+        yield held
+
+
+def shared_marks(firsts: DataFrame) -> DataFrame:
+    """(name, at, th, s, size) of the anchors of all units that occur more than once, with few others."""
+    marks = firsts.select("at", "th", "start", "marks").mapInArrow(_marks, "name long, at long, th long, s int, size int")
+    # a hot anchor lies in several ranges, as a range ends at any place
+    order = ["name", "at", "th", "s"]
+    return marks.repartitionByRange(partitions(firsts), *order).sortWithinPartitions(*order).mapInArrow(_shared, marks.schema)
 
 
 def _blocks(texts: list) -> Iterator[tuple[int, int]]:
@@ -282,13 +332,11 @@ def drop_repeats(docs: DataFrame, tables: Tables, width: int = WINDOW, rounds: i
     kept (the other words, joined by spaces) of each row."""
     kind = docs.schema["doc_id"].dataType
     docs = docs.select("doc_id", order_key().alias("at"), F.xxhash64("text").alias("th"), "text")
-    first = F.min(F.struct("at", "th", "start", "size", "names", "offs", "sizes")).alias("u")
+    first = F.min(F.struct("at", "th", "start", "size", "marks")).alias("u")
     firsts = tables.put(units(docs, width, rounds, anchor_rounds).groupBy("k1", "k2").agg(first).select("u.*"), "firsts")
 
-    marks = firsts.select("at", "th", "start", F.inline(F.arrays_zip("names", "offs", "sizes"))).select(
-        F.col("names").alias("name"), "at", "th", (F.col("start") + F.col("offs")).alias("s"), F.col("sizes").alias("size"))
-    again = marks.groupBy("name").count().where("count > 1").select("name")
-    sought = marks.join(again, "name", "left_semi").groupBy("at", "th").agg(F.collect_list("s").alias("starts"), F.collect_list("size").alias("sizes"))
+    sought = tables.put(shared_marks(firsts).drop("name"), "sought")
+    sought = sought.groupBy("at", "th").agg(F.collect_list("s").alias("starts"), F.collect_list("size").alias("sizes"))
     rows = docs.select("at", "th", "text").join(sought, ["at", "th"]).select("at", "th", "text", "starts", "sizes")
     rows = tables.put(rows.mapInArrow(_windows(width), "w1 long, w2 long, at long, th long, s int"), "windows")
     copies = docs.groupBy("doc_id", "at", "th").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
@@ -298,7 +346,9 @@ def drop_repeats(docs: DataFrame, tables: Tables, width: int = WINDOW, rounds: i
         on = copies.select("at", "th").distinct()
         rows = tables.put(rows.join(on, ["at", "th"], "left_anti").unionByName(rows.join(on, ["at", "th"], "left_semi").distinct()), "single")
     order = [F.col("at"), F.col("th"), F.col("s")]
-    later = in_order(rows, ["w1", "w2"], order, Wanted(keep=("at", "th", "s")), tables, "ordered").where("nth > 1").select("at", "th", "s", F.lit(0).alias("size"))
+    later = in_order(rows, ["w1", "w2"], order, Wanted(keep=("at", "th", "s")), tables, "ordered")
+    tables.drop("windows")
+    later = later.where("nth > 1").select("at", "th", "s", F.lit(0).alias("size"))
 
     known = firsts.select("at", "th", F.col("start").alias("s"), "size").unionByName(later)
     known = known.groupBy("at", "th").agg(F.collect_list("s").alias("starts"), F.collect_list("size").alias("sizes"))
@@ -323,7 +373,7 @@ def drop_repeats(docs: DataFrame, tables: Tables, width: int = WINDOW, rounds: i
 
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = drop_repeats(docs, Tables(spark, "op11"))
+    out = drop_repeats(docs, Tables(spark, "op11", tidy=True))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
