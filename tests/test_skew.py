@@ -1,6 +1,5 @@
 """Hot keys: the skew-safe paths must equal the plain plans exactly."""
 
-from bisect import bisect_left
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -121,18 +120,41 @@ def test_columns_differing_in_case(spark):
 
 
 def test_fill_coarse_order_is_cut_by_the_tie_break(spark):
-    from verbatim.operators.fill import _bounds, _hot_keys, _order_key, fill_forward
+    from verbatim.operators.fill import _dealt, _hot_keys, fill_forward
     # a catch-all respondent with most rows and three weeks
     df = spark.range(64_000).selectExpr(
         "CASE WHEN id % 5 < 4 THEN 'h' ELSE concat('k', id) END AS id", "int(id % 3) AS week", "id AS tb",
         "CASE WHEN id % 17 = 0 THEN concat('v', id) END AS v")
-    hot, per_chunk = _hot_keys(df, ["id"], 64, 0)
-    bounds = _bounds(df, ["id"], hot, _order_key(["week"], ["tb"]), per_chunk).collect()
-    assert [r["__h0"] for r in bounds] == ["h"] and len(bounds[0]["__bounds"]) >= 32
-    marks = [tuple(b) for b in bounds[0]["__bounds"]]
-    rows = df.where("id = 'h'").select("week", "tb").collect()
-    sizes = Counter(bisect_left(marks, (False, r.week, False, r.tb)) for r in rows)
-    assert max(sizes.values()) <= 3 * per_chunk
+    hot, parts = _hot_keys(df, ["id"], 64, 0)
+    assert [r[0] for r in hot.collect()] == ["h"] and parts >= 32
+    dealt = _dealt(df.where("id = 'h'"), ["id"], [F.col("week").asc_nulls_last(), F.col("tb").asc_nulls_last()], parts)
+    rows = sorted((r.week, r.tb, r["__c"]) for r in dealt.collect())
+    assert [r[2] for r in rows] == sorted(r[2] for r in rows)  # ranges of the full order
+    assert max(Counter(r[2] for r in rows).values()) <= 3 * 64_000 // 64
     split = fill_forward(df, "id", "week", ["v"], tiebreak="tb", num_partitions=64, hot_min_rows=0)
     plain = fill_forward(df, "id", "week", ["v"], tiebreak="tb", split_hot_keys=False)
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+
+
+def test_fill_over_2000_ranges(spark):
+    """The skewed query dealt out to 2,000 ranges: same rows as one window, and no row meets a list of boundaries."""
+    from verbatim.operators.fill import fill_forward
+    from verbatim.plans.testdata import event_fill_forward_skewed
+    from oracle_harness import compare, duck
+    from paths import SF_SMALL
+    from verbatim.plans.oracle import ORACLE_SQL
+    df = spark.range(12_000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(-1)).alias("id"), F.pmod(F.xxhash64("id"), F.lit(9)).alias("week"), F.col("id").alias("tb"),
+        F.when(F.col("id") % 11 == 3, F.col("id")).alias("v"), F.when(F.col("id") % 5003 == 9, F.lit("rare")).alias("w"))
+    split = fill_forward(df, "id", "week", ["v", "w"], tiebreak="tb", num_partitions=2000, hot_min_rows=0)
+    plain = fill_forward(df, "id", "week", ["v", "w"], tiebreak="tb", split_hot_keys=False)
+    assert split.exceptAll(plain).isEmpty() and split.count() == 12_000
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan and "lambda" not in plan
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        r = compare(spark, event_fill_forward_skewed, ORACLE_SQL["event_fill_forward_skewed"], SF_SMALL, duck(SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert r["ok"], r

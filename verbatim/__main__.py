@@ -70,6 +70,11 @@ def parse_args(argv=None) -> argparse.Namespace:
 def main(argv=None, spark=None) -> None:
     a = parse_args(argv)
     spark = spark or get_spark(a.master)
+    with lineage_tables(spark):
+        refresh(spark, a)
+
+
+def refresh(spark, a: argparse.Namespace) -> None:
     waves = read_waves(spark, a.waves, fmt=a.format)
     cfg = CONFIGS[a.panel](wave_columns(spark, a.waves, fmt=a.format))
     frames = align_types(list(waves.values()))
@@ -91,7 +96,7 @@ def main(argv=None, spark=None) -> None:
     stop = read_stop_words(spark, a.stop_words) if a.stop_words else None
     catalog = read_catalog(spark, a.catalog).where(f"panel = '{cfg.name}'") if a.catalog else None
     if a.publish:
-        with Published(spark, a.out).refresh(cfg.name) as new, lineage_tables(spark):
+        with Published(spark, a.out).refresh(cfg.name) as new:
             new.write("responses", attach_questions(long, questions))
             net = bigram_network(new.read("responses").select("question", "response"), stop=stop, questions=list(cfg.question_codes))
             new.write("edges", attach_questions(net.edges, questions))
@@ -104,10 +109,9 @@ def main(argv=None, spark=None) -> None:
     write_responses(long, questions, a.out)
     # the network reads the table just written: the waves are folded and filled once
     done = spark.read.parquet(f"{a.out}/responses").where(F.col("panel") == cfg.name)
-    with lineage_tables(spark):
-        net = bigram_network(done.select("question", "response"), stop=stop,
-                             questions=list(cfg.question_codes))
-        write_network(net, questions, a.out)
+    net = bigram_network(done.select("question", "response"), stop=stop,
+                         questions=list(cfg.question_codes))
+    write_network(net, questions, a.out)
     write_by_panel(question_index(questions), f"{a.out}/question_index", panels)
     if catalog is not None:
         write_by_panel(catalog_audit(catalog, questions), f"{a.out}/catalog_audit", panels)

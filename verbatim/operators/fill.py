@@ -5,23 +5,22 @@ filled column takes the latest earlier non-NULL value; leading NULLs stay NULL.
 
 Plan
 ----
-One ``Window.partitionBy(by, chunk)`` over all rows — one shuffle, one sort.  ``chunk`` is 0
-for ordinary keys.  A key holding more rows than a balanced partition and than ``HOT_FLOOR``
-("hot", found by a partial/final count per key; there are fewer than partitions of them)
-would make one task process all of its rows, so it is cut into contiguous ranges of its full
-order, tie-break included (a coarse week alone could not be cut):
-
-1. Boundaries: of each hot key a sample of rows, picked by a hash of the row's order and
-   about ``PER_CHUNK`` times as many as the chunks wanted, is ranked; every so-manieth row
-   is a boundary.  The boundaries (one row per hot key, about two per partition in total)
-   are broadcast; the chunk is a pure function of the row and them, so every branch and
-   every retry computes the same chunks.
-2. Local fill per (key, chunk) with the same window; groups are chunk-sized.
-3. Chunk tails of hot keys straight from the input: per (key, chunk) and column, the value
-   of the last non-NULL row (``max_by`` with a NULL ordering for NULL values) — a
-   partial/final aggregation.
-4. Carry-in: over the tails, the last non-NULL of all earlier chunks of the key.
-5. ``coalesce(local, carry)`` through a broadcast join on (key, chunk).
+Ordinary keys: one ``Window.partitionBy(by)`` — one shuffle, one sort.  A key holding more
+rows than a balanced partition and than ``HOT_FLOOR`` ("hot", found by a partial/final count
+per key; there are fewer than partitions of them) would make one task process all of its
+rows, so the rows of hot keys go another way:
+
+1. ``repartitionByRange`` on (key, full order, tie-break included; a coarse week alone could
+   not be cut) deals them out evenly; Spark's range partitioner finds a row's range by
+   binary search, whatever their number.  The range's number is written with the row to a table in the
+   shared checkpoint folder, so that every later step and every retry sees the same ranges.
+2. Local fill per (key, range) with the same window; groups are range-sized.
+3. Tails: per (key, range) and column, the value of the last non-NULL row (``max_by``
+   with a NULL ordering for NULL values) — a partial/final aggregation.
+4. Carry-in: over the tails, the last non-NULL of all earlier ranges of the key.
+5. ``coalesce(local, carry)`` through a broadcast join on (key, range): a range holds its
+   own part of at most two keys more than it holds whole, so there are fewer tails than
+   ranges and hot keys together.
 """
 
 from __future__ import annotations
@@ -32,8 +31,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verbatim.session import cut_lineage
+
 HOT_FLOOR = 100_000  # rows; a key with fewer is never worth cutting
-PER_CHUNK = 20       # sampled rows for each chunk
 
 
 def _names(x: str | Sequence[str] | None) -> list[str]:
@@ -57,21 +57,20 @@ def _window_fill(df: DataFrame, by, within, columns, extra_partition=()) -> Data
 
 
 def _hot_keys(df: DataFrame, by: Sequence[str], num_partitions: int, min_rows: int):
-    """(hot keys with their row counts, rows of a chunk), or (None, 0) if there are none.
+    """(hot keys, ranges to deal their rows out to), or (None, 0) if there are none.
 
     Per-key counts are a partial/final aggregation, safe under skew.  Fewer than
     ``num_partitions`` keys can hold more than a balanced partition's rows.
     """
     counts = df.groupBy(*[_c(b) for b in by]).count()
     stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("largest")).first()
-    per_chunk = max(1, min_rows, (stats["total"] or 0) // max(num_partitions, 1))
-    if not stats["largest"] or stats["largest"] <= per_chunk:
+    per_range = max(1, min_rows, (stats["total"] or 0) // max(num_partitions, 1))
+    if not stats["largest"] or stats["largest"] <= per_range:
         return None, 0
-    rows = counts.where(F.col("count") > per_chunk).collect()
+    rows = counts.where(F.col("count") > per_range).collect()
     kinds = df.select(*[_c(b).alias(f"__h{i}") for i, b in enumerate(by)]).schema
-    hot = df.sparkSession.createDataFrame([(*[r[b] for b in by], r["count"]) for r in rows],
-                                          kinds.add("__rows", "long"))
-    return hot, per_chunk
+    hot = df.sparkSession.createDataFrame([tuple(r[b] for b in by) for r in rows], kinds)
+    return hot, -(-sum(r["count"] for r in rows) // per_range)
 
 
 def _order_key(order: Sequence[str], tie: Sequence[str]) -> Column:
@@ -80,19 +79,10 @@ def _order_key(order: Sequence[str], tie: Sequence[str]) -> Column:
                       for x in (_c(o).isNull().alias(f"n{i}"), _c(o).alias(f"o{i}"))])
 
 
-def _bounds(df: DataFrame, by, hot: DataFrame, order_key: Column, per_chunk: int) -> DataFrame:
-    """(__h..., __bounds): each hot key's boundaries in order."""
-    hk = [f"__h{i}" for i in range(len(by))]
-    rows = df.select(*[_c(b) for b in by], order_key.alias("__o"))
-    rows = rows.join(F.broadcast(hot), _key_match(by, hk), "inner").select(*hk, "__rows", "__o")
-    # about PER_CHUNK rows for each chunk's worth, by a hash of the row's place in the order
-    every = F.greatest(F.lit(1), F.lit(per_chunk) / PER_CHUNK).cast("long")
-    some = rows.where(F.pmod(F.xxhash64("__o"), every) == 0)
-    place = Window.partitionBy(*hk).orderBy("__o")
-    # equal order values would be one boundary: each counts once
-    ranked = some.select(*hk, "__o").distinct().withColumn("__i", F.row_number().over(place))
-    picked = ranked.where(F.col("__i") % PER_CHUNK == 0)
-    return picked.groupBy(*hk).agg(F.array_sort(F.collect_list("__o")).alias("__bounds"))
+def _dealt(df: DataFrame, by: Sequence[str], within: Sequence[Column], parts: int) -> DataFrame:
+    """The rows with ``__c``, the number of their range of the full order."""
+    dealt = df.repartitionByRange(parts, *[_c(b) for b in by], *within)
+    return cut_lineage(dealt.withColumn("__c", F.spark_partition_id()), "fill-ranges")
 
 
 def fill_forward(df: DataFrame, by: str | Sequence[str], order: str | Sequence[str],
@@ -111,29 +101,28 @@ def fill_forward(df: DataFrame, by: str | Sequence[str], order: str | Sequence[s
         tie, added = ["__tb"], True
     within = [_c(o).asc_nulls_last() for o in order] + [_c(t).asc_nulls_last() for t in tie]
 
-    hot, per_chunk = None, 0
+    hot, parts = None, 0
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if split_hot_keys:
-        hot, per_chunk = _hot_keys(df, by, n, hot_min_rows)
+        hot, parts = _hot_keys(df, by, n, hot_min_rows)
     if hot is None:
         out = _window_fill(df, by, within, columns)
         return out.drop("__tb") if added else out
 
-    kcols, names = [f"__h{i}" for i in range(len(by))], list(df.columns)
+    names = [x for x in df.columns if not (added and x == "__tb")]
+    hot = F.broadcast(hot)  # fewer than n keys
+    match = _key_match(by, [f"__h{i}" for i in range(len(by))])
+    ordinary = _window_fill(df.join(hot, match, "left_anti"), by, within, columns)
+
+    rows = _dealt(df.join(hot, match, "left_semi"), by, within, parts)
+    local = _window_fill(rows, by, within, columns, extra_partition=["__c"])
+    vcols, kcols = [f"__v{j}" for j in range(len(columns))], [f"__k{i}" for i in range(len(by))]
     order_key = _order_key(order, tie)
-    bounds = F.broadcast(_bounds(df, by, hot, order_key, per_chunk))  # fewer than n keys
-    chunk = F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col("__o"))), F.lit(0))
-    rows = (df.withColumn("__o", order_key).join(bounds, _key_match(by, kcols), "left")
-            .withColumn("__c", F.when(F.col("__bounds").isNotNull(), chunk).otherwise(0)))
-    local = _window_fill(rows.select(*[_c(x) for x in names], "__c"), by, within, columns, extra_partition=["__c"])
-
-    vcols = [f"__v{j}" for j in range(len(columns))]
-    tails = rows.where(F.col("__bounds").isNotNull()).groupBy(*kcols, "__c").agg(
-        *[F.max_by(_c(c), F.when(_c(c).isNotNull(), F.col("__o"))).alias(v) for c, v in zip(columns, vcols)])
-    earlier = (Window.partitionBy(*kcols).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1))
-    carry = tails.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(kcols)], F.col("__c").alias("__cc"),
-                         *[F.last(F.col(v), ignorenulls=True).over(earlier).alias(v) for v in vcols])
-    cond = (F.col("__c") == F.col("__cc")) & _key_match(by, [f"__k{i}" for i in range(len(by))])
-    joined = local.join(F.broadcast(carry), cond, "left")  # a row for each chunk
-    out = joined.withColumns({c: F.coalesce(_c(c), F.col(v)) for c, v in zip(columns, vcols)})
-    return out.select(*[_c(x) for x in names if not (added and x == "__tb")])
+    tails = rows.groupBy(*[_c(b).alias(x) for b, x in zip(by, kcols)], F.col("__c").alias("__cc")).agg(
+        *[F.max_by(_c(c), F.when(_c(c).isNotNull(), order_key)).alias(v) for c, v in zip(columns, vcols)])
+    earlier = Window.partitionBy(*kcols).orderBy("__cc").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tails.select(*kcols, "__cc", *[F.last(F.col(v), ignorenulls=True).over(earlier).alias(v) for v in vcols])
+    joined = local.join(F.broadcast(carry), (F.col("__c") == F.col("__cc")) & _key_match(by, kcols), "left")
+    filled = joined.withColumns({c: F.coalesce(_c(c), F.col(v)) for c, v in zip(columns, vcols)})
+    own = [_c(x) for x in names]
+    return ordinary.select(*own).unionByName(filled.select(*own))
