@@ -17,6 +17,7 @@ import argparse
 
 from pyspark.sql import functions as F
 
+from verbatim.operators.attributes import merged_attributes, question_texts, with_metadata
 from verbatim.operators.audit import catalog_audit, question_dimension, question_index
 from verbatim.operators.graph import bigram_network
 from verbatim.operators.harmonize import fold_waves, stack_waves, waves_disjoint
@@ -30,6 +31,7 @@ from verbatim.session import get_spark, lineage_tables
 from verbatim.sources.catalog import read_catalog
 from verbatim.sources.codebook import read_value_labels, read_variable_labels
 from verbatim.sources.gazetteer import read_gazetteer
+from verbatim.sources.menu import menu_questions, read_menu
 from verbatim.sources.stopwords import read_stop_words
 from verbatim.sources.waves import wave_columns, read_waves
 
@@ -48,9 +50,10 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--waves", nargs="+", required=True, help="wave files, oldest first")
     p.add_argument("--format", default="parquet", help="wave file format")
     p.add_argument("--gazetteer", help="header-less tab-separated zip file")
-    p.add_argument("--value-labels", help="value_labels(panel, variable, code, label)")
-    p.add_argument("--variable-labels", help="variable_labels(panel, variable, position, label)")
+    p.add_argument("--value-labels", help="value_labels(panel, variable, code, label); default: the columns' attributes")
+    p.add_argument("--variable-labels", help="variable_labels(panel, variable, position, label); default: the columns' attributes")
     p.add_argument("--catalog", help="menu entries as JSON lines")
+    p.add_argument("--menu", help="the nested menu (JSON of the site configuration) in place of --catalog")
     p.add_argument("--out", required=True)
     p.add_argument("--parity", action="store_true", help="reference zip handling exactly")
     p.add_argument("--disjoint-on", default="Week",
@@ -79,7 +82,7 @@ def refresh(spark, a: argparse.Namespace) -> None:
     cfg = CONFIGS[a.panel](wave_columns(spark, a.waves, fmt=a.format))
     frames = align_types(list(waves.values()))
     if waves_disjoint(frames, a.disjoint_on):  # no row can match across waves
-        master = stack_waves(with_order(frames, cfg))
+        master = with_metadata(stack_waves(with_order(frames, cfg)), merged_attributes(frames))
     else:
         master = fold_waves(frames)
     if a.allow_missing:
@@ -87,14 +90,18 @@ def refresh(spark, a: argparse.Namespace) -> None:
             print(f"missing column: {c}")
     gaz = read_gazetteer(spark, a.gazetteer) if a.gazetteer else None
     labels = read_value_labels(spark, a.value_labels) if a.value_labels else None
-    texts = read_variable_labels(spark, a.variable_labels) if a.variable_labels else None
+    if a.variable_labels:
+        texts = read_variable_labels(spark, a.variable_labels)
+    else:  # the columns' own
+        texts = {cfg.question_columns[c]: t for c, t in question_texts(master).items() if c in cfg.question_columns} or None
 
     long = build_response_table(master, cfg, gaz, labels, parity=a.parity, relookup=a.relookup,
                                 languages=tuple(a.language) if a.language else None,
                                 allow_missing=a.allow_missing)
     questions = question_dimension(spark, cfg.name, list(cfg.question_codes), texts)
     stop = read_stop_words(spark, a.stop_words) if a.stop_words else None
-    catalog = read_catalog(spark, a.catalog).where(f"panel = '{cfg.name}'") if a.catalog else None
+    catalog = read_catalog(spark, a.catalog) if a.catalog else menu_questions(read_menu(spark, a.menu)) if a.menu else None
+    catalog = catalog.where(f"panel = '{cfg.name}'") if catalog is not None else None
     if a.publish:
         with Published(spark, a.out).refresh(cfg.name) as new:
             new.write("responses", attach_questions(long, questions))

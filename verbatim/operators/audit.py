@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbatim.functions.keys import index_line, page_key, page_title
 from verbatim.operators.broadcast import bounded_broadcast
+from verbatim.session import cut_lineage
 
 MAX_VARIABLES = 200_000
 
@@ -38,12 +40,24 @@ def question_dimension(spark: SparkSession, panel: str, codes: Sequence[str],
                                                for x in (F.lit(k), F.lit(v))])[F.col("code")])
 
 
-def number_questions(codes: DataFrame, panel: str, code_col: str = "code") -> DataFrame:
-    """Number distinct codes 1..N in code order (for question sets read from data)."""
-    w = Window.orderBy(F.col(code_col))
-    return (codes.select(F.col(code_col).alias("code")).distinct()
-            .select(F.lit(panel).alias("panel"), F.row_number().over(w).cast("int").alias("num"),
-                    "code"))
+def number_questions(codes: DataFrame, panel: str, code_col: str = "code", num_partitions: int | None = None) -> DataFrame:
+    """Number distinct codes 1..N in code order (for question sets read from data), a NULL first.
+
+    The codes are dealt out by ranges and sorted there; a code's number is its place in its range
+    plus the rows of the ranges before, of which one count a range reaches the driver."""
+    spark = codes.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    distinct = codes.select(F.col(code_col).alias("code")).distinct()
+    placed = distinct.repartitionByRange(n, "code").sortWithinPartitions("code")
+    # partition number above 33 bits, place in the partition below; written, so that it is one for all steps
+    placed = cut_lineage(placed.withColumn("__at", F.monotonically_increasing_id()), "question-numbers")
+    part = F.shiftright("__at", 33).alias("__part")
+    counts = sorted((r["__part"], r["count"]) for r in placed.groupBy(part).count().collect())  # a row for each range
+    offsets = list(zip([p for p, _ in counts], accumulate([c for _, c in counts], initial=0)))
+    offsets = spark.createDataFrame(offsets, "__part long, __before long")
+    rows = placed.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+    num = F.col("__at").bitwiseAND((1 << 33) - 1) + F.col("__before") + 1
+    return rows.select(F.lit(panel).alias("panel"), num.cast("int").alias("num"), "code")
 
 
 def question_index(questions: DataFrame) -> DataFrame:

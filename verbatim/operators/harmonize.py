@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verbatim.operators.attributes import merged_attributes, with_metadata
 from verbatim.operators.broadcast import bounded_broadcast
 from verbatim.operators.wavetypes import align_types
 from verbatim.session import cut_lineage
@@ -242,7 +243,8 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
 
     A column whose type differs between waves first gets its least common type over all of
     them (``wavetypes.align_types``); a pair of types that no type holds without loss is an
-    error that names both.
+    error that names both.  Columns keep their attributes (``attributes``), of waves that
+    differ the earlier one's.
 
     ``disjoint_on`` names a shared column whose values never repeat across waves; when
     the check confirms it, the fold is computed as a stack instead (same rows, no
@@ -260,9 +262,9 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
     if len(waves) == 1:
         return waves[0]
     _check_case(waves)
-    waves = align_types(waves)
+    said, waves = merged_attributes(waves), align_types(waves)
     if disjoint_on is not None and keys is None and waves_disjoint(waves, disjoint_on):
-        return stack_waves(waves)
+        return with_metadata(stack_waves(waves), said)
     n = num_partitions or int(waves[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def chained(parts: Sequence[DataFrame]) -> DataFrame:
@@ -276,12 +278,12 @@ def fold_waves(waves: Sequence[DataFrame], keys: Sequence[str] | None = None,
 
     shared = [c for c in waves[0].columns if all(c in w.columns for w in waves[1:])]
     if keys is not None or not shared:
-        return chained(waves)
+        return with_metadata(chained(waves), said)
     again = cut_lineage(_met_again(waves, shared), "wave-tuples")
     some = bounded_broadcast(again, MAX_TUPLES)
     if again.isEmpty():
-        return stack_waves(waves)
+        return with_metadata(stack_waves(waves), said)
     split = lambda w, how: w.join(some, _tuple_hash(w, shared) == F.col("__t"), how)
     alone = stack_waves([split(w, "left_anti") for w in waves])
-    return alone.unionByName(chained([split(w, "left_semi") for w in waves]))
+    return with_metadata(alone.unionByName(chained([split(w, "left_semi") for w in waves])), said)
 

@@ -140,6 +140,11 @@ SELECT j.panel, view, code, num, page_num,
 FROM j LEFT JOIN sizes USING (panel)
 """
 
+# a link that doesn't parse names no panel, view or page
+_NO_LINK = "(num = 12 AND view = 'bigram') OR (num = 13 AND view = 'responses')"
+_NESTED_AUDIT = (_AUDIT.replace("num = 13 AND view = 'responses' THEN NULL", f"{_NO_LINK} THEN NULL")
+                 .replace("num = 12 AND view = 'bigram' THEN NULL", f"{_NO_LINK} THEN NULL"))
+
 _UNPIVOT_SV = " UNION ALL ".join(
     f"SELECT respondent_id, wave, language, quality, toxic, {_lit(q)} AS question, response "
     f"FROM filled WHERE question = {_lit(q)} AND response <> ''"
@@ -243,6 +248,18 @@ ORACLE_SQL = {
     "label_decode": f"""
         SELECT doc_id, {_case('quality', PARTIAL_LABELS['quality'])} AS quality,
                {_case('toxic', PARTIAL_LABELS['toxic'])} AS toxic FROM labels""",
+    "label_decode_schema": f"""
+        SELECT {_case('toxic', PARTIAL_LABELS['toxic'])} AS harmful, doc_id,
+               {_case('quality', PARTIAL_LABELS['quality'])} AS rating FROM labels WHERE doc_id IS NOT NULL""",
+    "question_texts_schema": f"""
+        SELECT question, CAST(question_num AS INTEGER) AS question_num, 'What about ' || question || '?' AS question_text, n FROM (
+          SELECT source AS question, count(*) AS n FROM documents WHERE text <> '' GROUP BY source)
+        JOIN (VALUES {", ".join(f"({_lit(q)}, {i + 1})" for i, q in enumerate(SV_QUESTIONS))}) AS q(question, question_num) USING (question)""",
+    "gazetteer_quarantine": """
+        SELECT 'good' AS kind, CAST(c_custkey AS VARCHAR) AS zip, c_name AS PlaceName, c_mktsegment AS State, c_acctbal AS longitude,
+               CAST(c_nationkey AS INTEGER) AS accuracy, 1::BIGINT AS n FROM customer WHERE c_custkey % 10 NOT IN (3, 5, 7)
+        UNION ALL SELECT CASE c_custkey % 10 WHEN 3 THEN 'too_few_fields' WHEN 5 THEN 'too_many_fields' ELSE 'bad_value' END,
+               NULL, NULL, NULL, NULL, NULL, count(*) FROM customer WHERE c_custkey % 10 IN (3, 5, 7) GROUP BY 1""",
     "prefix_projection": """
         SELECT c_custkey, c_name AS customer_name, c_nationkey, c_mktsegment FROM customer""",
     "restricted_enrich": """
@@ -264,6 +281,7 @@ ORACLE_SQL = {
                panel || '_responses_' || CAST(num AS VARCHAR) AS responses_page
         FROM dq""",
     "catalog_audit": _AUDIT,
+    "nested_menu_audit": _NESTED_AUDIT,
     "published_page": f"""WITH {_BIGRAMS}
         SELECT 'Question {SV_QUESTIONS.index("src3") + 1}' AS title, word1, word2, n, NULL::BIGINT AS doc_id FROM edges WHERE question = 'src3'
         UNION ALL SELECT 'Question {SV_QUESTIONS.index("src3") + 1}', NULL, NULL, NULL, doc_id FROM documents WHERE source = 'src3'""",

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from verbatim.functions.names import dotted_to_snake
 from verbatim.functions.recode import child_flag, first_true, recode_map
 from verbatim.functions.zipcodes import normalize_zip, zip_text
+from verbatim.operators.attributes import decode_labelled
 from verbatim.operators.decode import decode_values, labels_table
 from verbatim.operators.fill import fill_forward
 from verbatim.operators.lookup import gazetteer_states, lookup_state
@@ -102,6 +103,9 @@ def build_response_table(master: DataFrame, cfg: PanelConfig,
     ``allow_missing`` such questions have no rows and poverty is NULL (``missing_columns``
     tells which).
 
+    ``value_labels`` is a codebook; columns that it doesn't name are decoded by the value labels
+    in their own metadata (``operators.attributes``), if they have any.
+
     ``languages`` (F2, used by earlier versions) keeps only rows whose language code is
     listed; by default every language is kept.
     """
@@ -120,6 +124,7 @@ def build_response_table(master: DataFrame, cfg: PanelConfig,
     df = df.select([F.col(f"`{c}`") for c in dict.fromkeys(keep)])
     df = df.where(F.col(f"`{cfg.gate_col}`") == 1)
     df = decode_values(df, _ingest_labels(value_labels, cfg), exclude=[cfg.id_col])
+    df = decode_labelled(df, exclude=[cfg.id_col])  # columns that no codebook names but the schema labels
     carried = [c for c in cfg.carried if not (relookup and c == "State")]
     df = fill_forward(df, cfg.id_col, cfg.week_col, carried, tiebreak=tie or None,
                       split_hot_keys=split_hot_keys)

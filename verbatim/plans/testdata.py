@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from verbatim.functions.keys import code_number
 from verbatim.functions.recode import child_flag, first_true, recode_map
 from verbatim.functions.zipcodes import normalize_zip
+from verbatim.operators.attributes import decode_labelled, question_texts, with_attributes
 from verbatim.operators.audit import catalog_audit, number_questions, question_index
 from verbatim.operators.bigrams import bigram_occurrences, sort_counts
 from verbatim.operators.decode import decode_values
@@ -37,6 +38,8 @@ from verbatim.plans.panels import PROVIDER_RULES
 from verbatim.plans.publish import Published
 from verbatim.plans.reports import attach_questions
 from verbatim.session import checkpoint_dir
+from verbatim.sources.gazetteer import read_gazetteer_checked
+from verbatim.sources.menu import menu_questions, read_menu
 from verbatim.sources.stopwords import ENGLISH_STOP_WORDS, stop_words
 from verbatim.sources.waves import read_waves
 
@@ -347,6 +350,39 @@ def label_decode_double(spark, d):
     return decode_values(doc, book, exclude=["doc_id"])
 
 
+def label_decode_schema(spark, d):
+    """Value labels attached to the columns, written, read back, renamed and decoded
+    without a codebook."""
+    path = f"{shared_folder(spark, 'labelled')}/labels.parquet"
+    with_attributes(table(spark, d, "labels"), {"quality": "How good is it?"}, PARTIAL_LABELS).write.parquet(path)
+    read = spark.read.parquet(path).withColumnsRenamed({"quality": "rating", "toxic": "harmful"}).select("harmful", "doc_id", "rating")
+    return decode_labelled(read.where(F.col("doc_id").isNotNull()))
+
+
+def question_texts_schema(spark, d):
+    """Question texts read off the wide table's columns, beside each question's answers."""
+    wide = with_attributes(sv_wide(spark, d).select(*SV_QUESTIONS), {q: f"What about {q}?" for q in SV_QUESTIONS})
+    texts = {q: t for q, t in question_texts(wide).items()}
+    answers = unpivot_responses(wide, [], list(SV_QUESTIONS)).groupBy("question").agg(F.count("*").alias("n"))
+    return attach_questions(answers, question_dimension(spark, "sv", list(SV_QUESTIONS), texts)).select("question", "question_num", "question_text", "n")
+
+
+def gazetteer_quarantine(spark, d):
+    """Customers as a gazetteer file in which some lines lack a field, have one more or hold a
+    text for a number: the good rows, and the bad ones counted."""
+    c, path = table(spark, d, "customer"), shared_folder(spark, "gazetteer")
+    key, kind = F.col("c_custkey"), F.col("c_custkey") % 10
+    columns = [F.lit("US"), key, "c_name", "c_mktsegment", "c_mktsegment", F.lit(""), F.lit(""), F.lit(""), F.lit(""),
+               F.when(kind == 7, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string")), "c_acctbal"]
+    line = F.concat_ws("\t", *columns)
+    line = F.when(kind == 3, line).when(kind == 5, F.concat(line, F.lit("\t4\t"))).otherwise(F.concat(line, F.lit("\t"), "c_nationkey"))
+    c.select(line.alias("value")).write.text(path)
+    read = read_gazetteer_checked(spark, path)
+    good = read.good.select(F.lit("good").alias("kind"), "zip", "PlaceName", "State", "longitude", "accuracy", F.lit(1).cast("long").alias("n"))
+    none = [F.lit(None).cast(t) for t in ("string", "string", "string", "double", "int")]
+    return good.union(read.counts().groupBy("reason").agg(F.sum("n").alias("n")).select("reason", *none, "n"))
+
+
 def prefix_projection(spark, d):
     c = select_prefix(table(spark, d, "customer"), "C_")
     return c.drop("c_acctbal").withColumnsRenamed({"c_name": "customer_name"})
@@ -454,6 +490,23 @@ def catalog_audit_docs(spark, d):
     return catalog_audit(derived_menu(q), q)
 
 
+def nested_menu_audit(spark, d):
+    """The menu as one nested document (section, module, entry), read and audited.
+
+    A menu has an entry for each question and view, so gathering it is no matter of scale."""
+    q = _doc_questions(spark, d)
+    flat = derived_menu(q)
+    page = F.concat_ws("_", F.coalesce("href_panel", F.lit("")), "href_view", F.coalesce(F.col("page_num").cast("string"), F.lit("")))
+    entry = F.struct(F.concat("code", F.lit(": What?")).alias("text"), F.concat(page, F.lit(".html")).alias("href"))
+    module = flat.groupBy("section_view", (F.length("code") > 4).alias("long")).agg(F.collect_list(entry).alias("menu"))
+    item = F.struct(F.when(F.col("long"), "Long codes").otherwise("Short codes").alias("text"), "menu")
+    sections = module.groupBy("section_view").agg(F.collect_list(item).alias("menu"))
+    left = sections.agg(F.collect_list(F.struct(F.concat(F.lit("Docs "), "section_view").alias("text"), "menu")).alias("left"))
+    path = shared_folder(spark, "menu")
+    left.select(F.struct("left").alias("navbar")).write.json(path)
+    return catalog_audit(menu_questions(read_menu(spark, path, panels={"Docs": "docs"})), q)
+
+
 QUERIES = {
     "bigram_network_edges": bigram_network_edges,
     "bigram_network_vertices": bigram_network_vertices,
@@ -483,6 +536,9 @@ QUERIES = {
     "flag_priority": flag_priority,
     "label_decode": label_decode,
     "label_decode_double": label_decode_double,
+    "label_decode_schema": label_decode_schema,
+    "question_texts_schema": question_texts_schema,
+    "gazetteer_quarantine": gazetteer_quarantine,
     "prefix_projection": prefix_projection,
     "restricted_enrich": restricted_enrich,
     "question_regex": question_regex,
@@ -490,6 +546,7 @@ QUERIES = {
     "response_view_contains": response_view_contains,
     "question_index": question_index_docs,
     "catalog_audit": catalog_audit_docs,
+    "nested_menu_audit": nested_menu_audit,
     "responses_by_question": responses_by_question,
     "question_code_numbers": question_code_numbers,
     "published_page": published_page,

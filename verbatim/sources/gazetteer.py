@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from verbatim.sources.quarantine import Quarantined, read_delimited
+
 # The gazetteer's column order.
 ZIP_SCHEMA = (
     "CountryCode string, zip string, PlaceName string, AdminName1 string, State string, "
@@ -18,3 +20,8 @@ def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
             .option("sep", "\t").option("header", "false").option("quote", "")
             .option("mode", "PERMISSIVE")
             .csv(path))
+
+
+def read_gazetteer_checked(spark: SparkSession, path: str) -> Quarantined:
+    """The gazetteer's good rows, and those that don't parse as a counted table of their own."""
+    return read_delimited(spark, path, ZIP_SCHEMA)
