@@ -52,6 +52,8 @@ def passages(seed, vocabulary, n=50):
 
 def awkward_rows():
     rows = passages(1, "a b c dé".split())
+    long = ["ab" * 80, "ab" * 79 + "ba"]  # words named by a hash of their own
+    rows += [(198, " ".join(long * 30)), (199, " ".join(long[::-1] * 15))]
     rows += [(200, None), (201, ""), (202, " \t\n"), (203, "x " * 50), (204, "x " * 20), (205, "x\n" * 19), (None, rows[41][1]), (206, rows[40][1])]
     return rows + [rows[3], rows[3], (204, "x " * 20), (205, "x\n" * 19), (201, "")]
 
@@ -102,7 +104,7 @@ def test_equal_windows_have_equal_anchors():
         texts = [" ".join([*rng.choices(vocabulary, k=rng.randint(0, 60)), window, *rng.choices(vocabulary, k=rng.randint(0, 60))]) for _ in range(30)] + [window]
         with np.errstate(over="ignore"):
             names, counts, words = recompress.named_words(texts)
-            found, begins, ends = recompress.levels(names, counts, recompress.ANCHOR_ROUNDS)
+            found, begins, ends = recompress.levels(names, counts, 3, 3)
             starts = np.concatenate([np.arange(b, e - 19) for b, e in zip(begins, ends)])
             name, place = recompress.anchors(found, starts, 20)
         words = words.to_pylist()

@@ -16,10 +16,12 @@ hash), or earlier in the same document.
   are determined by words inside the window: each symbol carries the span of words that its
   rounds looked at.  A window's anchor is, of the highest of some rounds that has any such
   symbol, the least by hash, leftmost, and is known by the words of its span.  It depends on the
-  window's words alone, so equal windows have equal anchors, and windows whose anchor occurs
-  once are unique.  Neighbouring windows share an anchor, which keeps its rows few.
-* Windows of anchors that occur again are compared by a 128-bit hash of their words, in
-  global order of (hash, document, start) (``runs.in_order``): all but the first are repeats.
+  window's words alone, so equal windows have equal anchors.
+* Neighbouring windows share an anchor and form a mark, known by its anchor and all its words.
+  Of equal marks, in global order of (anchor, words, document, start), all but the first are
+  repeats.  If an anchor has one such text only, nothing else can hold its windows; if it has
+  several, as at the ends of a passage, their windows are compared one by one, by a 128-bit hash,
+  in global order of (hash, document, start) (``runs.in_order``).
 
 Texts are shuffled twice, to the starts sought in them and to their decisions.  The
 shuffle files of each step go when its table is written.
@@ -43,11 +45,12 @@ from pyspark.sql import functions as F
 
 from verbatim.llm.common import Tables, mixed, table
 from verbatim.llm.ordered import order_key
-from verbatim.llm.runs import BASES, Wanted, in_order, partitions, power, powers
+from verbatim.llm.runs import BASES, Wanted, in_order, partitions, powers
 
 WINDOW = 20
 ROUNDS = 12  # about 30 words a symbol
 ANCHOR_ROUNDS = 1
+LONG = 64
 BLOCK_CHARS = 4_000_000  # texts whose words are named together
 EXPAND = 100_000  # copies of one row that are made in one step
 M64 = (1 << 64) - 1
@@ -66,8 +69,9 @@ class Level:
     def __init__(self, start, end, names, doc, low, high):
         self.start, self.end, self.names, self.doc, self.low, self.high = start, end, names, doc, low, high
 
-    def next(self, step: int, first_word: np.ndarray, end_word: np.ndarray) -> Level:
-        """The next round; the documents' first words and the words after their last."""
+    def next(self, step: int, first_word: np.ndarray, end_word: np.ndarray, spans: bool = True) -> Level:
+        """The next round; the documents' first words and the words after their last.  Without
+        ``spans`` the symbols' spans are left as they are of their first parts."""
         n, (a, b) = len(self.start), self.names
         if not n:
             return self
@@ -81,62 +85,78 @@ class Level:
             x[long] = _name(lane, 2 * step, x[long], count[long])
             names.append(x)
         doc, start, end = self.doc[first], self.start[first], self.end[last]
-        # a run is known by the symbols on both sides
-        inner_l, inner_r = np.zeros(len(first), bool), np.zeros(len(first), bool)
-        inner_l[1:] = doc[1:] == doc[:-1]
-        inner_r[:-1] = inner_l[1:]
-        low = np.where(inner_l, self.low[np.maximum(first - 1, 0)], first_word[doc] - 1)
-        high = np.where(inner_r, self.high[np.minimum(last + 1, n - 1)], end_word[doc] + 1)
+        same = np.zeros(len(first) + 1, bool)  # is there a symbol before this one in its document?
+        same[1:-1] = doc[1:] == doc[:-1]
+        inner_l, inner_r = same[:-1], same[1:]
         # pairs of a left and a right symbol
         left = _name(0, 2 * step + 1, names[0], names[1]) >> np.uint64(63) == 1
-        head = np.zeros(len(first), bool)
-        head[:-1] = left[:-1] & ~left[1:] & inner_r[:-1]
-        second = np.zeros(len(first), bool)
-        second[1:] = head[:-1]
-        alone_l, alone_r = np.flatnonzero(left & ~head), np.flatnonzero(~left & ~second)
-        new_low, new_high = low.copy(), high.copy()
-        new_high[alone_l] = np.where(inner_r[alone_l], high[np.minimum(alone_l + 1, len(first) - 1)], end_word[doc[alone_l]] + 1)
-        new_low[alone_r] = np.where(inner_l[alone_r], low[np.maximum(alone_r - 1, 0)], first_word[doc[alone_r]] - 1)
-        at = np.flatnonzero(head)
-        new_high[at], new_end = high[at + 1], end.copy()
-        new_end[at] = end[at + 1]
+        head = np.zeros(len(first) + 1, bool)
+        head[:-2] = left[:-1] & ~left[1:] & inner_r[:-1]
+        second, head = np.concatenate([[False], head[:-2]]), head[:-1]
+        at, keep = np.flatnonzero(head), ~second
+        end[at] = end[at + 1]
         for lane in (0, 1):
-            both = _name(lane, 2 * step + 1, names[lane][at], names[lane][at + 1])
-            names[lane][at] = both
-        keep = ~second
-        return Level(start[keep], new_end[keep], [x[keep] for x in names], doc[keep], new_low[keep], new_high[keep])
+            names[lane][at] = _name(lane, 2 * step + 1, names[lane][at], names[lane][at + 1])
+        low, high = self.low[first], self.high[last]
+        if spans:
+            # a run is known by the symbols on both sides, a symbol that finds no partner by the one there
+            low = np.where(inner_l, self.low[np.maximum(first - 1, 0)], first_word[doc] - 1)
+            high = np.where(inner_r, self.high[np.minimum(last + 1, n - 1)], end_word[doc] + 1)
+            alone_l, alone_r = np.flatnonzero(left & ~head), np.flatnonzero(~left & ~second)
+            new_low, new_high = low.copy(), high.copy()
+            new_high[alone_l] = np.where(inner_r[alone_l], high[np.minimum(alone_l + 1, len(first) - 1)], end_word[doc[alone_l]] + 1)
+            new_low[alone_r] = np.where(inner_l[alone_r], low[np.maximum(alone_r - 1, 0)], first_word[doc[alone_r]] - 1)
+            new_high[at] = high[at + 1]
+            low, high = new_low, new_high
+        return Level(start[keep], end[keep], [x[keep] for x in names], doc[keep], low[keep], high[keep])
 
 
 def named_words(texts: list) -> tuple[list[np.ndarray], np.ndarray, pa.Array]:
-    """Both name lanes of all words, each text's number of words, and the words."""
+    """Both name lanes of all words, each text's number of words, and the words.
+
+    A word of at most ``LONG`` bytes is named by polynomials of its bytes, all words at once; of longer
+    ones, where such polynomials have known collisions, by its own 128-bit hash."""
     lists = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
     words = lists.flatten()
     full = pc.not_equal(words, "").fill_null(False)
     bounds = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
     words = words.filter(full)
-    coded = words.dictionary_encode()
-    digests = b"".join([xxhash.xxh3_128_digest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()])
-    lanes = np.frombuffer(digests, "<u8").reshape(-1, 2).astype(np.uint64)
-    index = coded.indices.to_numpy()
-    return [lanes[index, 0], lanes[index, 1]], np.diff(bounds), words
-
-
-def levels(names: list[np.ndarray], counts: np.ndarray, rounds: int = ROUNDS) -> tuple[list[Level], np.ndarray, np.ndarray]:
-    """Words and the symbols of each round, with the documents' first words and their ends."""
+    if not len(words):
+        return [np.zeros(0, np.uint64)] * 2, np.diff(bounds), words
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    text = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    size, lanes = np.diff(ends), []
+    for base in BASES:
+        sums = np.zeros(len(text) + 1, np.uint64)
+        np.cumsum((text + np.uint64(1)) * powers(base, len(text)), out=sums[1:])
+        value = (sums[ends[1:]] - sums[ends[:-1]]) * powers(pow(base, -1, 1 << 64), len(text))[ends[:-1]]
+        lanes.append(mixed(value + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    for i in np.flatnonzero(size > LONG):
+        digest = xxhash.xxh3_128_digest(text[ends[i]:ends[i + 1]].tobytes())
+        lanes[0][i], lanes[1][i] = np.frombuffer(digest, "<u8")
+    return lanes, np.diff(bounds), words
+
+
+def levels(names: list[np.ndarray], counts: np.ndarray, rounds: int = ROUNDS, spans: int = ANCHOR_ROUNDS) -> tuple[list[Level], np.ndarray, np.ndarray]:
+    """Words and the symbols of each round, with the documents' first words and their ends;
+    spans are kept for the first rounds only."""
     ends = np.cumsum(counts)
     at = np.arange(len(names[0]))
     out = [Level(at, at + 1, names, np.repeat(np.arange(len(counts)), counts), at, at + 1)]
     for step in range(rounds):
-        out.append(out[-1].next(step, ends - counts, ends))
+        out.append(out[-1].next(step, ends - counts, ends, step < spans))
     return out, ends - counts, ends
 
 
-def rolled(names: list[np.ndarray], first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
-    """Two hashes of the names in each [first, last)."""
+def rolled(names: list[np.ndarray], first: np.ndarray, last: np.ndarray, lanes: tuple = (0, 1)) -> list[np.ndarray]:
+    """Hashes of the names in each [first, last), one for each lane."""
     out = []
-    for base, x in zip(BASES, names):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * powers(base, len(x)), dtype=np.uint64)])
-        out.append(mixed((sums[last] - sums[first]) * power(pow(base, -1, 1 << 64), first)))
+    for lane in lanes:
+        base, x = BASES[lane], names[lane]
+        sums = np.zeros(len(x) + 1, np.uint64)
+        np.cumsum(x * powers(base, len(x)), out=sums[1:])
+        out.append(mixed((sums[last] - sums[first]) * powers(pow(base, -1, 1 << 64), len(x) + 1)[first]))
     return out
 
 
@@ -167,7 +187,7 @@ def anchors(found: list[Level], windows: np.ndarray, width: int) -> tuple[np.nda
         at = _least(mixed(lv.names[0]), first[has], last[has])
         used = np.unique(at)
         spans = np.zeros(len(lv.start), np.uint64)
-        spans[used] = _name(0, r, rolled(found[0].names[:1], lv.low[used], lv.high[used])[0], (lv.high - lv.low)[used].astype(np.uint64))
+        spans[used] = _name(0, r, rolled(found[0].names, lv.low[used], lv.high[used], (0,))[0], (lv.high - lv.low)[used].astype(np.uint64))
         name[open_[has]] = spans[at]
         place[open_[has]] = at * len(found) + r
         open_ = open_[~has]
@@ -175,13 +195,14 @@ def anchors(found: list[Level], windows: np.ndarray, width: int) -> tuple[np.nda
 
 
 UNITS = "k1 long, k2 long, at long, th long, start int, size int, marks binary"
-MARK = np.dtype([("name", "<i8"), ("size", "u1")])  # an anchor and how many windows in a row have it
+#: An anchor, how many windows in a row have it, and the hash of all their words.
+MARK = np.dtype([("name", "<i8"), ("words", "<i8"), ("size", "u1")])
 
 
 def _units(ids: list[np.ndarray], texts: list, width: int, rounds: int, anchor_rounds: int) -> pa.RecordBatch:
     with np.errstate(over="ignore"):
         names, counts, _ = named_words(texts)
-        found, begins, ends = levels(names, counts, rounds)
+        found, begins, ends = levels(names, counts, rounds, anchor_rounds)
         top = found[-1]
         stop = ends[top.doc]  # each unit's windows end with its document
         size = np.minimum(top.end, stop - width + 1) - top.start
@@ -195,13 +216,16 @@ def _units(ids: list[np.ndarray], texts: list, width: int, rounds: int, anchor_r
         size, start = size[use], top.start[use]
         windows = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
         name, place = anchors(found[:anchor_rounds + 1], windows, width)
-    unit = np.repeat(np.arange(len(use)), size)
-    new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (unit[1:] != unit[:-1])])) if len(windows) else np.zeros(0, np.int64)
-    many = np.diff(np.append(new, len(windows)))
-    pieces = -(-many // 255)  # a mark counts up to 255 windows
-    marks = np.zeros(int(pieces.sum()), MARK)
-    marks["name"], marks["size"] = np.repeat(name[new].view(np.int64), pieces), 255
-    marks["size"][np.cumsum(pieces) - 1] = many - 255 * (pieces - 1)
+        unit = np.repeat(np.arange(len(use)), size)
+        new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (unit[1:] != unit[:-1])])) if len(windows) else np.zeros(0, np.int64)
+        many = np.diff(np.append(new, len(windows)))
+        pieces = -(-many // 255)  # a mark counts up to 255 windows
+        marks = np.zeros(int(pieces.sum()), MARK)
+        marks["name"], marks["size"] = np.repeat(name[new].view(np.int64), pieces), 255
+        marks["size"][np.cumsum(pieces) - 1] = many - 255 * (pieces - 1)
+        count = marks["size"].astype(np.int64)
+        begin = windows[np.cumsum(count) - count] if len(windows) else windows
+        marks["words"] = rolled(names, begin, begin + count + width - 1, (1,))[0].view(np.int64)
     cut = np.concatenate([[0], np.cumsum(np.bincount(np.repeat(unit[new], pieces), minlength=len(use)))])
     blobs = pa.Array.from_buffers(pa.binary(), len(use), [None, pa.py_buffer((cut * MARK.itemsize).astype(np.int32)), pa.py_buffer(marks.tobytes())])
     doc = top.doc[use]
@@ -211,7 +235,7 @@ def _units(ids: list[np.ndarray], texts: list, width: int, rounds: int, anchor_r
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(name, at, th, s, size) of the marks of units (at, th, start, marks)."""
+    """(name, words, at, th, s, size) of the marks of units (at, th, start, marks)."""
     for b in batches:
         at, th, start = (b.column(i).to_numpy() for i in range(3))
         blobs = b.column(3).to_pylist()
@@ -220,35 +244,40 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = np.concatenate([[0], np.cumsum(size)])
         first = np.cumsum(each) - each
         s = before[:-1] - np.repeat(before[first], each) + np.repeat(start, each)
-        yield pa.RecordBatch.from_arrays([pa.array(marks["name"].copy()), pa.array(np.repeat(at, each)), pa.array(np.repeat(th, each)),
-                                          pa.array(s.astype(np.int32)), pa.array(size.astype(np.int32))], ["name", "at", "th", "s", "size"])
+        yield pa.RecordBatch.from_arrays([pa.array(marks["name"].copy()), pa.array(marks["words"].copy()), pa.array(np.repeat(at, each)), pa.array(np.repeat(th, each)),
+                                          pa.array(s.astype(np.int32)), pa.array(size.astype(np.int32))], ["name", "words", "at", "th", "s", "size"])
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of marks sorted by name those whose name occurs again, and a task's first and last: their
-    name may occur again in the task before or after."""
-    held, again = None, True
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted marks those that are repeats (``open`` false), and the first of each text of an
+    anchor that has several (``open`` true).
+
+    What lies at an edge of a batch may go on beyond it, so its anchor counts as having several."""
+    before = None
     for b in batches:
-        if not b.num_rows:
+        n = b.num_rows
+        if not n:
             continue
-        if held is not None:
-            b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
-        name = b.column(0).to_numpy()
-        equal = name[1:] == name[:-1]
-        keep = np.concatenate([[again], equal]) | np.concatenate([equal, [False]])
-        held, again = b.slice(b.num_rows - 1), bool(keep[-1])
-        keep[-1] = False
-        yield b.filter(pa.array(keep))
-    if held is not None:
-        yield held
-
-
-def shared_marks(firsts: DataFrame) -> DataFrame:
-    """(name, at, th, s, size) of the anchors of all units that occur more than once, with few others."""
-    marks = firsts.select("at", "th", "start", "marks").mapInArrow(_marks, "name long, at long, th long, s int, size int")
+        name, words = b.column(0).to_numpy(), b.column(1).to_numpy()
+        other = np.concatenate([[True], name[1:] != name[:-1]])
+        new = other | np.concatenate([[True], words[1:] != words[:-1]])
+        new[0] = before != (name[0], words[0])
+        before = (name[-1], words[-1])
+        runs = np.cumsum(other) - 1
+        texts = np.bincount(runs, new)
+        several = texts > 1
+        several[[0, -1]] = True
+        keep = ~new | several[runs]
+        yield pa.RecordBatch.from_arrays([*[b.column(i).filter(pa.array(keep)) for i in range(2, 6)], pa.array(new[keep])], ["at", "th", "s", "size", "open"])
+
+
+def compared_marks(firsts: DataFrame) -> DataFrame:
+    """(at, th, s, size, open) of the marks of units that are repeats, or whose windows have to be compared."""
+    marks = firsts.select("at", "th", "start", "marks").mapInArrow(_marks, "name long, words long, at long, th long, s int, size int")
     # a hot anchor lies in several ranges, as a range ends at any place
-    order = ["name", "at", "th", "s"]
-    return marks.repartitionByRange(partitions(firsts), *order).sortWithinPartitions(*order).mapInArrow(_shared, marks.schema)
+    order = ["name", "words", "at", "th", "s"]
+    dealt = marks.repartitionByRange(partitions(firsts), *order).sortWithinPartitions(*order)
+    return dealt.mapInArrow(_compared, "at long, th long, s int, size int, open boolean")
 
 
 def _blocks(texts: list) -> Iterator[tuple[int, int]]:
@@ -296,7 +325,7 @@ def _windows(width: int):
 
 def _cut(width: int):
     """n_words, n_removed, spans and kept of each text; starts and sizes are of windows that stay
-    (sizes above 0) or go (size 0) among those that are gone unless named."""
+    (sizes above 0) or go after all (below 0) among those that go unless named."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, starts, sizes = b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()
@@ -307,11 +336,8 @@ def _cut(width: int):
                 n = len(words)
                 repeat = np.ones(max(n - width + 1, 0), bool)
                 if start is not None and len(repeat):
-                    order = sorted(zip(start, size), key=lambda x: x[1] == 0)
-                    for a, k in order:
-                        repeat[a:a + k] = False
-                        if not k:
-                            repeat[a] = True
+                    for a, k in sorted(zip(start, size), key=lambda x: -x[1]):
+                        repeat[a:a + abs(k)] = k < 0
                 change = np.zeros(n + 1, np.int64)
                 at = np.flatnonzero(repeat)
                 change[at] += 1
@@ -335,8 +361,8 @@ def drop_repeats(docs: DataFrame, tables: Tables, width: int = WINDOW, rounds: i
     first = F.min(F.struct("at", "th", "start", "size", "marks")).alias("u")
     firsts = tables.put(units(docs, width, rounds, anchor_rounds).groupBy("k1", "k2").agg(first).select("u.*"), "firsts")
 
-    sought = tables.put(shared_marks(firsts).drop("name"), "sought")
-    sought = sought.groupBy("at", "th").agg(F.collect_list("s").alias("starts"), F.collect_list("size").alias("sizes"))
+    marks = tables.put(compared_marks(firsts), "marks")
+    sought = marks.where("open").groupBy("at", "th").agg(F.collect_list("s").alias("starts"), F.collect_list("size").alias("sizes"))
     rows = docs.select("at", "th", "text").join(sought, ["at", "th"]).select("at", "th", "text", "starts", "sizes")
     rows = tables.put(rows.mapInArrow(_windows(width), "w1 long, w2 long, at long, th long, s int"), "windows")
     copies = docs.groupBy("doc_id", "at", "th").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
@@ -348,9 +374,10 @@ def drop_repeats(docs: DataFrame, tables: Tables, width: int = WINDOW, rounds: i
     order = [F.col("at"), F.col("th"), F.col("s")]
     later = in_order(rows, ["w1", "w2"], order, Wanted(keep=("at", "th", "s")), tables, "ordered")
     tables.drop("windows")
-    later = later.where("nth > 1").select("at", "th", "s", F.lit(0).alias("size"))
+    gone = later.where("nth > 1").select("at", "th", "s", F.lit(-1).alias("size"))
+    gone = gone.unionByName(marks.where("NOT open").select("at", "th", "s", (-F.col("size")).alias("size")))
 
-    known = firsts.select("at", "th", F.col("start").alias("s"), "size").unionByName(later)
+    known = firsts.select("at", "th", F.col("start").alias("s"), "size").unionByName(gone)
     known = known.groupBy("at", "th").agg(F.collect_list("s").alias("starts"), F.collect_list("size").alias("sizes"))
     rows = docs.select("at", "th", "text").join(known, ["at", "th"], "left").select("at", "th", "text", "starts", "sizes")
     out = rows.mapInArrow(_cut(width), "at long, th long, n_words long, n_removed long, spans string, kept string")

@@ -126,7 +126,7 @@ def _local(keys: Sequence[str], want: Wanted):
                     # of a later run, every position counts from its start: divided by the power there
                     rolled = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * top[:n], dtype=np.uint64)])
                     from_ = np.maximum(start, 0)
-                    back = power(pow(base, -1, 1 << 64), from_)
+                    back = powers(pow(base, -1, 1 << 64), n)[from_]
                     fresh = (rolled[1:] - rolled[from_]) * back * np.uint64(base)
                     early = (rolled[:-1] - rolled[from_]) * back * np.uint64(base)
                     lift = power(base, np.array([nth]))[0] * np.uint64(base)
