@@ -55,9 +55,17 @@ def bigram_network(responses: DataFrame, question_col: str = "question",
                                               partitions=partitions))
     if materialize:
         counts = cut_lineage(counts, "bigram-counts")
+    return network_of_counts(counts, rule, bounded=questions is not None, settle=materialize)
+
+
+def network_of_counts(counts: DataFrame, rule: PercentileRule = DEFAULT_RULE, bounded: bool = False,
+                      settle: bool = True) -> BigramNetwork:
+    """V2 from ``(question, word1, word2, n)``: exact cut, edges and vertices.
+
+    ``bounded``: the questions are a known, short list; otherwise ``settle`` computes the cut
+    table first to see its size."""
     cuts = percentile_cuts(counts, rule)
-    bounded = questions is not None
-    if materialize and not bounded:
+    if settle and not bounded:
         cuts, bounded = settle_cuts(cuts)
     edges = edge_table(top_by_percentile(counts, cuts, broadcast_cuts=bounded))
     return BigramNetwork(counts, cuts, edges, vertex_table(edges))

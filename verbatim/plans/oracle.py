@@ -152,6 +152,7 @@ _UNPIVOT_SV = " UNION ALL ".join(
 
 ORACLE_SQL = {
     "bigram_network_edges": f"WITH {_BIGRAMS} SELECT * FROM edges",
+    "bigram_edges_by_wave": f"WITH {_BIGRAMS} SELECT * FROM edges",
     "bigram_network_vertices": f"""WITH {_BIGRAMS}
         SELECT question, word1 AS name FROM edges UNION SELECT question, word2 AS name FROM edges""",
     "bigram_counts": f"WITH {_BIGRAMS} SELECT * FROM counts",

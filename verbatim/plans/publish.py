@@ -86,12 +86,18 @@ class Published:
                 return False
             raise e
 
-    def _publish(self, panel: str, tables: dict[str, dict]) -> int:
+    def publish(self, changes: dict[str, dict[str, dict]], expected: int | None = None) -> int | None:
+        """Put these panels' tables in place of all that they had, and return the manifest's number.
+
+        With ``expected``, only as the manifest after that one: None if there is another by now."""
         for _ in range(ATTEMPTS):
             now = self.manifest()
-            kept = {t: {p: v for p, v in panels.items() if p != panel} for t, panels in now["tables"].items()}
-            for t, entry in tables.items():
-                kept.setdefault(t, {})[panel] = entry
+            if expected is not None and now["number"] != expected:
+                return None
+            kept = {t: {p: v for p, v in panels.items() if p not in changes} for t, panels in now["tables"].items()}
+            for panel, tables in changes.items():
+                for t, entry in tables.items():
+                    kept.setdefault(t, {})[panel] = entry
             if self._claim({"number": now["number"] + 1, "tables": {t: p for t, p in kept.items() if p}}):
                 return now["number"] + 1
         raise RuntimeError(f"{self.root}: {ATTEMPTS} other refreshes were published at the same time")
@@ -103,7 +109,7 @@ class Published:
         tables of the panel that it doesn't write are withdrawn."""
         new = Refresh(self, panel)
         yield new
-        self._publish(panel, new.tables)
+        self.publish({panel: new.tables})
 
     # ------------------------------------------------------------ reading
     def panels(self, table: str) -> list[str]:

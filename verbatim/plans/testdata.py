@@ -37,6 +37,7 @@ from verbatim.operators.audit import question_dimension
 from verbatim.plans.panels import PROVIDER_RULES
 from verbatim.plans.publish import Published
 from verbatim.plans.reports import attach_questions
+from verbatim.plans.wave_counts import WaveCounts
 from verbatim.session import checkpoint_dir
 from verbatim.sources.gazetteer import read_gazetteer_checked
 from verbatim.sources.menu import menu_questions, read_menu
@@ -93,6 +94,18 @@ def bigram_counts(spark, d):
     return _network(spark, d).counts
 
 
+def bigram_edges_by_wave(spark, d):
+    """A1/A2 from mergeable counts: one wave a language, one of them corrected later."""
+    answers = table(spark, d, "documents").select("lang", F.col("source").alias("question"), F.col("text").alias("response"))
+    store, rest = WaveCounts(spark, shared_folder(spark, "wave-counts")), F.lit(True)
+    store.add("en", answers.where("lang = 'de'"))
+    for lang in ("de", "en", "fr"):
+        store.add(lang, answers.where(F.col("lang") == lang))
+        rest = rest & ~F.col("lang").eqNullSafe(lang)
+    store.add("others", answers.where(rest))
+    return store.network().edges
+
+
 def bigram_sorted_counts(spark, d):
     """O2: counts in output order, each with its place among its question's."""
     place = Window.partitionBy("question").orderBy(F.desc("n"), "word1", "word2")
@@ -511,6 +524,7 @@ QUERIES = {
     "bigram_network_edges": bigram_network_edges,
     "bigram_network_vertices": bigram_network_vertices,
     "bigram_counts": bigram_counts,
+    "bigram_edges_by_wave": bigram_edges_by_wave,
     "bigram_sorted_counts": bigram_sorted_counts,
     "bigram_thresholds": bigram_thresholds,
     "bigram_tokens": bigram_tokens,
