@@ -8,16 +8,17 @@ hash), or earlier in the same document.
   right symbol; a symbol's side is a bit of its name's hash.  Names are 128-bit hashes of
   what they stand for, so all documents get the same ones without a dictionary having to be
   shuffled: equal passages have equal symbols but for some at their ends, whatever is around them.
-* High-level symbols.  A unit is a symbol of the last round with the symbols behind it that the
-  windows starting in it reach into.  Of equal units all but the first are repeats: their windows
-  start earlier.  One aggregation, partial before the shuffle, finds the first of each, so
+* High-level symbols.  A unit is a symbol of the last round with the symbols behind it that its
+  windows reach into.  Of equal units all but the first are repeats: their windows start
+  earlier.  One aggregation, partial before the shuffle, finds the first of each, so
   copies, however many, cost a row a unit and never meet.
 * Low-level symbols.  Among the first units, windows that are equal share the symbols that
   are determined by words inside the window: each symbol carries the span of words that its
   rounds looked at.  A window's anchor is, of the highest of some rounds that has any such
   symbol, the least by hash, leftmost, and is known by the words of its span.  It depends on the
   window's words alone, so equal windows have equal anchors.
-* Neighbouring windows share an anchor and form a mark, known by its anchor and all its words.
+* Neighbouring windows share an anchor and form a mark, known by its anchor and all its words;
+  a unit has the windows of the marks that begin in its first symbol.
   Of equal marks, in global order of (anchor, words, document, start), all but the first are
   repeats.  If an anchor has one such text only, nothing else can hold its windows; if it has
   several, as at the ends of a passage, their windows are compared one by one, by a 128-bit hash,
@@ -203,34 +204,34 @@ def _units(ids: list[np.ndarray], texts: list, width: int, rounds: int, anchor_r
     with np.errstate(over="ignore"):
         names, counts, _ = named_words(texts)
         found, begins, ends = levels(names, counts, rounds, anchor_rounds)
-        top = found[-1]
-        stop = ends[top.doc]  # each unit's windows end with its document
-        size = np.minimum(top.end, stop - width + 1) - top.start
-        reach = np.searchsorted(top.end, top.end + width - 1, "left")
-        final = np.searchsorted(top.doc, top.doc, "right") - 1
-        far = np.minimum(reach, final)
-        short = reach > final
-        key = rolled(top.names, np.arange(len(top.start)), far + 1)
-        key = [_name(lane, 7, k, 2 * (far - np.arange(len(far))).astype(np.uint64) + short.astype(np.uint64)) for lane, k in enumerate(key)]
-        use = np.flatnonzero(size > 0)
-        size, start = size[use], top.start[use]
-        windows = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        each = np.maximum(counts - width + 1, 0)
+        doc = np.repeat(np.arange(len(counts)), each)
+        windows = np.repeat(begins - (np.cumsum(each) - each), each) + np.arange(each.sum())
         name, place = anchors(found[:anchor_rounds + 1], windows, width)
-        unit = np.repeat(np.arange(len(use)), size)
-        new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (unit[1:] != unit[:-1])])) if len(windows) else np.zeros(0, np.int64)
+        new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])])) if len(windows) else np.zeros(0, np.int64)
         many = np.diff(np.append(new, len(windows)))
+        # a unit has the windows of the marks that begin in its first symbol
+        top, begin = found[-1], windows[new]
+        unit = np.searchsorted(top.start, begin, "right") - 1
+        use, lead = np.unique(unit, return_index=True)
+        size = np.add.reduceat(many, lead) if len(use) else np.zeros(0, np.int64)
+        start = begin[lead]
+        far = np.searchsorted(top.end, start + size + width - 1, "left")
+        shape = _name(0, 7, (start - top.start[use]).astype(np.uint64), size.astype(np.uint64))
+        key = [_name(lane, 8, k, shape) for lane, k in enumerate(rolled(top.names, use, far + 1))]
         pieces = -(-many // 255)  # a mark counts up to 255 windows
         marks = np.zeros(int(pieces.sum()), MARK)
         marks["name"], marks["size"] = np.repeat(name[new].view(np.int64), pieces), 255
         marks["size"][np.cumsum(pieces) - 1] = many - 255 * (pieces - 1)
         count = marks["size"].astype(np.int64)
-        begin = windows[np.cumsum(count) - count] if len(windows) else windows
+        begin = windows[np.cumsum(count) - count]
         marks["words"] = rolled(names, begin, begin + count + width - 1, (1,))[0].view(np.int64)
-    cut = np.concatenate([[0], np.cumsum(np.bincount(np.repeat(unit[new], pieces), minlength=len(use)))])
+    held = np.add.reduceat(pieces, lead) if len(use) else pieces
+    cut = np.concatenate([[0], np.cumsum(held)])
     blobs = pa.Array.from_buffers(pa.binary(), len(use), [None, pa.py_buffer((cut * MARK.itemsize).astype(np.int32)), pa.py_buffer(marks.tobytes())])
     doc = top.doc[use]
     return pa.RecordBatch.from_arrays([
-        *[pa.array(k[use].view(np.int64)) for k in key], *[pa.array(i[doc]) for i in ids], pa.array((start - begins[doc]).astype(np.int32)),
+        *[pa.array(k.view(np.int64)) for k in key], *[pa.array(i[doc]) for i in ids], pa.array((start - begins[doc]).astype(np.int32)),
         pa.array(size.astype(np.int32)), blobs], [f.split()[0] for f in UNITS.split(", ")])
 
 
