@@ -294,6 +294,7 @@ ORACLE_SQL = {
     "response_view_contains": """
         SELECT doc_id, lang, text AS response FROM documents
         WHERE source = 'src3' AND contains(lower(text), 'ing') AND lang IN ('en', 'de')""",
+    "response_search_indexed": "SELECT doc_id, source AS question, text AS response FROM documents WHERE contains(lower(text), 'password')",
     "wave_full_join_keys": """
         WITH side AS (SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS segment, c_nationkey,
                              CAST(floor(c_custkey / 50.0) AS BIGINT) AS block FROM customer),

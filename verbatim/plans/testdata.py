@@ -37,6 +37,7 @@ from verbatim.operators.audit import question_dimension
 from verbatim.plans.panels import PROVIDER_RULES
 from verbatim.plans.publish import Published
 from verbatim.plans.reports import attach_questions
+from verbatim.plans.text_index import TextIndex
 from verbatim.plans.wave_counts import WaveCounts
 from verbatim.session import checkpoint_dir
 from verbatim.sources.gazetteer import read_gazetteer_checked
@@ -428,6 +429,14 @@ def response_view_contains(spark, d):
                          order_by=[("doc_id", True)], page_size=None)
 
 
+def response_search_indexed(spark, d):
+    """All answers that contain a string, by the index of n-grams."""
+    index = TextIndex(spark, shared_folder(spark, "text-index"))
+    docs = table(spark, d, "documents").select("doc_id", "lang", F.col("source").alias("question"), F.col("text").alias("response"))
+    index.build(docs, cluster_by=["lang", "doc_id"], rows_per_file=20)
+    return index.search("PassWord").select("doc_id", "question", "response")
+
+
 def wave_full_join_keys(spark, d):
     """J1 on few values, so that key tuples repeat on both sides and NULLs meet NULLs."""
     c = table(spark, d, "customer")
@@ -558,6 +567,7 @@ QUERIES = {
     "question_regex": question_regex,
     "response_view": response_view_page,
     "response_view_contains": response_view_contains,
+    "response_search_indexed": response_search_indexed,
     "question_index": question_index_docs,
     "catalog_audit": catalog_audit_docs,
     "nested_menu_audit": nested_menu_audit,
