@@ -1,0 +1,114 @@
+"""Unicode words against the rules written out character by character, and known cases."""
+
+import random
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from verbatim.functions.words import unicode_words
+from verbatim.operators.bigrams import bigram_occurrences
+
+# one pool of characters for each class of the rules (lower case)
+CLASSES = {
+    "L": "abcéßжλ한국ⅷ", "H": "אבג", "N": "0195٣", "K": "アカナー", "A": "漢字ひらกข", "X": "_‿", "E": "́̈­‍",
+    "ML": ":·", "MNL": ".’", "Q": "'", "DQ": '"', "MN": ",;", "O": " !\n-½²\U0001f600",
+}
+CLASS = {c: k for k, chars in CLASSES.items() for c in chars}
+
+
+def reference(text):
+    """WB1 to WB13b over the classes above; WB4 by looking past attached characters."""
+    chars = list(text)
+    kinds = [CLASS[c] for c in chars]
+    words, start = [], 0
+
+    def base(i, step):  # the next character that isn't attached, from i on
+        while 0 <= i < len(chars) and kinds[i] == "E":
+            i += step
+        return kinds[i] if 0 <= i < len(chars) else None
+
+    letters, run = ("L", "H"), ("L", "H", "N")
+    for i in range(1, len(chars) + 1):
+        if i < len(chars):
+            if kinds[i] == "E" and not (kinds[i - 1] == "O" and chars[i - 1] == "\n"):
+                continue  # WB4
+            p = base(i - 1, -1)
+            q = kinds[i]
+            at = i - 1
+            while at >= 0 and kinds[at] == "E":
+                at -= 1
+            pp = base(at - 1, -1) if at > 0 else None
+            qq = base(i + 1, 1)
+            join = (p in run and q in run or p == q == "K" or p in (*run, "K", "X") and q == "X" or p == "X" and q in (*run, "K")
+                    or p in letters and q in ("ML", "MNL", "Q") and qq in letters or pp in letters and p in ("ML", "MNL", "Q") and q in letters
+                    or p == "H" and q == "Q" or p == "H" and q == "DQ" and qq == "H" or pp == "H" and p == "DQ" and q == "H"
+                    or p == "N" and q in ("MN", "MNL", "Q") and qq == "N" or pp == "N" and p in ("MN", "MNL", "Q") and q == "N")
+            if join:
+                continue
+        words.append((start, i))
+        start = i
+    out = []
+    for a, b in words:
+        word, ks = "".join(chars[a:b]), kinds[a:b]
+        if ks and any(k in (*run, "K", "A") for k in ks):
+            out.append(word)
+    return out
+
+
+def split(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", unicode_words(F.col("t")).alias("w")).collect()
+    return [r.w for r in sorted(rows)]
+
+
+KNOWN = {
+    "The quick (“brown”) fox can’t jump 32.3 feet, right?": "the quick brown fox can’t jump 32.3 feet right".split(),
+    "snake_case __init__ _x x_ _ __ a_1_b": ["snake_case", "__init__", "_x", "x_", "a_1_b"],
+    "a:b c.d e·f g'h 'quoted' i..j k''l": ["a:b", "c.d", "e·f", "g'h", "quoted", "i", "j", "k", "l"],
+    "1,000.50 3;4 1.a a.1 a1,2b 10% -5": ["1,000.50", "3;4", "1", "a", "a", "1", "a1,2b", "10", "5"],
+    "漢字とカタカナABC テスト123 한국어 단어": ["漢", "字", "と", "カタカナ", "abc", "テスト", "123", "한국어", "단어"],
+    "א\"ב ג' ד": ["א\"ב", "ג'", "ד"],
+    "cafés na­̈ive ́x x²y ½": ["cafés", "na­̈ive", "x", "x", "y"],
+    "don't co-pay u.s. e.g., 2nd": ["don't", "co", "pay", "u.s", "e.g", "2nd"],
+    "ab_漢 カ_a1": ["ab_", "漢", "カ_a1"],
+    "": [], " !? ": [],
+}
+
+
+@pytest.fixture(scope="module")
+def known(spark):
+    return dict(zip(KNOWN, split(spark, list(KNOWN))))
+
+
+@pytest.mark.parametrize("text", list(KNOWN))
+def test_known_cases(known, text):
+    assert known[text] == KNOWN[text]
+
+
+def test_random_strings_follow_the_rules(spark):
+    rng, texts = random.Random(11), []
+    for n in range(4000):
+        few = rng.sample(sorted(CLASSES), rng.randint(1, 5))
+        texts.append("".join(rng.choice(CLASSES[rng.choice(few)]) for _ in range(rng.randint(1, 12))))
+    texts += [a + e + b for a in CLASS for e in ("", "̈") for b in CLASS]  # every pair, also over a mark
+    wrong = [(t, got, reference(t)) for t, got in zip(texts, split(spark, texts)) if got != reference(t)]
+    assert not wrong, (len(wrong), wrong[:5])
+
+
+def test_linear_time_on_long_runs(spark):
+    runs = ["a1", "a.", "ab", "漢", "カ_", "é", "1,", "._"]
+
+    def seconds(n):
+        began = time.time()
+        out = split(spark, [r * n for r in runs])
+        assert [len(out[i]) for i in (0, 2, 3, 4, 5)] == [1, 1, n, 1, 1]
+        return time.time() - began
+    seconds(10)
+    short, long = min(seconds(20_000) for _ in range(2)), seconds(200_000)
+    assert long < 40 * max(short, 0.3)
+
+
+def test_bigrams_with_unicode_words(spark):
+    df = spark.createDataFrame([("q", "Big_red fox:tail 漢字")], "question string, response string")
+    got = bigram_occurrences(df, tokenizer=unicode_words).select("word1", "word2").collect()
+    assert [tuple(r) for r in got] == [("big_red", "fox:tail"), ("fox:tail", "漢"), ("漢", "字")]

@@ -11,9 +11,9 @@ question sends to a single reducer by the number of map tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verbatim.functions.text import ngram_pairs, tokens
@@ -66,9 +66,13 @@ def _remove_keyed(pairs: DataFrame, stop: DataFrame, by: list[str]) -> DataFrame
 def bigram_occurrences(responses: DataFrame, question_col: str = "question",
                        response_col: str = "response", keep: Sequence[str] = (),
                        stop: DataFrame | Sequence[str] | None = None,
-                       stop_by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+                       stop_by: Sequence[str] = (), partitions: int | None = None,
+                       tokenizer: Callable[[Column], Column] = tokens) -> DataFrame:
     """One row per adjacent word pair occurrence: ``keep..., question, word1, word2``.
 
+    ``tokenizer`` gives a text's words: ``functions.text.tokens``, or ``functions.words.unicode_words``
+    for underscores, colons and scripts without spaces by the Unicode rules.
+
     Tokenising is the costly step and runs where the input's rows are: a large input has
     many splits.  ``partitions`` deals the responses out first, for an input of few splits
     (one small file); only the columns used are moved.
@@ -82,7 +86,7 @@ def bigram_occurrences(responses: DataFrame, question_col: str = "question",
     # Tokens are projected once and referenced by name: pairing reads the array four
     # times (two slices, two sizes), and the tokenizer must not run four times.
     toks = src.select(*[F.col(k) for k in keep], F.col(question_col).alias("question"),
-                      tokens(F.col(response_col)).alias("__tokens"))
+                      tokenizer(F.col(response_col)).alias("__tokens"))
     pairs = toks.select(*[F.col(k) for k in keep], "question",
                         F.inline(ngram_pairs(F.col("__tokens"))))
     return remove_stop_pairs(pairs, stop, by=stop_by)

@@ -8,6 +8,7 @@ side (token rule, stop words, label dictionaries) so the two cannot drift apart.
 from __future__ import annotations
 
 from verbatim.functions.text import ORACLE_TOKEN_PATTERN
+from verbatim.functions.words import ORACLE_WORD_PATTERN
 from verbatim.plans.panels import PROVIDER_RULES
 from verbatim.plans.testdata import (FLAG_NUMBERS, PARTIAL_LABELS, QUESTION_PATTERN,
                                      SV_LABELS, SV_LANGUAGE, SV_QUESTIONS)
@@ -152,6 +153,8 @@ _UNPIVOT_SV = " UNION ALL ".join(
 
 ORACLE_SQL = {
     "bigram_network_edges": f"WITH {_BIGRAMS} SELECT * FROM edges",
+    "unicode_word_counts": f"""SELECT question, word, count(*) AS n FROM (
+        SELECT source AS question, unnest(regexp_extract_all(lower(text), {_lit(ORACLE_WORD_PATTERN)})) AS word FROM documents) GROUP BY question, word""",
     "bigram_edges_by_wave": f"WITH {_BIGRAMS} SELECT * FROM edges",
     "bigram_network_vertices": f"""WITH {_BIGRAMS}
         SELECT question, word1 AS name FROM edges UNION SELECT question, word2 AS name FROM edges""",

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from verbatim.functions.keys import code_number
 from verbatim.functions.recode import child_flag, first_true, recode_map
+from verbatim.functions.words import unicode_words
 from verbatim.functions.zipcodes import normalize_zip
 from verbatim.operators.attributes import decode_labelled, question_texts, with_attributes
 from verbatim.operators.audit import catalog_audit, number_questions, question_index
@@ -128,6 +129,12 @@ def bigram_tokens(spark, d):
     return bigram_occurrences(answers, keep=["doc_id"], partitions=few_splits(answers))
 
 
+def unicode_word_counts(spark, d):
+    """Words by the Unicode rules, counted by question."""
+    words = responses(spark, d).select("question", F.explode(unicode_words(F.col("response"))).alias("word"))
+    return words.groupBy("question", "word").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------- panel stand-in
 def sv_panel(spark, d) -> DataFrame:
     docs = table(spark, d, "documents")
@@ -537,6 +544,7 @@ QUERIES = {
     "bigram_sorted_counts": bigram_sorted_counts,
     "bigram_thresholds": bigram_thresholds,
     "bigram_tokens": bigram_tokens,
+    "unicode_word_counts": unicode_word_counts,
     "bigram_counts_stop_table": bigram_counts_stop_table,
     "panel_fill_forward": panel_fill_forward,
     "panel_response_table": panel_response_table,
