@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 from verbatim.llm.chunks import parts
 from verbatim.llm.common import table
 
-CACHED = 500_000
+CACHED = 500_000  # stretches of text with their ids, some 100 MB a worker
+COMPATIBLE = 400_000  # pairs of tokens, some 50 MB a worker
 LONGEST_CACHED = 48
 #: Fixed value: the pattern of byte-level pre-tokenization.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -80,7 +81,7 @@ class Bpe:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the BPE encoding of a's and b's bytes together is just (a, b)."""
-        key = (a, b)
+        key = a << 32 | b
         found = self.fits.get(key)
         if found is not None:
             return found
@@ -99,7 +100,7 @@ class Bpe:
                 before, a = ra, self.right[a]
             else:  # of equal ranks the one further left comes first
                 before, b = rb + 1, self.left[b]
-        if len(self.fits) > 4 * CACHED:
+        if len(self.fits) >= COMPATIBLE:
             self.fits.clear()
         self.fits[key] = found
         return found
