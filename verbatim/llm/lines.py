@@ -11,8 +11,8 @@ lines without words stay.  Lines equal but for case are one text, named by two 6
   the shorter set the first ``n - ceil(2 t n / (1 + t)) + 1`` are enough.
 * Length filter: the shorter set has at least ``t`` times the words of the longer.
 * Positional filter: the words after the shared one must still allow the overlap needed.
-* Parity bits: a word flips one of 64 bits of its line, and one of 128 others, so the bits in
-  which two lines differ are a lower bound of the words that only one of them has.
+* Parity bits: a word flips one of 128 bits of its line, so the bits in which two lines differ
+  are a lower bound of the words that only one of them has.
 * Verification: the words of the pairs left are intersected.
 
 A family of many near copies would make pairs with the square of its size.  So lines are
@@ -39,7 +39,7 @@ from verbatim.operators.broadcast import bounded_broadcast
 
 SIMILARITY = 0.8
 RARITY_BITS = 16
-RARE = 2
+RARE = 8
 MAX_ROWS = 500_000  # rows of a few numbers that are broadcast; beyond, a shuffle join
 SPACE = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -51,14 +51,16 @@ def text_lines(docs: DataFrame) -> DataFrame:
     return rows.where(F.col("line").rlike(HAS_WORD)).withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64("line", F.lit(1))})
 
 
-def words(line: Column) -> Column:
-    """Hashes of the distinct words of a lower-case line.
-
-    Splitting at single spaces is several times faster than at a pattern; the empty words
-    between adjacent spaces are removed."""
+def _split(line: Column) -> Column:
+    """A line's words and some empty strings: splitting at single spaces is several times
+    faster than at a pattern."""
     other = line.contains("\t") | line.contains("\x0b") | line.contains("\x0c") | line.contains("\r")
-    spaced = F.when(other, F.regexp_replace(line, SPACE, " ")).otherwise(line)
-    return F.array_distinct(F.array_remove(F.transform(F.split(spaced, " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+    return F.split(F.when(other, F.regexp_replace(line, SPACE, " ")).otherwise(line), " ")
+
+
+def words(line: Column) -> Column:
+    """Hashes of the distinct words of a lower-case line."""
+    return F.array_distinct(F.array_remove(F.transform(_split(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
 
 
 def _bin(word: Column) -> Column:
@@ -67,8 +69,10 @@ def _bin(word: Column) -> Column:
 
 def rarities(lines: DataFrame) -> Column:
     """Array of the frequency class of each hash bin (four for each doubling), as a literal:
-    ``1 << RARITY_BITS`` small numbers, however large the table."""
-    counts = lines.select(F.explode(words(F.col("line"))).alias("w")).groupBy(_bin(F.col("w")).alias("bin")).agg(F.count("*").alias("n"))
+    ``1 << RARITY_BITS`` small numbers, however large the table.  Words are counted as often as
+    they stand in a line: the hash and the count stay within generated code."""
+    each = lines.select(F.explode(_split(F.col("line"))).alias("word")).where("word <> ''").select(F.xxhash64("word").alias("w"))
+    counts = each.groupBy(_bin(F.col("w")).alias("bin")).agg(F.count("*").alias("n"))
     classes = ["0"] * (1 << RARITY_BITS)
     for b, c in counts.select("bin", F.floor(4 * F.log2(F.col("n") + 1.0))).collect():
         classes[b] = str(c)
@@ -82,7 +86,7 @@ def _prefix(n: Column, t: float) -> Column:
 
 
 def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
-    """(k1, doc, n, bits, more, rest, prefix): each text's number of words, parity bits and rarest
+    """(k1, doc, n, more, rest, prefix): each text's number of words, parity bits and rarest
     words' hashes in order, with the least id of its documents."""
     rarity = rarities(lines)
     rows = lines.select("k1", "doc_id", words(F.col("line")).alias("w"))
@@ -93,10 +97,9 @@ def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
     parity = lambda of: F.aggregate("w", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(of(w)))
     half = lambda odd: parity(lambda w: F.when(F.shiftrightunsigned(w, 46).bitwiseAND(1) == odd, bit(w, 40)).otherwise(0))
     prefix = F.transform(F.slice(ranked, F.lit(1), _prefix(n, t)), lambda x: x.bitwiseAND((1 << 32) - 1))
-    rows = rows.select("k1", "doc_id", n.alias("n"), parity(lambda w: bit(w, 20)).alias("bits"),
-                       half(0).alias("more"), half(1).alias("rest"), prefix.alias("prefix"))
-    one = F.min(F.struct("doc_id", "n", "bits", "more", "rest", "prefix")).alias("f")
-    return tables.put(rows.groupBy("k1").agg(one).select("k1", F.col("f.doc_id").alias("doc"), "f.n", "f.bits", "f.more", "f.rest", "f.prefix"), "features")
+    rows = rows.select("k1", "doc_id", n.alias("n"), half(0).alias("more"), half(1).alias("rest"), prefix.alias("prefix"))
+    one = F.min(F.struct("doc_id", "n", "more", "rest", "prefix")).alias("f")
+    return tables.put(rows.groupBy("k1").agg(one).select("k1", F.col("f.doc_id").alias("doc"), "f.n", "f.more", "f.rest", "f.prefix"), "features")
 
 
 def _few_bits(n1: Column, n2: Column, differ: Column, t: float) -> Column:
@@ -104,8 +107,10 @@ def _few_bits(n1: Column, n2: Column, differ: Column, t: float) -> Column:
     return differ <= (n1 + n2) * ((1 - t) / (1 + t)) + 1e-9
 
 
-def _may_match(n1: Column, n2: Column, bits1: Column, bits2: Column, t: float) -> Column:
-    return (F.least(n1, n2) + 1e-9 >= t * F.greatest(n1, n2)) & _few_bits(n1, n2, F.bit_count(bits1.bitwiseXOR(bits2)), t)
+def _may_match(x: str, y: str, t: float) -> Column:
+    n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")
+    differ = F.bit_count(F.col(f"{x}.more").bitwiseXOR(F.col(f"{y}.more"))) + F.bit_count(F.col(f"{x}.rest").bitwiseXOR(F.col(f"{y}.rest")))
+    return (F.least(n1, n2) + 1e-9 >= t * F.greatest(n1, n2)) & _few_bits(n1, n2, differ, t)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, feature: DataFrame, docs: DataFrame, tables: Tables, name: str, t: float) -> DataFrame:
@@ -136,13 +141,13 @@ def later_matches(docs: DataFrame, sets: DataFrame, tables: Tables, t: float = S
     lines = features(text_lines(docs), tables, t)
 
     # 1. The earliest and the previous line among those that share one of the rarest words.
-    rare = lines.select("k1", "doc", "n", "bits", F.explode(F.slice("prefix", 1, RARE)).alias("w"))
-    own = F.struct("k1", "n", "bits")
+    rare = lines.select("k1", "doc", "n", "more", "rest", F.explode(F.slice("prefix", 1, RARE)).alias("w"))
+    own = F.struct("k1", "n", "more", "rest")
     in_order = Window.partitionBy("w").orderBy("doc", "k1")
     near = rare.select(own.alias("x"), F.first(own).over(in_order).alias("first"), F.lag(own).over(in_order).alias("last"))
     near = near.select("x", F.explode(F.array("first", "last")).alias("y"))
     near = near.where(F.col("y").isNotNull() & (F.col("x.k1") != F.col("y.k1")))
-    near = near.where(_may_match(F.col("x.n"), F.col("y.n"), F.col("x.bits"), F.col("y.bits"), t))
+    near = near.where(_may_match("x", "y", t))
     near = near.select(F.least("x.k1", "y.k1").alias("a"), F.greatest("x.k1", "y.k1").alias("b"))
     decided = _verified(near, sets, lines, docs, tables, "near", t)
 
