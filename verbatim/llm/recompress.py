@@ -281,15 +281,16 @@ def compared_marks(firsts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_compared, "at long, th long, s int, size int, open boolean")
 
 
-def _blocks(texts: list) -> Iterator[tuple[int, int]]:
+def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Rows whose texts are worked on together."""
     first, chars = 0, 0
-    for i, t in enumerate(texts):
-        if chars and chars + len(t or "") > BLOCK_CHARS:
+    for i, size in enumerate(sizes):
+        if chars and chars + size > BLOCK_CHARS:
             yield first, i
             first, chars = i, 0
-        chars += len(t or "")
-    if first < len(texts):
-        yield first, len(texts)
+        chars += size
+    if first < len(sizes):
+        yield first, len(sizes)
 
 
 def units(docs: DataFrame, width: int = WINDOW, rounds: int = ROUNDS, anchor_rounds: int = ANCHOR_ROUNDS) -> DataFrame:
@@ -297,7 +298,7 @@ def units(docs: DataFrame, width: int = WINDOW, rounds: int = ROUNDS, anchor_rou
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = [b.column(i).to_numpy() for i in (0, 1)], b.column(2).to_pylist()
-            for first, last in _blocks(texts):
+            for first, last in _blocks([len(t or "") for t in texts]):
                 yield _units([i[first:last] for i in ids], texts[first:last], width, rounds, anchor_rounds)
     return docs.select("at", "th", "text").mapInArrow(run, UNITS)
 
@@ -308,7 +309,7 @@ def _windows(width: int):
         for b in batches:
             ids, texts = [b.column(i).to_numpy() for i in (0, 1)], b.column(2).to_pylist()
             starts, sizes = b.column(3).to_pylist(), b.column(4).to_pylist()
-            for first, last in _blocks(texts):
+            for first, last in _blocks([len(t or "") for t in texts]):
                 with np.errstate(over="ignore"):
                     names, counts, _ = named_words(texts[first:last])
                     begins = np.cumsum(counts) - counts
@@ -324,33 +325,54 @@ def _windows(width: int):
     return run
 
 
+def _flags(n: int, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which of n places lie in one of the ranges."""
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, first, 1)
+    np.add.at(change, first + size, -1)
+    return np.cumsum(change[:n]) > 0
+
+
+def _cut_block(b: pa.RecordBatch, width: int) -> pa.RecordBatch:
+    lists = pc.ascii_split_whitespace(pc.fill_null(b.column(2).cast(pa.large_string()), ""))
+    words = lists.flatten()
+    full = pc.not_equal(words, "")
+    bounds = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+    words, begins, counts, n = words.filter(full), bounds[:-1], np.diff(bounds), int(bounds[-1])
+    named = np.repeat(begins, pc.fill_null(pc.list_value_length(b.column(3)), 0).to_numpy(zero_copy_only=False))
+    start, size = named + b.column(3).flatten().to_numpy(), b.column(4).flatten().to_numpy()
+    # windows go unless they are named to stay, and after all if they are named to go
+    windows = _flags(n, begins, np.maximum(counts - width + 1, 0))
+    stay, gone = size > 0, size < 0
+    repeat = windows & (~_flags(n, start[stay], size[stay]) | _flags(n, start[gone], -size[gone]))
+    at = np.flatnonzero(repeat)
+    cut = _flags(n, at, np.full(len(at), width))
+    total = np.concatenate([[0], np.cumsum(cut)])
+    n_removed = total[bounds[1:]] - total[bounds[:-1]]
+    # spans of removed words, cut at the ends of documents
+    inside = np.zeros(n, bool)
+    inside[begins[counts > 0]] = True
+    first = np.flatnonzero(cut & (inside | ~np.concatenate([[False], cut[:-1]]))) if n else at
+    ends = np.append(inside[1:], True) if n else inside
+    last = np.flatnonzero(cut & (ends | ~np.append(cut[1:], False))) if n else at
+    doc = np.searchsorted(bounds, first, "right") - 1
+    spans: dict[int, list[str]] = {}
+    for d, x, y in zip(doc.tolist(), (first - begins[doc]).tolist(), (last + 1 - begins[doc]).tolist()):
+        spans.setdefault(d, []).append(f"{x}:{y}")
+    kept = pa.LargeListArray.from_arrays(pa.array(bounds - total[bounds]), words.filter(pa.array(~cut)))
+    return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(counts.astype(np.int64)), pa.array(n_removed.astype(np.int64)),
+                                       pa.array([",".join(spans.get(d, ())) for d in range(b.num_rows)], pa.string()), pc.binary_join(kept, pa.scalar(" ", pa.large_string())).cast(pa.string())],
+                                      ["at", "th", "n_words", "n_removed", "spans", "kept"])
+
+
 def _cut(width: int):
     """n_words, n_removed, spans and kept of each text; starts and sizes are of windows that stay
     (sizes above 0) or go after all (below 0) among those that go unless named."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, starts, sizes = b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()
-            n_words, n_removed, spans, kept = [], [], [], []
-            for text, start, size in zip(texts, starts, sizes):
-                words = pc.ascii_split_whitespace(pa.scalar(text or "", pa.large_string())).values
-                words = words.filter(pc.not_equal(words, ""))
-                n = len(words)
-                repeat = np.ones(max(n - width + 1, 0), bool)
-                if start is not None and len(repeat):
-                    for a, k in sorted(zip(start, size), key=lambda x: -x[1]):
-                        repeat[a:a + abs(k)] = k < 0
-                change = np.zeros(n + 1, np.int64)
-                at = np.flatnonzero(repeat)
-                change[at] += 1
-                change[at + width] -= 1
-                gone = np.cumsum(change[:n]) > 0
-                edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-                n_words.append(n)
-                n_removed.append(int(gone.sum()))
-                spans.append(",".join(f"{x}:{y}" for x, y in zip(edges[::2], edges[1::2])))
-                kept.append(" ".join(words.filter(pa.array(~gone)).to_pylist()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.string()), pa.array(kept, pa.string())],
-                                             ["at", "th", "n_words", "n_removed", "spans", "kept"])
+            sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_pylist()
+            for first, last in _blocks(sizes):
+                yield _cut_block(b.slice(first, last - first), width)
     return run
 
 
