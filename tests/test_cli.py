@@ -59,16 +59,16 @@ def test_cli_publishes_versions(spark, tmpdir_fresh):
     cc = (f"ProviderID string, Week int, UserLanguage string, `CC.DEMO.001` double, {flags}, `CC.OPEN.007` int, "
           "`FPL.2019.150` int, RaceGroup int, `CC.OPEN.001` string")
     held = None
-    for i, text in enumerate(["staff feel tired", "staff feel fine"]):
+    for i, text in enumerate(["staff feel tired", "staff feel_fine fine"]):
         path = os.path.join(d, f"cc_{i}.parquet")
         spark.createDataFrame([("p1", 1, "EN", 1.0, *[None] * 13, 1, 1, 2, text)], cc).write.parquet(path)
-        main(["--panel", "cc", "--waves", path, "--out", out, "--allow-missing", "--publish"], spark=spark)
+        main(["--panel", "cc", "--waves", path, "--out", out, "--allow-missing", "--publish", "--unicode-words"], spark=spark)
         held = held or Published(spark, out).page("responses", "cc", 1)
     pages = Published(spark, out)
-    assert [r.response for r in pages.page("responses", "cc", 1).collect()] == ["staff feel fine"]
+    assert [r.response for r in pages.page("responses", "cc", 1).collect()] == ["staff feel_fine fine"]
     assert [r.response for r in held.collect()] == ["staff feel tired"]
     assert pages.table("question_index").count() == 39 and pages.manifest()["number"] == 2
-    assert {(r.word1, r.word2) for r in pages.page("edges", "cc", 1).collect()} == {("staff", "feel"), ("feel", "fine")}
+    assert {(r.word1, r.word2) for r in pages.page("edges", "cc", 1).collect()} == {("staff", "feel_fine"), ("feel_fine", "fine")}
 
 
 def test_cli_panels_live_side_by_side(spark, tmpdir_fresh):

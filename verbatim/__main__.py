@@ -17,6 +17,8 @@ import argparse
 
 from pyspark.sql import functions as F
 
+from verbatim.functions.text import tokens
+from verbatim.functions.words import unicode_words
 from verbatim.operators.attributes import merged_attributes, question_texts, with_metadata
 from verbatim.operators.audit import catalog_audit, question_dimension, question_index
 from verbatim.operators.graph import bigram_network
@@ -59,6 +61,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--disjoint-on", default="Week",
                    help="column whose values never repeat across waves (stack instead of join)")
     p.add_argument("--stop-words", help="stop-word table with a column word (Parquet)")
+    p.add_argument("--unicode-words", action="store_true",
+                   help="words by the Unicode rules: underscores join, scripts without spaces split")
     p.add_argument("--language", nargs="+", help="language codes to keep (default: the panel's)")
     p.add_argument("--relookup", action="store_true",
                    help="look State up from the carried zip instead of carrying both")
@@ -100,12 +104,13 @@ def refresh(spark, a: argparse.Namespace) -> None:
                                 allow_missing=a.allow_missing)
     questions = question_dimension(spark, cfg.name, list(cfg.question_codes), texts)
     stop = read_stop_words(spark, a.stop_words) if a.stop_words else None
+    words = unicode_words if a.unicode_words else tokens
     catalog = read_catalog(spark, a.catalog) if a.catalog else menu_questions(read_menu(spark, a.menu)) if a.menu else None
     catalog = catalog.where(f"panel = '{cfg.name}'") if catalog is not None else None
     if a.publish:
         with Published(spark, a.out).refresh(cfg.name) as new:
             new.write("responses", attach_questions(long, questions))
-            net = bigram_network(new.read("responses").select("question", "response"), stop=stop, questions=list(cfg.question_codes))
+            net = bigram_network(new.read("responses").select("question", "response"), stop=stop, questions=list(cfg.question_codes), tokenizer=words)
             new.write("edges", attach_questions(net.edges, questions))
             new.write("vertices", attach_questions(net.vertices, questions))
             new.write("question_index", question_index(questions))
@@ -117,7 +122,7 @@ def refresh(spark, a: argparse.Namespace) -> None:
     # the network reads the table just written: the waves are folded and filled once
     done = spark.read.parquet(f"{a.out}/responses").where(F.col("panel") == cfg.name)
     net = bigram_network(done.select("question", "response"), stop=stop,
-                         questions=list(cfg.question_codes))
+                         questions=list(cfg.question_codes), tokenizer=words)
     write_network(net, questions, a.out)
     write_by_panel(question_index(questions), f"{a.out}/question_index", panels)
     if catalog is not None:

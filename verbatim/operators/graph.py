@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verbatim.functions.text import tokens
 from verbatim.operators.bigrams import bigram_occurrences, count_bigrams
 from verbatim.session import cut_lineage
 from verbatim.operators.thresholds import (DEFAULT_RULE, PercentileRule, percentile_cuts,
@@ -37,7 +38,8 @@ def bigram_network(responses: DataFrame, question_col: str = "question",
                    stop: DataFrame | Sequence[str] | None = None,
                    rule: PercentileRule = DEFAULT_RULE,
                    questions: Sequence[str] | None = None,
-                   materialize: bool = True, partitions: int | None = None) -> BigramNetwork:
+                   materialize: bool = True, partitions: int | None = None,
+                   tokenizer: Callable[[Column], Column] = tokens) -> BigramNetwork:
     """V2 for all questions at once (or only ``questions``).
 
     ``questions`` (a known, bounded list) both prunes the input — the predicate reaches
@@ -52,7 +54,7 @@ def bigram_network(responses: DataFrame, question_col: str = "question",
     if questions is not None:
         src = src.where(F.col(question_col).isin(list(questions)))
     counts = count_bigrams(bigram_occurrences(src, question_col, response_col, stop=stop,
-                                              partitions=partitions))
+                                              partitions=partitions, tokenizer=tokenizer))
     if materialize:
         counts = cut_lineage(counts, "bigram-counts")
     return network_of_counts(counts, rule, bounded=questions is not None, settle=materialize)
