@@ -7,8 +7,7 @@ tables, three rounds of random signs and a fast Hadamard transform rotate them (
 zeros to a power of two, ``D``), and a vector belongs to the cell of its nearest signed axis,
 one of ``2 D``.  A query looks into the ``PROBES`` nearest cells of every table and band, and
 each candidate is ranked by the exact inner product of the original vectors in double
-precision.  Bands of at most ``block`` rows are not hashed: every query is compared with all
-their rows, as the few longest vectors can be nearest at any angle.
+precision.  Every band is hashed, however few rows it has.
 
 Every row is indexed; nothing is fitted but the bands' norms and the length.  A cell is dealt
 out in blocks of at most about ``BLOCK`` rows and as many queries, so no cell has to fit
@@ -124,13 +123,13 @@ def search(queries: DataFrame, rows: DataFrame, tables: Tables, k: int = NEAREST
     rows = rows.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1).drop("copy")
     rows = tables.put(rows.withColumn("norm", norm).withColumn("band", band), "rows")
     # some thousand bands at most, whatever the data
-    bands = rows.groupBy("band").agg(F.max("norm").alias("most"), F.max(F.size("vector")).alias("size"), F.count("*").alias("n")).collect()
+    bands = rows.groupBy("band").agg(F.max("norm").alias("most"), F.max(F.size("vector")).alias("size")).collect()
     if not bands:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     size = max(r["size"] for r in bands)
     d = 1 << int(size).bit_length()
-    hashed = sorted((r["band"], r["most"]) for r in bands if r["n"] > block)
-    turns = signs(hash_tables, d) if hashed else []
+    hashed = sorted((r["band"], r["most"]) for r in bands)
+    turns = signs(hash_tables, d)
     numbers, mosts = np.array([b for b, _ in hashed], np.int32), np.array([m for _, m in hashed])
 
     def batch(cell: np.ndarray, part: pa.RecordBatch, who: np.ndarray, band: np.ndarray | None) -> pa.RecordBatch:
@@ -141,23 +140,15 @@ def search(queries: DataFrame, rows: DataFrame, tables: Tables, k: int = NEAREST
         for b in batches:
             for at in range(0, b.num_rows, 2048):
                 part = b.slice(at, 2048)
-                band = part.column(2).to_numpy()
-                deep = np.isin(band, numbers)
-                whole = np.flatnonzero(~deep)
-                yield batch(np.full(len(whole), -1), part, whole, np.zeros(len(whole), np.int32))
-                who = np.flatnonzero(deep)
-                if not len(who):
-                    continue
-                unit = lifted(_matrix(part.column(1), size)[who], mosts[np.searchsorted(numbers, band[who])], d, False)
+                band, who = part.column(2).to_numpy(), np.arange(part.num_rows)
+                unit = lifted(_matrix(part.column(1), size), mosts[np.searchsorted(numbers, band)], d, False)
                 for t, turn in enumerate(turns):
-                    yield batch(t * 2 * d + axes(unit, turn).argmax(axis=1), part, who, band[who])
+                    yield batch(t * 2 * d + axes(unit, turn).argmax(axis=1), part, who, band)
 
     def probed_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 2048):
                 part = b.slice(at, 2048)
-                if len(hashed) < len(bands):
-                    yield batch(np.full(part.num_rows, -1), part, np.arange(part.num_rows), None)
                 unit = lifted(_matrix(part.column(1), size), 1.0, d, True)
                 n = min(probes, 2 * d)
                 for t, turn in enumerate(turns):
