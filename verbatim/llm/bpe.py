@@ -35,7 +35,7 @@ from verbatim.llm.chunks import parts
 from verbatim.llm.common import table
 
 CACHED = 500_000  # stretches of text with their ids, some 100 MB a worker
-COMPATIBLE = 400_000  # pairs of tokens, some 50 MB a worker
+COMPATIBLE = 1_000_000  # pairs of tokens, some 130 MB a worker
 LONGEST_CACHED = 48
 #: Fixed value: the pattern of byte-level pre-tokenization.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -149,6 +149,11 @@ class Bpe:
                 out += ids
         return out
 
+    def forget(self) -> None:
+        """Give back the memory of what was found so far."""
+        self.fits.clear()
+        self.known.clear()
+
     def decode(self, ids) -> str:
         get = self.bytes_of.get
         return b"".join([get(i, b"") for i in ids]).decode("utf-8", "replace")
@@ -185,6 +190,7 @@ def encode(docs: DataFrame, vocabulary: str, keep: list[str]) -> DataFrame:
                 part = b.slice(at, 500)
                 ids = [coder.encode(t or "") for t in part.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(ids, pa.list_(pa.int32()))], ["kept", "ids"])
+        coder.forget()  # the worker goes on to tasks of other stages
 
     schema = T.StructType([rows.schema["kept"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return rows.mapInArrow(run, schema).select("kept.*", "ids")
