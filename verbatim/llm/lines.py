@@ -7,20 +7,20 @@ lines without words stay.  Lines equal but for case are one text, named by two 6
 
 * Words are ordered by rarity: their frequency among all lines, counted in
   ``1 << RARITY_BITS`` hash bins (a table of fixed size), then their hash.
-* Prefix filter: similar sets share a word among the first ``n - ceil(t n) + 1`` of each; of
-  the shorter set the first ``n - ceil(2 t n / (1 + t)) + 1`` are enough.
+* Prefix filter: similar sets share a word among the first ``n - ceil(t n) + 1`` of each.
 * Length filter: the shorter set has at least ``t`` times the words of the longer.
 * Positional filter: the words after the shared one must still allow the overlap needed.
 * Parity bits: a word flips one of 128 bits of its line, so the bits in which two lines differ
   are a lower bound of the words that only one of them has.
-* Verification: the words of the pairs left are intersected.
+* Verification: the words of the lines left are intersected.
 
 A family of many near copies would make pairs with the square of its size.  So lines are
 first compared only to the earliest and the one before them among those that share one of
-their ``RARE`` rarest words; whoever has a match there is decided.  Only undecided lines are
-then joined with all others, so no link that decides about a line is lost.
+their ``RARE`` rarest words; whoever has a match there is decided.  Undecided lines are then
+held against all others by semi-joins, whose rows are lines and never pairs: one earlier match
+decides a line, so it is enough to know that there is one.
 
-Texts are not shuffled: each line's few features are, and the lines of candidate pairs are
+Texts are not shuffled: each line's few features are, and the lines of candidates are
 looked up again in their documents.
 
 Defined results: a null text has no lines and stays null; an empty text has one line without
@@ -80,8 +80,7 @@ def rarities(lines: DataFrame) -> Column:
 
 
 def _prefix(n: Column, t: float) -> Column:
-    """Words of a set of n that must hold one shared with any set as long or longer and
-    similar enough (t), or with any shorter one (as 2 t / (1 + t))."""
+    """Rarest words of a set of n, of which any set similar enough shares one."""
     return (n - F.ceil(n * t - 1e-9) + 1).cast("int")
 
 
@@ -113,27 +112,60 @@ def _may_match(x: str, y: str, t: float) -> Column:
     return (F.least(n1, n2) + 1e-9 >= t * F.greatest(n1, n2)) & _few_bits(n1, n2, differ, t)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, feature: DataFrame, docs: DataFrame, tables: Tables, name: str, t: float) -> DataFrame:
-    """(k1, k2) of the texts that have an earlier match, of candidate pairs (a, b) of k1."""
-    side = lambda x: feature.select(F.col("k1").alias(x), F.col("n").alias(f"n_{x}"), F.col("more").alias(f"more_{x}"), F.col("rest").alias(f"rest_{x}"))
-    pairs = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-    differ = F.bit_count(F.col("more_a").bitwiseXOR(F.col("more_b"))) + F.bit_count(F.col("rest_a").bitwiseXOR(F.col("rest_b")))
-    pairs = pairs.where(_few_bits(F.col("n_a"), F.col("n_b"), differ, t)).select("a", "b")
-    pairs = tables.put(pairs, f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
+def _words_of(ids: DataFrame, sets: DataFrame, docs: DataFrame, tables: Tables, name: str) -> DataFrame:
+    """(k1, k2, first, words): the words of the texts named by ``ids``, a table (k1)."""
     wanted = tables.put(sets.join(bounded_broadcast(ids, MAX_ROWS), "k1", "left_semi").select("k1", "k2", "first.*"), f"{name}-wanted")
     # back to the documents: only those with a wanted line, and of their lines only these
     of = wanted.select(F.col("doc_id").alias("w_id"), F.col("h").alias("w_h")).distinct()
     some = docs.select("doc_id", "text").join(bounded_broadcast(of, MAX_ROWS), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.xxhash64("text") == F.col("w_h")), "left_semi")
     lines = text_lines(some).join(bounded_broadcast(wanted.select("k1", "k2"), MAX_ROWS), ["k1", "k2"], "left_semi")
     lines = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "h", "no", "line")).alias("f"))
-    found = tables.put(lines.select("k1", "k2", F.struct("f.doc_id", "f.h", "f.no").alias("first"), words(F.col("f.line")).alias("words")), f"{name}-words")
+    return tables.put(lines.select("k1", "k2", F.struct("f.doc_id", "f.h", "f.no").alias("first"), words(F.col("f.line")).alias("words")), f"{name}-words")
+
+
+def _similar(x: Column, y: Column, t: float) -> Column:
+    common = F.size(F.array_intersect(x, y))
+    return common + 1e-9 >= t * (F.size(x) + F.size(y) - common)
+
+
+def _near_matches(pairs: DataFrame, sets: DataFrame, docs: DataFrame, tables: Tables, t: float) -> DataFrame:
+    """(k1, k2) of the texts that have an earlier match, of candidate pairs (a, b) of k1."""
+    pairs = tables.put(pairs.distinct(), "near-pairs")
+    found = _words_of(pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct(), sets, docs, tables, "near")
     one = lambda x: found.select(F.col("k1").alias(x), F.struct("k1", "k2").alias(f"key_{x}"), F.col("first").alias(f"first_{x}"), F.col("words").alias(f"words_{x}"))
     both = pairs.join(one("a"), "a").join(one("b"), "b")
-    common = F.size(F.array_intersect("words_a", "words_b"))
-    total = F.size("words_a") + F.size("words_b") - common
     later = F.when(F.col("first_a") < F.col("first_b"), F.col("key_b")).otherwise(F.col("key_a"))
-    return tables.put(both.where(common + 1e-9 >= t * total).select(later.alias("k")).select("k.*").distinct(), name)
+    return tables.put(both.where(_similar(F.col("words_a"), F.col("words_b"), t)).select(later.alias("k")).select("k.*").distinct(), "near")
+
+
+def _may_follow(x: str, y: str, t: float) -> Column:
+    """The text x, one row for each of its prefix words, may be similar to y, which may be
+    earlier (a null id is first), and y shares this word."""
+    c = lambda side, name: F.col(f"{side}.{name}")
+    needed = F.ceil((c(x, "n") + c(y, "n")) * (t / (1 + t)) - 1e-9)
+    possible = F.least(c(x, "n") - c(x, "at"), c(y, "n") - c(y, "at"))
+    no_later = c(y, "doc").isNull() | F.coalesce(c(y, "doc") <= c(x, "doc"), F.lit(False))
+    return (c(x, "w") == c(y, "w")) & (c(x, "k1") != c(y, "k1")) & no_later & (possible >= needed) & _may_match(x, y, t)
+
+
+def _rest_matches(lines: DataFrame, decided: DataFrame, sets: DataFrame, docs: DataFrame, tables: Tables, t: float) -> DataFrame:
+    """(k1, k2) of the texts with an earlier match that are not decided yet.
+
+    Semi-joins only: each gives a row of its left side once however many rows match it, so
+    no step makes the pairs of a group.  First the undecided texts with a candidate at some
+    word, then the candidates, and with both sides' words the undecided that have a match."""
+    flag = decided.select("k1").distinct().withColumn("decided", F.lit(1))
+    flagged = lines.join(bounded_broadcast(flag, MAX_ROWS), "k1", "left")
+    rows = flagged.select("k1", "doc", "n", "more", "rest", F.coalesce("decided", F.lit(0)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
+    # both sides are the same rows, shuffled once: a condition on one side stays in the join
+    undecided = F.col("x.decided") + 0 * F.col("y.n") == 0
+    later = tables.put(rows.alias("x").join(rows.alias("y"), undecided & _may_follow("x", "y", t), "left_semi").drop("decided"), "rest-later")
+    x = bounded_broadcast(later, MAX_ROWS)
+    earlier = tables.put(rows.drop("decided").alias("y").join(x.alias("x"), _may_follow("x", "y", t), "left_semi"), "rest-earlier")
+    found = _words_of(later.select("k1").union(earlier.select("k1")).distinct(), sets, docs, tables, "rest")
+    x, y = later.join(found, "k1").alias("x"), earlier.join(found, "k1").alias("y")
+    match = _may_follow("x", "y", t) & (F.col("y.first") < F.col("x.first")) & _similar(F.col("x.words"), F.col("y.words"), t)
+    return tables.put(x.join(y, match, "left_semi").select("k1", "k2").distinct(), "rest")
 
 
 def later_matches(docs: DataFrame, sets: DataFrame, tables: Tables, t: float = SIMILARITY) -> DataFrame:
@@ -149,29 +181,10 @@ def later_matches(docs: DataFrame, sets: DataFrame, tables: Tables, t: float = S
     near = near.where(F.col("y").isNotNull() & (F.col("x.k1") != F.col("y.k1")))
     near = near.where(_may_match("x", "y", t))
     near = near.select(F.least("x.k1", "y.k1").alias("a"), F.greatest("x.k1", "y.k1").alias("b"))
-    decided = _verified(near, sets, lines, docs, tables, "near", t)
+    decided = _near_matches(near, sets, docs, tables, t)
 
-    # 2. Undecided lines with all lines that share a prefix word.
-    flag = decided.select("k1").distinct().withColumn("decided", F.lit(True))
-    flagged = lines.join(bounded_broadcast(flag, MAX_ROWS), "k1", "left")
-    rows = flagged.select("k1", "doc", "n", "more", "rest", F.coalesce("decided", F.lit(False)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
-    x, y = rows.alias("x"), rows.alias("y")
-    c = lambda side, name: F.col(f"{side}.{name}")
-    longer = (c("x", "n") > c("y", "n")) | ((c("x", "n") == c("y", "n")) & (c("x", "k1") > c("y", "k1")))
-    needed = F.ceil((c("x", "n") + c("y", "n")) * (t / (1 + t)) - 1e-9)
-    possible = F.least(c("x", "n") - c("x", "at"), c("y", "n") - c("y", "at"))
-    differ = F.bit_count(c("x", "more").bitwiseXOR(c("y", "more"))) + F.bit_count(c("x", "rest").bitwiseXOR(c("y", "rest")))
-    # only an undecided line with one that may be earlier is of interest (a null id is first)
-    no_later = lambda a, b: c(a, "doc").isNull() | F.coalesce(c(a, "doc") <= c(b, "doc"), F.lit(False))
-    open_ = (~c("x", "decided") & no_later("y", "x")) | (~c("y", "decided") & no_later("x", "y"))
-    # both sides are the same rows, shuffled once: conditions on one side stay in the join
-    pairs = x.join(y, (c("x", "w") == c("y", "w")) & longer & open_
-                   & (c("y", "at") < _prefix(c("y", "n"), 2 * t / (1 + t)) + 0 * c("x", "n"))
-                   & (F.least(c("x", "n"), c("y", "n")) + 1e-9 >= t * F.greatest(c("x", "n"), c("y", "n")))
-                   & _few_bits(c("x", "n"), c("y", "n"), differ, t) & (possible >= needed))
-    pairs = pairs.select(F.least(c("x", "k1"), c("y", "k1")).alias("a"), F.greatest(c("x", "k1"), c("y", "k1")).alias("b"))
-    rest = _verified(pairs, sets, lines, docs, tables, "rest", t)
-    return decided.union(rest).distinct()
+    # 2. Undecided lines against all lines that share a prefix word.
+    return decided.union(_rest_matches(lines, decided, sets, docs, tables, t)).distinct()
 
 
 def line_decisions(docs: DataFrame, tables: Tables, t: float = SIMILARITY) -> DataFrame:
