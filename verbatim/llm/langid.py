@@ -4,8 +4,8 @@ Features are hashed character bigrams and trigrams of the lower-cased text (a wo
 count as characters), weighted by TF-IDF: the n-gram's share of the text's n-grams times
 ``log((1 + documents) / (1 + documents with it)) + 1``.  Document frequencies come from all
 training documents.  Weights are learned by FTRL-proximal with an elastic net (L1 gives the
-sparse model) from at most ``SAMPLE`` labelled documents, the smallest by a hash of their
-id; one in five of them is kept back to calibrate a temperature.
+sparse model) from at most ``SAMPLE`` labelled documents, as many of each language as there
+are; one in five of them is kept back to calibrate a temperature.
 
 A prediction needs one pass over the text: each n-gram's IDF times its weights is looked up,
 summed and divided by the number of n-grams.
@@ -25,10 +25,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from verbatim.llm.common import doc_crc, table
+from verbatim.llm.common import doc_crc, row_hash, table
 
 DIMS = 1 << 16
 SAMPLE = 3_000  # labelled documents that the weights are fitted on, at most
@@ -94,14 +94,43 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return df, int(rows.loc[rows["gram"] < 0, "n"].sum())
 
 
+def quota(counts: list[int], most: int) -> int:
+    """The largest number q with the sum of min(count, q) at most ``most``."""
+    left = most
+    for i, n in enumerate(sorted(counts)):
+        if n * (len(counts) - i) > left:
+            return left // (len(counts) - i)
+        left -= n
+    return max(counts, default=0)
+
+
 def sample(labelled: DataFrame, most: int = SAMPLE) -> pd.DataFrame:
-    """(text, lang) of at most ``most`` documents, the smallest by hash of their id."""
-    ranked = labelled.where("text IS NOT NULL").withColumn("rank", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(7)))
-    ids = ranked.select("rank").orderBy("rank").limit(most).agg(F.max("rank")).first()[0]
-    if ids is None:
-        return pd.DataFrame({"text": [], "lang": []})
-    rows = ranked.where(F.col("rank") <= ids).select("rank", "text", "lang").orderBy("rank", "lang", "text").limit(most).toPandas()
-    return rows[["text", "lang"]]
+    """(lang, at, tf): the n-grams and their shares in the texts of at most ``most`` documents.
+
+    Each language has the same quota, so that a rare one is learned too: its documents smallest
+    by a hash of id and text.  Copies have one hash and count once.  A cut on the hash that lets
+    through about twice the quota comes first, so neither texts nor ids of all documents are
+    sorted."""
+    hashed = F.shiftrightunsigned(row_hash(F.col("doc_id"), F.col("text")), 11).cast("double") / float(1 << 53)
+    ranked = labelled.where(F.col("text").rlike(r"\p{L}")).select("lang", "text", hashed.alias("rank"))
+    counts = {r["lang"]: r["n"] for r in ranked.groupBy("lang").agg(F.approx_count_distinct("rank", 0.02).alias("n")).collect()}
+    each = quota(list(counts.values()), int(most * 0.9))  # the counts are right to some per cent
+    if not each:
+        return pd.DataFrame({"lang": [], "at": [], "tf": []})
+    cuts = labelled.sparkSession.createDataFrame([(x, min(1.0, (2.0 * each + 100) / n)) for x, n in counts.items()], "lang string, cut double")
+    some = ranked.join(F.broadcast(cuts), "lang").where(F.col("rank") <= F.col("cut")).groupBy("lang", "rank").agg(F.min("text").alias("text"))
+    some = some.withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("rank"))).where(F.col("no") <= each)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(_grams(x), return_counts=True) for x in b.column(2).to_pylist()]
+            at = pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32()))
+            tf = pa.array([f[1] / f[1].sum() for f in found], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), at, tf], ["rank", "lang", "at", "tf"])
+
+    grams = some.select("rank", "lang", "text").mapInArrow(count, "rank double, lang string, at array<int>, tf array<double>")
+    rows = grams.toPandas().sort_values(["rank", "lang"], kind="stable")
+    return rows[["lang", "at", "tf"]].head(most)
 
 
 def ftrl(features: list[tuple[np.ndarray, np.ndarray]], classes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,15 +164,10 @@ def train(labelled: DataFrame) -> Model:
     df, docs = document_frequencies(labelled)
     idf = np.log((1 + docs) / (1 + df)) + 1
     rows = sample(labelled)
-    rows = rows[[bool(x) for x in _has_letter(pa.array(rows["text"], pa.string()))]] if len(rows) else rows
     languages = sorted(set(rows["lang"]))
     if not languages:
         return Model([], np.zeros((DIMS, 0), np.float32), np.zeros(0), 1.0)
-    features = []
-    for text in rows["text"]:
-        grams = _grams(text)
-        at, tf = np.unique(grams, return_counts=True)
-        features.append((np.append(at.astype(np.int64), DIMS), np.append(tf / len(grams) * idf[at] * SCALE, 1.0)))
+    features = [(np.append(at.astype(np.int64), DIMS), np.append(tf * idf[at] * SCALE, 1.0)) for at, tf in zip(rows["at"], rows["tf"])]
     classes = rows["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
     kept_back = np.arange(len(features)) % 5 == 4
     w, bias = ftrl([f for f, k in zip(features, kept_back) if not k], classes[~kept_back], len(languages))
