@@ -10,7 +10,7 @@ lines without words stay.  Lines equal but for case are one text, named by two 6
 * Prefix filter: similar sets share a word among the first ``n - ceil(t n) + 1`` of each.
 * Length filter: the shorter set has at least ``t`` times the words of the longer.
 * Positional filter: the words after the shared one must still allow the overlap needed.
-* Parity bits: a word flips one of 128 bits of its line, so the bits in which two lines differ
+* Parity bits: a word flips one of 64 bits of its line, so the bits in which two lines differ
   are a lower bound of the words that only one of them has.
 * Verification: the words of the lines left are intersected.
 
@@ -40,6 +40,7 @@ from verbatim.operators.broadcast import bounded_broadcast
 SIMILARITY = 0.8
 RARITY_BITS = 16
 RARE = 8
+DECIDED = 1 << 30  # added to the places of a decided text's words
 MAX_ROWS = 500_000  # rows of a few numbers that are broadcast; beyond, a shuffle join
 SPACE = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -85,7 +86,7 @@ def _prefix(n: Column, t: float) -> Column:
 
 
 def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
-    """(k1, doc, n, more, rest, prefix): each text's number of words, parity bits and rarest
+    """(k1, doc, n, bits, prefix): each text's number of words, parity bits and rarest
     words' hashes in order, with the least id of its documents."""
     rarity = rarities(lines)
     rows = lines.select("k1", "doc_id", words(F.col("line")).alias("w"))
@@ -93,12 +94,11 @@ def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
     # rarity above, 32 bits of the hash below: one number to sort by
     ranked = F.sort_array(F.transform("w", lambda w: F.call_function("shiftleft", F.get(rarity, _bin(w)).cast("long"), F.lit(32)) + F.shiftrightunsigned(w, 32)))
     bit = lambda w, at: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(w, at).bitwiseAND(63).cast("int"))
-    parity = lambda of: F.aggregate("w", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(of(w)))
-    half = lambda odd: parity(lambda w: F.when(F.shiftrightunsigned(w, 46).bitwiseAND(1) == odd, bit(w, 40)).otherwise(0))
+    parity = F.aggregate("w", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(bit(w, 40)))
     prefix = F.transform(F.slice(ranked, F.lit(1), _prefix(n, t)), lambda x: x.bitwiseAND((1 << 32) - 1))
-    rows = rows.select("k1", "doc_id", n.alias("n"), half(0).alias("more"), half(1).alias("rest"), prefix.alias("prefix"))
-    one = F.min(F.struct("doc_id", "n", "more", "rest", "prefix")).alias("f")
-    return tables.put(rows.groupBy("k1").agg(one).select("k1", F.col("f.doc_id").alias("doc"), "f.n", "f.more", "f.rest", "f.prefix"), "features")
+    rows = rows.select("k1", "doc_id", n.alias("n"), parity.alias("bits"), prefix.alias("prefix"))
+    one = F.min(F.struct("doc_id", "n", "bits", "prefix")).alias("f")
+    return tables.put(rows.groupBy("k1").agg(one).select("k1", F.col("f.doc_id").alias("doc"), "f.n", "f.bits", "f.prefix"), "features")
 
 
 def _few_bits(n1: Column, n2: Column, differ: Column, t: float) -> Column:
@@ -108,7 +108,7 @@ def _few_bits(n1: Column, n2: Column, differ: Column, t: float) -> Column:
 
 def _may_match(x: str, y: str, t: float) -> Column:
     n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")
-    differ = F.bit_count(F.col(f"{x}.more").bitwiseXOR(F.col(f"{y}.more"))) + F.bit_count(F.col(f"{x}.rest").bitwiseXOR(F.col(f"{y}.rest")))
+    differ = F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits")))
     return (F.least(n1, n2) + 1e-9 >= t * F.greatest(n1, n2)) & _few_bits(n1, n2, differ, t)
 
 
@@ -140,10 +140,11 @@ def _near_matches(pairs: DataFrame, sets: DataFrame, docs: DataFrame, tables: Ta
 
 def _may_follow(x: str, y: str, t: float) -> Column:
     """The text x, one row for each of its prefix words, may be similar to y, which may be
-    earlier (a null id is first), and y shares this word."""
+    earlier (a null id is first), and y shares this word.  The place of a decided text's word is
+    beyond its words, so that it is never x."""
     c = lambda side, name: F.col(f"{side}.{name}")
     needed = F.ceil((c(x, "n") + c(y, "n")) * (t / (1 + t)) - 1e-9)
-    possible = F.least(c(x, "n") - c(x, "at"), c(y, "n") - c(y, "at"))
+    possible = F.least(c(x, "n") - c(x, "at"), c(y, "n") - c(y, "at").bitwiseAND(DECIDED - 1))
     no_later = c(y, "doc").isNull() | F.coalesce(c(y, "doc") <= c(x, "doc"), F.lit(False))
     return (c(x, "w") == c(y, "w")) & (c(x, "k1") != c(y, "k1")) & no_later & (possible >= needed) & _may_match(x, y, t)
 
@@ -154,14 +155,14 @@ def _rest_matches(lines: DataFrame, decided: DataFrame, sets: DataFrame, docs: D
     Semi-joins only: each gives a row of its left side once however many rows match it, so
     no step makes the pairs of a group.  First the undecided texts with a candidate at some
     word, then the candidates, and with both sides' words the undecided that have a match."""
-    flag = decided.select("k1").distinct().withColumn("decided", F.lit(1))
+    flag = decided.select("k1").distinct().withColumn("decided", F.lit(DECIDED))
     flagged = lines.join(bounded_broadcast(flag, MAX_ROWS), "k1", "left")
-    rows = flagged.select("k1", "doc", "n", "more", "rest", F.coalesce("decided", F.lit(0)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
-    # both sides are the same rows, shuffled once: a condition on one side stays in the join
-    undecided = F.col("x.decided") + 0 * F.col("y.n") == 0
-    later = tables.put(rows.alias("x").join(rows.alias("y"), undecided & _may_follow("x", "y", t), "left_semi").drop("decided"), "rest-later")
+    rows = flagged.select("k1", "doc", "n", "bits", F.coalesce("decided", F.lit(0)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
+    rows = rows.select("k1", "doc", "n", "bits", F.col("at").bitwiseOR(F.col("decided")).alias("at"), "w")
+    # both sides are the same rows with the same columns, so they are shuffled once
+    later = tables.put(rows.alias("x").join(rows.alias("y"), _may_follow("x", "y", t), "left_semi"), "rest-later")
     x = bounded_broadcast(later, MAX_ROWS)
-    earlier = tables.put(rows.drop("decided").alias("y").join(x.alias("x"), _may_follow("x", "y", t), "left_semi"), "rest-earlier")
+    earlier = tables.put(rows.alias("y").join(x.alias("x"), _may_follow("x", "y", t), "left_semi"), "rest-earlier")
     found = _words_of(later.select("k1").union(earlier.select("k1")).distinct(), sets, docs, tables, "rest")
     x, y = later.join(found, "k1").alias("x"), earlier.join(found, "k1").alias("y")
     match = _may_follow("x", "y", t) & (F.col("y.first") < F.col("x.first")) & _similar(F.col("x.words"), F.col("y.words"), t)
@@ -173,8 +174,8 @@ def later_matches(docs: DataFrame, sets: DataFrame, tables: Tables, t: float = S
     lines = features(text_lines(docs), tables, t)
 
     # 1. The earliest and the previous line among those that share one of the rarest words.
-    rare = lines.select("k1", "doc", "n", "more", "rest", F.explode(F.slice("prefix", 1, RARE)).alias("w"))
-    own = F.struct("k1", "n", "more", "rest")
+    rare = lines.select("k1", "doc", "n", "bits", F.explode(F.slice("prefix", 1, RARE)).alias("w"))
+    own = F.struct("k1", "n", "bits")
     in_order = Window.partitionBy("w").orderBy("doc", "k1")
     near = rare.select(own.alias("x"), F.first(own).over(in_order).alias("first"), F.lag(own).over(in_order).alias("last"))
     near = near.select("x", F.explode(F.array("first", "last")).alias("y"))
@@ -211,7 +212,7 @@ def line_decisions(docs: DataFrame, tables: Tables, t: float = SIMILARITY) -> Da
 def drop_lines(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     """The documents without their removed lines.  One that had words and has none left is
     dropped, as is every further row of the same id and text that had words."""
-    tables = Tables(docs.sparkSession, "lines")
+    tables = Tables(docs.sparkSession, "lines", tidy=True)
     found = tables.put(line_decisions(docs, tables, t), "decisions")
     changed = found.where((F.size("removed") > 0) | (F.col("n_rows") > 1)).select(F.col("doc_id").alias("c_id"), F.col("h").alias("c_h"), "n_rows", "removed")
     own = docs.columns
@@ -233,7 +234,7 @@ def drop_lines(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = line_decisions(docs, Tables(spark, "op9"))
+    found = line_decisions(docs, Tables(spark, "op9", tidy=True))
     return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
                         F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed"))
 
