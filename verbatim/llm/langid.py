@@ -117,8 +117,8 @@ def sample(labelled: DataFrame, most: int = SAMPLE) -> pd.DataFrame:
     each = quota(list(counts.values()), int(most * 0.9))  # the counts are right to some per cent
     if not each:
         return pd.DataFrame({"lang": [], "at": [], "tf": []})
-    cuts = labelled.sparkSession.createDataFrame([(x, min(1.0, (2.0 * each + 100) / n)) for x, n in counts.items()], "lang string, cut double")
-    some = ranked.join(F.broadcast(cuts), "lang").where(F.col("rank") <= F.col("cut")).groupBy("lang", "rank").agg(F.min("text").alias("text"))
+    cuts = F.create_map(*[F.lit(v) for x, n in counts.items() for v in (x, min(1.0, (2.0 * each + 100) / n))])
+    some = ranked.where(F.col("rank") <= F.element_at(cuts, F.col("lang"))).groupBy("lang", "rank").agg(F.min("text").alias("text"))
     some = some.withColumn("no", F.row_number().over(Window.partitionBy("lang").orderBy("rank"))).where(F.col("no") <= each)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +167,8 @@ def train(labelled: DataFrame) -> Model:
     languages = sorted(set(rows["lang"]))
     if not languages:
         return Model([], np.zeros((DIMS, 0), np.float32), np.zeros(0), 1.0)
-    features = [(np.append(at.astype(np.int64), DIMS), np.append(tf * idf[at] * SCALE, 1.0)) for at, tf in zip(rows["at"], rows["tf"])]
+    features = [(np.append(at, DIMS), np.append(tf * idf[at] * SCALE, 1.0))
+                for at, tf in ((np.asarray(a, np.int64), np.asarray(f)) for a, f in zip(rows["at"], rows["tf"]))]
     classes = rows["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
     kept_back = np.arange(len(features)) % 5 == 4
     w, bias = ftrl([f for f, k in zip(features, kept_back) if not k], classes[~kept_back], len(languages))
