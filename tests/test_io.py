@@ -84,6 +84,31 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
                 checkpoint_dir(fake)
 
 
+def _as_on_a_cluster(spark, **conf):
+    """The session as it looks with a cluster's master."""
+    from types import SimpleNamespace
+    context = spark.sparkContext
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)), range=spark.range, read=spark.read,
+        sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, _jsc=context._jsc, _jvm=context._jvm,
+                                     applicationId=context.applicationId, defaultParallelism=context.defaultParallelism))
+
+
+def test_checkpoint_folder_that_executors_share(spark, tmpdir_fresh):
+    import pytest
+    from verbatim.session import checkpoint_dir
+    # a mounted folder named without a scheme
+    cluster = _as_on_a_cluster(spark, **{"spark.checkpoint.dir": tmpdir_fresh})
+    assert checkpoint_dir(cluster) == tmpdir_fresh and os.listdir(tmpdir_fresh) == []
+    # without the setting, the warehouse
+    cluster = _as_on_a_cluster(spark, **{"spark.sql.warehouse.dir": f"file:{tmpdir_fresh}"})
+    assert checkpoint_dir(cluster).startswith(f"file:{tmpdir_fresh}/")
+    # what can't be written is not shared
+    (blocked := os.path.join(tmpdir_fresh, "file")) and open(blocked, "w").close()
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(_as_on_a_cluster(spark, **{"spark.checkpoint.dir": blocked}))
+
+
 def test_waves_with_one_stem(spark, tmpdir_fresh):
     import pytest
     paths = [os.path.join(tmpdir_fresh, y, "ec.parquet") for y in ("2020", "2021")]

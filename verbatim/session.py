@@ -39,26 +39,67 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_shared: set[tuple[str, str]] = set()
+
+
+def _is_shared(spark: SparkSession, folder: str) -> bool:
+    """Whether what executors write into ``folder`` is there for the driver and all executors:
+    a few rows are written and read back, once for each application and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key in _shared:
+        return True
+    tasks, path = 2 * spark.sparkContext.defaultParallelism, f"{folder.rstrip('/')}/verbatim-probe-{uuid.uuid4().hex}"
+    try:
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        there = spark.read.schema("id long").parquet(path).repartition(tasks).count() == tasks
+    finally:
+        _delete(spark, path)
+    if there:
+        _shared.add(key)
+    return there
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _usable(spark: SparkSession, folder: str) -> tuple[bool, Exception | None]:
+    try:
+        return _is_shared(spark, folder), None
+    except Exception as e:  # not shared shows as any error of the trial's job
+        return False, e
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for lineage cuts, taken from ``spark.checkpoint.dir``.
 
-    Only a local session without one (tests, bench) gets ``fallback`` or a fresh
-    scratch folder.  On a cluster the setting must name shared storage: executors
-    cannot read a folder on the driver's disk, so an unset value is an error there.
+    A local session without one (tests, bench) gets ``fallback`` or a fresh scratch folder.
+    On a cluster a folder without a URI scheme may be a mounted shared folder or one machine's
+    own: it is taken if what executors write there can be read everywhere.  Without the
+    setting a cluster's warehouse is taken under the same condition; with neither it is an
+    error, as executors cannot read a folder on the driver's disk.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    one_machine = spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    one_process = master.startswith("local") and not master.startswith("local-cluster")
     if current:
-        if not one_machine and "://" not in current and not current.startswith("file:"):
+        if not one_process and "://" not in current and not current.startswith("file:"):
             # a bare path is on the default file system: shared, unless that is the local one
             default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
             if default.startswith("file:"):
-                raise RuntimeError(f"{CHECKPOINT_CONF} is {current!r}, a local path: on a cluster "
-                                   "name shared storage (a mounted shared folder as file://...)")
+                shared, why = _usable(spark, current)
+                if not shared:
+                    raise RuntimeError(f"{CHECKPOINT_CONF} is {current!r}, a local path that executors "
+                                       "do not share: name shared storage (HDFS/object store, a mounted folder)") from why
         return current
-    if not one_machine:
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS/object store) "
-                           "for lineage cuts on a cluster")
+    if not one_process:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        shared, why = _usable(spark, warehouse) if warehouse else (False, None)
+        if not shared:
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS/object store) "
+                               "for lineage cuts on a cluster") from why
+        return f"{warehouse.rstrip('/')}/verbatim-checkpoints"
     path = fallback or tempfile.mkdtemp(prefix="verbatim-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
@@ -97,7 +138,5 @@ def lineage_tables(spark: SparkSession):
         yield made
     finally:
         _open_scopes.remove(made)
-        jvm = spark.sparkContext._jvm
         for path in made:
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(spark, path)
