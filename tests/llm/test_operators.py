@@ -621,3 +621,20 @@ def test_op10_ftrl_is_sparse_and_learns():
         classes.append(c)
     w, bias = langid.ftrl(features, np.array(classes), 2)
     assert (w[100:] == 0).all() and (w[:50, 0] > w[:50, 1]).mean() > 0.9
+
+
+def test_parts_of_many_texts_at_once():
+    from verbatim.llm.chunks import part_starts, parts
+    texts = ["", "a b", " a  b\n", "\n \nx", "  ", "", "tab\tin it", "é ü\n\nß", "a b c", "end"]
+    joined, starts, begins = part_starts(texts)
+    ends = [*starts[1:].tolist(), len(joined)]
+    got = [[joined[a:b].tobytes().decode() for a, b in zip(starts.tolist(), ends) if x <= a < y] for x, y in zip(begins[:-1], begins[1:])]
+    assert got == [parts(t) for t in texts]
+    coder = shards.LibraryCoder(bpe.public_vocabulary())
+    asked = []
+    coder._ids, own = lambda new: (asked.extend(new), own(new))[1], coder._ids
+    raw = coder.encode(["so so so so", " so, so", ""])
+    assert sorted(asked) == [" so", " so,", "so"]  # each distinct part once
+    kind = np.dtype(f"<u{coder.width}")
+    assert [np.frombuffer(r, kind).tolist() for r in raw] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in ["so so so so", " so, so", ""]]
+    assert list(shards._stretches(["x" * shards.STRETCH, "", "y"])) == [(0, 1), (1, 3)] and list(shards._stretches([])) == []

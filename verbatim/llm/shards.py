@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verbatim.llm.bpe import public_vocabulary
-from verbatim.llm.chunks import parts
+from verbatim.llm.chunks import part_starts
 from verbatim.llm.common import Tables, table
 from verbatim.llm.ordered import deal, ranges
 
@@ -44,6 +44,7 @@ PART_KEYS = 200_000
 CACHED = 1_200_000
 TOGETHER = 2_000
 LONGEST_CACHED = 48
+STRETCH = 4_000_000
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
@@ -56,6 +57,9 @@ def file_system(uri: str) -> tuple[fs.FileSystem, str]:
 class LibraryCoder:
     """The tokenizers library, asked once for each short part of a text.
 
+    The texts of a stretch are cut and their parts numbered as arrays, so that only distinct
+    parts are looked up one by one, and the ids are gathered by these numbers.
+
     New parts are given to the library many at a time: those that start with white space
     after another's last word are joined, as no token reaches across such a border, and the
     ids are told apart by the tokens' lengths in bytes."""
@@ -69,7 +73,7 @@ class LibraryCoder:
         self.tokenizer.no_padding()
         self.kind = "H" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "I"
         self.width = array(self.kind).itemsize
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         vocabulary = self.tokenizer.get_vocab(True)
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -78,17 +82,34 @@ class LibraryCoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as raw bytes."""
-        known, cut = self.known, [parts(t) for t in texts]
+        joined, starts, begins = part_starts(texts)
+        if not len(starts):
+            return [b""] * len(texts)
+        offsets = np.append(starts, len(joined)).astype(np.int64)
+        each = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
+        found = self._of_parts(each.dictionary.to_pylist())
+        # the ids of the distinct parts, one after the other, then taken in the texts' order
+        distinct = np.frombuffer(b"".join(found), f"<u{self.width}")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        which = each.indices.to_numpy()
+        n = sizes[which]
+        ends = np.cumsum(n)
+        ids = distinct[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - n), n) + np.arange(ends[-1])].tobytes()
+        at = (np.append(0, ends)[np.searchsorted(starts, begins)] * self.width).tolist()
+        return [ids[x:y] for x, y in zip(at, at[1:])]
+
+    def _of_parts(self, distinct: list[bytes]) -> list[bytes]:
+        """The ids of each of the distinct parts, known or new."""
+        known = self.known
         if len(known) > CACHED:
             known.clear()
-        new = list({p for ps in cut for p in ps if p not in known})
+        new = [p for p in distinct if p not in known]
         long = {}
         for i in range(0, len(new), TOGETHER):
             some = new[i:i + TOGETHER]
-            for p, ids in zip(some, self._ids(some)):
+            for p, ids in zip(some, self._ids([p.decode() for p in some])):
                 (known if len(p) <= LONGEST_CACHED else long)[p] = ids
-        return [b"".join([known[p] if p in known else long[p] for p in ps]) for ps in cut]
-
+        return [known[p] if p in known else long[p] for p in distinct]
 
     def _ids(self, new: list[str]) -> list[bytes]:
         """The ids of each part as raw bytes."""
@@ -115,6 +136,18 @@ def coder(spec: str) -> LibraryCoder:
     return LibraryCoder(spec)
 
 
+def _stretches(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """From where to where as many texts go as are encoded together: some ``STRETCH`` characters."""
+    first = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= STRETCH:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
 MANIFEST = "at long, doc_id long, copy int, shard long, offset long, n long, file string"
 
 
@@ -133,10 +166,11 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str, end_id: int = EN
         last, copy = None, 0
         for b in batches:
             columns = [b.column(i).to_pylist() for i in range(4)]
-            for i in range(0, b.num_rows, 200):
+            texts = [t or "" for t in columns.pop()]
+            for i, j in _stretches(texts):
                 rows = []
-                encoded = own.encode([t or "" for t in columns[3][i:i + 200]])
-                for place, at, doc_id, raw in zip(*(c[i:i + 200] for c in columns[:3]), encoded):
+                encoded = own.encode(texts[i:j])
+                for place, at, doc_id, raw in zip(*(c[i:j] for c in columns), encoded):
                     if place != at_range or written >= SHARD_IDS or docs_in >= SHARD_DOCS:
                         if out:
                             out.close()
