@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from verbatim.functions.words import unicode_words
+from verbatim.functions.words import unicode_word_counts, unicode_words
 from verbatim.operators.bigrams import bigram_occurrences
 
 # one pool of characters for each class of the rules (lower case)
@@ -112,3 +112,14 @@ def test_bigrams_with_unicode_words(spark):
     df = spark.createDataFrame([("q", "Big_red fox:tail 漢字")], "question string, response string")
     got = bigram_occurrences(df, tokenizer=unicode_words).select("word1", "word2").collect()
     assert [tuple(r) for r in got] == [("big_red", "fox:tail"), ("fox:tail", "漢"), ("漢", "字")]
+
+
+def test_counts_apply_the_rules_to_distinct_pieces(spark):
+    rng = random.Random(11)
+    pool = [c for chars in CLASSES.values() for c in chars] + [*"  \n\nabAZΣ19\t\xa0"]
+    texts = ["".join(rng.choices(pool, k=rng.randint(0, 60))) for _ in range(400)] + [None, "", " ", "ΟΔΟΣ ΟΔΟΣ\nΟΔΟΣ", "\u0301 \u0301a\n\u0301b", "one two\none", "(été) 'tis' x_ _x \"ß\" ÷a ª. a.b. א' 'א \u0301(a) (a)\u0301 a\u0301. ---"]
+    rows = spark.createDataFrame([(None if i % 5 == 4 else f"q{i % 5}", t) for i, t in enumerate(texts)], "question string, t string")
+    want = rows.select("question", F.explode(unicode_words(F.col("t"))).alias("word")).groupBy("question", "word").agg(F.count("*").alias("n"))
+    got = unicode_word_counts(rows, "question", "t")
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))

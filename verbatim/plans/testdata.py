@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from verbatim.functions.keys import code_number
 from verbatim.functions.recode import child_flag, first_true, recode_map
-from verbatim.functions.words import unicode_words
+from verbatim.functions.words import unicode_word_counts as count_unicode_words
 from verbatim.functions.zipcodes import normalize_zip
 from verbatim.operators.attributes import decode_labelled, question_texts, with_attributes
 from verbatim.operators.audit import catalog_audit, number_questions, question_index
@@ -131,8 +131,7 @@ def bigram_tokens(spark, d):
 
 def unicode_word_counts(spark, d):
     """Words by the Unicode rules, counted by question."""
-    words = responses(spark, d).select("question", F.explode(unicode_words(F.col("response"))).alias("word"))
-    return words.groupBy("question", "word").agg(F.count("*").alias("n"))
+    return count_unicode_words(responses(spark, d), "question", "response")
 
 
 # ---------------------------------------------------------------- panel stand-in
