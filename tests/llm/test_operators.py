@@ -638,3 +638,19 @@ def test_parts_of_many_texts_at_once():
     kind = np.dtype(f"<u{coder.width}")
     assert [np.frombuffer(r, kind).tolist() for r in raw] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in ["so so so so", " so, so", ""]]
     assert list(shards._stretches(["x" * shards.STRETCH, "", "y"])) == [(0, 1), (1, 3)] and list(shards._stretches([])) == []
+
+
+def test_op9_wide_parity_bits(spark):
+    """Long unrelated lines, which fill 64 parity bits, are told apart before their words are sent."""
+    from pyspark.sql import functions as F
+    rng, t = np.random.default_rng(5), lines.SIMILARITY
+    base = rng.choice(1 << 40, 160, replace=False)
+    def other(k):  # k of the words replaced
+        return np.concatenate([base[k:], (1 << 41) + rng.choice(1 << 40, k, replace=False)])
+    rows = [(i, " ".join(map(str, base)), " ".join(map(str, other(k)))) for i, k in enumerate([0, 1, 8, 17] * 5 + [120, 150] * 5)]
+    sets = spark.createDataFrame(rows, "i int, a string, b string").select("i", lines.words(F.col("a")).alias("a"), lines.words(F.col("b")).alias("b"))
+    side = lambda c: F.struct(F.size(c).alias("n"), lines._parity(F.col(c)).alias("bits"), *[lines._parity(F.col(c), j).alias(f"bits{j}") for j in range(lines.WIDE)]).alias(f"x{c}")
+    got = sets.select("i", side("a"), side("b"), lines._similar(F.col("a"), F.col("b"), t).alias("same"))
+    got = got.select("i", "same", lines._may_match("xa", "xb", t).alias("narrow"), lines._may_match_wide("xa", "xb", t).alias("wide")).orderBy("i").collect()
+    assert all(r.same and r.narrow and r.wide for r in got[:20])
+    assert not any(r.same or r.wide for r in got[20:]) and sum(r.narrow for r in got[20:]) >= 3

@@ -11,7 +11,8 @@ lines without words stay.  Lines equal but for case are one text, named by two 6
 * Length filter: the shorter set has at least ``t`` times the words of the longer.
 * Positional filter: the words after the shared one must still allow the overlap needed.
 * Parity bits: a word flips one of 64 bits of its line, so the bits in which two lines differ
-  are a lower bound of the words that only one of them has.
+  are a lower bound of the words that only one of them has.  Long lines fill these bits, so
+  the candidates left are compared by ``WIDE`` times as many before their words are sent.
 * Verification: the words of the lines left are intersected.
 
 A family of many near copies would make pairs with the square of its size.  So lines are
@@ -31,6 +32,8 @@ names, are kept by ``drop_lines``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +43,7 @@ from verbatim.operators.broadcast import bounded_broadcast
 SIMILARITY = 0.8
 RARITY_BITS = 16
 RARE = 8
+WIDE = 4  # times 64 parity bits for long lines, a power of two
 DECIDED = 1 << 30  # added to the places of a decided text's words
 MAX_ROWS = 500_000  # rows of a few numbers that are broadcast; beyond, a shuffle join
 SPACE = r"[\x20\x09-\x0D]+"
@@ -85,6 +89,14 @@ def _prefix(n: Column, t: float) -> Column:
     return (n - F.ceil(n * t - 1e-9) + 1).cast("int")
 
 
+def _parity(words: Column, part: int | None = None) -> Column:
+    """64 parity bits of a set of words, or of those that fall to one of ``WIDE`` parts of it."""
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(w, 40).bitwiseAND(63).cast("int"))
+    if part is not None:
+        words = F.filter(words, lambda w: F.shiftrightunsigned(w, 46).bitwiseAND(WIDE - 1) == part)
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(bit(w)))
+
+
 def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
     """(k1, doc, n, bits, prefix): each text's number of words, parity bits and rarest
     words' hashes in order, with the least id of its documents."""
@@ -93,8 +105,7 @@ def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
     n = F.size("w")
     # rarity above, 32 bits of the hash below: one number to sort by
     ranked = F.sort_array(F.transform("w", lambda w: F.call_function("shiftleft", F.get(rarity, _bin(w)).cast("long"), F.lit(32)) + F.shiftrightunsigned(w, 32)))
-    bit = lambda w, at: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(w, at).bitwiseAND(63).cast("int"))
-    parity = F.aggregate("w", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(bit(w, 40)))
+    parity = _parity(F.col("w"))
     prefix = F.transform(F.slice(ranked, F.lit(1), _prefix(n, t)), lambda x: x.bitwiseAND((1 << 32) - 1))
     rows = rows.select("k1", "doc_id", n.alias("n"), parity.alias("bits"), prefix.alias("prefix"))
     one = F.min(F.struct("doc_id", "n", "bits", "prefix")).alias("f")
@@ -112,6 +123,11 @@ def _may_match(x: str, y: str, t: float) -> Column:
     return (F.least(n1, n2) + 1e-9 >= t * F.greatest(n1, n2)) & _few_bits(n1, n2, differ, t)
 
 
+def _may_match_wide(x: str, y: str, t: float) -> Column:
+    differ = [F.bit_count(F.col(f"{x}.bits{i}").bitwiseXOR(F.col(f"{y}.bits{i}"))) for i in range(WIDE)]
+    return _few_bits(F.col(f"{x}.n"), F.col(f"{y}.n"), reduce(Column.__add__, differ), t)
+
+
 def _words_of(ids: DataFrame, sets: DataFrame, docs: DataFrame, tables: Tables, name: str) -> DataFrame:
     """(k1, k2, first, words): the words of the texts named by ``ids``, a table (k1)."""
     wanted = tables.put(sets.join(bounded_broadcast(ids, MAX_ROWS), "k1", "left_semi").select("k1", "k2", "first.*"), f"{name}-wanted")
@@ -154,7 +170,8 @@ def _rest_matches(lines: DataFrame, decided: DataFrame, sets: DataFrame, docs: D
 
     Semi-joins only: each gives a row of its left side once however many rows match it, so
     no step makes the pairs of a group.  First the undecided texts with a candidate at some
-    word, then the candidates, and with both sides' words the undecided that have a match."""
+    word, then the candidates, the same by more parity bits, and with both sides' words the
+    undecided that have a match."""
     flag = decided.select("k1").distinct().withColumn("decided", F.lit(DECIDED))
     flagged = lines.join(bounded_broadcast(flag, MAX_ROWS), "k1", "left")
     rows = flagged.select("k1", "doc", "n", "bits", F.coalesce("decided", F.lit(0)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
@@ -164,6 +181,15 @@ def _rest_matches(lines: DataFrame, decided: DataFrame, sets: DataFrame, docs: D
     x = bounded_broadcast(later, MAX_ROWS)
     earlier = tables.put(rows.alias("y").join(x.alias("x"), _may_follow("x", "y", t), "left_semi"), "rest-earlier")
     found = _words_of(later.select("k1").union(earlier.select("k1")).distinct(), sets, docs, tables, "rest")
+    # the same with more parity bits, so that words go only to rows that are still candidates
+    bits = bounded_broadcast(tables.put(found.select("k1", *[_parity(F.col("words"), i).alias(f"bits{i}") for i in range(WIDE)]), "rest-bits"), MAX_ROWS)
+    narrow = later.columns
+    wide = lambda rows: rows.join(bits, "k1")
+    may = _may_follow("x", "y", t) & _may_match_wide("x", "y", t)
+    later = tables.put(wide(later).alias("x").join(wide(earlier).alias("y"), may, "left_semi").select(narrow), "rest-later-wide")
+    earlier = tables.put(wide(earlier).alias("y").join(wide(later).alias("x"), may, "left_semi").select(narrow), "rest-earlier-wide")
+    left = later.select("k1").union(earlier.select("k1")).distinct()
+    found = found.join(bounded_broadcast(left, MAX_ROWS), "k1", "left_semi")
     x, y = later.join(found, "k1").alias("x"), earlier.join(found, "k1").alias("y")
     match = _may_follow("x", "y", t) & (F.col("y.first") < F.col("x.first")) & _similar(F.col("x.words"), F.col("y.words"), t)
     return tables.put(x.join(y, match, "left_semi").select("k1", "k2").distinct(), "rest")
