@@ -654,3 +654,27 @@ def test_op9_wide_parity_bits(spark):
     got = got.select("i", "same", lines._may_match("xa", "xb", t).alias("narrow"), lines._may_match_wide("xa", "xb", t).alias("wide")).orderBy("i").collect()
     assert all(r.same and r.narrow and r.wide for r in got[:20])
     assert not any(r.same or r.wide for r in got[20:]) and sum(r.narrow for r in got[20:]) >= 3
+
+
+def test_op9_unrelated_lines_are_no_candidates(spark):
+    """Long unrelated lines that share rare words are in no table after the features; near copies of a
+    long and of a short line, and of one on either side of ``LONG``, are found."""
+    rng = np.random.default_rng(6)
+    some = lambda n: [f"w{i}" for i in rng.choice(3000, n, replace=False)]
+    other = [some(160) for _ in range(250)]
+    near = [some(160), some(12), some(67)]
+    copies = [near[0][:140] + ["x1", "x2"], near[1][1:], near[2][6:]]
+    texts = [(i, " ".join(w)) for i, w in enumerate([*near, *other, *copies])]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+
+    class Counted(Tables):
+        def put(self, df, name):
+            out = super().put(df, name)
+            rows[name] = out.count()
+            return out
+
+    rows = {}
+    got = {(r.doc_id, no) for r in lines.line_decisions(df, Counted(spark, "t")).collect() for no in r.removed}
+    assert got == {(253, 0), (254, 0), (255, 0)} == {(texts[n][0], no) for n, no in brute_lines(texts)}
+    later = {k: n for k, n in rows.items() if k not in ("lines", "sets", "features")}
+    assert len(later) >= 3 and max(later.values()) <= 120, later

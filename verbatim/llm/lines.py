@@ -11,15 +11,16 @@ lines without words stay.  Lines equal but for case are one text, named by two 6
 * Length filter: the shorter set has at least ``t`` times the words of the longer.
 * Positional filter: the words after the shared one must still allow the overlap needed.
 * Parity bits: a word flips one of 64 bits of its line, so the bits in which two lines differ
-  are a lower bound of the words that only one of them has.  Long lines fill these bits, so
-  the candidates left are compared by ``WIDE`` times as many before their words are sent.
+  are a lower bound of the words that only one of them has.  Lines of more than ``LONG`` words
+  fill these bits, so they have ``WIDE`` times as many.
 * Verification: the words of the lines left are intersected.
 
-A family of many near copies would make pairs with the square of its size.  So lines are
-first compared only to the earliest and the one before them among those that share one of
-their ``RARE`` rarest words; whoever has a match there is decided.  Undecided lines are then
-held against all others by semi-joins, whose rows are lines and never pairs: one earlier match
-decides a line, so it is enough to know that there is one.
+A family of many near copies would make pairs with the square of its size.  So one semi-join,
+whose rows are lines and never pairs, first leaves only the lines that may be similar to another.
+Of these, each is compared to the earliest and the one before it among those that share one of
+its ``RARE`` rarest words; whoever has a match there is decided.  Undecided lines are then held
+against all others by semi-joins too: one earlier match decides a line, so it is enough to know
+that there is one.
 
 Texts are not shuffled: each line's few features are, and the lines of candidates are
 looked up again in their documents.
@@ -44,7 +45,8 @@ SIMILARITY = 0.8
 RARITY_BITS = 16
 RARE = 8
 WIDE = 4  # times 64 parity bits for long lines, a power of two
-DECIDED = 1 << 30  # added to the places of a decided text's words
+LONG = 64  # words; longer lines fill 64 bits
+PARTS = [f"bits{i}" for i in range(1, WIDE)]
 MAX_ROWS = 500_000  # rows of a few numbers that are broadcast; beyond, a shuffle join
 SPACE = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -98,18 +100,18 @@ def _parity(words: Column, part: int | None = None) -> Column:
 
 
 def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
-    """(k1, doc, n, bits, prefix): each text's number of words, parity bits and rarest
-    words' hashes in order, with the least id of its documents."""
+    """(k1, n, bits, bits1, .., prefix): each text's number of words, parity bits, those of all
+    parts but the first if it is long, and rarest words' hashes in order."""
     rarity = rarities(lines)
-    rows = lines.select("k1", "doc_id", words(F.col("line")).alias("w"))
+    rows = lines.select("k1", words(F.col("line")).alias("w"))
     n = F.size("w")
     # rarity above, 32 bits of the hash below: one number to sort by
     ranked = F.sort_array(F.transform("w", lambda w: F.call_function("shiftleft", F.get(rarity, _bin(w)).cast("long"), F.lit(32)) + F.shiftrightunsigned(w, 32)))
-    parity = _parity(F.col("w"))
+    wide = [F.when(n > LONG, _parity(F.col("w"), i)).otherwise(0).alias(c) for i, c in enumerate(PARTS, 1)]
     prefix = F.transform(F.slice(ranked, F.lit(1), _prefix(n, t)), lambda x: x.bitwiseAND((1 << 32) - 1))
-    rows = rows.select("k1", "doc_id", n.alias("n"), parity.alias("bits"), prefix.alias("prefix"))
-    one = F.min(F.struct("doc_id", "n", "bits", "prefix")).alias("f")
-    return tables.put(rows.groupBy("k1").agg(one).select("k1", F.col("f.doc_id").alias("doc"), "f.n", "f.bits", "f.prefix"), "features")
+    rows = rows.select("k1", n.alias("n"), _parity(F.col("w")).alias("bits"), *wide, prefix.alias("prefix"))
+    kept = ["n", "bits", *PARTS, "prefix"]
+    return tables.put(rows.groupBy("k1").agg(F.min(F.struct(*kept)).alias("f")).select("k1", *[f"f.{c}" for c in kept]), "features")
 
 
 def _few_bits(n1: Column, n2: Column, differ: Column, t: float) -> Column:
@@ -124,8 +126,10 @@ def _may_match(x: str, y: str, t: float) -> Column:
 
 
 def _may_match_wide(x: str, y: str, t: float) -> Column:
-    differ = [F.bit_count(F.col(f"{x}.bits{i}").bitwiseXOR(F.col(f"{y}.bits{i}"))) for i in range(WIDE)]
-    return _few_bits(F.col(f"{x}.n"), F.col(f"{y}.n"), reduce(Column.__add__, differ), t)
+    """By the parity bits of all parts: those of the first are ``bits`` without the others'."""
+    all_bits, *parts = [F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")) for c in ("bits", *PARTS)]
+    parts.append(reduce(Column.bitwiseXOR, parts, all_bits))
+    return _few_bits(F.col(f"{x}.n"), F.col(f"{y}.n"), reduce(Column.__add__, [F.bit_count(p) for p in parts]), t)
 
 
 def _words_of(ids: DataFrame, sets: DataFrame, docs: DataFrame, tables: Tables, name: str) -> DataFrame:
@@ -144,74 +148,60 @@ def _similar(x: Column, y: Column, t: float) -> Column:
     return common + 1e-9 >= t * (F.size(x) + F.size(y) - common)
 
 
-def _near_matches(pairs: DataFrame, sets: DataFrame, docs: DataFrame, tables: Tables, t: float) -> DataFrame:
-    """(k1, k2) of the texts that have an earlier match, of candidate pairs (a, b) of k1."""
-    pairs = tables.put(pairs.distinct(), "near-pairs")
-    found = _words_of(pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct(), sets, docs, tables, "near")
-    one = lambda x: found.select(F.col("k1").alias(x), F.struct("k1", "k2").alias(f"key_{x}"), F.col("first").alias(f"first_{x}"), F.col("words").alias(f"words_{x}"))
-    both = pairs.join(one("a"), "a").join(one("b"), "b")
-    later = F.when(F.col("first_a") < F.col("first_b"), F.col("key_b")).otherwise(F.col("key_a"))
-    return tables.put(both.where(_similar(F.col("words_a"), F.col("words_b"), t)).select(later.alias("k")).select("k.*").distinct(), "near")
-
-
-def _may_follow(x: str, y: str, t: float) -> Column:
-    """The text x, one row for each of its prefix words, may be similar to y, which may be
-    earlier (a null id is first), and y shares this word.  The place of a decided text's word is
-    beyond its words, so that it is never x."""
+def _may_share(x: str, y: str, t: float) -> Column:
+    """Two texts, each in one row for each of its prefix words, may be similar and share this word."""
     c = lambda side, name: F.col(f"{side}.{name}")
     needed = F.ceil((c(x, "n") + c(y, "n")) * (t / (1 + t)) - 1e-9)
-    possible = F.least(c(x, "n") - c(x, "at"), c(y, "n") - c(y, "at").bitwiseAND(DECIDED - 1))
-    no_later = c(y, "doc").isNull() | F.coalesce(c(y, "doc") <= c(x, "doc"), F.lit(False))
-    return (c(x, "w") == c(y, "w")) & (c(x, "k1") != c(y, "k1")) & no_later & (possible >= needed) & _may_match(x, y, t)
+    possible = F.least(c(x, "n") - c(x, "at"), c(y, "n") - c(y, "at"))
+    short = F.least(c(x, "n"), c(y, "n")) <= LONG
+    return (c(x, "w") == c(y, "w")) & (c(x, "k1") != c(y, "k1")) & (possible >= needed) & _may_match(x, y, t) & (short | _may_match_wide(x, y, t))
+
+
+def candidates(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
+    """(k1, n, bits, bits1, .., at, w): of each text's prefix words those at which another text
+    may be similar.  A semi-join gives the rows of both texts, and never pairs."""
+    rows = lines.select("k1", "n", "bits", *PARTS, F.posexplode("prefix").alias("at", "w"))
+    # both sides are the same rows with the same columns, so they are shuffled once
+    return tables.put(rows.alias("x").join(rows.alias("y"), _may_share("x", "y", t), "left_semi"), "candidates")
+
+
+def _near_matches(rows: DataFrame, found: DataFrame, tables: Tables, t: float) -> DataFrame:
+    """(k1, k2) of the texts similar to the earliest or the previous one of those that share one
+    of their ``RARE`` rarest words."""
+    own = F.struct("k1", "n", "at", "w", "bits", *PARTS)
+    in_order = Window.partitionBy("w").orderBy("first", "k1")
+    near = rows.where(F.col("at") < RARE).select(own.alias("x"), F.first(own).over(in_order).alias("first"), F.lag(own).over(in_order).alias("last"))
+    near = near.select("x", F.explode(F.array("first", "last")).alias("y")).where(F.col("y").isNotNull() & _may_share("x", "y", t))
+    pairs = tables.put(near.select(F.col("x.k1").alias("a"), F.col("y.k1").alias("b")).distinct(), "near-pairs")
+    one = lambda x: found.select(F.col("k1").alias(x), F.struct("k1", "k2").alias(f"key_{x}"), F.col("first").alias(f"first_{x}"), F.col("words").alias(f"words_{x}"))
+    both = pairs.join(one("a"), "a").join(one("b"), "b")
+    similar = (F.col("first_b") < F.col("first_a")) & _similar(F.col("words_a"), F.col("words_b"), t)
+    return tables.put(both.where(similar).select("key_a.*").distinct(), "near")
 
 
-def _rest_matches(lines: DataFrame, decided: DataFrame, sets: DataFrame, docs: DataFrame, tables: Tables, t: float) -> DataFrame:
+def _rest_matches(rows: DataFrame, decided: DataFrame, found: DataFrame, tables: Tables, t: float) -> DataFrame:
     """(k1, k2) of the texts with an earlier match that are not decided yet.
 
     Semi-joins only: each gives a row of its left side once however many rows match it, so
-    no step makes the pairs of a group.  First the undecided texts with a candidate at some
-    word, then the candidates, the same by more parity bits, and with both sides' words the
-    undecided that have a match."""
-    flag = decided.select("k1").distinct().withColumn("decided", F.lit(DECIDED))
-    flagged = lines.join(bounded_broadcast(flag, MAX_ROWS), "k1", "left")
-    rows = flagged.select("k1", "doc", "n", "bits", F.coalesce("decided", F.lit(0)).alias("decided"), F.posexplode("prefix").alias("at", "w"))
-    rows = rows.select("k1", "doc", "n", "bits", F.col("at").bitwiseOR(F.col("decided")).alias("at"), "w")
-    # both sides are the same rows with the same columns, so they are shuffled once
-    later = tables.put(rows.alias("x").join(rows.alias("y"), _may_follow("x", "y", t), "left_semi"), "rest-later")
-    x = bounded_broadcast(later, MAX_ROWS)
-    earlier = tables.put(rows.alias("y").join(x.alias("x"), _may_follow("x", "y", t), "left_semi"), "rest-earlier")
-    found = _words_of(later.select("k1").union(earlier.select("k1")).distinct(), sets, docs, tables, "rest")
-    # the same with more parity bits, so that words go only to rows that are still candidates
-    bits = bounded_broadcast(tables.put(found.select("k1", *[_parity(F.col("words"), i).alias(f"bits{i}") for i in range(WIDE)]), "rest-bits"), MAX_ROWS)
-    narrow = later.columns
-    wide = lambda rows: rows.join(bits, "k1")
-    may = _may_follow("x", "y", t) & _may_match_wide("x", "y", t)
-    later = tables.put(wide(later).alias("x").join(wide(earlier).alias("y"), may, "left_semi").select(narrow), "rest-later-wide")
-    earlier = tables.put(wide(earlier).alias("y").join(wide(later).alias("x"), may, "left_semi").select(narrow), "rest-earlier-wide")
-    left = later.select("k1").union(earlier.select("k1")).distinct()
-    found = found.join(bounded_broadcast(left, MAX_ROWS), "k1", "left_semi")
-    x, y = later.join(found, "k1").alias("x"), earlier.join(found, "k1").alias("y")
-    match = _may_follow("x", "y", t) & (F.col("y.first") < F.col("x.first")) & _similar(F.col("x.words"), F.col("y.words"), t)
+    no step makes the pairs of a group.  First the undecided texts with an earlier candidate at
+    some word, then those candidates, and with both sides' words the undecided that have a match."""
+    may = _may_share("x", "y", t) & (F.col("y.first") < F.col("x.first"))
+    open_ = rows.join(bounded_broadcast(decided, MAX_ROWS), ["k1", "k2"], "left_anti")
+    later = tables.put(open_.alias("x").join(rows.alias("y"), may, "left_semi"), "rest-later")
+    earlier = tables.put(rows.alias("y").join(bounded_broadcast(later, MAX_ROWS).alias("x"), may, "left_semi"), "rest-earlier")
+    sent = found.select("k1", "k2", "words")
+    x, y = later.join(sent, ["k1", "k2"]).alias("x"), earlier.join(sent, ["k1", "k2"]).alias("y")
+    match = may & _similar(F.col("x.words"), F.col("y.words"), t)
     return tables.put(x.join(y, match, "left_semi").select("k1", "k2").distinct(), "rest")
 
 
 def later_matches(docs: DataFrame, sets: DataFrame, tables: Tables, t: float = SIMILARITY) -> DataFrame:
     """(k1, k2): the texts with an earlier line of Jaccard similarity t or more."""
-    lines = features(text_lines(docs), tables, t)
-
-    # 1. The earliest and the previous line among those that share one of the rarest words.
-    rare = lines.select("k1", "doc", "n", "bits", F.explode(F.slice("prefix", 1, RARE)).alias("w"))
-    own = F.struct("k1", "n", "bits")
-    in_order = Window.partitionBy("w").orderBy("doc", "k1")
-    near = rare.select(own.alias("x"), F.first(own).over(in_order).alias("first"), F.lag(own).over(in_order).alias("last"))
-    near = near.select("x", F.explode(F.array("first", "last")).alias("y"))
-    near = near.where(F.col("y").isNotNull() & (F.col("x.k1") != F.col("y.k1")))
-    near = near.where(_may_match("x", "y", t))
-    near = near.select(F.least("x.k1", "y.k1").alias("a"), F.greatest("x.k1", "y.k1").alias("b"))
-    decided = _near_matches(near, sets, docs, tables, t)
-
-    # 2. Undecided lines against all lines that share a prefix word.
-    return decided.union(_rest_matches(lines, decided, sets, docs, tables, t)).distinct()
+    some = candidates(features(text_lines(docs), tables, t), tables, t)
+    found = _words_of(some.select("k1").distinct(), sets, docs, tables, "candidates")
+    rows = tables.put(some.join(found.select("k1", "k2", "first"), "k1"), "ordered")
+    decided = _near_matches(rows, found, tables, t)
+    return decided.union(_rest_matches(rows, decided, found, tables, t)).distinct()
 
 
 def line_decisions(docs: DataFrame, tables: Tables, t: float = SIMILARITY) -> DataFrame:
