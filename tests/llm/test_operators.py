@@ -3,7 +3,10 @@
 import collections
 import hashlib
 import math
+import os
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -678,3 +681,25 @@ def test_op9_unrelated_lines_are_no_candidates(spark):
     assert got == {(253, 0), (254, 0), (255, 0)} == {(texts[n][0], no) for n, no in brute_lines(texts)}
     later = {k: n for k, n in rows.items() if k not in ("lines", "sets", "features")}
     assert len(later) >= 3 and max(later.values()) <= 120, later
+
+
+def test_bpe_stage_gives_memory_back():
+    """An encoder with the bounds of the pipeline's stage stays small, and what it found goes back
+    to the system."""
+    code = """
+import random
+from verbatim.llm import bpe
+def own():
+    return sum(int(x.split()[1]) for x in open('/proc/self/smaps_rollup') if x.startswith('Pss_Anon')) // 1024
+coder, rng = bpe.bpe(bpe.public_vocabulary(), bpe.CACHED_IN_STAGE, bpe.COMPATIBLE_IN_STAGE), random.Random(2)
+start, most = own(), 0
+for _ in range(400):
+    coder.encode(' '.join('%x' % rng.getrandbits(40) for _ in range(1000)))
+    most = max(most, own())
+    assert len(coder.known) <= bpe.CACHED_IN_STAGE and len(coder.fits) <= bpe.COMPATIBLE_IN_STAGE
+coder.forget()
+print(most - start, own() - start)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(__file__)))).stdout
+    most, after = map(int, out.split())
+    assert most <= 90 and after <= 30, out

@@ -8,8 +8,8 @@ the latest to the earliest, no merge across their border would have come first.
 tokens are stored for each prefix; following them back from the end gives the exact ids.
 
 The vocabulary file is a parameter: its text is read once and sent to the tasks (its size
-doesn't depend on the data).  Words repeat, so each worker keeps the ids of up to
-``CACHED`` short parts of texts; the whole of every text is encoded.
+doesn't depend on the data).  Words repeat, so each worker keeps the ids of a bounded number
+of short parts of texts; the whole of every text is encoded.
 
 Defined results: a null text is empty and has no ids; a special token's text gives its id;
 repeated rows get equal ids; ids that are no tokens are left out by ``decode``, bytes that
@@ -18,6 +18,7 @@ are no UTF-8 become U+FFFD.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -36,6 +37,8 @@ from verbatim.llm.common import table
 
 CACHED = 500_000  # stretches of text with their ids, some 100 MB a worker
 COMPATIBLE = 1_000_000  # pairs of tokens, some 130 MB a worker
+#: The same where other stages share the executor's memory: some 25 and 20 MB a worker.
+CACHED_IN_STAGE, COMPATIBLE_IN_STAGE = 120_000, 200_000
 LONGEST_CACHED = 48
 #: Fixed value: the pattern of byte-level pre-tokenization.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -52,7 +55,8 @@ def byte_letters() -> dict[str, int]:
 class Bpe:
     """Encoder and decoder of one byte-level BPE vocabulary (a tokenizers JSON text)."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, cached: int = CACHED, compatible: int = COMPATIBLE):
+        self.most_known, self.most_fits = cached, compatible
         spec = json.loads(spec)
         model, letters = spec["model"], byte_letters()
         vocab = model["vocab"]
@@ -100,7 +104,7 @@ class Bpe:
                 before, a = ra, self.right[a]
             else:  # of equal ranks the one further left comes first
                 before, b = rb + 1, self.left[b]
-        if len(self.fits) >= COMPATIBLE:
+        if len(self.fits) >= self.most_fits:
             self.fits.clear()
         self.fits[key] = found
         return found
@@ -143,16 +147,19 @@ class Bpe:
                 if ids is None:
                     ids = self._encode_part(part)
                     if len(part) <= LONGEST_CACHED:
-                        if len(known) >= CACHED:
+                        if len(known) >= self.most_known:
                             known.clear()
                         known[part] = ids
                 out += ids
         return out
 
     def forget(self) -> None:
-        """Give back the memory of what was found so far."""
+        """Give back the memory of what was found so far, to the system too: Python's lists of
+        free tuples and Arrow's pool would hold on to most of it."""
         self.fits.clear()
         self.known.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
     def decode(self, ids) -> str:
         get = self.bytes_of.get
@@ -160,9 +167,9 @@ class Bpe:
 
 
 @lru_cache(2)
-def bpe(spec: str) -> Bpe:
+def bpe(spec: str, cached: int = CACHED, compatible: int = COMPATIBLE) -> Bpe:
     """One encoder for each worker and vocabulary."""
-    return Bpe(spec)
+    return Bpe(spec, cached, compatible)
 
 
 def read_vocabulary(path: str) -> str:
@@ -184,7 +191,7 @@ def encode(docs: DataFrame, vocabulary: str, keep: list[str]) -> DataFrame:
     rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = bpe(spec.value)
+        coder = bpe(spec.value, CACHED_IN_STAGE, COMPATIBLE_IN_STAGE)
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
