@@ -683,6 +683,26 @@ def test_op9_unrelated_lines_are_no_candidates(spark):
     assert len(later) >= 3 and max(later.values()) <= 120, later
 
 
+def test_op9_classes_of_length(spark):
+    """A word is shuffled and compared within classes of length, in one of which similar lines of any
+    lengths meet."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(8)
+    texts = [(i, "\n".join(" ".join(f"w{x}" for x in rng.choice(40, rng.integers(1, 30))) for _ in range(3))) for i in range(40)]
+    for i, n in enumerate([4, 5, 13, 16, 20, 52, 64, 80, 205, 256, 320], 40):  # the first 0.8 n words again
+        ws = [f"x{n}y{k}" for k in range(n)]
+        texts.append((i, " ".join(ws) + "\n" + " ".join(ws[:-(-4 * n // 5)])))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.doc_id, no) for r in lines.line_decisions(df, Tables(spark, "t")).collect() for no in r.removed}
+    assert got == brute_lines(texts) and {(i, 1) for i in range(40, 51)} <= got
+    sets = lines.features(lines.text_lines(df), Tables(spark, "t"), 0.8)
+    some = lines.candidates(sets, Tables(spark, "t"), 0.8).collect()
+    assert all(math.floor(math.log(r.n, lines.SPREAD) + 1e-9) <= r.w >> 32 <= math.log(r.n / 0.8, lines.SPREAD) + 1e-6 for r in some)
+    # of two sizes that may be similar, the larger's class is one of the smaller's
+    own = {r.n: r.c for r in spark.range(1, 700).select(F.col("id").alias("n"), lines._classes(F.col("id"), 0.8).alias("c")).collect()}
+    assert all(own[m][0] in own[n] for n in own for m in range(n, int(n / 0.8 + 1e-9) + 1) if m in own)
+
+
 def test_bpe_stage_gives_memory_back():
     """An encoder with the bounds of the pipeline's stage stays small, and what it found goes back
     to the system."""

@@ -8,7 +8,8 @@ lines without words stay.  Lines equal but for case are one text, named by two 6
 * Words are ordered by rarity: their frequency among all lines, counted in
   ``1 << RARITY_BITS`` hash bins (a table of fixed size), then their hash.
 * Prefix filter: similar sets share a word among the first ``n - ceil(t n) + 1`` of each.
-* Length filter: the shorter set has at least ``t`` times the words of the longer.
+* Length filter: the shorter set has at least ``t`` times the words of the longer.  Lengths fall
+  into classes, each up to ``SPREAD`` times as long; a prefix word is compared within one class only.
 * Positional filter: the words after the shared one must still allow the overlap needed.
 * Parity bits: a word flips one of 64 bits of its line, so the bits in which two lines differ
   are a lower bound of the words that only one of them has.  Lines of more than ``LONG`` words
@@ -34,6 +35,7 @@ names, are kept by ``drop_lines``.
 from __future__ import annotations
 
 from functools import reduce
+from math import log
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,6 +48,7 @@ RARITY_BITS = 16
 RARE = 8
 WIDE = 4  # times 64 parity bits for long lines, a power of two
 LONG = 64  # words; longer lines fill 64 bits
+SPREAD = 4
 PARTS = [f"bits{i}" for i in range(1, WIDE)]
 MAX_ROWS = 500_000  # rows of a few numbers that are broadcast; beyond, a shuffle join
 SPACE = r"[\x20\x09-\x0D]+"
@@ -157,10 +160,21 @@ def _may_share(x: str, y: str, t: float) -> Column:
     return (c(x, "w") == c(y, "w")) & (c(x, "k1") != c(y, "k1")) & (possible >= needed) & _may_match(x, y, t) & (short | _may_match_wide(x, y, t))
 
 
+def _classes(n: Column, t: float) -> Column:
+    """Classes of length of a set of n words: its own and that of the longest similar to it.  Of
+    two similar sets the longer's own class is one of the shorter's."""
+    own = lambda x: F.floor(F.log(x.cast("double")) / log(SPREAD) + 1e-9)
+    return F.sequence(own(n), own(F.floor(n / t + 1e-6)))
+
+
 def candidates(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
-    """(k1, n, bits, bits1, .., at, w): of each text's prefix words those at which another text
-    may be similar.  A semi-join gives the rows of both texts, and never pairs."""
-    rows = lines.select("k1", "n", "bits", *PARTS, F.posexplode("prefix").alias("at", "w"))
+    """(k1, n, bits, bits1, .., at, w): of each text's prefix words, each with a class of length, those
+    at which another text may be similar.  A semi-join gives the rows of both texts, and never pairs."""
+    of = ["k1", "n", "bits", *PARTS]
+    rows = lines.select(*of, _classes(F.col("n"), t).alias("classes"), F.posexplode("prefix").alias("at", "word"))
+    rows = rows.select(*of, "at", "word", F.explode("classes").alias("class"))
+    # a word and a class are one number to sort by
+    rows = rows.select(*of, "at", (F.call_function("shiftleft", F.col("class"), F.lit(32)) + F.col("word")).alias("w"))
     # both sides are the same rows with the same columns, so they are shuffled once
     return tables.put(rows.alias("x").join(rows.alias("y"), _may_share("x", "y", t), "left_semi"), "candidates")
 
