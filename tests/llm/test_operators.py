@@ -703,6 +703,31 @@ def test_op9_classes_of_length(spark):
     assert all(own[m][0] in own[n] for n in own for m in range(n, int(n / 0.8 + 1e-9) + 1) if m in own)
 
 
+def test_op9_fewer_words_in_another_class(spark):
+    """In a class of longer texts a text is compared by the words that only a longer one needs, and is
+    found there; the words go to parts by ranges of their hash, also one at a range's end."""
+    from pyspark.sql import functions as F
+    texts = []
+    for i, (n, m) in enumerate([(60, 70), (58, 64), (15, 17), (63, 78), (13, 16)]):
+        ws = [f"x{i}y{k}" for k in range(m)]
+        texts.append((i, " ".join(ws[:n]) + "\n" + " ".join(ws)))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.doc_id, no) for r in lines.line_decisions(df, Tables(spark, "t")).collect() for no in r.removed}
+    assert got == brute_lines(texts) == {(i, 1) for i in range(5)}
+    some = lines.candidates(lines.features(lines.text_lines(df), Tables(spark, "t"), 0.8), Tables(spark, "t"), 0.8).collect()
+    other = [r for r in some if math.floor(math.log(r.n, lines.SPREAD) + 1e-9) < r.w >> 32]
+    assert {r.n for r in other} == {60, 58, 15, 63, 13}
+    assert all(r.at <= r.n - math.ceil(r.n * 1.6 / 1.8 - 1e-9) for r in other)
+    rng = np.random.default_rng(9)
+    sets = [[*map(int, rng.integers(-(1 << 63), (1 << 63) - 1, n)), *lines.BOUNDS[:k]] for n, k in ((0, 0), (5, 1), (90, 3))]
+    rows = spark.createDataFrame([(x,) for x in sets], "a array<long>").select("a", lines._parity(F.col("a")).alias("all"), *[lines._parity(F.col("a"), i).alias(f"p{i}") for i in range(lines.WIDE)], *[lines._part(lines._in_parts(F.col("a")), i).alias(f"w{i}") for i in range(lines.WIDE)])
+    for r in rows.collect():
+        parts = [r[f"w{i}"] for i in range(lines.WIDE)]
+        assert sorted(r.a) == [w for p in parts for w in p]
+        assert [w for p in parts for w in p if (w - (-1 << 63)) * lines.WIDE >> 64 != parts.index(p)] == []
+        assert np.bitwise_xor.reduce([r[f"p{i}"] for i in range(lines.WIDE)]) == r["all"]
+
+
 def test_bpe_stage_gives_memory_back():
     """An encoder with the bounds of the pipeline's stage stays small, and what it found goes back
     to the system."""

@@ -37,6 +37,7 @@ from __future__ import annotations
 from functools import reduce
 from math import log
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,15 +51,17 @@ WIDE = 4  # times 64 parity bits for long lines, a power of two
 LONG = 64  # words; longer lines fill 64 bits
 SPREAD = 4
 PARTS = [f"bits{i}" for i in range(1, WIDE)]
+BOUNDS = [i * (1 << 64) // WIDE - (1 << 63) for i in range(1, WIDE)]  # words fall to parts by ranges of their hash
 MAX_ROWS = 500_000  # rows of a few numbers that are broadcast; beyond, a shuffle join
 SPACE = r"[\x20\x09-\x0D]+"
-HAS_WORD = r"[^\x20\x09-\x0D]"
+SPACES = " \t\n\x0b\x0c\r"
 
 
 def text_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, no, line, k1, k2): every line that has words, in lower case."""
+    """(doc_id, h, no, line, k1, k2, words): every line that has words, in lower case."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split(F.lower("text"), "\n", -1)).alias("no", "line"))
-    return rows.where(F.col("line").rlike(HAS_WORD)).withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64("line", F.lit(1))})
+    line = F.col("line")
+    return rows.where(F.ltrim(line, F.lit(SPACES)) != "").withColumns({"k1": F.xxhash64(line), "k2": F.xxhash64(line, F.lit(1)), "words": words(line)})
 
 
 def _split(line: Column) -> Column:
@@ -78,15 +81,14 @@ def _bin(word: Column) -> Column:
 
 
 def rarities(lines: DataFrame) -> Column:
-    """Array of the frequency class of each hash bin (four for each doubling), as a literal:
-    ``1 << RARITY_BITS`` small numbers, however large the table.  Words are counted as often as
-    they stand in a line: the hash and the count stay within generated code."""
-    each = lines.select(F.explode(_split(F.col("line"))).alias("word")).where("word <> ''").select(F.xxhash64("word").alias("w"))
-    counts = each.groupBy(_bin(F.col("w")).alias("bin")).agg(F.count("*").alias("n"))
+    """Array of the frequency class of each hash bin (four for each doubling) in the upper 32 bits of
+    a number, as a literal: ``1 << RARITY_BITS`` numbers, however large the table.  A word counts
+    once in a line."""
+    counts = lines.select(F.explode("words").alias("w")).groupBy(_bin(F.col("w")).alias("bin")).agg(F.count("*").alias("n"))
     classes = ["0"] * (1 << RARITY_BITS)
     for b, c in counts.select("bin", F.floor(4 * F.log2(F.col("n") + 1.0))).collect():
-        classes[b] = str(c)
-    return F.split(F.lit(",".join(classes)), ",").cast("array<int>")  # folded to one literal
+        classes[b] = str(c << 32)
+    return F.split(F.lit(",".join(classes)), ",").cast("array<long>")  # folded to one literal
 
 
 def _prefix(n: Column, t: float) -> Column:
@@ -94,25 +96,43 @@ def _prefix(n: Column, t: float) -> Column:
     return (n - F.ceil(n * t - 1e-9) + 1).cast("int")
 
 
+def _in_parts(words: Column) -> Column:
+    """The words in order with the ``WIDE - 1`` numbers between the parts' ranges, a word equal to
+    one of these after it."""
+    return F.sort_array(F.concat(words, F.array(*[F.lit(b).cast("long") for b in BOUNDS])))
+
+
+def _part(ordered: Column, part: int) -> Column:
+    """One of ``WIDE`` parts of a set of words, as sorted by ``_in_parts``."""
+    at = lambda i: F.array_position(ordered, F.lit(BOUNDS[i]).cast("long")).cast("int")
+    start = at(part - 1) if part else F.lit(0)
+    return F.slice(ordered, start + 1, (at(part) - 1 if part < WIDE - 1 else F.size(ordered)) - start)
+
+
 def _parity(words: Column, part: int | None = None) -> Column:
     """64 parity bits of a set of words, or of those that fall to one of ``WIDE`` parts of it."""
-    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(w, 40).bitwiseAND(63).cast("int"))
+    # a shift goes by the last six bits
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(w, 40).cast("int"))
     if part is not None:
-        words = F.filter(words, lambda w: F.shiftrightunsigned(w, 46).bitwiseAND(WIDE - 1) == part)
+        words = _part(_in_parts(words), part)
     return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(bit(w)))
 
 
 def features(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
     """(k1, n, bits, bits1, .., prefix): each text's number of words, parity bits, those of all
-    parts but the first if it is long, and rarest words' hashes in order."""
+    parts but the first if it is long, and rarest words in order, as their hashes' upper 32 bits
+    below their rarities."""
     rarity = rarities(lines)
-    rows = lines.select("k1", words(F.col("line")).alias("w"))
-    n = F.size("w")
-    # rarity above, 32 bits of the hash below: one number to sort by
-    ranked = F.sort_array(F.transform("w", lambda w: F.call_function("shiftleft", F.get(rarity, _bin(w)).cast("long"), F.lit(32)) + F.shiftrightunsigned(w, 32)))
-    wide = [F.when(n > LONG, _parity(F.col("w"), i)).otherwise(0).alias(c) for i, c in enumerate(PARTS, 1)]
-    prefix = F.transform(F.slice(ranked, F.lit(1), _prefix(n, t)), lambda x: x.bitwiseAND((1 << 32) - 1))
-    rows = rows.select("k1", n.alias("n"), _parity(F.col("w")).alias("bits"), *wide, prefix.alias("prefix"))
+    # rarity above, 32 bits of the hash below: one number to sort by, and never null, so that plain numbers are sorted
+    rank = lambda w: F.coalesce(F.get(rarity, _bin(w)), F.lit(0).cast("long")).bitwiseOR(F.shiftrightunsigned(w, 32))
+    long = F.col("n") > LONG
+    rows = lines.select("k1", "words", F.size("words").alias("n"))
+    rows = rows.select("*", F.when(long, _in_parts(F.col("words"))).alias("in_parts"), F.slice(F.sort_array(F.transform("words", rank)), F.lit(1), _prefix(F.col("n"), t)).alias("prefix"))
+    # each word is in one part; a short line is all in the first.  Steps of their own keep slices and sorting in generated code
+    parts = F.when(long, F.array(*[_part(F.col("in_parts"), i) for i in range(WIDE)])).otherwise(F.array("words"))
+    rows = rows.select("k1", "n", "prefix", parts.alias("parts"))
+    rows = rows.select("k1", "n", "prefix", *[F.coalesce(_parity(F.get("parts", F.lit(i))), F.lit(0).cast("long")).alias(c) for i, c in enumerate(["bits0", *PARTS])])
+    rows = rows.withColumn("bits", reduce(Column.bitwiseXOR, [F.col(c) for c in PARTS], F.col("bits0")))
     kept = ["n", "bits", *PARTS, "prefix"]
     return tables.put(rows.groupBy("k1").agg(F.min(F.struct(*kept)).alias("f")).select("k1", *[f"f.{c}" for c in kept]), "features")
 
@@ -157,7 +177,7 @@ def _may_share(x: str, y: str, t: float) -> Column:
     needed = F.ceil((c(x, "n") + c(y, "n")) * (t / (1 + t)) - 1e-9)
     possible = F.least(c(x, "n") - c(x, "at"), c(y, "n") - c(y, "at"))
     short = F.least(c(x, "n"), c(y, "n")) <= LONG
-    return (c(x, "w") == c(y, "w")) & (c(x, "k1") != c(y, "k1")) & (possible >= needed) & _may_match(x, y, t) & (short | _may_match_wide(x, y, t))
+    return (c(x, "w") == c(y, "w")) & _may_match(x, y, t) & (short | _may_match_wide(x, y, t)) & (possible >= needed) & (c(x, "k1") != c(y, "k1"))
 
 
 def _classes(n: Column, t: float) -> Column:
@@ -169,12 +189,17 @@ def _classes(n: Column, t: float) -> Column:
 
 def candidates(lines: DataFrame, tables: Tables, t: float) -> DataFrame:
     """(k1, n, bits, bits1, .., at, w): of each text's prefix words, each with a class of length, those
-    at which another text may be similar.  A semi-join gives the rows of both texts, and never pairs."""
+    at which another text may be similar.  A semi-join gives the rows of both texts, and never pairs.
+
+    In a class that is not its own a text meets longer ones only, which need to share one of fewer
+    words: of n those before ``n - ceil(2 t / (1 + t) n) + 1``."""
     of = ["k1", "n", "bits", *PARTS]
-    rows = lines.select(*of, _classes(F.col("n"), t).alias("classes"), F.posexplode("prefix").alias("at", "word"))
-    rows = rows.select(*of, "at", "word", F.explode("classes").alias("class"))
+    rows = lines.select(*of, "prefix", F.posexplode(_classes(F.col("n"), t)).alias("other", "class"))
+    prefix = F.when(F.col("other") == 0, F.col("prefix")).otherwise(F.slice("prefix", F.lit(1), _prefix(F.col("n"), 2 * t / (1 + t))))
+    rows = rows.select(*of, "class", F.posexplode(prefix).alias("at", "word"))
     # a word and a class are one number to sort by
-    rows = rows.select(*of, "at", (F.call_function("shiftleft", F.col("class"), F.lit(32)) + F.col("word")).alias("w"))
+    word = F.col("word").bitwiseAND((1 << 32) - 1)
+    rows = rows.select(*of, "at", (F.call_function("shiftleft", F.col("class"), F.lit(32)) + word).alias("w"))
     # both sides are the same rows with the same columns, so they are shuffled once
     return tables.put(rows.alias("x").join(rows.alias("y"), _may_share("x", "y", t), "left_semi"), "candidates")
 
@@ -209,9 +234,9 @@ def _rest_matches(rows: DataFrame, decided: DataFrame, found: DataFrame, tables:
     return tables.put(x.join(y, match, "left_semi").select("k1", "k2").distinct(), "rest")
 
 
-def later_matches(docs: DataFrame, sets: DataFrame, tables: Tables, t: float = SIMILARITY) -> DataFrame:
-    """(k1, k2): the texts with an earlier line of Jaccard similarity t or more."""
-    some = candidates(features(text_lines(docs), tables, t), tables, t)
+def later_matches(docs: DataFrame, found: DataFrame, sets: DataFrame, tables: Tables, t: float = SIMILARITY) -> DataFrame:
+    """(k1, k2): the texts with an earlier line of Jaccard similarity t or more, by their features."""
+    some = candidates(found, tables, t)
     found = _words_of(some.select("k1").distinct(), sets, docs, tables, "candidates")
     rows = tables.put(some.join(found.select("k1", "k2", "first"), "k1"), "ordered")
     decided = _near_matches(rows, found, tables, t)
@@ -221,10 +246,15 @@ def later_matches(docs: DataFrame, sets: DataFrame, tables: Tables, t: float = S
 def line_decisions(docs: DataFrame, tables: Tables, t: float = SIMILARITY) -> DataFrame:
     """(doc_id, h, n_lines, n_rows, removed): for each distinct (id, text), the numbers of its
     removed lines in the first row of that id and text."""
-    lines = tables.put(text_lines(docs).drop("line"), "lines")
+    parsed = text_lines(docs).drop("line").persist(StorageLevel.DISK_ONLY)
+    try:  # lines are cut and their words hashed once; the words go when the features are written
+        lines = tables.put(parsed.drop("words"), "lines")
+        found = features(parsed, tables, t)
+    finally:
+        parsed.unpersist(True)
     # each text once, with its first line
     sets = tables.put(lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "h", "no")).alias("first")), "sets")
-    gone = later_matches(docs, sets, tables, t)
+    gone = later_matches(docs, found, sets, tables, t)
     # a line stays if it is its text's first and the text has no earlier match
     stays = sets.join(gone, ["k1", "k2"], "left_anti").select("first.*").withColumn("stays", F.lit(True))
     once = lines.select("doc_id", "h", "no").distinct()
@@ -232,7 +262,7 @@ def line_decisions(docs: DataFrame, tables: Tables, t: float = SIMILARITY) -> Da
     removed = (once.alias("l").join(stays.alias("s"), on, "left_anti").groupBy("doc_id", "h")
                .agg(F.sort_array(F.collect_list("no")).alias("removed")))
     texts = docs.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(
-        F.max(F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))).alias("n_lines"), F.count("*").alias("n_rows"))
+        F.max(F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))).alias("n_lines"), F.count("*").alias("n_rows"))
     on = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("doc_id", "h")]
     return texts.alias("d").join(removed.alias("r"), on, "left").select(
         "d.doc_id", "d.h", F.greatest("n_lines", F.lit(0)).alias("n_lines"), "n_rows",
